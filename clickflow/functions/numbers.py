@@ -18,4 +18,6 @@ def _c(x) -> Column:
 def ratio2(n, d) -> Column:
     """n / d rounded half-up to 2 decimals for non-negative counts; null when d = 0."""
     n, d = _c(n).cast("bigint"), _c(d).cast("bigint")
-    return F.when(d != 0, ((n * 200 + d) // (d * 2)) / F.lit(100.0))
+    num, den = n * 200 + d, d * 2
+    hundredths = ((num - num % den) / den).cast("bigint")  # exact integer division
+    return F.when(d != 0, hundredths / F.lit(100.0))

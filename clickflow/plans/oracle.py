@@ -103,3 +103,106 @@ SQL["product_status"] = q(
     """SELECT product_id,
        CASE WHEN json_extract_string(extend_info, '$.product_status') = '0' THEN 'Self' ELSE 'Third Party' END
          AS product_status FROM product_info""")
+
+
+# ---------------------------------------------------------------- sessions
+def _sess_cte(name: str, src: str) -> str:
+    return f"""{name} AS (SELECT session_id, min(user_id) AS user_id,
+        list_sort(list_distinct(list(search_keyword))) AS search_keywords,
+        list_sort(list_distinct(list(click_category_id))) AS click_category_ids,
+        min(action_time) AS start_time, max(action_time) AS end_time,
+        date_diff('second', min(action_time), max(action_time)) AS visit_length,
+        count(*) AS step_length
+      FROM {src} GROUP BY session_id)"""
+
+
+_RANGE = f"date BETWEEN DATE '{P.START_DATE}' AND DATE '{P.END_DATE}'"
+_ACTIONS_R = f"ar AS (SELECT * FROM uva WHERE {_RANGE})"
+_SESS_COLS = ("session_id, user_id, array_to_string(search_keywords, ',') AS search_keywords, "
+              "array_to_string(click_category_ids, ',') AS click_category_ids, "
+              f"{_ts('start_time')} AS start_time, {_ts('end_time')} AS end_time, visit_length, step_length")
+_FULL_CTE = """full_s AS (SELECT s.*, u.age, u.professional, u.city, u.sex
+      FROM sr s JOIN user_info u ON s.user_id = u.user_id)"""
+_FILTER_CTE = f"""fs AS (SELECT * FROM full_s WHERE age BETWEEN {P.START_AGE} AND {P.END_AGE}
+      AND professional IN ({_list(P.PROFESSIONALS)}) AND city IN ({_list(P.CITIES)})
+      AND sex IN ({_list(P.SEXES)})
+      AND list_has_any(search_keywords, [{_list(P.KEYWORDS)}])
+      AND list_has_any(click_category_ids, [{_list(P.CATEGORY_IDS)}]::BIGINT[]))"""
+_DETAIL_CTE = "detail AS (SELECT * FROM ar WHERE session_id IN (SELECT session_id FROM fs))"
+_T1 = (_ACTIONS_R, _sess_cte("sr", "ar"), _FULL_CTE, _FILTER_CTE, _DETAIL_CTE)
+
+_ACTION_COLS = ("event_id, " + _d("date") + " AS date, user_id, session_id, page_id, "
+                + _ts("action_time") + " AS action_time, search_keyword, CAST(click_category_id AS VARCHAR) AS click_category_id, "
+                "CAST(click_product_id AS VARCHAR) AS click_product_id, "
+                "array_to_string(order_category_ids, ',') AS order_category_ids, "
+                "array_to_string(order_product_ids, ',') AS order_product_ids, "
+                "array_to_string(pay_category_ids, ',') AS pay_category_ids, "
+                "array_to_string(pay_product_ids, ',') AS pay_product_ids, city_id")
+
+
+def _bucket_sql(col: str, lo: int, hi, inc: bool) -> str:
+    cond = f"{col} >= {lo}"
+    if hi is not None:
+        cond += f" AND {col} {'<=' if inc else '<'} {hi}"
+    return f"CAST(count_if({cond}) AS BIGINT)"
+
+
+def _hist_cols(kind: str) -> list[tuple[str, str]]:
+    from clickflow.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
+    if kind == "visit":
+        v = f"(visit_length // {P.VISIT_UNIT_SECONDS})"
+        return [(f"visit_{n}", _bucket_sql(v, lo, hi, inc)) for n, lo, hi, inc in VISIT_BUCKETS]
+    return [(f"step_{n}", _bucket_sql("step_length", lo, hi, inc)) for n, lo, hi, inc in STEP_BUCKETS]
+
+
+SQL["actions_by_date"] = q(_ACTIONS_R, f"SELECT {_ACTION_COLS} FROM ar")
+SQL["session_agg"] = q(_sess_cte("s", "uva"), f"SELECT {_SESS_COLS} FROM s")
+SQL["session_full_agg"] = q(*_T1[:3], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM full_s")
+SQL["session_filter"] = q(*_T1[:4], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM fs")
+SQL["session_filter_equal"] = q(*_T1[:3], "SELECT session_id, sex FROM full_s WHERE sex = 'female'")
+SQL["visit_length_hist"] = q(_sess_cte("s", "uva"), "SELECT count(*) AS session_count, "
+                             + ", ".join(f"{e} AS {n}" for n, e in _hist_cols("visit")) + " FROM s")
+SQL["step_length_hist"] = q(_sess_cte("s", "uva"), "SELECT count(*) AS session_count, "
+                            + ", ".join(f"{e} AS {n}" for n, e in _hist_cols("step")) + " FROM s")
+SQL["session_aggr_stat"] = q(*_T1[:4], "SELECT count(*) AS session_count, "
+                             + ", ".join(f"{_ratio(e, 'count(*)')} AS {n}_ratio"
+                                         for n, e in _hist_cols("visit") + _hist_cols("step")) + " FROM fs")
+SQL["session_detail"] = q(*_T1, f"SELECT {_ACTION_COLS} FROM detail")
+
+
+# ---------------------------------------------------------------- categories
+_KINDS_CTE = """kinds AS (
+      SELECT click_category_id AS category_id, 'click' AS kind FROM detail WHERE click_category_id IS NOT NULL
+      UNION ALL SELECT unnest(order_category_ids), 'order' FROM detail WHERE order_category_ids IS NOT NULL
+      UNION ALL SELECT unnest(pay_category_ids), 'pay' FROM detail WHERE pay_category_ids IS NOT NULL)"""
+_COUNTS_CTE = """cc AS (SELECT category_id, CAST(count_if(kind = 'click') AS BIGINT) AS click_count,
+      CAST(count_if(kind = 'order') AS BIGINT) AS order_count, CAST(count_if(kind = 'pay') AS BIGINT) AS pay_count
+      FROM kinds WHERE category_id IS NOT NULL GROUP BY category_id)"""
+_TOP10_CTE = """top10 AS (SELECT * FROM cc ORDER BY click_count DESC, order_count DESC, pay_count DESC, category_id
+      LIMIT 10)"""
+_SCC_CTE = """scc AS (SELECT click_category_id AS category_id, session_id, count(*) AS click_count
+      FROM detail WHERE click_category_id IS NOT NULL GROUP BY 1, 2)"""
+_TOPS_CTE = """tops AS (SELECT category_id, session_id, click_count FROM (
+      SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
+      FROM scc WHERE category_id IN (SELECT category_id FROM top10)) WHERE rn <= 10)"""
+
+SQL["category_clicks"] = q(*_T1, """SELECT click_category_id AS category_id, count(*) AS click_count
+    FROM detail WHERE click_category_id IS NOT NULL GROUP BY 1""")
+SQL["category_orders"] = q(*_T1, _KINDS_CTE, """SELECT category_id, count(*) AS order_count
+    FROM kinds WHERE kind = 'order' AND category_id IS NOT NULL GROUP BY 1""")
+SQL["category_pays"] = q(*_T1, _KINDS_CTE, """SELECT category_id, count(*) AS pay_count
+    FROM kinds WHERE kind = 'pay' AND category_id IS NOT NULL GROUP BY 1""")
+SQL["visited_categories"] = q(*_T1, _KINDS_CTE,
+                              "SELECT DISTINCT category_id FROM kinds WHERE category_id IS NOT NULL")
+SQL["category_counts"] = q(*_T1, _KINDS_CTE, _COUNTS_CTE, "SELECT * FROM cc")
+SQL["category_counts_join"] = SQL["category_counts"]
+SQL["top10_category"] = q(*_T1, _KINDS_CTE, _COUNTS_CTE, _TOP10_CTE, "SELECT * FROM top10")
+SQL["session_category_clicks"] = q(*_T1, _SCC_CTE, "SELECT * FROM scc")
+SQL["top10_session"] = q(*_T1, _KINDS_CTE, _COUNTS_CTE, _TOP10_CTE, _SCC_CTE, _TOPS_CTE, "SELECT * FROM tops")
+SQL["top10_session_detail"] = q(
+    *_T1, _KINDS_CTE, _COUNTS_CTE, _TOP10_CTE, _SCC_CTE, _TOPS_CTE,
+    "SELECT t.category_id, " + ", ".join(
+        f"d.{c.strip()}" if " AS " not in c else c.replace("(", "(d.", 1)
+        for c in []) + _ACTION_COLS.replace("event_id,", "d.event_id,", 1).replace(
+        "session_id, page_id", "d.session_id, page_id", 1)
+    + " FROM tops t JOIN detail d ON t.session_id = d.session_id")

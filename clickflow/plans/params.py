@@ -9,14 +9,13 @@ START_DATE = "2024-01-05"
 END_DATE = "2024-01-20"
 
 # session filter of the session task
-START_AGE = 10
-END_AGE = 50
-PROFESSIONALS = ["AUTOMOBILE", "BUILDING", "MACHINERY"]
-CITIES = ["ALGERIA", "ARGENTINA", "BRAZIL", "CANADA", "CHINA", "EGYPT", "FRANCE", "GERMANY",
-          "INDIA", "JAPAN", "KENYA", "PERU", "RUSSIA", "UNITED STATES", "VIETNAM"]
-SEX = "male"
-KEYWORDS = ["kw1", "kw2", "kw3", "kw5", "kw8"]
-CATEGORY_IDS = list(range(0, 100, 2))
+START_AGE = 5
+END_AGE = 55
+PROFESSIONALS = ["AUTOMOBILE", "BUILDING", "HOUSEHOLD", "MACHINERY"]
+CITIES = [f"NATION_{i}" for i in range(20)]
+SEXES = ["male", "female"]
+KEYWORDS = ["kw1", "kw2", "kw3", "kw4", "kw5", "kw6", "kw7", "kw8", "kw9"]
+CATEGORY_IDS = list(range(0, 90))
 
 # page funnel
 PAGE_FLOW = [1, 2, 5, 7]
@@ -37,7 +36,7 @@ WINDOW_MINUTES = 60
 def session_task_params() -> TaskParams:
     return TaskParams(
         start_date=START_DATE, end_date=END_DATE, start_age=START_AGE, end_age=END_AGE,
-        professionals=PROFESSIONALS, cities=CITIES, sex=[SEX], keywords=KEYWORDS,
+        professionals=PROFESSIONALS, cities=CITIES, sex=SEXES, keywords=KEYWORDS,
         category_ids=[str(c) for c in CATEGORY_IDS],
     )
 

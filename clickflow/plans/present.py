@@ -14,7 +14,9 @@ from pyspark.sql import types as T
 from clickflow.functions.dates import DATE_FORMAT, TIME_FORMAT
 
 
-def present(df: DataFrame) -> DataFrame:
+def present(df: DataFrame, as_text: tuple[str, ...] = ()) -> DataFrame:
+    """``as_text``: nullable integer columns rendered as strings, so a null is
+    the same value in every client library (no float/NaN conversion)."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -24,5 +26,7 @@ def present(df: DataFrame) -> DataFrame:
             c = F.date_format(c, TIME_FORMAT)
         elif isinstance(f.dataType, T.ArrayType):
             c = F.array_join(c.cast("array<string>"), ",")
+        elif f.name in as_text:
+            c = c.cast("string")
         cols.append(c.alias(f.name))
     return df.select(*cols)

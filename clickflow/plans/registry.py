@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickflow.operators import products as prod
 from clickflow.plans import params as P
@@ -20,11 +21,15 @@ from clickflow.sources import views as V
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
-def register(name: str):
+# nullable integer columns of action rows
+ACTION_TEXT = ("click_category_id", "click_product_id")
+
+
+def register(name: str, as_text: tuple[str, ...] = ()):
     def deco(fn):
         def run(spark: SparkSession, base_dir: str) -> DataFrame:
             ensure_session_defaults(spark)
-            return present(fn(spark, base_dir))
+            return present(fn(spark, base_dir), as_text)
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
@@ -71,3 +76,144 @@ def _product_status(spark, d):
     """Product status from the JSON extend_info."""
     p = V.product_info(spark, d)
     return p.select("product_id", prod.product_status("extend_info").alias("product_status"))
+
+
+# ---------------------------------------------------------------- sessions
+from clickflow.operators import categories as cat  # noqa: E402
+from clickflow.operators import sessions as ses  # noqa: E402
+from clickflow.operators.predicates import equals  # noqa: E402
+
+
+def _actions_in_range(spark, d):
+    a = V.user_visit_action(spark, d)
+    return a.where(F.col("date").between(F.lit(P.START_DATE).cast("date"), F.lit(P.END_DATE).cast("date")))
+
+
+def _full_sessions(spark, d):
+    return ses.full_session_aggregates(_actions_in_range(spark, d), V.user_info(spark, d))
+
+
+def _filtered_sessions(spark, d):
+    return ses.filter_sessions(_full_sessions(spark, d), P.session_task_params())
+
+
+def _detail(spark, d):
+    return ses.session_detail(_actions_in_range(spark, d), _filtered_sessions(spark, d))
+
+
+@register("actions_by_date", ACTION_TEXT)
+def _actions_by_date(spark, d):
+    """All action columns in the date range."""
+    return _actions_in_range(spark, d)
+
+
+@register("session_agg")
+def _session_agg(spark, d):
+    """G1: per-session aggregate over all actions."""
+    return ses.session_aggregates(V.user_visit_action(spark, d))
+
+
+@register("session_full_agg")
+def _session_full_agg(spark, d):
+    """G1 + J1 over the date range."""
+    return _full_sessions(spark, d)
+
+
+@register("session_filter")
+def _session_filter(spark, d):
+    """P1 + P2 + P4: sessions passing the task's filter."""
+    return _filtered_sessions(spark, d)
+
+
+@register("session_filter_equal")
+def _session_filter_equal(spark, d):
+    """Equality predicate (sex = female)."""
+    return _full_sessions(spark, d).where(equals("sex", "female")).select("session_id", "sex")
+
+
+@register("visit_length_hist")
+def _visit_length_hist(spark, d):
+    """Visit-length histogram (unit 60 s) over all sessions."""
+    return ses.visit_length_histogram(ses.session_aggregates(V.user_visit_action(spark, d)), P.VISIT_UNIT_SECONDS)
+
+
+@register("step_length_hist")
+def _step_length_hist(spark, d):
+    """Step-length histogram over all sessions."""
+    return ses.step_length_histogram(ses.session_aggregates(V.user_visit_action(spark, d)))
+
+
+@register("session_aggr_stat")
+def _session_aggr_stat(spark, d):
+    """Session count and 15 ratios over the filtered sessions."""
+    return ses.session_statistics(_filtered_sessions(spark, d), P.VISIT_UNIT_SECONDS)
+
+
+@register("session_detail", ACTION_TEXT)
+def _session_detail(spark, d):
+    """Actions of the filtered sessions."""
+    return _detail(spark, d)
+
+
+# ---------------------------------------------------------------- categories
+@register("category_clicks")
+def _category_clicks(spark, d):
+    """C1."""
+    return cat.category_clicks(_detail(spark, d))
+
+
+@register("category_orders")
+def _category_orders(spark, d):
+    """C2 + F11."""
+    return cat.category_orders(_detail(spark, d))
+
+
+@register("category_pays")
+def _category_pays(spark, d):
+    """C3 + F11."""
+    return cat.category_pays(_detail(spark, d))
+
+
+@register("visited_categories")
+def _visited_categories(spark, d):
+    """C4 + U1 + U2."""
+    return cat.visited_categories(_detail(spark, d))
+
+
+@register("category_counts")
+def _category_counts(spark, d):
+    """J3, single pass."""
+    return cat.category_counts(_detail(spark, d))
+
+
+@register("category_counts_join")
+def _category_counts_join(spark, d):
+    """J3, the reference's three left outer joins."""
+    return cat.category_counts_by_join(_detail(spark, d))
+
+
+@register("top10_category")
+def _top10_category(spark, d):
+    """W4."""
+    return cat.top_categories(cat.category_counts(_detail(spark, d)), 10)
+
+
+@register("session_category_clicks")
+def _session_category_clicks(spark, d):
+    """C5."""
+    return cat.session_category_clicks(_detail(spark, d))
+
+
+@register("top10_session")
+def _top10_session(spark, d):
+    """J4 + W3."""
+    detail = _detail(spark, d)
+    return cat.top_sessions_per_category(detail, cat.top_categories(cat.category_counts(detail), 10), 10)
+
+
+@register("top10_session_detail", ACTION_TEXT)
+def _top10_session_detail(spark, d):
+    """Detail rows of the top sessions, with category_id."""
+    detail = _detail(spark, d)
+    tops = cat.top_sessions_per_category(detail, cat.top_categories(cat.category_counts(detail), 10), 10)
+    return cat.top_session_detail(tops, detail)
