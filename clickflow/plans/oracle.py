@@ -206,3 +206,47 @@ SQL["top10_session_detail"] = q(
         for c in []) + _ACTION_COLS.replace("event_id,", "d.event_id,", 1).replace(
         "session_id, page_id", "d.session_id, page_id", 1)
     + " FROM tops t JOIN detail d ON t.session_id = d.session_id")
+
+
+# ---------------------------------------------------------------- funnel
+def _funnel_ctes() -> tuple[str, ...]:
+    f = P.PAGE_FLOW
+    lagged = """lagged AS (SELECT *, lag(page_id) OVER (PARTITION BY session_id ORDER BY action_time, event_id)
+      AS prev FROM ar)"""
+    parts = [f"SELECT 0 AS step, count(*) AS pv FROM lagged WHERE page_id = {f[0]}"]
+    for i in range(1, len(f)):
+        parts.append(f"SELECT {i}, count(*) FROM lagged WHERE prev = {f[i - 1]} AND page_id = {f[i]}")
+    m = "m AS (" + " UNION ALL ".join(parts) + ")"
+    names = " ".join(f"WHEN {i} THEN '{f[i - 1]}_{f[i]}'" for i in range(1, len(f)))
+    t = f"""t AS (SELECT step, CASE step {names} END AS page_pair, pv AS pair_count,
+      lag(pv) OVER (ORDER BY step) AS prev_count FROM m)"""
+    r = f"""r AS (SELECT step, page_pair, pair_count, prev_count,
+      {_ratio('pair_count', 'prev_count')} AS convert_rate FROM t WHERE step > 0)"""
+    return (_ACTIONS_R, lagged, m, t, r)
+
+
+SQL["page_pair_counts"] = q(*_funnel_ctes(), "SELECT step, page_pair, pair_count FROM r")
+SQL["page_convert_rate"] = q(*_funnel_ctes(), "SELECT * FROM r")
+SQL["page_convert_rate_string"] = q(*_funnel_ctes(), """SELECT string_agg(concat(page_pair, '=',
+    coalesce(CAST(convert_rate AS VARCHAR), 'null')), '|' ORDER BY step) AS convert_rate FROM r""")
+
+
+# ---------------------------------------------------------------- sampling
+_SAMPLE_CTES = (
+    _sess_cte("se", "uva"),
+    "h AS (SELECT CAST(start_time AS DATE) AS d, hour(start_time) AS hr, count(*) AS c FROM se GROUP BY 1, 2)",
+    "nd AS (SELECT count(DISTINCT d) AS n FROM h)",
+    f"""qt AS (SELECT d, hr, least(c, (c * ({P.SAMPLE_SIZE} // n)) // (sum(c) OVER (PARTITION BY d))) AS quota
+      FROM h, nd)""",
+    f"""k AS (SELECT se.*, CAST(start_time AS DATE) AS d, hour(start_time) AS hr,
+      row_number() OVER (PARTITION BY CAST(start_time AS DATE), hour(start_time)
+                         ORDER BY md5(concat(session_id, '{P.SAMPLE_SEED}')), session_id) AS rn FROM se)""",
+    "picked AS (SELECT k.* FROM k JOIN qt ON k.d = qt.d AND k.hr = qt.hr WHERE rn <= quota)",
+)
+SQL["sessions_per_hour"] = q(_sess_cte("se", "uva"), """SELECT strftime(start_time, '%Y-%m-%d_%H') AS date_hour,
+    count(*) AS session_count FROM se GROUP BY 1""")
+SQL["session_random_extract"] = q(*_SAMPLE_CTES, f"""SELECT session_id, {_ts('start_time')} AS start_time,
+    array_to_string(search_keywords, ',') AS search_keywords,
+    array_to_string(click_category_ids, ',') AS click_category_ids FROM picked""")
+SQL["sample_detail"] = q(*_SAMPLE_CTES, f"""SELECT {_ACTION_COLS} FROM uva
+    WHERE session_id IN (SELECT session_id FROM picked)""")

@@ -217,3 +217,54 @@ def _top10_session_detail(spark, d):
     detail = _detail(spark, d)
     tops = cat.top_sessions_per_category(detail, cat.top_categories(cat.category_counts(detail), 10), 10)
     return cat.top_session_detail(tops, detail)
+
+
+# ---------------------------------------------------------------- funnel
+from clickflow.operators import funnel as fun  # noqa: E402
+from clickflow.operators import sampling as smp  # noqa: E402
+
+
+def _rates(spark, d):
+    return fun.conversion_rates(fun.page_pairs(_actions_in_range(spark, d)), P.PAGE_FLOW)
+
+
+@register("page_pair_counts")
+def _page_pair_counts(spark, d):
+    """W7 + W8 + C8: flow pair counts in time order per session."""
+    return fun.page_pair_counts(fun.page_pairs(_actions_in_range(spark, d)), P.PAGE_FLOW)
+
+
+@register("page_convert_rate")
+def _page_convert_rate(spark, d):
+    """C9 + W9: step conversion rates."""
+    return _rates(spark, d)
+
+
+@register("page_convert_rate_string")
+def _page_convert_rate_string(spark, d):
+    """The rate string of the page task."""
+    return fun.rate_string(_rates(spark, d))
+
+
+# ---------------------------------------------------------------- sampling
+def _sampled(spark, d):
+    sessions = ses.session_aggregates(V.user_visit_action(spark, d))
+    return smp.random_extract(sessions, P.SAMPLE_SIZE, P.SAMPLE_SEED)
+
+
+@register("sessions_per_hour")
+def _sessions_per_hour(spark, d):
+    """C7."""
+    return smp.sessions_per_hour(ses.session_aggregates(V.user_visit_action(spark, d)))
+
+
+@register("session_random_extract")
+def _session_random_extract(spark, d):
+    """Time-proportional seeded sample of sessions."""
+    return _sampled(spark, d).select("session_id", "start_time", "search_keywords", "click_category_ids")
+
+
+@register("sample_detail", ACTION_TEXT)
+def _sample_detail(spark, d):
+    """Action rows of the sampled sessions."""
+    return smp.sample_detail(_sampled(spark, d), V.user_visit_action(spark, d), P.SAMPLE_SIZE)
