@@ -250,3 +250,91 @@ SQL["session_random_extract"] = q(*_SAMPLE_CTES, f"""SELECT session_id, {_ts('st
     array_to_string(click_category_ids, ',') AS click_category_ids FROM picked""")
 SQL["sample_detail"] = q(*_SAMPLE_CTES, f"""SELECT {_ACTION_COLS} FROM uva
     WHERE session_id IN (SELECT session_id FROM picked)""")
+
+
+# ---------------------------------------------------------------- traffic
+SQL["pv_uv_hourly"] = q("""SELECT event_type AS site, strftime(ts, '%Y-%m-%d') AS date,
+    CAST(hour(ts) AS VARCHAR) AS hour, count(user_id) AS pv, count(DISTINCT user_id) AS uv
+    FROM events GROUP BY 1, 2, 3""")
+SQL["global_sort_top1"] = q("SELECT value FROM events ORDER BY value DESC LIMIT 1")
+SQL["catalog_scan"] = q("SELECT city_id, city_name, area FROM city_info")
+
+
+# ---------------------------------------------------------------- functions
+_REF_TIME = "2024-01-15 12:00:00"
+SQL["date_functions"] = q(f"""SELECT event_id,
+    strftime(ts, '%Y-%m-%d_%H') AS date_hour,
+    strftime(ts, '%Y-%m-%d') AS date,
+    strftime(ts, '%Y%m%d') AS datekey,
+    strftime(ts, '%Y%m%d%H%M') AS minute_key,
+    strftime(strptime(strftime(ts, '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S'), '%Y-%m-%d %H:%M:%S') AS parsed_time,
+    strftime(CAST(strptime(strftime(ts, '%Y%m%d'), '%Y%m%d') AS DATE), '%Y-%m-%d') AS parsed_datekey,
+    date_trunc('second', ts) < TIMESTAMP '{_REF_TIME}' AS before_ref,
+    date_trunc('second', ts) > TIMESTAMP '{_REF_TIME}' AS after_ref,
+    date_diff('second', CAST(CAST(ts AS DATE) AS TIMESTAMP), date_trunc('second', ts)) AS seconds_of_day,
+    CAST(hour(ts) AS VARCHAR) AS hour_unpadded
+    FROM events""")
+_KV = """kv AS (SELECT session_id, concat('sessionid=', session_id, '|searchKeywords=',
+      array_to_string(search_keywords, ','), '|clickCategoryIds=', array_to_string(click_category_ids, ','),
+      '|visitLength=', CAST(visit_length AS VARCHAR), '|stepLength=', CAST(step_length AS VARCHAR)) AS info FROM s)"""
+
+
+def _kv_get_sql(s: str, field: str) -> str:
+    return (f"list_filter(list_transform(string_split({s}, '|'), lambda x: string_split(x, '=')), "
+            f"lambda a: len(a) = 2 AND a[1] = '{field}' AND a[2] <> '')[1][2]")
+
+
+SQL["kv_functions"] = q(_sess_cte("s", "uva"), _KV, f"""SELECT session_id,
+    {_kv_get_sql('info', 'searchKeywords')} AS search_keywords,
+    {_kv_get_sql('info', 'visitLength')} AS visit_length,
+    array_to_string(list_transform(string_split(info, '|'), lambda x: CASE WHEN string_split(x, '=')[1] = 'stepLength'
+        THEN 'stepLength=0' ELSE x END), '|') AS reset_info
+    FROM kv""")
+SQL["string_functions"] = q("""t AS (SELECT event_id, page_id, action_time, search_keyword,
+      regexp_replace(regexp_replace(concat(',', coalesce(array_to_string(order_category_ids, ','), ''), ','),
+        '^,', ''), ',$', '') AS trimmed FROM uva)""", """SELECT event_id, trimmed,
+    CASE WHEN length(CAST(hour(action_time) AS VARCHAR)) = 2 THEN CAST(hour(action_time) AS VARCHAR)
+         ELSE concat('0', CAST(hour(action_time) AS VARCHAR)) END AS hour2,
+    CASE WHEN length(CAST(page_id AS VARCHAR)) = 2 THEN CAST(page_id AS VARCHAR)
+         ELSE concat('0', CAST(page_id AS VARCHAR)) END AS page2,
+    coalesce(search_keyword, '') = '' AS no_keyword,
+    CAST(len(list_filter(string_split(trimmed, ','), lambda x: x <> '')) AS INTEGER) AS n_ids
+    FROM t""")
+SQL["udf_concat_long_string"] = q(*_PRODUCT_CTES[:2], """SELECT product_id,
+    concat(CAST(city_id AS VARCHAR), ':', city_name) AS city_info,
+    json_extract_string(p.extend_info, '$.product_status') AS status_field
+    FROM basic JOIN product_info p USING (product_id)""")
+SQL["udaf_group_concat_distinct"] = q(*_PRODUCT_CTES[:2], """SELECT product_id,
+    string_agg(DISTINCT city_name, ',' ORDER BY city_name) AS city_names FROM basic GROUP BY product_id""")
+
+
+# ---------------------------------------------------------------- ads (batch)
+_UAC = "uac AS (SELECT CAST(ts AS DATE) AS date, user_id, ad_id, count(*) AS click_count FROM ad_log GROUP BY 1, 2, 3)"
+_BL = f"bl AS (SELECT DISTINCT user_id FROM uac WHERE click_count >= {P.CLICK_THRESHOLD})"
+_STAT = """stat AS (SELECT CAST(ts AS DATE) AS date, province, city, ad_id, count(*) AS click_count
+      FROM ad_log GROUP BY 1, 2, 3, 4)"""
+_PROV = """prov AS (SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+      FROM stat GROUP BY 1, 2, 3)"""
+
+SQL["ad_log_parse"] = q(f"""SELECT {_ts('ts')} AS ts, {_d('ts')} AS date, replace(province, ' ', '-') AS province,
+    city, user_id, ad_id FROM ad_log""")
+SQL["ad_user_clicks"] = q(_UAC, f"SELECT {_d('date')} AS date, user_id, ad_id, click_count FROM uac")
+SQL["ad_blacklist_batch"] = q(_UAC, _BL, "SELECT user_id FROM bl")
+SQL["blacklist_filter"] = q(_UAC, _BL, f"""SELECT event_id, {_ts('ts')} AS ts, province, city, user_id, ad_id
+    FROM ad_log WHERE user_id NOT IN (SELECT user_id FROM bl)""")
+SQL["ad_stat"] = q(_STAT, f"SELECT {_d('date')} AS date, province, city, ad_id, click_count FROM stat")
+SQL["ad_province_clicks"] = q(_STAT, _PROV, f"SELECT {_d('date')} AS date, province, ad_id, click_count FROM prov")
+SQL["ad_province_top3"] = q(_STAT, _PROV, f"""SELECT {_d('date')} AS date, province, ad_id, click_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS rn FROM prov)
+    WHERE rn <= 3""")
+SQL["ad_click_trend"] = q("""SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,
+    strftime(ts, '%M') AS minute, ad_id, count(*) AS click_count FROM ad_log
+    GROUP BY date_trunc('minute', ts), 1, 2, 3, ad_id""")
+_SLIDE_S = P.SLIDE_MINUTES * 60
+_COPIES = P.WINDOW_MINUTES // P.SLIDE_MINUTES
+SQL["ad_sliding_hour"] = q(
+    f"sl AS (SELECT CAST(floor(epoch(ts) / {_SLIDE_S}) AS BIGINT) AS slot, ad_id FROM ad_log)",
+    f"wn AS (SELECT slot - i AS w, ad_id FROM sl, range(0, {_COPIES}) t(i))",
+    f"""SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds(w * {_SLIDE_S}), '%Y-%m-%d %H:%M:%S') AS window_start,
+    strftime(TIMESTAMP '1970-01-01' + to_seconds(w * {_SLIDE_S}) + INTERVAL {P.WINDOW_MINUTES} MINUTE,
+             '%Y-%m-%d %H:%M:%S') AS window_end, ad_id, count(*) AS click_count FROM wn GROUP BY w, ad_id""")

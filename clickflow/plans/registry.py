@@ -268,3 +268,171 @@ def _session_random_extract(spark, d):
 def _sample_detail(spark, d):
     """Action rows of the sampled sessions."""
     return smp.sample_detail(_sampled(spark, d), V.user_visit_action(spark, d), P.SAMPLE_SIZE)
+
+
+# ---------------------------------------------------------------- traffic
+from clickflow.functions import dates as fd  # noqa: E402
+from clickflow.functions import strings as fs  # noqa: E402
+from clickflow.functions import udfs as fu  # noqa: E402
+from clickflow.operators import ads  # noqa: E402
+from clickflow.operators import traffic as tr  # noqa: E402
+from clickflow.sources.tables import table  # noqa: E402
+
+
+@register("pv_uv_hourly")
+def _pv_uv_hourly(spark, d):
+    """S8 + C10 + F6: PV and UV per site, date and unpadded hour."""
+    return tr.pv_uv(tr.parse_pv_lines(V.pv_lines(spark, d)))
+
+
+@register("global_sort_top1")
+def _global_sort_top1(spark, d):
+    """First row of a descending global sort."""
+    return tr.global_top1(table(spark, d, "events"), "value")
+
+
+CATALOG_VIEW = "clickflow_city_info"
+
+
+@register("catalog_scan")
+def _catalog_scan(spark, d):
+    """A table read back through the session catalog."""
+    V.city_info(spark, d).createOrReplaceGlobalTempView(CATALOG_VIEW)
+    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
+    return tr.catalog_scan(spark, db, CATALOG_VIEW)
+
+
+# ---------------------------------------------------------------- functions
+REF_TIME = "2024-01-15 12:00:00"
+
+
+@register("date_functions")
+def _date_functions(spark, d):
+    """Formats, parsing, comparisons, differences."""
+    e = table(spark, d, "events")
+    t = fd.format_time("ts")
+    return e.select(
+        "event_id",
+        fd.date_hour("ts").alias("date_hour"),
+        fd.format_date("ts").alias("date"),
+        fd.format_datekey("ts").alias("datekey"),
+        fd.format_minute("ts").alias("minute_key"),
+        fd.format_time(fd.parse_time(t)).alias("parsed_time"),
+        fd.format_date(fd.parse_datekey(fd.format_datekey("ts"))).alias("parsed_datekey"),
+        fd.time_before(t, F.lit(REF_TIME)).alias("before_ref"),
+        fd.time_after(t, F.lit(REF_TIME)).alias("after_ref"),
+        fd.time_minus_seconds(t, F.concat(fd.format_date("ts"), F.lit(" 00:00:00"))).alias("seconds_of_day"),
+        fd.hour_part("ts").alias("hour_unpadded"),
+    )
+
+
+@register("kv_functions")
+def _kv_functions(spark, d):
+    """key=value records: get (empty = missing) and set."""
+    s = ses.session_aggregates(V.user_visit_action(spark, d))
+    info = F.concat(
+        F.lit("sessionid="), F.col("session_id"),
+        F.lit("|searchKeywords="), fs.join_ids("search_keywords"),
+        F.lit("|clickCategoryIds="), fs.join_ids("click_category_ids"),
+        F.lit("|visitLength="), F.col("visit_length").cast("string"),
+        F.lit("|stepLength="), F.col("step_length").cast("string"),
+    )
+    k = s.select("session_id", info.alias("info"))
+    return k.select(
+        "session_id",
+        fs.kv_get("info", "searchKeywords").alias("search_keywords"),
+        fs.kv_get("info", "visitLength").alias("visit_length"),
+        fs.kv_set("info", "stepLength", "0").alias("reset_info"),
+    )
+
+
+@register("string_functions")
+def _string_functions(spark, d):
+    """F10 + F11: trim commas, pad to 2, emptiness, list split."""
+    a = V.user_visit_action(spark, d)
+    trimmed = fs.trim_comma(F.concat(F.lit(","), F.coalesce(fs.join_ids("order_category_ids"), F.lit("")), F.lit(",")))
+    t = a.select("event_id", "page_id", "action_time", "search_keyword", trimmed.alias("trimmed"))
+    return t.select(
+        "event_id", "trimmed",
+        fs.pad2(F.hour("action_time").cast("string")).alias("hour2"),
+        fs.pad2(F.col("page_id").cast("string")).alias("page2"),
+        fs.is_empty("search_keyword").alias("no_keyword"),
+        F.size(fs.split_ids("trimmed")).alias("n_ids"),
+    )
+
+
+@register("udf_concat_long_string")
+def _udf_concat_long_string(spark, d):
+    """D1 + D2 through the session SQL functions."""
+    fu.register_sql_functions(spark)
+    basic = _click_product_basic(spark, d).join(V.product_info(spark, d), "product_id")
+    basic.createOrReplaceTempView("clickflow_clicks_city")
+    return spark.sql("""SELECT product_id, concat_long_string(city_id, city_name, ':') AS city_info,
+        json_field(extend_info, 'product_status') AS status_field FROM clickflow_clicks_city""")
+
+
+@register("udaf_group_concat_distinct")
+def _udaf_group_concat_distinct(spark, d):
+    """D3: distinct sorted city names per product."""
+    return _click_product_basic(spark, d).groupBy("product_id").agg(
+        fu.group_concat_distinct("city_name").alias("city_names"))
+
+
+# ---------------------------------------------------------------- ads (batch)
+def _blacklist(spark, d):
+    return ads.users_over_threshold(ads.user_ad_counts(V.ad_log(spark, d)), P.CLICK_THRESHOLD)
+
+
+@register("ad_log_parse")
+def _ad_log_parse(spark, d):
+    """S7 + F7: parse the text log."""
+    return ads.parse_ad_log(V.ad_log_lines(spark, d))
+
+
+@register("ad_user_clicks")
+def _ad_user_clicks(spark, d):
+    """C11."""
+    return ads.user_ad_counts(V.ad_log(spark, d))
+
+
+@register("ad_blacklist_batch")
+def _ad_blacklist_batch(spark, d):
+    """P9 + C14."""
+    return _blacklist(spark, d)
+
+
+@register("blacklist_filter")
+def _blacklist_filter(spark, d):
+    """Clicks of users not on the list."""
+    return ads.remove_blacklisted(V.ad_log(spark, d), _blacklist(spark, d)).select(
+        "event_id", "ts", "province", "city", "user_id", "ad_id")
+
+
+@register("ad_stat")
+def _ad_stat(spark, d):
+    """C12."""
+    return ads.ad_stat(V.ad_log(spark, d))
+
+
+@register("ad_province_clicks")
+def _ad_province_clicks(spark, d):
+    """C13."""
+    return ads.province_counts(ads.ad_stat(V.ad_log(spark, d)))
+
+
+@register("ad_province_top3")
+def _ad_province_top3(spark, d):
+    """W2."""
+    return ads.province_top3(ads.province_counts(ads.ad_stat(V.ad_log(spark, d))))
+
+
+@register("ad_click_trend")
+def _ad_click_trend(spark, d):
+    """A6 (batch form): clicks per minute and ad."""
+    return ads.click_trend(V.ad_log(spark, d))
+
+
+@register("ad_sliding_hour")
+def _ad_sliding_hour(spark, d):
+    """60 min windows every 10 min."""
+    return ads.sliding_counts(V.ad_log(spark, d), P.WINDOW_MINUTES, P.SLIDE_MINUTES)
