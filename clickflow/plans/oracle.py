@@ -338,3 +338,37 @@ SQL["ad_sliding_hour"] = q(
     f"""SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds(w * {_SLIDE_S}), '%Y-%m-%d %H:%M:%S') AS window_start,
     strftime(TIMESTAMP '1970-01-01' + to_seconds(w * {_SLIDE_S}) + INTERVAL {P.WINDOW_MINUTES} MINUTE,
              '%Y-%m-%d %H:%M:%S') AS window_end, ad_id, count(*) AS click_count FROM wn GROUP BY w, ad_id""")
+
+
+# ---------------------------------------------------------------- sinks
+SQL["sink_append"] = q(f"SELECT event_id, {_ts('ts')} AS ts, province, city, user_id, ad_id FROM ad_log")
+SQL["sink_upsert_increment"] = q(_UAC, f"SELECT {_d('date')} AS date, user_id, ad_id, click_count FROM uac")
+SQL["sink_upsert_latest"] = q(_STAT, f"SELECT {_d('date')} AS date, province, city, ad_id, click_count FROM stat")
+SQL["sink_replace_group"] = SQL["ad_province_top3"]
+
+
+# ---------------------------------------------------------------- stream (T4)
+# Replay: batches of 5 consecutive days from the first day; a user reaching the
+# threshold (daily count per ad) in batch b is filtered from batch b + 1 on.
+_DAYS_PER_BATCH = 5
+_STREAM = (
+    f"""al AS (SELECT event_id, ts, replace(province, ' ', '-') AS province, city, user_id, ad_id,
+      CAST(ts AS DATE) AS date,
+      (CAST(ts AS DATE) - (SELECT min(CAST(ts AS DATE)) FROM ad_log)) // {_DAYS_PER_BATCH} AS b FROM ad_log)""",
+    "dc AS (SELECT date, user_id, ad_id, b, count(*) AS c FROM al GROUP BY ALL)",
+    f"blb AS (SELECT user_id, min(b) AS bl_b FROM dc WHERE c >= {P.CLICK_THRESHOLD} GROUP BY user_id)",
+    "kept AS (SELECT al.* FROM al LEFT JOIN blb USING (user_id) WHERE blb.bl_b IS NULL OR al.b <= blb.bl_b)",
+    """kstat AS (SELECT date, province, city, ad_id, count(*) AS click_count FROM kept GROUP BY ALL)""",
+    """kprov AS (SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
+      FROM kstat GROUP BY ALL)""",
+)
+SQL["ad_stream_user_clicks"] = q(*_STREAM, f"""SELECT {_d('date')} AS date, user_id, ad_id,
+    count(*) AS click_count FROM kept GROUP BY date, user_id, ad_id""")
+SQL["ad_stream_blacklist"] = q(*_STREAM, "SELECT user_id FROM blb")
+SQL["ad_stream_stat"] = q(*_STREAM, f"SELECT {_d('date')} AS date, province, city, ad_id, click_count FROM kstat")
+SQL["ad_stream_province_top3"] = q(*_STREAM, f"""SELECT {_d('date')} AS date, province, ad_id, click_count FROM (
+    SELECT *, row_number() OVER (PARTITION BY date, province ORDER BY click_count DESC, ad_id) AS rn FROM kprov)
+    WHERE rn <= 3""")
+SQL["ad_stream_trend"] = q(*_STREAM, """SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,
+    strftime(ts, '%M') AS minute, ad_id, count(*) AS click_count FROM kept
+    GROUP BY date_trunc('minute', ts), 1, 2, 3, ad_id""")

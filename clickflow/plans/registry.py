@@ -436,3 +436,117 @@ def _ad_click_trend(spark, d):
 def _ad_sliding_hour(spark, d):
     """60 min windows every 10 min."""
     return ads.sliding_counts(V.ad_log(spark, d), P.WINDOW_MINUTES, P.SLIDE_MINUTES)
+
+
+# ---------------------------------------------------------------- sinks
+from clickflow.session import scratch_dir  # noqa: E402
+from clickflow.sinks import batch_log as sk  # noqa: E402
+from clickflow.streaming import ad_stream as ast  # noqa: E402
+from clickflow.streaming import replay as rp  # noqa: E402
+
+SINK_BATCHES = 3  # batch b of the sink queries: clicks with hour(ts) div 8 <= b (cumulative) or = b (delta)
+
+
+def _sink_batch(log):
+    return F.floor(F.hour("ts") / (24 // SINK_BATCHES))
+
+
+@register("sink_append")
+def _sink_append(spark, d):
+    """K1: append three batches of clicks, read back."""
+    path = scratch_dir(spark, "sink-append")
+    log = V.ad_log(spark, d)
+    for b in range(SINK_BATCHES):
+        sk.append(log.where(_sink_batch(log) == b), path)
+    return spark.read.schema(log.schema).parquet(path)
+
+
+@register("sink_upsert_increment")
+def _sink_upsert_increment(spark, d):
+    """K3: per-batch (date, user, ad) deltas, read as sums."""
+    store = sk.BatchLog(spark, scratch_dir(spark, "sink-incr"), ast.USER_CLICK_SCHEMA, ("date",))
+    log = V.ad_log(spark, d)
+    for b in range(SINK_BATCHES):
+        delta = ads.user_ad_counts(log.where(_sink_batch(log) == b))
+        store.write(delta.select("user_id", "ad_id", "click_count", "date"), b)
+    store.write(ads.user_ad_counts(log.where(_sink_batch(log) == 0))
+                .select("user_id", "ad_id", "click_count", "date"), 0)  # a replayed batch changes nothing
+    return store.increments(ast.USER_KEYS, "click_count")
+
+
+@register("sink_upsert_latest")
+def _sink_upsert_latest(spark, d):
+    """K2: per-batch running totals per (date, province, city, ad), read as latest."""
+    store = sk.BatchLog(spark, scratch_dir(spark, "sink-latest"), ast.STAT_SCHEMA, ("date",))
+    log = V.ad_log(spark, d)
+    for b in range(SINK_BATCHES):
+        running = ads.ad_stat(log.where(_sink_batch(log) <= b))
+        store.write(running.select("province", "city", "ad_id", "click_count", "date"), b)
+    return store.latest(ast.STAT_KEYS, "click_count")
+
+
+@register("sink_replace_group")
+def _sink_replace_group(spark, d):
+    """K4: per-batch province top-3 of the running totals, read with group replacement."""
+    store = sk.BatchLog(spark, scratch_dir(spark, "sink-replace"), ast.TOP_SCHEMA)
+    log = V.ad_log(spark, d)
+    for b in range(SINK_BATCHES):
+        top = ads.province_top3(ads.province_counts(ads.ad_stat(log.where(_sink_batch(log) <= b))))
+        store.write(top.select("province", "ad_id", "click_count", "date"), b)
+    return store.replace_group(ast.GROUP_KEYS)
+
+
+# ---------------------------------------------------------------- stream (T4)
+DAYS_PER_BATCH = 5
+_STREAM_RUNS: dict = {}
+
+
+def _stream_run(spark, d) -> ast.AdClickStats:
+    """Replay the ad log as a file stream (one file per 5 days) through the
+    ad task once per session and input folder; the stream queries read its stores."""
+    key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH, P.CLICK_THRESHOLD)
+    if key not in _STREAM_RUNS:
+        root = scratch_dir(spark, "ad-stream")
+        rp.write_replay_files(rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH), f"{root}/source")
+        stats = ast.AdClickStats(spark, f"{root}/out", P.CLICK_THRESHOLD)
+        q = stats.start(ast.text_source(spark, f"{root}/source/*", 1), f"{root}/checkpoint",
+                        {"availableNow": True})
+        q.awaitTermination()
+        _STREAM_RUNS[key] = stats
+    return _STREAM_RUNS[key]
+
+
+@register("ad_stream_user_clicks")
+def _ad_stream_user_clicks(spark, d):
+    """A2 + K3: cumulative (date, user, ad) clicks after the replay."""
+    return _stream_run(spark, d).user_click_view()
+
+
+@register("ad_stream_blacklist")
+def _ad_stream_blacklist(spark, d):
+    """A3: users listed by the dynamic blacklist."""
+    return _stream_run(spark, d).blacklist_view()
+
+
+@register("ad_stream_stat")
+def _ad_stream_stat(spark, d):
+    """A4: running clicks per (date, province, city, ad) of non-listed clicks."""
+    return _stream_run(spark, d).stat_view()
+
+
+@register("ad_stream_province_top3")
+def _ad_stream_province_top3(spark, d):
+    """A5 + K4: top-3 ads per (date, province) on the running totals."""
+    return _stream_run(spark, d).province_top_view()
+
+
+@register("ad_stream_trend")
+def _ad_stream_trend(spark, d):
+    """Clicks per event minute and ad."""
+    t = _stream_run(spark, d).trend_view()
+    return t.select(
+        F.date_format("minute", "yyyy-MM-dd").alias("date"),
+        F.date_format("minute", "HH").alias("hour"),
+        F.date_format("minute", "mm").alias("minute"),
+        "ad_id", "click_count",
+    )
