@@ -17,6 +17,9 @@ def _c(x) -> Column:
 
 def ratio2(n, d) -> Column:
     """n / d rounded half-up to 2 decimals for non-negative counts; null when d = 0."""
+    if isinstance(n, str) and isinstance(d, str):  # one SQL expression, one JVM call
+        n, d = f"CAST(`{n}` AS BIGINT)", f"CAST(`{d}` AS BIGINT)"
+        return F.expr(f"CASE WHEN {d} <> 0 THEN ((200 * {n} + {d}) div (2 * {d})) / 100D END")
     n, d = _c(n).cast("bigint"), _c(d).cast("bigint")
     num, den = n * 200 + d, d * 2
     hundredths = ((num - num % den) / den).cast("bigint")  # exact integer division

@@ -36,8 +36,8 @@ def overlaps(arr_col, values, element_type: str = "string") -> Column | None:
     """P2 on a set column: any data token equals any parameter token."""
     if not values:
         return None
-    lits = F.array(*[F.lit(v).cast(element_type) for v in values])
-    return F.coalesce(F.arrays_overlap(_c(arr_col), lits), F.lit(False))
+    vals = [str(v) if element_type == "string" else int(v) for v in values]
+    return F.coalesce(F.exists(_c(arr_col), lambda x: x.isin(vals)), F.lit(False))
 
 
 def equals(col, value) -> Column | None:

@@ -38,6 +38,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     conf = dict(SESSION_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
+    # PySpark captures a Python call site (several JVM round trips) for every
+    # Column function when this is on; plans here build hundreds of columns.
+    conf["spark.python.sql.dataFrameDebugging.enabled"] = "false"
     conf["spark.sql.autoBroadcastJoinThreshold"] = BROADCAST_THRESHOLD
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
