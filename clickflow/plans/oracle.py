@@ -372,3 +372,9 @@ SQL["ad_stream_province_top3"] = q(*_STREAM, f"""SELECT {_d('date')} AS date, pr
 SQL["ad_stream_trend"] = q(*_STREAM, """SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,
     strftime(ts, '%M') AS minute, ad_id, count(*) AS click_count FROM kept
     GROUP BY date_trunc('minute', ts), 1, 2, 3, ad_id""")
+SQL["ad_stream_stateful_stat"] = q(f"""SELECT {_d('ts')} AS date, replace(province, ' ', '-') AS province, city,
+    ad_id, count(*) AS click_count FROM ad_log GROUP BY ALL""")
+SQL["ad_stream_window_trend"] = SQL["ad_click_trend"]
+SQL["date_today"] = q("""SELECT event_id, strftime(current_date, '%Y-%m-%d') AS today,
+    strftime(current_date - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday,
+    CAST(current_date - CAST(ts AS DATE) AS INTEGER) AS days_ago FROM events""")

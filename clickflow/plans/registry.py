@@ -550,3 +550,56 @@ def _ad_stream_trend(spark, d):
         F.date_format("minute", "mm").alias("minute"),
         "ad_id", "click_count",
     )
+
+
+# ---------------------------------------------------------------- stream, state store (A4 / A6 without blacklist)
+_STATEFUL_RUNS: dict = {}
+
+
+def _stateful_run(spark, d):
+    """Replay the ad log through the two state-store aggregations (update
+    mode); each micro-batch's updated rows go to an upsert log (K2)."""
+    key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
+    if key not in _STATEFUL_RUNS:
+        root = scratch_dir(spark, "ad-stateful")
+        rp.write_replay_files(rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH), f"{root}/source")
+        parsed = ads.parse_ad_log(ast.text_source(spark, f"{root}/source/*", 1))
+        stat_log = sk.BatchLog(spark, f"{root}/stat", "date date, province string, city string, ad_id bigint, "
+                                                      "click_count bigint")
+        trend_log = sk.BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
+        queries = [
+            ast.stateful_ad_stat(parsed).writeStream.outputMode("update")
+            .foreachBatch(lambda df, b: stat_log.write(df, b))
+            .option("checkpointLocation", f"{root}/ckpt-stat").trigger(availableNow=True).start(),
+            ast.windowed_trend(parsed).writeStream.outputMode("update")
+            .foreachBatch(lambda df, b: trend_log.write(df, b))
+            .option("checkpointLocation", f"{root}/ckpt-trend").trigger(availableNow=True).start(),
+        ]
+        for q in queries:
+            q.awaitTermination()
+        _STATEFUL_RUNS[key] = (stat_log, trend_log)
+    return _STATEFUL_RUNS[key]
+
+
+@register("ad_stream_stateful_stat")
+def _ad_stream_stateful_stat(spark, d):
+    """A4 on the state store: running clicks per (date, province, city, ad)."""
+    stat_log, _ = _stateful_run(spark, d)
+    return stat_log.latest(ast.STAT_KEYS, "click_count").select("date", "province", "city", "ad_id", "click_count")
+
+
+@register("ad_stream_window_trend")
+def _ad_stream_window_trend(spark, d):
+    """A6 on event-time windows with a watermark: clicks per minute and ad."""
+    _, trend_log = _stateful_run(spark, d)
+    t = trend_log.latest(["minute", "ad_id"], "click_count")
+    return t.select(F.date_format("minute", "yyyy-MM-dd").alias("date"), F.date_format("minute", "HH").alias("hour"),
+                    F.date_format("minute", "mm").alias("minute"), "ad_id", "click_count")
+
+
+@register("date_today")
+def _date_today(spark, d):
+    """today / yesterday against the events' dates (days since each event)."""
+    e = table(spark, d, "events")
+    return e.select("event_id", fd.today_date().alias("today"), fd.yesterday_date().alias("yesterday"),
+                    F.datediff(F.current_date(), F.col("ts").cast("date")).alias("days_ago"))

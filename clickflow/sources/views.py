@@ -116,17 +116,18 @@ def ad_log_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """The ad log as the text the reference's producer emits:
     ``<epoch_ms> <province> <city> <user_id> <ad_id>``; spaces inside a
     province name become ``-`` so that whitespace splitting stays correct."""
-    a = ad_log(spark, base_dir)
-    return a.select(
-        "event_id",
-        F.concat_ws(
-            " ",
-            F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
-            F.regexp_replace("province", " ", "-"),
-            F.col("city"),
-            F.col("user_id").cast("string"),
-            F.col("ad_id").cast("string"),
-        ).alias("value"),
+    return ad_log(spark, base_dir).select("event_id", ad_line().alias("value"))
+
+
+def ad_line() -> Column:
+    """Text form of one parsed ad click (columns ts, province, city, user_id, ad_id)."""
+    return F.concat_ws(
+        " ",
+        F.unix_millis(F.col("ts").cast("timestamp")).cast("string"),
+        F.regexp_replace("province", " ", "-"),
+        F.col("city"),
+        F.col("user_id").cast("string"),
+        F.col("ad_id").cast("string"),
     )
 
 

@@ -21,9 +21,8 @@ def day_batches(lines_with_ts: DataFrame, days_per_batch: int, first_day) -> Dat
 
 def ad_log_replay_lines(spark: SparkSession, base_dir: str, days_per_batch: int) -> DataFrame:
     a = V.ad_log(spark, base_dir)
-    first_day = a.agg(F.min(F.col("ts").cast("date"))).first()[0]
-    lines = V.ad_log_lines(spark, base_dir).join(a.select("event_id", "ts"), "event_id")
-    return day_batches(lines, days_per_batch, first_day)
+    first_day = a.agg(F.min(F.col("ts").cast("date"))).first()[0]  # one scalar
+    return day_batches(a.select("ts", V.ad_line().alias("value")), days_per_batch, first_day)
 
 
 def write_replay_files(lines: DataFrame, out_dir: str, batch_col: str = "replay_batch") -> list[int]:
