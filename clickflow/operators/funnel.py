@@ -6,8 +6,8 @@ Plan notes
   (session, time bucket), not by session alone, so one very long session is
   split over many tasks. The first row of each bucket takes its predecessor
   from the last row of the previous non-empty bucket of the same session,
-  found on a per-(session, bucket) summary (one row per bucket: small).
-  The result is exactly the per-session time-ordered lag.
+  carried by a window over one row per bucket (small). The result is exactly
+  the per-session time-ordered lag.
 * The flow match is an expression built from the flow parameter (no join),
   start-page views are folded into the same aggregate as step 0, so the
   counts need one partial/final aggregate over the pairs.
@@ -36,13 +36,24 @@ def page_pairs(actions: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
 
     Output: session_id, event_id, page_id, prev_page_id (null for the first
     action of a session). Order: action_time, then event_id.
+
+    One scan and one large shuffle (on session, bucket): the last row of each
+    bucket is found by the same window (row number = bucket size), the
+    per-bucket carry is a window over those rows only (one per bucket), and
+    joining it back on (session, bucket) reuses the rows' partitioning.
     """
     a = actions.select("session_id", "event_id", "page_id", "action_time",
                        _time_bucket(F.col("action_time"), bucket_seconds).alias("_b"))
+    # rows without a session or a time belong to no sequence; stating it here
+    # also makes both uses of the windowed rows identical, so the shuffle
+    # below is computed once and reused
+    a = a.where(F.col("session_id").isNotNull() & F.col("_b").isNotNull())
     w = Window.partitionBy("session_id", "_b").orderBy("action_time", "event_id")
-    rows = a.select("*", F.lag("page_id").over(w).alias("_prev_in"), F.row_number().over(w).alias("_rn"))
-    last = a.groupBy("session_id", "_b").agg(
-        F.max_by("page_id", F.struct("action_time", "event_id")).alias("_last"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = a.select("session_id", "event_id", "page_id", "_b",
+                    F.lag("page_id").over(w).alias("_prev_in"), F.row_number().over(w).alias("_rn"),
+                    F.count(F.lit(1)).over(whole).alias("_size"))
+    last = rows.where(F.col("_rn") == F.col("_size")).select("session_id", "_b", F.col("page_id").alias("_last"))
     wb = Window.partitionBy("session_id").orderBy("_b")
     carry = last.select("session_id", "_b", F.lag("_last").over(wb).alias("_prev_bucket"))
     out = rows.join(carry, ["session_id", "_b"])

@@ -9,7 +9,7 @@ Per micro-batch (``foreachBatch``, A1), in this order:
       batch, so users listed by batch N are filtered from batch N+1);
   A2  clicks per (date, user, ad) -> increment log (K3);
   A3  cumulative counts of this batch's keys (K5, a join against the log
-      restricted to the batch's dates by partition pruning); users at or over
+      restricted to the batch's days by partition pruning); users at or over
       the threshold and not yet listed -> blacklist log;
   A4  clicks per (date, province, city, ad) -> increment log: the running
       total per key, as the reference's never-expiring state;
@@ -72,13 +72,15 @@ class AdClickStats:
         listed = self.blacklist.read().select("user_id")
         log = ads.remove_blacklisted(ads.parse_ad_log(lines), listed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            # the batch's first and last day (two scalars): the history logs
+            # are partitioned by date, so lookups read only these days' folders
+            lo, hi = log.agg(F.min("date"), F.max("date")).first()
+            in_days = F.col("date").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
             # A2
             uac = ads.user_ad_counts(log)
             self.user_clicks.write(uac.select("user_id", "ad_id", "click_count", "date"), batch_id)
-            # A3 (the log now includes this batch). The semi join on the batch's
-            # keys includes the partition column date, so only the folders of
-            # the batch's days are read (dynamic partition pruning).
-            cum = self.user_clicks.read().join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
+            # A3 (the log now includes this batch)
+            cum = self.user_clicks.read().where(in_days).join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
                 .groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
             new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
             self.blacklist.write(new, batch_id)
@@ -86,7 +88,7 @@ class AdClickStats:
             self.stat.write(ads.ad_stat(log).select("province", "city", "ad_id", "click_count", "date"), batch_id)
             # A5 on the running totals of the groups this batch touched
             touched = log.select(*GROUP_KEYS).distinct()
-            totals = self.stat.read().join(touched, GROUP_KEYS, "left_semi") \
+            totals = self.stat.read().where(in_days).join(touched, GROUP_KEYS, "left_semi") \
                 .groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"))
             prov = ads.province_counts(totals)
             top = ads.province_top3(prov, self.top_n)
@@ -114,9 +116,9 @@ class AdClickStats:
         ending at the greatest minute seen (the reference's last hour)."""
         t = self.trend.increments(["minute", "ad_id"], "click_count")
         if last_minutes:
-            mx = t.agg(F.max("minute").alias("_mx"))
-            t = t.join(mx, F.col("minute") > F.col("_mx") - F.expr(f"INTERVAL {int(last_minutes)} MINUTES")) \
-                .drop("_mx")
+            mx = self.trend.read().agg(F.max("minute")).first()[0]  # one scalar
+            if mx is not None:
+                t = t.where(F.col("minute") > F.lit(mx) - F.expr(f"INTERVAL {int(last_minutes)} MINUTES"))
         return t
 
     # ---------------------------------------------------------------- driver
