@@ -362,6 +362,9 @@ _STREAM = (
     """kprov AS (SELECT date, province, ad_id, CAST(sum(click_count) AS BIGINT) AS click_count
       FROM kstat GROUP BY ALL)""",
 )
+SQL["ad_stream_filtered"] = q(_UAC, _BL, f"""SELECT {_ts('ts')} AS ts, {_d('ts')} AS date,
+    replace(province, ' ', '-') AS province, city, user_id, ad_id
+    FROM ad_log WHERE user_id NOT IN (SELECT user_id FROM bl)""")
 SQL["ad_stream_user_clicks"] = q(*_STREAM, f"""SELECT {_d('date')} AS date, user_id, ad_id,
     count(*) AS click_count FROM kept GROUP BY date, user_id, ad_id""")
 SQL["ad_stream_blacklist"] = q(*_STREAM, "SELECT user_id FROM blb")

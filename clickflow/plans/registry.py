@@ -499,23 +499,59 @@ def _sink_replace_group(spark, d):
 # ---------------------------------------------------------------- stream (T4)
 DAYS_PER_BATCH = 5
 _STREAM_RUNS: dict = {}
+_STAGED: dict = {}
+
+
+def _staged(spark, d) -> tuple[str, int]:
+    """The ad log lines staged once per session and input folder, partitioned
+    by producer batch (5 days each); returns (staging folder, batch count)."""
+    key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
+    if key not in _STAGED:
+        inp = rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH)
+        staging = f"{scratch_dir(spark, 'ad-replay')}/staging"
+        rp.stage(inp.lines, staging)
+        _STAGED[key] = (staging, inp.n_batches)
+    return _STAGED[key]
+
+
+def _replay(spark, d, root: str, runners) -> None:
+    """Play the staged batches into ``root/source``; after each batch every
+    runner (stream, checkpoint name) runs one availableNow trigger."""
+    staging, n = _staged(spark, d)
+    lines = ast.text_source(spark, f"{root}/source/*")
+    triggers = [lambda r=r, c=c: r(lines, f"{root}/{c}") for r, c in runners]
+    rp.replay(spark, staging, f"{root}/source", n, triggers)
 
 
 def _stream_run(spark, d) -> ast.AdClickStats:
-    """Replay the ad log as a file stream (one file per 5 days) through the
-    ad task once per session and input folder; the stream queries read its stores."""
+    """Replay the ad log through the ad task once per session and input
+    folder; the stream queries read its stores."""
     key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH, P.CLICK_THRESHOLD)
     if key not in _STREAM_RUNS:
         root = scratch_dir(spark, "ad-stream")
-        rp.write_replay_files(rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH), f"{root}/source")
         stats = ast.AdClickStats(spark, f"{root}/out", P.CLICK_THRESHOLD)
-        q = stats.start(ast.text_source(spark, f"{root}/source/*", 1), f"{root}/checkpoint",
-                        {"availableNow": True})
-        q.awaitTermination()
+        _replay(spark, d, root, [(stats.run_available, "checkpoint")])
         _STREAM_RUNS[key] = stats
     return _STREAM_RUNS[key]
 
 
+_FILTER_RUNS: dict = {}
+
+
+@register("ad_stream_filtered")
+def _ad_stream_filtered(spark, d):
+    """The replayed stream minus a list read from storage in every batch
+    (the list: users over the threshold in the whole log, written once)."""
+    key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH, P.CLICK_THRESHOLD)
+    if key not in _FILTER_RUNS:
+        root = scratch_dir(spark, "ad-filtered")
+        _blacklist(spark, d).write.parquet(f"{root}/list")
+        flt = ast.FilteredClicks(spark, f"{root}/list", f"{root}/out")
+        _replay(spark, d, root, [(flt.run_available, "checkpoint")])
+        _FILTER_RUNS[key] = flt
+    return _FILTER_RUNS[key].view().select("ts", "date", "province", "city", "user_id", "ad_id")
+
+
 @register("ad_stream_user_clicks")
 def _ad_stream_user_clicks(spark, d):
     """A2 + K3: cumulative (date, user, ad) clicks after the replay."""
@@ -562,21 +598,19 @@ def _stateful_run(spark, d):
     key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
     if key not in _STATEFUL_RUNS:
         root = scratch_dir(spark, "ad-stateful")
-        rp.write_replay_files(rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH), f"{root}/source")
-        parsed = ads.parse_ad_log(ast.text_source(spark, f"{root}/source/*", 1))
         stat_log = sk.BatchLog(spark, f"{root}/stat", "date date, province string, city string, ad_id bigint, "
                                                       "click_count bigint")
         trend_log = sk.BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
-        queries = [
-            ast.stateful_ad_stat(parsed).writeStream.outputMode("update")
-            .foreachBatch(lambda df, b: stat_log.write(df, b))
-            .option("checkpointLocation", f"{root}/ckpt-stat").trigger(availableNow=True).start(),
-            ast.windowed_trend(parsed).writeStream.outputMode("update")
-            .foreachBatch(lambda df, b: trend_log.write(df, b))
-            .option("checkpointLocation", f"{root}/ckpt-trend").trigger(availableNow=True).start(),
-        ]
-        for q in queries:
-            q.awaitTermination()
+
+        def run(query, log):
+            def go(lines, ckpt):
+                (query(ads.parse_ad_log(lines)).writeStream.outputMode("update")
+                 .foreachBatch(lambda df, b: log.write(df, b))
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
+            return go
+
+        _replay(spark, d, root, [(run(ast.stateful_ad_stat, stat_log), "ckpt-stat"),
+                                 (run(ast.windowed_trend, trend_log), "ckpt-trend")])
         _STATEFUL_RUNS[key] = (stat_log, trend_log)
     return _STATEFUL_RUNS[key]
 

@@ -45,8 +45,10 @@ STAT_KEYS = ["date", "province", "city", "ad_id"]
 GROUP_KEYS = ["date", "province"]
 
 
-def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = 1) -> DataFrame:
-    """A streaming frame with ``value`` from text files under ``path``."""
+def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming frame with ``value`` from text files under ``path``.
+    Without ``max_files_per_trigger`` a trigger takes every file that arrived
+    since the previous one."""
     r = spark.readStream.format("text")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", int(max_files_per_trigger))
@@ -132,6 +134,39 @@ class AdClickStats:
             w = w.queryName(query_name)
         return w.start()
 
+    def run_available(self, lines: DataFrame, checkpoint: str) -> None:
+        """One ``availableNow`` run: process what arrived since the last run, then stop."""
+        self.start(lines, checkpoint, {"availableNow": True}).awaitTermination()
+
+
+PARSED_SCHEMA = "ts timestamp, province string, city string, user_id bigint, ad_id bigint, date date"
+
+
+class FilteredClicks:
+    """The stream's clicks minus the users on a list kept in storage.
+
+    The list is read again in every micro-batch (a stream-static join whose
+    static side may change between batches); the kept rows are appended to a
+    batch log (K1, retry-safe per batch id) partitioned by date.
+    """
+
+    def __init__(self, spark: SparkSession, list_path: str, out_path: str):
+        self.spark = spark
+        self.list_path = list_path
+        self.out = BatchLog(spark, out_path, PARSED_SCHEMA, ("date",))
+
+    def process_batch(self, lines: DataFrame, batch_id: int) -> None:
+        listed = self.spark.read.parquet(self.list_path).select("user_id")
+        kept = ads.remove_blacklisted(ads.parse_ad_log(lines), listed)
+        self.out.write(kept.select("ts", "province", "city", "user_id", "ad_id", "date"), batch_id)
+
+    def run_available(self, lines: DataFrame, checkpoint: str) -> None:
+        (lines.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+
+    def view(self) -> DataFrame:
+        return self.out.read().drop("batch_id")
+
 
 def stateful_ad_stat(parsed: DataFrame, watermark: str = "1 day") -> DataFrame:
     """A4 with the state store: running clicks per (date, province, city, ad).

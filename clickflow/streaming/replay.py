@@ -1,35 +1,60 @@
 """Replay of a table as a file stream (tests and the registered stream queries).
 
-The ad log lines are grouped into batches of ``days_per_batch`` consecutive
-days and written as one text file per batch, in batch order, so the file
-source (``maxFilesPerTrigger=1``) delivers exactly one batch per trigger in
-time order.
+The ad log lines are grouped into producer batches of ``days_per_batch``
+consecutive days. The replay plays the producer: it appends one batch to the
+source folder, then runs one trigger (``availableNow``) of each query, which
+takes exactly the files that arrived since the previous trigger, as a
+processing-time trigger takes what arrived in its interval.
+
+Writing is parallel throughout: one pass writes all lines into a staging
+folder partitioned by batch (every task writes its own files), and each
+batch is copied from its own staging partition (partition pruning, so batch
+``i`` reads only its folder) into the source folder, again one file per task.
+No batch is funnelled through a single task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.sources import views as V
 
+BATCH_COL = "replay_batch"
+
+
+@dataclass
+class ReplayInput:
+    lines: DataFrame  # columns: ts, value, replay_batch
+    n_batches: int
+
 
 def day_batches(lines_with_ts: DataFrame, days_per_batch: int, first_day) -> DataFrame:
     day_index = F.datediff(F.col("ts").cast("date"), F.lit(first_day))
-    return lines_with_ts.withColumn("replay_batch", F.floor(day_index / int(days_per_batch)).cast("int"))
+    return lines_with_ts.withColumn(BATCH_COL, F.floor(day_index / int(days_per_batch)).cast("int"))
 
 
-def ad_log_replay_lines(spark: SparkSession, base_dir: str, days_per_batch: int) -> DataFrame:
+def ad_log_replay_lines(spark: SparkSession, base_dir: str, days_per_batch: int) -> ReplayInput:
     a = V.ad_log(spark, base_dir)
-    first_day = a.agg(F.min(F.col("ts").cast("date"))).first()[0]  # one scalar
-    return day_batches(a.select("ts", V.ad_line().alias("value")), days_per_batch, first_day)
-
-
-def write_replay_files(lines: DataFrame, out_dir: str, batch_col: str = "replay_batch") -> list[int]:
-    """One text file per batch id under ``out_dir/<id>/``, written in id order."""
-    lines = lines.select(batch_col, "value").persist()
-    ids = sorted(r[0] for r in lines.select(batch_col).distinct().collect())
-    for i in ids:
-        lines.where(F.col(batch_col) == i).select("value").coalesce(1).write.text(f"{out_dir}/{i:06d}")
-    lines.unpersist()
-    return ids
+    lo, hi = a.agg(F.min(F.col("ts").cast("date")), F.max(F.col("ts").cast("date"))).first()  # two scalars
+    n = 0 if lo is None else (hi - lo).days // int(days_per_batch) + 1
+    return ReplayInput(day_batches(a.select("ts", V.ad_line().alias("value")), days_per_batch, lo), n)
+
+
+def stage(lines: DataFrame, staging_dir: str, batch_col: str = BATCH_COL) -> None:
+    """All lines in one parallel write, partitioned by batch."""
+    lines.select(batch_col, "value").write.partitionBy(batch_col).text(staging_dir)
+
+
+def replay(spark: SparkSession, staging_dir: str, source_dir: str, n_batches: int,
+           triggers: list[Callable[[], None]], batch_col: str = BATCH_COL) -> None:
+    """For each batch in order: append it to ``source_dir/<id>/`` and run every
+    trigger once (each trigger runs one query to completion on the new files)."""
+    staged = spark.read.text(staging_dir)
+    for i in range(int(n_batches)):
+        staged.where(F.col(batch_col) == i).select("value").write.text(f"{source_dir}/{i:06d}")
+        for run in triggers:
+            run()
