@@ -284,6 +284,16 @@ def _kv_get_sql(s: str, field: str) -> str:
             f"lambda a: len(a) = 2 AND a[1] = '{field}' AND a[2] <> '')[1][2]")
 
 
+SQL["task_params"] = q(f"""SELECT user_id AS task_id, username AS task_name,
+    '{P.START_DATE}' AS startDate, '{P.END_DATE}' AS endDate,
+    CAST(greatest(age - 5, 0) AS VARCHAR) AS startAge, CAST(age + 5 AS VARCHAR) AS endAge,
+    professional AS professionals, city AS cities, sex,
+    CASE WHEN user_id % 2 = 0 THEN concat('kw', CAST(user_id % 10 AS VARCHAR), ',kw',
+        CAST((user_id + 1) % 10 AS VARCHAR)) END AS keywords,
+    CASE WHEN user_id % 3 <> 0 THEN concat(CAST(user_id % 100 AS VARCHAR), ',',
+        CAST((user_id + 7) % 100 AS VARCHAR)) END AS categoryIds,
+    '{",".join(str(p) for p in P.PAGE_FLOW)}' AS targetPageFlow
+    FROM user_info""")
 SQL["kv_functions"] = q(_sess_cte("s", "uva"), _KV, f"""SELECT session_id,
     {_kv_get_sql('info', 'searchKeywords')} AS search_keywords,
     {_kv_get_sql('info', 'visitLength')} AS visit_length,

@@ -306,6 +306,14 @@ def _catalog_scan(spark, d):
 REF_TIME = "2024-01-15 12:00:00"
 
 
+@register("task_params")
+def _task_params(spark, d):
+    """Every task's JSON parameters parsed, element 0 of each name."""
+    from clickflow.sources.task_params import param_columns
+    tasks = V.task_table(spark, d, P.START_DATE, P.END_DATE, P.PAGE_FLOW)
+    return param_columns(tasks).join(tasks.select("task_id", "task_name"), "task_id")
+
+
 @register("date_functions")
 def _date_functions(spark, d):
     """Formats, parsing, comparisons, differences."""

@@ -138,3 +138,38 @@ def pv_lines(spark: SparkSession, base_dir: str) -> DataFrame:
         F.concat_ws(",", F.col("event_type"), F.col("user_id").cast("string"),
                     F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("value")
     )
+
+
+def task_table(spark: SparkSession, base_dir: str, start_date: str, end_date: str,
+               page_flow: list[int]) -> DataFrame:
+    """A ``task`` table: one session-analysis task per user, whose filter is
+    that user's profile. Columns task_id, task_name, task_type, task_param;
+    ``task_param`` is JSON with arrays of one string, multi-values
+    comma-joined, and absent names for unset parameters (odd users set no
+    keywords, users divisible by 3 no categories)."""
+    u = user_info(spark, base_dir)
+    uid = F.col("user_id")
+
+    def one(c: Column) -> Column:
+        return F.when(c.isNotNull(), F.array(c.cast("string")))
+
+    params = F.create_map(
+        F.lit("startDate"), one(F.lit(start_date)),
+        F.lit("endDate"), one(F.lit(end_date)),
+        F.lit("startAge"), one(F.greatest(F.col("age") - 5, F.lit(0))),
+        F.lit("endAge"), one(F.col("age") + 5),
+        F.lit("professionals"), one(F.col("professional")),
+        F.lit("cities"), one(F.col("city")),
+        F.lit("sex"), one(F.col("sex")),
+        F.lit("keywords"), one(F.when(uid % 2 == 0, F.concat(F.lit("kw"), (uid % 10).cast("string"), F.lit(",kw"),
+                                                             ((uid + 1) % 10).cast("string")))),
+        F.lit("categoryIds"), one(F.when(uid % 3 != 0, F.concat_ws(",", (uid % 100).cast("string"),
+                                                                    ((uid + 7) % 100).cast("string")))),
+        F.lit("targetPageFlow"), one(F.lit(",".join(str(int(p)) for p in page_flow))),
+    )
+    return u.select(
+        uid.alias("task_id"),
+        F.col("username").alias("task_name"),
+        F.lit("session").alias("task_type"),
+        F.to_json(F.map_filter(params, lambda k, v: v.isNotNull())).alias("task_param"),
+    )

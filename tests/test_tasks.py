@@ -38,3 +38,22 @@ def test_task_without_filters_keeps_all_sessions(spark):
     users = {r.user_id for r in V.user_info(spark, SF_SMALL).select("user_id").collect()}
     expected = actions.where(actions.user_id.isin(list(users))).select("session_id").distinct().count()
     assert n == expected
+
+
+def test_task_table_lookup_drives_a_task(spark):
+    """S9 end to end: a task row of the derived table is looked up, its JSON
+    parameters configure the session filter, and unset names stay unset."""
+    from clickflow.operators import sessions as ses
+    from clickflow.sources.task_params import lookup_task
+
+    tasks_df = V.task_table(spark, SF_SMALL, P.START_DATE, P.END_DATE, P.PAGE_FLOW)
+    uid = tasks_df.orderBy("task_id").first().task_id
+    odd = uid if uid % 2 else uid + 1
+    p = lookup_task(tasks_df, odd)
+    assert p.keywords is None and p.start_date == P.START_DATE and p.target_page_flow == P.PAGE_FLOW
+    user = V.user_info(spark, SF_SMALL).where(f"user_id = {odd}").first()
+    assert p.cities == [user.city] and p.sex == [user.sex] and p.end_age == user.age + 5
+    actions = V.user_visit_action(spark, SF_SMALL)
+    kept = ses.filter_sessions(ses.full_session_aggregates(actions, V.user_info(spark, SF_SMALL)), p)
+    assert kept.count() > 0
+    assert kept.where((kept.city != user.city) | (kept.sex != user.sex) | (kept.age > user.age + 5)).count() == 0
