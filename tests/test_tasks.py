@@ -47,13 +47,13 @@ def test_task_table_lookup_drives_a_task(spark):
     from clickflow.sources.task_params import lookup_task
 
     tasks_df = V.task_table(spark, SF_SMALL, P.START_DATE, P.END_DATE, P.PAGE_FLOW)
-    uid = tasks_df.orderBy("task_id").first().task_id
-    odd = uid if uid % 2 else uid + 1
+    actions = V.user_visit_action(spark, SF_SMALL)
+    # a user with actions and neither keywords nor categories in its task
+    odd = actions.where("user_id % 6 = 3").agg({"user_id": "min"}).first()[0]
     p = lookup_task(tasks_df, odd)
-    assert p.keywords is None and p.start_date == P.START_DATE and p.target_page_flow == P.PAGE_FLOW
+    assert p.keywords is None and p.category_ids is None and p.start_date == P.START_DATE and p.target_page_flow == P.PAGE_FLOW
     user = V.user_info(spark, SF_SMALL).where(f"user_id = {odd}").first()
     assert p.cities == [user.city] and p.sex == [user.sex] and p.end_age == user.age + 5
-    actions = V.user_visit_action(spark, SF_SMALL)
     kept = ses.filter_sessions(ses.full_session_aggregates(actions, V.user_info(spark, SF_SMALL)), p)
     assert kept.count() > 0
     assert kept.where((kept.city != user.city) | (kept.sex != user.sex) | (kept.age > user.age + 5)).count() == 0
