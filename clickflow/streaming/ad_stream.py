@@ -18,7 +18,8 @@ Per micro-batch (``foreachBatch``, A1), in this order:
   A6  clicks per (event minute, ad) -> increment log.
 Each log write replaces its own ``batch_id`` folder, so a replayed batch
 after a failure gives the same store (exactly once). The batch's parsed and
-filtered rows are persisted once and reused by the four branches.
+filtered rows are persisted once and shared by three independent branches
+(A2 -> A3, A4 -> A5, A6), which run as concurrent jobs.
 
 ``stateful_ad_stat`` / ``windowed_trend`` are the pure Structured Streaming
 forms of A4 / A6 (state store, watermark-bounded) for pipelines that need no
@@ -27,6 +28,8 @@ blacklist feedback.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,25 +81,37 @@ class AdClickStats:
             # are partitioned by date, so lookups read only these days' folders
             lo, hi = log.agg(F.min("date"), F.max("date")).first()
             in_days = F.col("date").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
-            # A2
-            uac = ads.user_ad_counts(log)
-            self.user_clicks.write(uac.select("user_id", "ad_id", "click_count", "date"), batch_id)
-            # A3 (the log now includes this batch)
-            cum = self.user_clicks.read().where(in_days).join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
-                .groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
-            new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
-            self.blacklist.write(new, batch_id)
-            # A4
-            self.stat.write(ads.ad_stat(log).select("province", "city", "ad_id", "click_count", "date"), batch_id)
-            # A5 on the running totals of the groups this batch touched
-            touched = log.select(*GROUP_KEYS).distinct()
-            totals = self.stat.read().where(in_days).join(touched, GROUP_KEYS, "left_semi") \
-                .groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"))
-            prov = ads.province_counts(totals)
-            top = ads.province_top3(prov, self.top_n)
-            self.province_top.write(top.select("province", "ad_id", "click_count", "date"), batch_id)
-            # A6
-            self.trend.write(ads.minute_counts(log), batch_id)
+
+            def users_and_blacklist():
+                # A2, then A3 (the log now includes this batch)
+                uac = ads.user_ad_counts(log)
+                self.user_clicks.write(uac.select("user_id", "ad_id", "click_count", "date"), batch_id)
+                cum = self.user_clicks.read().where(in_days).join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
+                    .groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
+                new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
+                self.blacklist.write(new, batch_id)
+
+            def stat_and_top():
+                # A4, then A5 on the running totals of the groups this batch touched
+                self.stat.write(ads.ad_stat(log).select("province", "city", "ad_id", "click_count", "date"),
+                                batch_id)
+                touched = log.select(*GROUP_KEYS).distinct()
+                totals = self.stat.read().where(in_days).join(touched, GROUP_KEYS, "left_semi") \
+                    .groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"))
+                top = ads.province_top3(ads.province_counts(totals), self.top_n)
+                self.province_top.write(top.select("province", "ad_id", "click_count", "date"), batch_id)
+
+            def trend():
+                # A6
+                self.trend.write(ads.minute_counts(log), batch_id)
+
+            # The three branches share only the persisted batch and write
+            # different stores, so they run as concurrent Spark jobs; each
+            # write replaces its own batch folder, so a failed branch fails
+            # the batch and the retry rewrites the same folders.
+            with ThreadPoolExecutor(max_workers=3) as pool:
+                for f in [pool.submit(fn) for fn in (users_and_blacklist, stat_and_top, trend)]:
+                    f.result()
         finally:
             log.unpersist()
 
