@@ -1,8 +1,8 @@
 """Sinks: append, and keyed upserts as a micro-batch log (K1-K5).
 
 Without a table format, an upsert store is kept as a log of batches:
-``<path>/batch_id=<N>/...parquet``. Writing batch N replaces exactly that
-folder, so a retried micro-batch (same N) leaves the store unchanged:
+``<path>/gen=<G>/batch_id=<N>/...parquet``. Writing batch N replaces exactly
+that folder, so a retried micro-batch (same N) leaves the store unchanged:
 exactly-once with plain parquet. Readers reduce the log:
 
 * ``latest``      key exists -> overwrite value      (max_by value, batch_id)
@@ -11,8 +11,18 @@ exactly-once with plain parquet. Readers reduce the log:
   greatest batch_id per group)
 
 All three reductions are partial/final aggregates or a join against one,
-so they scale with the number of keys, not with a single task. ``compact``
-rewrites the reduced view as one batch of a fresh log once the log is long.
+so they scale with the number of keys, not with a single task.
+
+Generations bound what a reader lists. With ``batches_per_generation=E``
+and a ``reduce`` function (one of the views above), the first write of
+generation G = N div E first writes the reduced view of generation G-1 as
+batch N-1 of the new generation folder, then batch N. Every read touches one
+generation: at most E + 1 batch folders, however long the stream has run.
+The base is rebuilt from the previous generation, which no longer changes,
+so a retried first batch rewrites the same base. A one-row marker
+(``_generation``, ignored by readers of the data) names the current
+generation for readers outside the stream.
+
 Optional ``partition_cols`` (e.g. ``date``) lay the batch folders out by a
 column so readers that filter on it prune whole folders.
 
@@ -22,6 +32,8 @@ checkpoint.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -43,40 +55,83 @@ def append_jdbc(df: DataFrame, url: str, table_name: str, properties: dict | Non
 
 
 class BatchLog:
-    def __init__(self, spark: SparkSession, path: str, schema: str, partition_cols: tuple[str, ...] = ()):
+    def __init__(self, spark: SparkSession, path: str, schema: str, partition_cols: tuple[str, ...] = (),
+                 reduce: Callable[["BatchLog", DataFrame], DataFrame] | None = None,
+                 batches_per_generation: int | None = None):
+        if batches_per_generation and reduce is None:
+            raise ValueError("generations need a reduce function")
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_cols = tuple(partition_cols)
+        self.reduce = reduce
+        self.per_gen = int(batches_per_generation) if batches_per_generation else None
+        self.columns = [c.split()[0] for c in schema.split(",")]
+
+    # ---------------------------------------------------------------- layout
+    def generation_of(self, batch_id: int) -> int:
+        return int(batch_id) // self.per_gen if self.per_gen else 0
+
+    def _gen_path(self, gen: int) -> str:
+        return f"{self.path}/gen={int(gen)}"
+
+    def _marker(self) -> str:
+        return f"{self.path}/_generation"
+
+    def current_generation(self) -> int:
+        """The newest generation (0 when the log has never been compacted)."""
+        if not self.per_gen:
+            return 0
+        try:
+            row = self.spark.read.schema("gen int").json(self._marker()).first()
+        except AnalysisException:  # no marker yet
+            return 0
+        return 0 if row is None else int(row.gen)
 
     # ---------------------------------------------------------------- write
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        """Replace batch ``batch_id`` with ``df`` (idempotent)."""
-        w = df.write.mode("overwrite")
+    def _write_folder(self, df: DataFrame, gen: int, batch_id: int) -> None:
+        w = df.select(*self.columns).write.mode("overwrite")
         if self.partition_cols:
             w = w.partitionBy(*self.partition_cols)
-        w.parquet(f"{self.path}/{BATCH_COL}={int(batch_id)}")
+        w.parquet(f"{self._gen_path(gen)}/{BATCH_COL}={int(batch_id)}")
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        """Replace batch ``batch_id`` with ``df`` (idempotent)."""
+        gen = self.generation_of(batch_id)
+        if gen > 0 and int(batch_id) % self.per_gen == 0:
+            base = self.reduce(self, self.read(gen - 1))
+            self._write_folder(base, gen, int(batch_id) - 1)
+            self.spark.createDataFrame([(gen,)], "gen int").write.mode("overwrite").json(self._marker())
+        self._write_folder(df, gen, batch_id)
 
     # ---------------------------------------------------------------- read
-    def read(self) -> DataFrame:
-        """All batches with a ``batch_id`` column (empty frame when none yet)."""
+    def read(self, generation: int | None = None) -> DataFrame:
+        """All batches of one generation (default: the current one) with a
+        ``batch_id`` column; an empty frame when none is written yet."""
+        gen = self.current_generation() if generation is None else int(generation)
         schema = f"{self.schema}, {BATCH_COL} bigint"
         try:
-            return self.spark.read.schema(schema).parquet(self.path)
+            return self.spark.read.schema(schema).parquet(self._gen_path(gen))
         except AnalysisException:  # nothing written yet
             return self.spark.createDataFrame([], schema)
 
-    def latest(self, keys: list[str], value: str) -> DataFrame:
+    def reduced(self, generation: int | None = None) -> DataFrame:
+        """The store's own view (its ``reduce``) of one generation."""
+        return self.reduce(self, self.read(generation))
+
+    def latest(self, keys: list[str], value: str, log: DataFrame | None = None) -> DataFrame:
         """K2: per key, the value of its latest batch."""
-        return self.read().groupBy(*keys).agg(F.max_by(value, BATCH_COL).alias(value))
+        log = self.read() if log is None else log
+        return log.groupBy(*keys).agg(F.max_by(value, BATCH_COL).alias(value))
 
-    def increments(self, keys: list[str], value: str) -> DataFrame:
+    def increments(self, keys: list[str], value: str, log: DataFrame | None = None) -> DataFrame:
         """K3: per key, the sum of all deltas."""
-        return self.read().groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value))
+        log = self.read() if log is None else log
+        return log.groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value))
 
-    def replace_group(self, group_keys: list[str]) -> DataFrame:
+    def replace_group(self, group_keys: list[str], log: DataFrame | None = None) -> DataFrame:
         """K4: rows of the latest batch that wrote each group."""
-        log = self.read()
+        log = self.read() if log is None else log
         last = log.groupBy(*group_keys).agg(F.max(BATCH_COL).alias(BATCH_COL))
         return log.join(last, [*group_keys, BATCH_COL], "left_semi").drop(BATCH_COL)
 
@@ -91,5 +146,5 @@ class BatchLog:
         """Write ``reduced`` (one of the views above) as batch ``upto_batch`` of a
         new log and return it; later batches go to the new log."""
         new = BatchLog(self.spark, new_path, self.schema, self.partition_cols)
-        new.write(reduced.select(*[c.split()[0] for c in self.schema.split(",")]), upto_batch)
+        new.write(reduced, upto_batch)
         return new

@@ -61,20 +61,34 @@ def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 class AdClickStats:
     """The per-batch logic of the ad task and the stores it maintains."""
 
-    def __init__(self, spark: SparkSession, out_root: str, threshold: int = 100, top_n: int = 3):
+    def __init__(self, spark: SparkSession, out_root: str, threshold: int = 100, top_n: int = 3,
+                 batches_per_generation: int = 720):
+        """``batches_per_generation``: batches after which every store starts a
+        new generation from its reduced view (720 = one hour of 5 s batches),
+        so per-batch reads stay bounded however long the stream runs."""
         self.spark = spark
         self.threshold = int(threshold)
         self.top_n = int(top_n)
         root = out_root.rstrip("/")
-        self.user_clicks = BatchLog(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, ("date",))
-        self.blacklist = BatchLog(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA)
-        self.stat = BatchLog(spark, f"{root}/ad_stat", STAT_SCHEMA, ("date",))
-        self.province_top = BatchLog(spark, f"{root}/ad_province_top3", TOP_SCHEMA)
-        self.trend = BatchLog(spark, f"{root}/ad_click_trend", TREND_SCHEMA)
+        e = int(batches_per_generation)
+        self.user_clicks = BatchLog(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, ("date",),
+                                    lambda lg, df: lg.increments(USER_KEYS, "click_count", df), e)
+        self.blacklist = BatchLog(spark, f"{root}/ad_blacklist", BLACKLIST_SCHEMA, (),
+                                  lambda lg, df: df.select("user_id").distinct(), e)
+        self.stat = BatchLog(spark, f"{root}/ad_stat", STAT_SCHEMA, ("date",),
+                             lambda lg, df: lg.increments(STAT_KEYS, "click_count", df), e)
+        self.province_top = BatchLog(spark, f"{root}/ad_province_top3", TOP_SCHEMA, (),
+                                     lambda lg, df: lg.replace_group(GROUP_KEYS, df), e)
+        self.trend = BatchLog(spark, f"{root}/ad_click_trend", TREND_SCHEMA, (),
+                              lambda lg, df: lg.increments(["minute", "ad_id"], "click_count", df), e)
 
     # ---------------------------------------------------------------- per batch
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
-        listed = self.blacklist.read().select("user_id")
+        # the list as of the previous batch: its generation (this batch's first
+        # write may start a new one), and only earlier batch folders, so a
+        # retried batch neither sees nor reads its own earlier attempt
+        listed = self.blacklist.read(self.blacklist.generation_of(max(batch_id - 1, 0))) \
+            .where(F.col("batch_id") < batch_id).select("user_id")
         log = ads.remove_blacklisted(ads.parse_ad_log(lines), listed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # the batch's first and last day (two scalars): the history logs
@@ -86,7 +100,8 @@ class AdClickStats:
                 # A2, then A3 (the log now includes this batch)
                 uac = ads.user_ad_counts(log)
                 self.user_clicks.write(uac.select("user_id", "ad_id", "click_count", "date"), batch_id)
-                cum = self.user_clicks.read().where(in_days).join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
+                hist = self.user_clicks.read(self.user_clicks.generation_of(batch_id)).where(in_days)
+                cum = hist.join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
                     .groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
                 new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
                 self.blacklist.write(new, batch_id)
@@ -96,7 +111,8 @@ class AdClickStats:
                 self.stat.write(ads.ad_stat(log).select("province", "city", "ad_id", "click_count", "date"),
                                 batch_id)
                 touched = log.select(*GROUP_KEYS).distinct()
-                totals = self.stat.read().where(in_days).join(touched, GROUP_KEYS, "left_semi") \
+                hist = self.stat.read(self.stat.generation_of(batch_id)).where(in_days)
+                totals = hist.join(touched, GROUP_KEYS, "left_semi") \
                     .groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"))
                 top = ads.province_top3(ads.province_counts(totals), self.top_n)
                 self.province_top.write(top.select("province", "ad_id", "click_count", "date"), batch_id)
