@@ -35,16 +35,16 @@ def sessions_per_hour(sessions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("session_count"))
 
 
-def hour_quotas(sessions: DataFrame, sample_size: int) -> DataFrame:
-    """(_d, _hr, quota) for every hour with sessions."""
-    hc = session_starts(sessions).groupBy("_d", "_hr").agg(F.count(F.lit(1)).alias("_c"))
-    # the number of days and the day totals come from windows over this
-    # one-row-per-hour table
-    n_days = F.size(F.collect_set("_d").over(Window.partitionBy()))
-    day_total = F.sum("_c").over(Window.partitionBy("_d"))
-    per_day = F.lit(int(sample_size)) / n_days
-    q = hc.select("_d", "_hr", "_c", F.floor(per_day).cast("bigint").alias("_per_day"), day_total.alias("_day_total"))
-    num = F.col("_c") * F.col("_per_day")
+def hour_quotas(hour_counts: DataFrame, sample_size: int) -> DataFrame:
+    """(_d, _hr, _quota) for every hour with sessions, from (_d, _hr, _c)."""
+    # one row per day: its total and the number of days. The un-partitioned
+    # window runs over this per-day table only (one row per calendar day in
+    # the data, so bounded by the date range, not by the row count).
+    days = hour_counts.groupBy("_d").agg(F.sum("_c").alias("_day_total"))
+    days = days.select("_d", "_day_total", F.count(F.lit(1)).over(Window.partitionBy()).alias("_n_days"))
+    q = hour_counts.join(days, "_d")
+    per_day = F.floor(F.lit(int(sample_size)) / F.col("_n_days")).cast("bigint")
+    num = F.col("_c") * per_day
     quota = F.least(F.col("_c"), ((num - num % F.col("_day_total")) / F.col("_day_total")).cast("bigint"))
     return q.select("_d", "_hr", quota.alias("_quota"))
 
@@ -54,8 +54,10 @@ def random_extract(sessions: DataFrame, sample_size: int, seed: str = "42", pref
     s = session_starts(sessions)
     s = s.withColumn("_h", F.md5(F.concat(F.col("session_id"), F.lit(str(seed)))))
     s = s.withColumn("_b", F.substring("_h", 1, prefix_len))
-    quotas = hour_quotas(sessions, sample_size)
     bc = s.groupBy("_d", "_hr", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    # hour totals from the bucket counts (at most 16^prefix_len rows per hour),
+    # not from a second pass over the sessions
+    quotas = hour_quotas(bc.groupBy("_d", "_hr").agg(F.sum("_n").alias("_c")), sample_size)
     wb = Window.partitionBy("_d", "_hr").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     bc = bc.withColumn("_before", F.coalesce(F.sum("_n").over(wb), F.lit(0)).cast("bigint"))
     needed = bc.join(quotas, ["_d", "_hr"]).where(F.col("_before") < F.col("_quota")) \
