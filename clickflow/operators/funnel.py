@@ -4,7 +4,11 @@ Plan notes
 * The reference groups each session's rows in memory and sorts them. Here the
   predecessor of each action is a ``lag`` — but partitioned by
   (session, time bucket), not by session alone, so one very long session is
-  split over many tasks. The first row of each bucket takes its predecessor
+  split over many tasks. Buckets are one minute by default: a session holding
+  a third of all rows is spread over every minute it is active, while the
+  carry window below holds at most one row per (session, minute), 1,440 per
+  day. (A session whose rows all fall in one minute still meets in one task;
+  the window operator sorts and spills there rather than failing.) The first row of each bucket takes its predecessor
   from the last row of the previous non-empty bucket of the same session,
   carried by a window over one row per bucket (small). The result is exactly
   the per-session time-ordered lag.
@@ -31,7 +35,7 @@ def _time_bucket(ts: Column, bucket_seconds: int) -> Column:
     return F.floor(secs / bucket_seconds)
 
 
-def page_pairs(actions: DataFrame, bucket_seconds: int = 3600) -> DataFrame:
+def page_pairs(actions: DataFrame, bucket_seconds: int = 60) -> DataFrame:
     """Every action with the page of the action before it in its session.
 
     Output: session_id, event_id, page_id, prev_page_id (null for the first
