@@ -510,7 +510,7 @@ _STREAM_RUNS: dict = {}
 _STAGED: dict = {}
 
 
-def _staged(spark, d) -> tuple[str, int]:
+def staged_replay(spark, d) -> tuple[str, int]:
     """The ad log lines staged once per session and input folder, partitioned
     by producer batch (5 days each); returns (staging folder, batch count)."""
     key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
@@ -525,21 +525,26 @@ def _staged(spark, d) -> tuple[str, int]:
 def _replay(spark, d, root: str, runners) -> None:
     """Play the staged batches into ``root/source``; after each batch every
     runner (stream, checkpoint name) runs one availableNow trigger."""
-    staging, n = _staged(spark, d)
+    staging, n = staged_replay(spark, d)
     lines = ast.text_source(spark, f"{root}/source/*")
     triggers = [lambda r=r, c=c: r(lines, f"{root}/{c}") for r, c in runners]
     rp.replay(spark, staging, f"{root}/source", n, triggers)
 
 
+def run_ad_stream(spark, d) -> ast.AdClickStats:
+    """One full replay of the ad log through the ad task, in a fresh folder."""
+    root = scratch_dir(spark, "ad-stream")
+    stats = ast.AdClickStats(spark, f"{root}/out", P.CLICK_THRESHOLD)
+    _replay(spark, d, root, [(stats.run_available, "checkpoint")])
+    return stats
+
+
 def _stream_run(spark, d) -> ast.AdClickStats:
-    """Replay the ad log through the ad task once per session and input
-    folder; the stream queries read its stores."""
+    """The replay, run once per session and input folder; the stream queries
+    read its stores."""
     key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH, P.CLICK_THRESHOLD)
     if key not in _STREAM_RUNS:
-        root = scratch_dir(spark, "ad-stream")
-        stats = ast.AdClickStats(spark, f"{root}/out", P.CLICK_THRESHOLD)
-        _replay(spark, d, root, [(stats.run_available, "checkpoint")])
-        _STREAM_RUNS[key] = stats
+        _STREAM_RUNS[key] = run_ad_stream(spark, d)
     return _STREAM_RUNS[key]
 
 

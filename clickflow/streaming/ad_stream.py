@@ -8,9 +8,10 @@ Per micro-batch (``foreachBatch``, A1), in this order:
   P8  drop clicks of users on the blacklist (re-read from storage every
       batch, so users listed by batch N are filtered from batch N+1);
   A2  clicks per (date, user, ad) -> increment log (K3);
-  A3  cumulative counts of this batch's keys (K5, a join against the log
-      restricted to the batch's days by partition pruning); users at or over
-      the threshold and not yet listed -> blacklist log;
+  A3  cumulative counts of this batch's keys (K5: earlier batches' log,
+      restricted to the batch's days by partition pruning, plus this
+      batch's counts); users at or over the threshold and not yet listed
+      -> blacklist log;
   A4  clicks per (date, province, city, ad) -> increment log: the running
       total per key, as the reference's never-expiring state;
   A5  top-n ads per (date, province) of the running totals, for the groups
@@ -18,8 +19,9 @@ Per micro-batch (``foreachBatch``, A1), in this order:
   A6  clicks per (event minute, ad) -> increment log.
 Each log write replaces its own ``batch_id`` folder, so a replayed batch
 after a failure gives the same store (exactly once). The batch's parsed and
-filtered rows are persisted once and shared by three independent branches
-(A2 -> A3, A4 -> A5, A6), which run as concurrent jobs.
+filtered rows are persisted once and shared by the five branches. A3 and A5
+combine the stores as of the previous batch with this batch's own counts,
+so no branch waits for another's write: the five run as concurrent jobs.
 
 ``stateful_ad_stat`` / ``windowed_trend`` are the pure Structured Streaming
 forms of A4 / A6 (state store, watermark-bounded) for pipelines that need no
@@ -83,50 +85,58 @@ class AdClickStats:
                               lambda lg, df: lg.increments(["minute", "ad_id"], "click_count", df), e)
 
     # ---------------------------------------------------------------- per batch
+    def _before(self, store: BatchLog, batch_id: int) -> DataFrame:
+        """A store as of the end of the previous batch: the generation holding
+        it (this batch's first write may start a new one) and only earlier
+        batch folders, so a retried batch neither sees nor reads its own
+        earlier attempt."""
+        return store.read(store.generation_of(max(batch_id - 1, 0))).where(F.col("batch_id") < batch_id)
+
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
-        # the list as of the previous batch: its generation (this batch's first
-        # write may start a new one), and only earlier batch folders, so a
-        # retried batch neither sees nor reads its own earlier attempt
-        listed = self.blacklist.read(self.blacklist.generation_of(max(batch_id - 1, 0))) \
-            .where(F.col("batch_id") < batch_id).select("user_id")
+        listed = self._before(self.blacklist, batch_id).select("user_id")
         log = ads.remove_blacklisted(ads.parse_ad_log(lines), listed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             # the batch's first and last day (two scalars): the history logs
             # are partitioned by date, so lookups read only these days' folders
             lo, hi = log.agg(F.min("date"), F.max("date")).first()
             in_days = F.col("date").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
-
-            def users_and_blacklist():
-                # A2, then A3 (the log now includes this batch)
-                uac = ads.user_ad_counts(log)
-                self.user_clicks.write(uac.select("user_id", "ad_id", "click_count", "date"), batch_id)
-                hist = self.user_clicks.read(self.user_clicks.generation_of(batch_id)).where(in_days)
-                cum = hist.join(uac.select(*USER_KEYS), USER_KEYS, "left_semi") \
-                    .groupBy(*USER_KEYS).agg(F.sum("click_count").alias("click_count"))
+            uac = ads.user_ad_counts(log)
+            stat = ads.ad_stat(log)
+
+            def running(store: BatchLog, batch: DataFrame, keys: list[str], semi: DataFrame) -> DataFrame:
+                """Cumulative click_count per key after this batch, for the keys
+                in ``semi``: earlier batches' counts of the batch's days plus
+                this batch's own."""
+                hist = self._before(store, batch_id).where(in_days).join(semi, semi.columns, "left_semi")
+                both = hist.select(*keys, "click_count").unionByName(batch.select(*keys, "click_count"))
+                return both.groupBy(*keys).agg(F.sum("click_count").cast("bigint").alias("click_count"))
+
+            def user_clicks():  # A2
+                self.user_clicks.write(uac, batch_id)
+
+            def blacklist():  # A3
+                cum = running(self.user_clicks, uac, USER_KEYS, uac.select(*USER_KEYS))
                 new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
                 self.blacklist.write(new, batch_id)
 
-            def stat_and_top():
-                # A4, then A5 on the running totals of the groups this batch touched
-                self.stat.write(ads.ad_stat(log).select("province", "city", "ad_id", "click_count", "date"),
-                                batch_id)
-                touched = log.select(*GROUP_KEYS).distinct()
-                hist = self.stat.read(self.stat.generation_of(batch_id)).where(in_days)
-                totals = hist.join(touched, GROUP_KEYS, "left_semi") \
-                    .groupBy(*STAT_KEYS).agg(F.sum("click_count").alias("click_count"))
-                top = ads.province_top3(ads.province_counts(totals), self.top_n)
-                self.province_top.write(top.select("province", "ad_id", "click_count", "date"), batch_id)
-
-            def trend():
-                # A6
+            def ad_stat():  # A4
+                self.stat.write(stat, batch_id)
+
+            def province_top():  # A5, on the running totals of the groups this batch touched
+                totals = running(self.stat, stat, STAT_KEYS, log.select(*GROUP_KEYS).distinct())
+                self.province_top.write(ads.province_top3(ads.province_counts(totals), self.top_n), batch_id)
+
+            def trend():  # A6
                 self.trend.write(ads.minute_counts(log), batch_id)
 
-            # The three branches share only the persisted batch and write
-            # different stores, so they run as concurrent Spark jobs; each
-            # write replaces its own batch folder, so a failed branch fails
-            # the batch and the retry rewrites the same folders.
-            with ThreadPoolExecutor(max_workers=3) as pool:
-                for f in [pool.submit(fn) for fn in (users_and_blacklist, stat_and_top, trend)]:
+            # Every branch reads only the persisted batch and the stores as of
+            # the previous batch, and writes its own store, so the five run as
+            # concurrent Spark jobs. Each write replaces its own batch folder:
+            # a failed branch fails the batch, and the retry rewrites the same
+            # folders from the same inputs.
+            branches = (user_clicks, blacklist, ad_stat, province_top, trend)
+            with ThreadPoolExecutor(max_workers=len(branches)) as pool:
+                for f in [pool.submit(fn) for fn in branches]:
                     f.result()
         finally:
             log.unpersist()
