@@ -46,18 +46,23 @@ def category_pays(actions: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("pay_count"))
 
 
-def _category_kinds(actions: DataFrame) -> DataFrame:
-    """(category_id, kind) for every click, ordered id and paid id."""
-    pairs = F.concat(
+def _kind_pairs():
+    """Array of (c: category, k: kind) structs for one action row."""
+    empty = F.array().cast("array<struct<c:bigint,k:string>>")
+    return F.concat(
         F.when(F.col("click_category_id").isNotNull(),
                F.array(F.struct(F.col("click_category_id").alias("c"), F.lit(KIND_CLICK).alias("k"))))
-         .otherwise(F.array().cast("array<struct<c:bigint,k:string>>")),
+         .otherwise(empty),
         F.coalesce(F.transform("order_category_ids", lambda x: F.struct(x.alias("c"), F.lit(KIND_ORDER).alias("k"))),
-                   F.array().cast("array<struct<c:bigint,k:string>>")),
+                   empty),
         F.coalesce(F.transform("pay_category_ids", lambda x: F.struct(x.alias("c"), F.lit(KIND_PAY).alias("k"))),
-                   F.array().cast("array<struct<c:bigint,k:string>>")),
+                   empty),
     )
-    return (actions.select(F.explode(pairs).alias("p"))
+
+
+def _category_kinds(actions: DataFrame) -> DataFrame:
+    """(category_id, kind) for every click, ordered id and paid id."""
+    return (actions.select(F.explode(_kind_pairs()).alias("p"))
             .select(F.col("p.c").alias("category_id"), F.col("p.k").alias("kind"))
             .where(F.col("category_id").isNotNull()))
 
@@ -102,18 +107,47 @@ def session_category_clicks(actions: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("click_count")))
 
 
-def top_sessions_per_category(actions: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
-    """J4 + W3: the k sessions with most clicks in each top category.
+def category_session_counts(actions: DataFrame) -> DataFrame:
+    """Click, order and pay counts per (category, session) in one aggregate:
+    the common source of J3 (sum over sessions) and C5 (the click column),
+    far smaller than the action rows. Partial aggregation pre-counts a hot
+    (category, session) pair in every task."""
+    a = actions.select("session_id", F.explode(_kind_pairs()).alias("p")) \
+        .select("session_id", F.col("p.c").alias("category_id"), F.col("p.k").alias("kind")) \
+        .where(F.col("category_id").isNotNull())
+    k = F.col("kind")
+    return a.groupBy("category_id", "session_id").agg(
+        F.count_if(k == KIND_CLICK).alias("click_count"),
+        F.count_if(k == KIND_ORDER).alias("order_count"),
+        F.count_if(k == KIND_PAY).alias("pay_count"),
+    )
 
-    ``top`` holds at most n rows (a top-n result), so broadcasting it is safe.
-    Ties: more clicks first, then session_id ascending.
-    """
-    counts = session_category_clicks(actions).join(F.broadcast(top.select("category_id")), "category_id",
-                                                   "left_semi")
+
+def counts_from_session_counts(cs: DataFrame) -> DataFrame:
+    """J3 from ``category_session_counts``."""
+    return cs.groupBy("category_id").agg(
+        *[F.sum(c).cast("bigint").alias(c) for c in ("click_count", "order_count", "pay_count")])
+
+
+def clicks_from_session_counts(cs: DataFrame) -> DataFrame:
+    """C5 from ``category_session_counts``: pairs with at least one click."""
+    return cs.where(F.col("click_count") > 0).select("category_id", "session_id", "click_count")
+
+
+def rank_sessions(session_clicks: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
+    """W3 over C5 rows, restricted to the categories of ``top`` (at most n
+    rows, a top-n result, so broadcasting it is safe). Ties: more clicks
+    first, then session_id ascending."""
+    counts = session_clicks.join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
 
+def top_sessions_per_category(actions: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
+    """J4 + W3: the k sessions with most clicks in each top category."""
+    return rank_sessions(session_category_clicks(actions), top, k)
+
+
 def top_session_detail(top_sessions: DataFrame, detail: DataFrame) -> DataFrame:
     """Action rows of the top sessions, once per (category, session).
 

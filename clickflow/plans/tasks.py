@@ -2,14 +2,24 @@
 
 Each task takes its inputs as DataFrames plus ``TaskParams`` (see
 ``clickflow.sources.task_params.lookup_task``), builds one lazy plan per
-output table and writes them with the append sink. Intermediate results that
-several outputs share are persisted once (MEMORY_AND_DISK: recomputed from
-lineage if an executor is lost) and released at the end.
+output table and writes them with the append sink.
+
+The session task reuses two intermediate tables across its outputs. Both are
+cut from their lineage with a reliable ``checkpoint()`` into the shared
+folder named by ``spark.checkpoint.dir``, so an executor lost later costs a
+re-read of those files, not a new pass over the actions:
+  * the filtered sessions (one row per session): statistics, sample, and the
+    key set of every detail join;
+  * click/order/pay counts per (category, session), built in one pass over
+    the surviving sessions' actions: the category ranking and the session
+    ranking.
+The action rows themselves are never held: the two row-level outputs are
+semi-joins of the actions with bounded key sets (the sample, at most
+``sample_size`` sessions; the top sessions, at most n * k).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +28,7 @@ from clickflow.operators import funnel as fun
 from clickflow.operators import products as prod
 from clickflow.operators import sampling as smp
 from clickflow.operators import sessions as ses
+from clickflow.session import checkpoint_root
 from clickflow.sinks.batch_log import append
 from clickflow.sources.task_params import TaskParams
 
@@ -32,18 +43,18 @@ def session_task_outputs(actions: DataFrame, users: DataFrame, p: TaskParams, ta
                          sample_size: int = 100, seed: str = "42", unit_seconds: int = 1,
                          top_categories: int = 10, top_sessions: int = 10) -> dict[str, DataFrame]:
     """session_aggr_stat, session_random_extract, session_detail (of the
-    sample), top10_category, top10_category_session, and their detail rows."""
+    sample), top10_category, top10_category_session, and the detail rows of
+    the top sessions. Runs two jobs (the checkpoints); the outputs are lazy."""
+    checkpoint_root(actions.sparkSession)  # the shared folder (set only where unset, as in tests)
     scoped = _in_range(actions, p)
-    sessions = ses.filter_sessions(ses.full_session_aggregates(scoped, users), p) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    detail = ses.session_detail(scoped, sessions).persist(StorageLevel.MEMORY_AND_DISK)
+    sessions = ses.filter_sessions(ses.full_session_aggregates(scoped, users), p).checkpoint()
+    cs = cat.category_session_counts(ses.session_detail(scoped, sessions)).checkpoint()
     tid = F.lit(int(task_id)).alias("task_id")
     stat = ses.session_statistics(sessions, unit_seconds).select(tid, "*")
     sampled = smp.random_extract(sessions, sample_size, seed)
-    sample_rows = smp.sample_detail(sampled, detail, sample_size)
-    counts = cat.category_counts(detail)
-    top = cat.top_categories(counts, top_categories)
-    tops = cat.top_sessions_per_category(detail, top, top_sessions)
+    sample_rows = smp.sample_detail(sampled, scoped, sample_size)
+    top = cat.top_categories(cat.counts_from_session_counts(cs), top_categories)
+    tops = cat.rank_sessions(cat.clicks_from_session_counts(cs), top, top_sessions)
     return {
         "session_aggr_stat": stat,
         "session_random_extract": sampled.select(tid, "session_id", "start_time", "search_keywords",
@@ -51,8 +62,7 @@ def session_task_outputs(actions: DataFrame, users: DataFrame, p: TaskParams, ta
         "session_detail": sample_rows.select(tid, "*"),
         "top10_category": top.select(tid, "*"),
         "top10_category_session": tops.select(tid, "*"),
-        "top10_session_detail": cat.top_session_detail(tops, detail).select(tid, "*"),
-        "_persisted": [sessions, detail],
+        "top10_session_detail": cat.top_session_detail(tops, scoped).select(tid, "*"),
     }
 
 
@@ -70,14 +80,8 @@ def product_task_output(actions: DataFrame, cities: DataFrame, products: DataFra
 
 
 def run_session_task(actions, users, p: TaskParams, task_id: int, out_root: str, **kw) -> None:
-    outs = session_task_outputs(actions, users, p, task_id, **kw)
-    persisted = outs.pop("_persisted")
-    try:
-        for name, df in outs.items():
-            append(df, f"{out_root.rstrip('/')}/{name}")
-    finally:
-        for df in persisted:
-            df.unpersist()
+    for name, df in session_task_outputs(actions, users, p, task_id, **kw).items():
+        append(df, f"{out_root.rstrip('/')}/{name}")
 
 
 def run_page_task(actions, p: TaskParams, task_id: int, out_root: str) -> None:

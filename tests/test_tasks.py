@@ -33,8 +33,6 @@ def test_task_without_filters_keeps_all_sessions(spark):
     actions = V.user_visit_action(spark, SF_SMALL)
     outs = tasks.session_task_outputs(actions, V.user_info(spark, SF_SMALL), TaskParams(), 1)
     n = outs["session_aggr_stat"].first().session_count
-    for df in outs.pop("_persisted"):
-        df.unpersist()
     users = {r.user_id for r in V.user_info(spark, SF_SMALL).select("user_id").collect()}
     expected = actions.where(actions.user_id.isin(list(users))).select("session_id").distinct().count()
     assert n == expected
@@ -57,3 +55,28 @@ def test_task_table_lookup_drives_a_task(spark):
     kept = ses.filter_sessions(ses.full_session_aggregates(actions, V.user_info(spark, SF_SMALL)), p)
     assert kept.count() > 0
     assert kept.where((kept.city != user.city) | (kept.sex != user.sex) | (kept.age > user.age + 5)).count() == 0
+
+
+def test_session_task_equals_registered_queries(spark):
+    """T1's rankings (from the checkpointed per-(category, session) counts) and
+    statistics equal the registered per-operator queries (from detail rows);
+    its detail outputs are the actions of the selected sessions."""
+    from clickflow.plans.registry import QUERIES
+    from clickflow.plans.present import present
+    from conftest import rows
+
+    actions = V.user_visit_action(spark, SF_SMALL)
+    p = P.session_task_params()
+    outs = tasks.session_task_outputs(actions, V.user_info(spark, SF_SMALL), p, 3, sample_size=P.SAMPLE_SIZE,
+                                      seed=P.SAMPLE_SEED, unit_seconds=P.VISIT_UNIT_SECONDS)
+    for name, key in (("top10_category", "top10_category"), ("top10_category_session", "top10_session"),
+                      ("session_aggr_stat", "session_aggr_stat")):
+        assert rows(present(outs[name]).drop("task_id")) == rows(QUERIES[key](spark, SF_SMALL)), name
+    detail = outs["top10_session_detail"]
+    tops = {(r.category_id, r.session_id) for r in outs["top10_category_session"].collect()}
+    assert {(r.category_id, r.session_id) for r in detail.select("category_id", "session_id").distinct().collect()} \
+        == tops
+    sampled = {r.session_id for r in outs["session_random_extract"].collect()}
+    n_rows = actions.where(actions.session_id.isin(list(sampled))).where(
+        actions.date.between(p.start_date, p.end_date)).count()
+    assert outs["session_detail"].count() == n_rows > 0
