@@ -98,19 +98,21 @@ def click_trend(log: DataFrame) -> DataFrame:
     )
 
 
-def sliding_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int = 10) -> DataFrame:
-    """Clicks per ad in windows of ``window_minutes`` every ``slide_minutes``.
+def sliding_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int = 10,
+                   slide_seconds: int | None = None) -> DataFrame:
+    """Clicks per ad in windows of ``window_minutes`` every ``slide_minutes``
+    (or every ``slide_seconds``, e.g. the reference's 10 s).
 
     Windows are [start, start + length) with start a multiple of the slide
     (Spark's ``window()`` semantics); only windows containing clicks appear.
     Output: window_start, window_end (timestamp_ntz), ad_id, click_count.
     """
-    if window_minutes % slide_minutes:
+    slide_s = int(slide_seconds) if slide_seconds else slide_minutes * 60
+    if (window_minutes * 60) % slide_s:
         raise ValueError("window length must be a multiple of the slide")
-    slide_s = slide_minutes * 60
     secs = F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), F.col("ts").cast("timestamp_ntz"))
     per_slide = log.groupBy(F.floor(secs / slide_s).alias("_slot"), "ad_id").agg(F.count(F.lit(1)).alias("_n"))
-    copies = window_minutes // slide_minutes
+    copies = window_minutes * 60 // slide_s
     fanned = per_slide.select(F.explode(F.sequence(F.col("_slot") - (copies - 1), F.col("_slot"))).alias("_w"),
                               "ad_id", "_n")
     agg = fanned.groupBy("_w", "ad_id").agg(F.sum("_n").cast("bigint").alias("click_count"))

@@ -350,6 +350,15 @@ SQL["ad_sliding_hour"] = q(
              '%Y-%m-%d %H:%M:%S') AS window_end, ad_id, count(*) AS click_count FROM wn GROUP BY w, ad_id""")
 
 
+_SLIDE_REF = P.SLIDE_SECONDS_REFERENCE
+SQL["ad_sliding_hour_10s"] = q(
+    f"sl AS (SELECT CAST(floor(epoch(ts) / {_SLIDE_REF}) AS BIGINT) AS slot, ad_id FROM ad_log)",
+    f"wn AS (SELECT slot - i AS w, ad_id FROM sl, range(0, {P.WINDOW_MINUTES * 60 // _SLIDE_REF}) t(i))",
+    f"""SELECT strftime(TIMESTAMP '1970-01-01' + to_seconds(w * {_SLIDE_REF}), '%Y-%m-%d %H:%M:%S') AS window_start,
+    strftime(TIMESTAMP '1970-01-01' + to_seconds(w * {_SLIDE_REF}) + INTERVAL {P.WINDOW_MINUTES} MINUTE,
+             '%Y-%m-%d %H:%M:%S') AS window_end, ad_id, count(*) AS click_count FROM wn GROUP BY w, ad_id""")
+
+
 # ---------------------------------------------------------------- sinks
 SQL["sink_append"] = q(f"SELECT event_id, {_ts('ts')} AS ts, province, city, user_id, ad_id FROM ad_log")
 SQL["sink_upsert_increment"] = q(_UAC, f"SELECT {_d('date')} AS date, user_id, ad_id, click_count FROM uac")

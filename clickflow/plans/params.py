@@ -30,6 +30,7 @@ VISIT_UNIT_SECONDS = 60
 # ads
 CLICK_THRESHOLD = 2
 SLIDE_MINUTES = 10
+SLIDE_SECONDS_REFERENCE = 10  # the reference's slide: 360 windows per click
 WINDOW_MINUTES = 60
 
 

@@ -446,6 +446,12 @@ def _ad_sliding_hour(spark, d):
     return ads.sliding_counts(V.ad_log(spark, d), P.WINDOW_MINUTES, P.SLIDE_MINUTES)
 
 
+@register("ad_sliding_hour_10s")
+def _ad_sliding_hour_10s(spark, d):
+    """A7 in the reference's configuration: 60 min windows every 10 s."""
+    return ads.sliding_counts(V.ad_log(spark, d), P.WINDOW_MINUTES, slide_seconds=P.SLIDE_SECONDS_REFERENCE)
+
+
 # ---------------------------------------------------------------- sinks
 from clickflow.session import scratch_dir  # noqa: E402
 from clickflow.sinks import batch_log as sk  # noqa: E402

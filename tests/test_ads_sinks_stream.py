@@ -183,3 +183,14 @@ def test_stream_with_generations_equals_oracle(spark):
 def stats_last_batch_id(ckpt):
     """The id of the last committed micro-batch in a checkpoint folder."""
     return max(int(f) for f in os.listdir(f"{ckpt}/commits") if f.isdigit())
+
+
+def test_sliding_counts_seconds_slide_match_window_function(spark):
+    log = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, m, s), (m + s) % 2) for m in (0, 1, 5) for s in (0, 7, 59)],
+                                "ts timestamp_ntz, ad_id long")
+    mine = rows(ads.sliding_counts(log, 2, slide_seconds=10).select(
+        F.col("window_start").cast("string"), F.col("window_end").cast("string"), "ad_id", "click_count"))
+    ref = rows(log.groupBy(F.window(F.col("ts").cast("timestamp"), "2 minutes", "10 seconds"), "ad_id").count()
+               .select(F.col("window.start").cast("timestamp_ntz").cast("string"),
+                       F.col("window.end").cast("timestamp_ntz").cast("string"), "ad_id", "count"))
+    assert mine == ref
