@@ -64,13 +64,18 @@ def ensure_session_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster it is set by the deployment and read here. Only when it is
-    unset (local tests) do we create one under the system temp folder.
+    On a cluster it is set by the deployment and read here (an unset value
+    is an error there). Only in local mode, when it is unset (tests), do we
+    create one under the system temp folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        # a machine-local folder is only valid when driver and executors
+        # share the machine; a cluster must name a shared folder
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and all executors")
         root = tempfile.mkdtemp(prefix="clickflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
