@@ -68,3 +68,39 @@ def test_no_query_plans_a_cartesian_product(spark):
         assert "CartesianProduct" not in plan, name
         assert "BroadcastNestedLoopJoin" not in plan, name
         assert "PythonUDF" not in plan and "BatchEvalPython" not in plan, name
+
+
+def test_topk_and_group_topk_plans(spark):
+    """Top-k is TakeOrderedAndProject (no full sort); group top-k has a partial
+    WindowGroupLimit below the shuffle; details are semi joins; counts are
+    partial aggregates."""
+    m = _entry()
+    q = m.queries()
+
+    def plan(name):
+        return _plan(q[name](spark, SF_SMALL))
+
+    assert "TakeOrderedAndProject" in plan("top10_category")
+    assert "TakeOrderedAndProject" in plan("global_sort_top1")
+    for name in ("area_top3_product", "top10_session", "ad_province_top3"):
+        p = plan(name)
+        assert p.count("WindowGroupLimit") >= 2, name  # partial (before the exchange) and final
+    assert "LeftSemi" in plan("session_detail")
+    for name in ("pv_uv_hourly", "ad_stat", "category_counts", "session_agg"):
+        assert "partial_" in plan(name), name
+
+
+def test_single_partition_exchanges_only_over_bounded_tables(spark):
+    """The only SinglePartition exchanges are the global aggregates of one row
+    per task (statistics), the per-day table of the sample and the flow-step
+    table of the funnel."""
+    m = _entry()
+    q = m.queries()
+    allowed = {"session_aggr_stat", "visit_length_hist", "step_length_hist", "session_random_extract",
+               "sample_detail", "page_convert_rate", "page_pair_counts", "page_convert_rate_string",
+               "top10_category", "top10_session", "top10_session_detail"}
+    skip = {n for n in q if n.startswith(("ad_stream_", "sink_"))}
+    for name, fn in q.items():
+        if name in skip or name in allowed:
+            continue
+        assert "SinglePartition" not in _plan(fn(spark, SF_SMALL)), name
