@@ -41,15 +41,33 @@ def test_funnel_hand_built(spark):
     assert s == "1_2=0.75|2_5=0.33"
 
 
+def _pandas_prev(df):
+    pdf = df.select("session_id", "event_id", "page_id", "action_time").toPandas()
+    pdf = pdf.sort_values(["session_id", "action_time", "event_id"])
+    pdf["prev"] = pdf.groupby("session_id")["page_id"].shift(1)
+    return {int(e): (None if pd.isna(p) else int(p)) for e, p in zip(pdf.event_id, pdf.prev)}
+
+
 def test_bucketed_lag_equals_per_session_sort(spark):
     a = V.user_visit_action(spark, SF_SMALL)
-    for bucket in (60, 3600, 86400 * 40):
-        got = {r.event_id: r.prev_page_id for r in fun.page_pairs(a, bucket).collect()}
-        pdf = a.select("session_id", "event_id", "page_id", "action_time").toPandas()
-        pdf = pdf.sort_values(["session_id", "action_time", "event_id"])
-        pdf["prev"] = pdf.groupby("session_id")["page_id"].shift(1)
-        want = {int(e): (None if pd.isna(p) else int(p)) for e, p in zip(pdf.event_id, pdf.prev)}
-        assert got == want
+    want = _pandas_prev(a)
+    for bucket, block in ((60, 100_000), (3600, 1), (86400 * 40, 3), (1, 2)):
+        got = {r.event_id: r.prev_page_id for r in fun.page_pairs(a, bucket, block).collect()}
+        assert got == want, (bucket, block)
+
+
+def test_lag_splits_a_hot_instant(spark):
+    """One session with 60 rows at three instants (20 each, ids interleaved)
+    and a second session: blocks of 4 ids split every instant into runs."""
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, 10, 0, 0)
+    data = [("hot", i, i % 7, t0 + dt.timedelta(seconds=(i * 7) % 3)) for i in range(60)]
+    data += [("cold", 100 + i, i, t0 + dt.timedelta(minutes=i)) for i in range(3)]
+    df = spark.createDataFrame(data, "session_id string, event_id long, page_id long, action_time timestamp_ntz")
+    want = _pandas_prev(df)
+    for bucket, block in ((60, 4), (1, 1), (3600, 100)):
+        got = {r.event_id: r.prev_page_id for r in fun.page_pairs(df, bucket, block).collect()}
+        assert got == want, (bucket, block)
 
 
 def _brute_sample(sessions_pdf, size, seed):
