@@ -80,3 +80,20 @@ def test_session_task_equals_registered_queries(spark):
     n_rows = actions.where(actions.session_id.isin(list(sampled))).where(
         actions.date.between(p.start_date, p.end_date)).count()
     assert outs["session_detail"].count() == n_rows > 0
+
+
+def test_submit_runs_a_task_from_the_task_table(spark):
+    """The command-line entry point looks the task up and appends its outputs."""
+    from clickflow.plans import submit
+
+    root = scratch_dir(spark, "t-submit")
+    V.task_table(spark, SF_SMALL, P.START_DATE, P.END_DATE, P.PAGE_FLOW).write.parquet(f"{root}/tasks")
+    uid = V.user_visit_action(spark, SF_SMALL).agg({"user_id": "min"}).first()[0]
+    for job in ("session", "page", "product"):
+        args = submit._parser().parse_args([job, "--input", SF_SMALL, "--tasks", f"{root}/tasks",
+                                            "--task-id", str(uid), "--out", f"{root}/out"])
+        assert submit.run(spark, args) is None
+    rate = spark.read.parquet(f"{root}/out/page_split_convert_rate").first()
+    assert rate.task_id == uid and rate.convert_rate.startswith("1_2=")
+    assert spark.read.parquet(f"{root}/out/session_aggr_stat").first().task_id == uid
+    assert spark.read.parquet(f"{root}/out/area_top3_product").count() > 0
