@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from clickflow.operators import sessions as ses
 from clickflow.operators.predicates import session_filter
 from clickflow.sources.task_params import TaskParams
-from conftest import rows
 
 ACTION_SCHEMA = ("event_id long, session_id string, user_id long, action_time timestamp_ntz, "
                  "search_keyword string, click_category_id long")
