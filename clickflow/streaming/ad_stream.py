@@ -96,14 +96,11 @@ class AdClickStats:
         listed = self._before(self.blacklist, batch_id).select("user_id")
         log = ads.remove_blacklisted(ads.parse_ad_log(lines), listed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            # the batch's first and last day (two scalars): the history logs
-            # are partitioned by date, so lookups read only these days' folders
-            lo, hi = log.agg(F.min("date"), F.max("date")).first()
-            in_days = F.col("date").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
             uac = ads.user_ad_counts(log)
             stat = ads.ad_stat(log)
 
-            def running(store: BatchLog, batch: DataFrame, keys: list[str], semi: DataFrame) -> DataFrame:
+            def running(store: BatchLog, batch: DataFrame, keys: list[str], semi: DataFrame,
+                        in_days) -> DataFrame:
                 """Cumulative click_count per key after this batch, for the keys
                 in ``semi``: earlier batches' counts of the batch's days plus
                 this batch's own."""
@@ -114,16 +111,16 @@ class AdClickStats:
             def user_clicks():  # A2
                 self.user_clicks.write(uac, batch_id)
 
-            def blacklist():  # A3
-                cum = running(self.user_clicks, uac, USER_KEYS, uac.select(*USER_KEYS))
+            def blacklist(in_days):  # A3
+                cum = running(self.user_clicks, uac, USER_KEYS, uac.select(*USER_KEYS), in_days)
                 new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
                 self.blacklist.write(new, batch_id)
 
             def ad_stat():  # A4
                 self.stat.write(stat, batch_id)
 
-            def province_top():  # A5, on the running totals of the groups this batch touched
-                totals = running(self.stat, stat, STAT_KEYS, log.select(*GROUP_KEYS).distinct())
+            def province_top(in_days):  # A5, on the running totals of the groups this batch touched
+                totals = running(self.stat, stat, STAT_KEYS, log.select(*GROUP_KEYS).distinct(), in_days)
                 self.province_top.write(ads.province_top3(ads.province_counts(totals), self.top_n), batch_id)
 
             def trend():  # A6
@@ -134,9 +131,15 @@ class AdClickStats:
             # concurrent Spark jobs. Each write replaces its own batch folder:
             # a failed branch fails the batch, and the retry rewrites the same
             # folders from the same inputs.
-            branches = (user_clicks, blacklist, ad_stat, province_top, trend)
-            with ThreadPoolExecutor(max_workers=len(branches)) as pool:
-                for f in [pool.submit(fn) for fn in branches]:
+            with ThreadPoolExecutor(max_workers=5) as pool:
+                futures = [pool.submit(fn) for fn in (user_clicks, ad_stat, trend)]
+                # meanwhile, the batch's first and last day (two scalars): the
+                # history logs are partitioned by date, so the lookups of A3
+                # and A5 read only these days' folders
+                lo, hi = log.agg(F.min("date"), F.max("date")).first()
+                in_days = F.col("date").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
+                futures += [pool.submit(fn, in_days) for fn in (blacklist, province_top)]
+                for f in futures:
                     f.result()
         finally:
             log.unpersist()
