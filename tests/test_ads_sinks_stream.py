@@ -236,3 +236,9 @@ def test_stream_survives_failed_batch_and_restart(spark):
         got = sorted(tuple(r) for r in present(df).select(*sorted(df.columns)).collect())
         sql = f"SELECT {', '.join(sorted(df.columns))} FROM ({SQL[name]})"
         assert got == _duck_rows(sql, SF_SMALL), name
+
+
+def test_kafka_source_names_the_missing_connector(spark):
+    import pytest
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        ast.kafka_source(spark, "localhost:9092", "ad_log")
