@@ -39,15 +39,14 @@ def _time_bucket(ts: Column, bucket_seconds: int) -> Column:
     return F.floor(secs / bucket_seconds)
 
 
-def _last_of(df: DataFrame, keys: list[str], order: list[str], value: str, prev_name: str):
-    """Within each ``keys`` partition ordered by ``order``: the previous value
-    (``prev_name``), whether the row is the partition's first, and the rows
-    that are the partition's last."""
+def _ordered(df: DataFrame, keys: list[str], order: list[str], value: str, prev_name: str) -> DataFrame:
+    """Within each ``keys`` partition ordered by ``order``: the previous
+    ``value`` (as ``prev_name``), the row number ``_rn`` and the partition
+    size ``_size`` (so ``_rn == 1`` is the first row, ``_rn == _size`` the last)."""
     w = Window.partitionBy(*keys).orderBy(*order)
     whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    out = df.select("*", F.lag(value).over(w).alias(prev_name), F.row_number().over(w).alias("_rn"),
-                    F.count(F.lit(1)).over(whole).alias("_size"))
-    return out
+    return df.select("*", F.lag(value).over(w).alias(prev_name), F.row_number().over(w).alias("_rn"),
+                     F.count(F.lit(1)).over(whole).alias("_size"))
 
 
 def page_pairs(actions: DataFrame, bucket_seconds: int = 60, block_rows: int = 100_000) -> DataFrame:
@@ -66,10 +65,10 @@ def page_pairs(actions: DataFrame, bucket_seconds: int = 60, block_rows: int = 1
     a = a.where(F.col("session_id").isNotNull() & F.col("_m").isNotNull())
     run = ["session_id", "action_time", "_blk"]
     # level 1: inside a run
-    rows = _last_of(a, run, ["event_id"], "page_id", "_prev_in")
+    rows = _ordered(a, run, ["event_id"], "page_id", "_prev_in")
     runs = rows.where(F.col("_rn") == F.col("_size")).select(*run, "_m", F.col("page_id").alias("_last"))
     # level 2: runs of one span, in order
-    runs = _last_of(runs, ["session_id", "_m"], ["action_time", "_blk"], "_last", "_prev_run")
+    runs = _ordered(runs, ["session_id", "_m"], ["action_time", "_blk"], "_last", "_prev_run")
     spans = runs.where(F.col("_rn") == F.col("_size")).select("session_id", "_m", F.col("_last").alias("_span_last"))
     # level 3: spans of one session, in order
     spans = spans.select("session_id", "_m",
