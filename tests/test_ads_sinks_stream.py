@@ -242,3 +242,27 @@ def test_kafka_source_names_the_missing_connector(spark):
     import pytest
     with pytest.raises(RuntimeError, match="Kafka connector"):
         ast.kafka_source(spark, "localhost:9092", "ad_log")
+
+
+def test_batch_log_generations_layout_and_views(spark):
+    """E = 2: generation g holds the base (batch 2g-1, the reduced view of
+    generation g-1) and batches 2g, 2g+1; every view equals that of a log
+    without generations, and a replayed first batch of a generation changes
+    nothing."""
+    schema = "k string, v bigint"
+    plain = BatchLog(spark, scratch_dir(spark, "t-plain"), schema)
+    gens = BatchLog(spark, scratch_dir(spark, "t-gens"), schema, (),
+                    lambda lg, df: lg.increments(["k"], "v", df), 2)
+    batches = [[("a", 1), ("b", 2)], [("b", 5)], [("c", 1), ("a", 2)], [("a", 1)], [("d", 4), ("b", 1)]]
+    for i, b in enumerate(batches):
+        df = spark.createDataFrame(b, schema)
+        plain.write(df, i)
+        gens.write(df, i)
+    gens.write(spark.createDataFrame(batches[4], schema), 4)  # replay of a generation's first batch
+    assert gens.current_generation() == 2
+    layout = {g: sorted(int(d.split("=")[1]) for d in os.listdir(f"{gens.path}/gen={g}") if d.startswith("batch_id="))
+              for g in (0, 1, 2)}
+    assert layout == {0: [0, 1], 1: [1, 2, 3], 2: [3, 4]}
+    assert rows(gens.increments(["k"], "v")) == rows(plain.increments(["k"], "v")) == \
+        [("a", 4), ("b", 8), ("c", 1), ("d", 4)]
+    assert rows(gens.read(1).where("batch_id = 1").select("k", "v")) == [("a", 1), ("b", 7)]
