@@ -394,6 +394,11 @@ SQL["ad_stream_province_top3"] = q(*_STREAM, f"""SELECT {_d('date')} AS date, pr
 SQL["ad_stream_trend"] = q(*_STREAM, """SELECT strftime(ts, '%Y-%m-%d') AS date, strftime(ts, '%H') AS hour,
     strftime(ts, '%M') AS minute, ad_id, count(*) AS click_count FROM kept
     GROUP BY date_trunc('minute', ts), 1, 2, 3, ad_id""")
+SQL["ad_stream_trend_last_hour"] = q(*_STREAM, f"""SELECT strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour,
+    strftime(m, '%M') AS minute, ad_id, count(*) AS click_count
+    FROM (SELECT date_trunc('minute', ts) AS m, ad_id FROM kept)
+    WHERE m > (SELECT max(date_trunc('minute', ts)) FROM kept) - INTERVAL {P.WINDOW_MINUTES} MINUTE
+    GROUP BY m, ad_id""")
 SQL["ad_stream_stateful_stat"] = q(f"""SELECT {_d('ts')} AS date, replace(province, ' ', '-') AS province, city,
     ad_id, count(*) AS click_count FROM ad_log GROUP BY ALL""")
 SQL["ad_stream_window_trend"] = SQL["ad_click_trend"]

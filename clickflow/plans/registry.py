@@ -607,6 +607,19 @@ def _ad_stream_trend(spark, d):
     )
 
 
+@register("ad_stream_trend_last_hour")
+def _ad_stream_trend_last_hour(spark, d):
+    """A6 as the reference keeps it: the minutes of the last hour (ending at
+    the newest minute seen) with their clicks per ad."""
+    t = _stream_run(spark, d).trend_view(last_minutes=P.WINDOW_MINUTES)
+    return t.select(
+        F.date_format("minute", "yyyy-MM-dd").alias("date"),
+        F.date_format("minute", "HH").alias("hour"),
+        F.date_format("minute", "mm").alias("minute"),
+        "ad_id", "click_count",
+    )
+
+
 # ---------------------------------------------------------------- stream, state store (A4 / A6 without blacklist)
 _STATEFUL_RUNS: dict = {}
 
