@@ -56,13 +56,27 @@ def conjunction(*terms: Column | None) -> Column | None:
     return out
 
 
-def session_filter(p: TaskParams) -> Column | None:
-    """P4 over the session-with-user rows of ``sessions.full_session_aggregates``."""
+def hit(col: str) -> Column:
+    """A per-session ``bool_or`` of a P2 test (see ``sessions.session_aggregates``);
+    a session without any value has null, which fails."""
+    return F.coalesce(F.col(col), F.lit(False))
+
+
+def session_filter(p: TaskParams, keyword_hit: str | None = None, category_hit: str | None = None) -> Column | None:
+    """P4 over the session-with-user rows of ``sessions.full_session_aggregates``.
+
+    With ``keyword_hit`` / ``category_hit`` (boolean columns aggregated per
+    session) the two set-overlap terms test those instead of the collected
+    keyword and category sets, so the sets need not be built at all when the
+    output does not show them."""
+    kw = hit(keyword_hit) if (p.keywords and keyword_hit) else overlaps("search_keywords", p.keywords, "string")
+    cats = [int(c) for c in p.category_ids] if p.category_ids else None
+    cat = hit(category_hit) if (cats and category_hit) else overlaps("click_category_ids", cats, "bigint")
     return conjunction(
         between("age", p.start_age, p.end_age),
         in_values("professional", p.professionals),
         in_values("city", p.cities),
         in_values("sex", p.sex),
-        overlaps("search_keywords", p.keywords, "string"),
-        overlaps("click_category_ids", [int(c) for c in p.category_ids] if p.category_ids else None, "bigint"),
+        kw,
+        cat,
     )

@@ -45,13 +45,29 @@ STEP_BUCKETS = [
 ]
 
 
-def session_aggregates(actions: DataFrame) -> DataFrame:
+KEYWORD_HIT = "_keyword_hit"
+CATEGORY_HIT = "_category_hit"
+
+
+def session_aggregates(actions: DataFrame, p: TaskParams | None = None) -> DataFrame:
     """G1: one row per session.
 
     Output: session_id, user_id, search_keywords (sorted distinct array),
     click_category_ids (sorted distinct array), start_time, end_time,
     visit_length (seconds, end - start), step_length (actions).
+
+    With task parameters that filter on keywords or categories, also
+    ``_keyword_hit`` / ``_category_hit``: whether any of the session's
+    keywords / click categories is a parameter token (``bool_or``, an
+    algebraic aggregate). The filter tests these, so when the output does not
+    show the collected sets Catalyst drops them from the aggregate.
     """
+    extra = []
+    if p is not None and p.keywords:
+        extra.append(F.bool_or(F.col("search_keyword").isin([str(k) for k in p.keywords])).alias(KEYWORD_HIT))
+    if p is not None and p.category_ids:
+        cats = [int(c) for c in p.category_ids]
+        extra.append(F.bool_or(F.col("click_category_id").isin(cats)).alias(CATEGORY_HIT))
     g = actions.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
         F.array_sort(F.collect_set("search_keyword")).alias("search_keywords"),
@@ -59,25 +75,31 @@ def session_aggregates(actions: DataFrame) -> DataFrame:
         F.min("action_time").alias("start_time"),
         F.max("action_time").alias("end_time"),
         F.count(F.lit(1)).alias("step_length"),
+        *extra,
     )
     return g.select(
         "session_id", "user_id", "search_keywords", "click_category_ids", "start_time", "end_time",
         F.timestamp_diff("SECOND", F.col("start_time"), F.col("end_time")).alias("visit_length"),
-        "step_length",
+        "step_length", *[c for c in (KEYWORD_HIT, CATEGORY_HIT) if c in g.columns],
     )
 
 
-def full_session_aggregates(actions: DataFrame, users: DataFrame) -> DataFrame:
+def full_session_aggregates(actions: DataFrame, users: DataFrame, p: TaskParams | None = None) -> DataFrame:
     """G1 + J1: sessions with the user's age, professional, city and sex.
-    Sessions whose user has no dimension row are dropped (inner join)."""
+    Sessions whose user has no dimension row are dropped (inner join).
+    ``p``: see ``session_aggregates``."""
     u = users.select("user_id", "age", "professional", "city", "sex")
-    return session_aggregates(actions).join(u, "user_id")
+    return session_aggregates(actions, p).join(u, "user_id")
 
 
 def filter_sessions(full: DataFrame, p: TaskParams) -> DataFrame:
-    """Keep sessions passing every given parameter term."""
-    cond = session_filter(p)
-    return full if cond is None else full.where(cond)
+    """Keep sessions passing every given parameter term (the helper
+    columns of ``session_aggregates``, if any, are used and dropped)."""
+    cols = full.columns
+    cond = session_filter(p, KEYWORD_HIT if KEYWORD_HIT in cols else None,
+                          CATEGORY_HIT if CATEGORY_HIT in cols else None)
+    out = full if cond is None else full.where(cond)
+    return out.drop(*[c for c in (KEYWORD_HIT, CATEGORY_HIT) if c in cols])
 
 
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:

@@ -94,7 +94,8 @@ def _full_sessions(spark, d):
 
 
 def _filtered_sessions(spark, d):
-    return ses.filter_sessions(_full_sessions(spark, d), P.session_task_params())
+    p = P.session_task_params()
+    return ses.filter_sessions(ses.full_session_aggregates(_actions_in_range(spark, d), V.user_info(spark, d), p), p)
 
 
 def _detail(spark, d):

@@ -47,7 +47,7 @@ def session_task_outputs(actions: DataFrame, users: DataFrame, p: TaskParams, ta
     the top sessions. Runs two jobs (the checkpoints); the outputs are lazy."""
     checkpoint_root(actions.sparkSession)  # the shared folder (set only where unset, as in tests)
     scoped = _in_range(actions, p)
-    sessions = ses.filter_sessions(ses.full_session_aggregates(scoped, users), p).checkpoint()
+    sessions = ses.filter_sessions(ses.full_session_aggregates(scoped, users, p), p).checkpoint()
     cs = cat.category_session_counts(ses.session_detail(scoped, sessions)).checkpoint()
     tid = F.lit(int(task_id)).alias("task_id")
     stat = ses.session_statistics(sessions, unit_seconds).select(tid, "*")

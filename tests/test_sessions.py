@@ -87,3 +87,24 @@ def test_session_detail_semi_join(spark):
                                (3, "s1", 7, _t(9), None, None)], ACTION_SCHEMA)
     s = spark.createDataFrame([("s1",)], "session_id string")
     assert sorted(r.event_id for r in ses.session_detail(a, s).collect()) == [1, 3]
+
+
+def test_filter_with_hit_columns_equals_filter_on_sets(spark):
+    """The bool_or hit columns give the same sessions as the overlap tests on
+    the collected sets, including sessions with no keyword or category."""
+    from clickflow.sources import views as V
+    from clickflow.plans import params as P
+    from conftest import SF_SMALL, rows
+
+    a = V.user_visit_action(spark, SF_SMALL)
+    u = V.user_info(spark, SF_SMALL)
+    for p in (P.session_task_params(), TaskParams(keywords=["kw1"]), TaskParams(category_ids=["3", "40"])):
+        via_sets = ses.filter_sessions(ses.full_session_aggregates(a, u), p)
+        via_hits = ses.filter_sessions(ses.full_session_aggregates(a, u, p), p)
+        assert via_hits.columns == via_sets.columns
+        assert rows(via_hits.select("session_id")) == rows(via_sets.select("session_id"))
+    # statistics over the hit path no longer build the sets
+    p = P.session_task_params()
+    stat = ses.session_statistics(ses.filter_sessions(ses.full_session_aggregates(a, u, p), p))
+    plan = stat._jdf.queryExecution().executedPlan().toString()
+    assert "collect_set" not in plan
