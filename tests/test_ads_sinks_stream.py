@@ -186,8 +186,8 @@ def stats_last_batch_id(ckpt):
 
 
 def test_sliding_counts_seconds_slide_match_window_function(spark):
-    log = spark.createDataFrame([(dt.datetime(2024, 1, 1, 0, m, s), (m + s) % 2) for m in (0, 1, 5) for s in (0, 7, 59)],
-                                "ts timestamp_ntz, ad_id long")
+    data = [(dt.datetime(2024, 1, 1, 0, m, s), (m + s) % 2) for m in (0, 1, 5) for s in (0, 7, 59)]
+    log = spark.createDataFrame(data, "ts timestamp_ntz, ad_id long")
     mine = rows(ads.sliding_counts(log, 2, slide_seconds=10).select(
         F.col("window_start").cast("string"), F.col("window_end").cast("string"), "ad_id", "click_count"))
     ref = rows(log.groupBy(F.window(F.col("ts").cast("timestamp"), "2 minutes", "10 seconds"), "ad_id").count()

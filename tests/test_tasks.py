@@ -49,7 +49,8 @@ def test_task_table_lookup_drives_a_task(spark):
     # a user with actions and neither keywords nor categories in its task
     odd = actions.where("user_id % 6 = 3").agg({"user_id": "min"}).first()[0]
     p = lookup_task(tasks_df, odd)
-    assert p.keywords is None and p.category_ids is None and p.start_date == P.START_DATE and p.target_page_flow == P.PAGE_FLOW
+    assert p.keywords is None and p.category_ids is None
+    assert p.start_date == P.START_DATE and p.target_page_flow == P.PAGE_FLOW
     user = V.user_info(spark, SF_SMALL).where(f"user_id = {odd}").first()
     assert p.cities == [user.city] and p.sex == [user.sex] and p.end_age == user.age + 5
     kept = ses.filter_sessions(ses.full_session_aggregates(actions, V.user_info(spark, SF_SMALL)), p)
