@@ -261,8 +261,10 @@ def _sessions_per_hour(spark, d):
 
 @register("session_random_extract")
 def _session_random_extract(spark, d):
-    """Time-proportional seeded sample of sessions."""
-    return _sampled(spark, d).select("session_id", "start_time", "search_keywords", "click_category_ids")
+    """Time-proportional seeded sample of sessions; the keyword and
+    category sets are aggregated for the sampled sessions only."""
+    return smp.sampled_sessions(V.user_visit_action(spark, d), P.SAMPLE_SIZE, P.SAMPLE_SEED).select(
+        "session_id", "start_time", "search_keywords", "click_category_ids")
 
 
 @register("sample_detail", ACTION_TEXT)

@@ -100,3 +100,14 @@ def test_sample_quota_capped_and_one_day(spark):
     assert sorted(r.session_id for r in smp.random_extract(df, 100, "1").collect()) == ["a", "b", "c"]
     # quota floors: 1 per day over 2 + 1 sessions -> hour 0 gets 2*1 div 3 = 0, hour 1 gets 0
     assert smp.random_extract(df, 1, "1").count() == 0
+
+
+def test_sampled_sessions_equal_sampling_all_aggregates(spark):
+    """Sampling on (session, start) and aggregating only the sampled sessions
+    gives the rows of sampling the full session aggregates."""
+    a = V.user_visit_action(spark, SF_SMALL)
+    cols = ["session_id", "start_time", "search_keywords", "click_category_ids", "visit_length", "step_length"]
+    full = smp.random_extract(ses.session_aggregates(a), 300, "7").select(*cols)
+    fast = smp.sampled_sessions(a, 300, "7").select(*cols)
+    got, want = sorted(map(tuple, fast.collect())), sorted(map(tuple, full.collect()))
+    assert got == want and len(got) > 0
