@@ -4,12 +4,14 @@
     python -m clickflow.plans.submit page    --input DIR --tasks PATH --task-id N --out DIR
     python -m clickflow.plans.submit product --input DIR --tasks PATH --task-id N --out DIR
     python -m clickflow.plans.submit ads     --source DIR --out DIR [--threshold 100] [--trigger-seconds 5]
+    python -m clickflow.plans.submit ads     --bootstrap-servers HOST:PORT --topics a,b --out DIR
 
 ``--input`` holds the input tables in the layout of ``clickflow.sources.tables``
 (read through the adapter views); ``--tasks`` is a parquet table with
 ``task_id`` and ``task_param`` (JSON). Outputs are appended under ``--out``,
 one folder per output table. The ad job runs until stopped, reading text
-lines from ``--source``, with its checkpoint and stores under ``--out``.
+lines from ``--source`` (or the ``--topics`` of a message bus, which needs
+Spark's Kafka connector package), with its checkpoint and stores under ``--out``.
 On a cluster the master comes from spark-submit and ``spark.checkpoint.dir``
 from the deployment.
 """
@@ -24,7 +26,7 @@ from clickflow.plans import tasks
 from clickflow.session import build_session
 from clickflow.sources import views as V
 from clickflow.sources.task_params import lookup_task
-from clickflow.streaming.ad_stream import AdClickStats, text_source
+from clickflow.streaming.ad_stream import AdClickStats, kafka_source, text_source
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -36,6 +38,8 @@ def _parser() -> argparse.ArgumentParser:
     ap.add_argument("--out", required=True)
     ap.add_argument("--sample-size", type=int, default=100)
     ap.add_argument("--source", help="folder of ad log text files (ads job)")
+    ap.add_argument("--bootstrap-servers", help="message-bus servers (ads job, with --topics)")
+    ap.add_argument("--topics", help="comma-separated ad log topics (ads job)")
     ap.add_argument("--threshold", type=int, default=100)
     ap.add_argument("--trigger-seconds", type=int, default=5)
     ap.add_argument("--master", help="only for local runs; spark-submit sets it otherwise")
@@ -45,8 +49,14 @@ def _parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: argparse.Namespace):
     out = args.out.rstrip("/")
     if args.job == "ads":
+        if args.topics:
+            lines = kafka_source(spark, args.bootstrap_servers, args.topics)
+        elif args.source:
+            lines = text_source(spark, f"{args.source.rstrip('/')}/*")
+        else:
+            raise SystemExit("the ads job needs --source or --bootstrap-servers and --topics")
         stats = AdClickStats(spark, f"{out}/stores", args.threshold)
-        return stats.start(text_source(spark, f"{args.source.rstrip('/')}/*"), f"{out}/checkpoint",
+        return stats.start(lines, f"{out}/checkpoint",
                            {"processingTime": f"{int(args.trigger_seconds)} seconds"}, query_name="ad_click_stats")
     if not (args.input and args.tasks and args.task_id is not None):
         raise SystemExit("batch jobs need --input, --tasks and --task-id")

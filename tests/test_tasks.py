@@ -98,3 +98,16 @@ def test_submit_runs_a_task_from_the_task_table(spark):
     assert rate.task_id == uid and rate.convert_rate.startswith("1_2=")
     assert spark.read.parquet(f"{root}/out/session_aggr_stat").first().task_id == uid
     assert spark.read.parquet(f"{root}/out/area_top3_product").count() > 0
+
+
+def test_submit_ads_job_reads_topics_through_the_bus_source(spark):
+    """With --topics the ads job builds the message-bus source (here it
+    reports the missing connector before any query starts)."""
+    import pytest
+    from clickflow.plans import submit
+
+    root = scratch_dir(spark, "t-submit-ads")
+    args = submit._parser().parse_args(["ads", "--bootstrap-servers", "localhost:9092", "--topics", "ad_log",
+                                        "--out", root])
+    with pytest.raises(RuntimeError, match="Kafka connector"):
+        submit.run(spark, args)
