@@ -104,3 +104,14 @@ def test_single_partition_exchanges_only_over_bounded_tables(spark):
         if name in skip or name in allowed:
             continue
         assert "SinglePartition" not in _plan(fn(spark, SF_SMALL)), name
+
+
+def test_session_statistics_plan_pushes_dates_and_prunes_columns(spark):
+    """The session statistics read four event columns and three customer
+    columns (no names, no comments), with the date range pushed to the scan."""
+    m = _entry()
+    formatted = _formatted(m.queries()["session_aggr_stat"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2024-01-05T00:00), LessThan(ts,2024-01-21T00:00)]" \
+        in formatted
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in formatted
+    assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:int,c_mktsegment:string>" in formatted
