@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import quality
+from clickflow.llm import quality, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -16,5 +16,12 @@ def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_crc("doc_id") % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_bradley_terry,)}
+def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), id_crc("doc_id") % 3 != 1)
+    return toxicity.score(docs, model, ["doc_id"]).select(
+        "doc_id", (id_crc("doc_id") % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
+
+
+QUERIES = {f.__name__: f for f in (op2_quality_bradley_terry, op5_toxicity_crf)}
 SQL: dict[str, str] = {}
