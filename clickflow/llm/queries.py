@@ -5,10 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import quality, toxicity
+from clickflow.llm import quality, secrets, toxicity
 from clickflow.llm.common import id_crc, table
 
 
+def op1_secrets_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.find(docs, secrets.fit(docs), ["doc_id"])
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    said = lambda spans: F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+    base = F.filter("spans", lambda s: s["kind"] != "crf")
+    return found.select("doc_id", n("assign").alias("n_assign"), n("access").alias("n_access"), n("hex").alias("n_hex"),
+                        F.sha2(said(base), 256).alias("base_sha256"), said(F.col("spans")).alias("spans"))
+
+
 def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), id_crc("doc_id") % 5 != 0)
@@ -23,5 +33,5 @@ def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_crc("doc_id") % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
 
 
-QUERIES = {f.__name__: f for f in (op2_quality_bradley_terry, op5_toxicity_crf)}
+QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op5_toxicity_crf)}
 SQL: dict[str, str] = {}
