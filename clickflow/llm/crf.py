@@ -145,7 +145,7 @@ def viterbi(model: Model, emit: np.ndarray, first: np.ndarray) -> np.ndarray:
     return path[np.arange(blocks), :, ends].reshape(-1)[:n]
 
 
-def train(features: np.ndarray, labels: np.ndarray, first: np.ndarray, size: int, dim: int, steps: int = 60,
+def train(features: np.ndarray, labels: np.ndarray, first: np.ndarray, size: int, dim: int, steps: int = 45,
           l2: float = 1e-4, rate: float = 0.2) -> Model:
     """Maximise the conditional likelihood by gradient steps (Adam) over all given tokens.
 

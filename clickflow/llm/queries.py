@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import quality, secrets, toxicity
+from clickflow.llm import packing, quality, secrets, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -26,6 +27,11 @@ def op2_quality_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_crc("doc_id") % 5 == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op3_packing_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+                        public_tokenizers.PATTERN, ["doc_id"])
+
+
 def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), id_crc("doc_id") % 3 != 1)
@@ -33,5 +39,5 @@ def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_crc("doc_id") % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op5_toxicity_crf)}
+QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op5_toxicity_crf)}
 SQL: dict[str, str] = {}

@@ -61,8 +61,10 @@ _CLASS = bytes(_DIGIT if chr(c).isdigit() and c < 128 else _UPPER if chr(c).isup
 def token_features(token: str) -> list[int]:
     """Shape (classes, runs of classes, length), marks, affixes, word; then word and shape as a neighbour."""
     raw = token[:80].encode("utf-8", "replace")
-    if raw.islower() and raw.isalpha():  # the common case: a plain word
-        runs, kinds, marks = 1, 4, b""
+    if token.isalpha():  # the common case: a plain word
+        runs, kinds, marks = 1, 4 if token.islower() else 2 if token.isupper() else 6, b""
+    elif token[:-1].isalpha() and token[-1] in ".,":
+        runs, kinds, marks = 2, 12, b"."
     else:
         cls = raw.translate(_CLASS)
         runs = 1 + sum(a != b for a, b in zip(cls, cls[1:], strict=False))
@@ -106,6 +108,10 @@ class Tagger:
         return owner, crf.viterbi(self.model, own[ids] + as_before[before] + as_after[after] + of_file[owner], first)
 
 
+#: A tagged run is reported only if it holds a value as long as the shortest assigned one, with a digit in it.
+VALUE = re.compile(r"(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{%d}" % ASSIGN_LEAST)
+
+
 def tagged_spans(text: str, tags: np.ndarray, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Base spans, and the runs of tagged tokens that overlap none of them."""
     out = list(base)
@@ -119,7 +125,7 @@ def tagged_spans(text: str, tags: np.ndarray, base: list[tuple[int, int, int]])
                 else:
                     runs.append([m.start(), m.end()])
                 last = k
-        out += [(a, 3, b) for a, b in runs if all(b <= s or a >= e for s, _, e in base)]
+        out += [(a, 3, b) for a, b in runs if VALUE.search(text, a, b) and all(b <= s or a >= e for s, _, e in base)]
         out.sort()
     return out
 
@@ -177,6 +183,8 @@ def fit(documents: DataFrame, id_col: str = "doc_id", text: str = "text", sample
     rows_of, (before, after) = types.rows, crf.neighbours(ids, first, blank)
     of_file = np.array([r["file"] for r in got])
     x = np.concatenate([rows_of[ids, :7], rows_of[before, 7:9], rows_of[after, 9:], of_file[owner]], axis=1)
+    # in every other window the words and affixes themselves are blank, so that shapes and marks must tell a secret
+    x[np.ix_(owner % 2 == 1, (0, 1, 2, 7, 9))] = rows_of[blank, [0, 1, 2, 7, 9]]
     return crf.train(x, np.array([y for r in got for y in r["tags"]]), first, 3, DIM)
 
 
