@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import packing, quality, secrets, toxicity
+from clickflow.llm import packing, quality, secrets, tokencount, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -39,5 +39,10 @@ def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (id_crc("doc_id") % 3 == 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "spans")
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op5_toxicity_crf)}
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id"])
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op5_toxicity_crf, op6_token_counts)}
 SQL: dict[str, str] = {}
