@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import packing, quality, secrets, tokencount, toxicity
+from clickflow.llm import ngram_join, packing, quality, secrets, tokencount, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -32,6 +32,10 @@ def op3_packing_vector(spark: SparkSession, sf_dir: str) -> DataFrame:
                         public_tokenizers.PATTERN, ["doc_id"])
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op5_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), id_crc("doc_id") % 3 != 1)
@@ -44,5 +48,5 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op5_toxicity_crf, op6_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op4_ngram_jaccard_join, op5_toxicity_crf, op6_token_counts)}
 SQL: dict[str, str] = {}
