@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import ngram_join, packing, quality, secrets, tokencount, toxicity
+from clickflow.llm import ann, embedding_dups, ngram_join, packing, quality, secrets, tokencount, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -48,5 +48,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op4_ngram_jaccard_join, op5_toxicity_crf, op6_token_counts)}
+def op7_embedding_pivot_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dups.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+def op8_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
+QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op4_ngram_jaccard_join, op5_toxicity_crf, op6_token_counts, op7_embedding_pivot_dups,
+                                  op8_ann_kmeans_tree)}
 SQL: dict[str, str] = {}
