@@ -287,6 +287,28 @@ def _texts(documents: DataFrame, scan: DataFrame, keys: DataFrame) -> DataFrame:
     return documents.where("id is not null").join(F.broadcast(wanted) if few else wanted, "id").select("key", "text")
 
 
+def first_of_groups(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows, with all their columns, but for those linked (directly or not) to a row of smaller id; of rows repeated in id and text one stays.
+
+    Ids are taken as unique otherwise: rows of one id go if one of them goes. Rows with a null id stay.
+    """
+    spark = documents.sparkSession
+    found, _ = saved(spark, join(documents, n, percent, id_col, text).select(F.col(id_col).alias("__id"), "component_id"), "ngram-found")
+    gone = found.where("__id <> component_id").select("__id").distinct()
+    twice = found.groupBy("__id").count().where("count > 1 and __id is not null").select("__id")
+
+    def within(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+    own = F.col(id_col).cast("long") == F.col("__id")
+    gone = within(gone)
+    left = documents.join(gone, own, "left_anti")
+    if twice.limit(1).count():
+        twice = within(twice)
+        left = left.join(twice, own, "left_anti").unionAll(left.join(twice, own, "left_semi").dropDuplicates([id_col, text]))
+    return left
+
+
 def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) of each row: documents link if 100 * overlap >= ``percent`` * union of their n-gram sets.
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import ann, embedding_dups, ngram_join, packing, quality, secrets, tokencount, toxicity
+from clickflow.llm import ann, chat, embedding_dups, mixing, ngram_join, packing, quality, secrets, tokencount, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -56,6 +56,15 @@ def op8_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the flattest mixture that reads no source more than twice as often as the source read least, every document at least once
+    return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id", "source"], repeats=2.0)
+
+
+def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.collapse(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op4_ngram_jaccard_join, op5_toxicity_crf, op6_token_counts, op7_embedding_pivot_dups,
-                                  op8_ann_kmeans_tree)}
-SQL: dict[str, str] = {}
+                                  op8_ann_kmeans_tree, op9_temperature_mixing, op10_chat_snapshot_collapse)}
+SQL: dict[str, str] = {"op10_chat_snapshot_collapse": chat.SQL}
