@@ -7,11 +7,11 @@ hold a linked pair is made, and rows that are equal are one row (a class of docu
    corpus a table of fixed size with the (hashed) document frequency of n-grams.
 2. ``_columns``: with n-grams ordered from rare to frequent, a pair that links shares one of the first
    n - ceil(t * n) + 1 of either set, so only these entries are shuffled, by n-gram (the columns of A).
-3. Within a column, every class is paired with one of like size (the hub): overlap counts are accumulated by pair,
-   pairs whose count plus what the later n-grams can add is below the bound of their sizes are discarded, the rest
+3. Within a column, every class is paired with the smallest one of a size that can link (the hub), and these pairs
    are verified on the whole texts. Their components are the first answer, from work linear in the entries.
-4. Pairs of a column that are in different components, of sizes that can link, and not verified yet, go the same way:
-   accumulated, bounded, verified. After that no link between different components is left out.
+4. Of pairs of a column whose sizes can link but whose components still differ, the overlap counts are accumulated
+   over all columns; a pair whose count, with all that the later n-grams can add, stays below the bound of its sizes is
+   discarded, the others are verified. After that no link between different components is left out.
 
 A hub's pairs are verified in blocks of ``BLOCK``. Classes are told apart by 64-bit keys, n-grams by 64-bit hashes.
 
@@ -162,14 +162,14 @@ def _columns(documents: DataFrame, n: int, percent: int, classes: np.ndarray) ->
     return documents.select("text").mapInArrow(task, "gram long, key long, size int, pos int")
 
 
-_LIST = ["gram", "key", "size", "pos", "hub", "hub_size", "hub_pos"]
+_LIST = ["gram", "key", "size", "pos", "hub"]
 
 
 def _hubs(columns: DataFrame, percent: int) -> DataFrame:
     """Entries of columns with two classes or more, each with a hub: the smallest class of its column that it may link with, or itself."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = None  # (gram, key, size, pos, hub, hub_size, hub_pos) of the entry before
+        last, hub_size = None, 0  # (gram, key, size, pos, hub) of the entry before, and its hub's size
         told = True  # whether that entry has been passed on
         for batch in batches:
             if not batch.num_rows:
@@ -189,29 +189,32 @@ def _hubs(columns: DataFrame, percent: int) -> DataFrame:
                         continue
                     if not told:
                         out.append(last)
-                    last = (g, k, n, p, *last[4:]) if 100 * last[5] >= percent * n else (g, k, n, p, k, n, p)
+                    if 100 * hub_size >= percent * n:
+                        last = (g, k, n, p, last[4])
+                    else:
+                        last, hub_size = (g, k, n, p, k), n
                     out.append(last)
                     told = True
                 else:
-                    last, told = (g, k, n, p, k, n, p), False
+                    last, hub_size, told = (g, k, n, p, k), n, False
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i in (0, 1, 4) else pa.int32()) for i, c in enumerate(zip(*out, strict=True))], _LIST)
 
     return columns.repartition("gram").sortWithinPartitions("gram", "size", "key").mapInArrow(
-        task, "gram long, key long, size int, pos int, hub long, hub_size int, hub_pos int")
+        task, "gram long, key long, size int, pos int, hub long")
 
 
 def _crossing(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a column's entries in different components whose sizes may link, but for those a hub has settled."""
+    """Pairs of a column's entries in different components whose sizes may link, the smaller first."""
 
     def pairs(run: list[tuple]) -> Iterator[tuple]:
-        key, size, pos, hub, comp = (np.array(c) for c in list(zip(*run, strict=True))[1:])
+        key, size, pos, comp = (np.array(c) for c in list(zip(*run, strict=True))[1:])
         if (comp == comp[0]).all():
             return
         ends = np.searchsorted(size, 100 * size // percent, side="right")
         for i in range(len(key) - 1):
             at = np.arange(i + 1, ends[i])
-            at = at[(comp[at] != comp[i]) & (hub[at] != key[i]) & (hub[i] != key[at])]
+            at = at[comp[at] != comp[i]]
             if len(at):
                 yield np.full(len(at), key[i]), key[at], np.full(len(at), size[i]), size[at], np.full(len(at), pos[i]), pos[at]
 
@@ -224,7 +227,7 @@ def _crossing(lists: DataFrame, percent: int) -> DataFrame:
         run: list[tuple] = []
         found, held = [], 0
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "key", "size", "pos", "hub", "component")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "key", "size", "pos", "component")), strict=True):
                 if run and run[-1][0] != row[0]:
                     for x in pairs(run) if len(run) > 1 else ():
                         found.append(x)
@@ -322,18 +325,17 @@ def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc
     lists, lists_path = saved(spark, _hubs(_columns(docs, n, percent, classes), percent), "ngram-lists")
     texts, texts_path = saved(spark, _texts(docs, rows, lists.select("key").distinct()), "ngram-texts")
 
-    stars = lists.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b"), F.col("hub_size").alias("a_size"),
-                                             F.col("size").alias("b_size"), F.col("hub_pos").alias("a_pos"), F.col("pos").alias("b_pos"))
-    pairs, pairs_path = saved(spark, _within_bounds(stars, percent), "ngram-pairs")
-    links, _ = saved(spark, _verified(pairs, texts, n, percent), "ngram-links")
-    forget(spark, pairs_path)
+    # a pair meets its hub in some of its columns only, so its count is not whole and can discard nothing: all are verified
+    stars, stars_path = saved(spark, lists.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct(), "ngram-stars")
+    links, _ = saved(spark, _verified(stars, texts, n, percent), "ngram-links")
     part = components(links)
 
-    told = lists.select("gram", "key", "size", "pos", "hub").join(part.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    told = lists.select("gram", "key", "size", "pos").join(part.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     told, told_path = saved(spark, told, "ngram-told")
-    pairs, pairs_path = saved(spark, _within_bounds(_crossing(told, percent), percent), "ngram-pairs")
+    open_ = _within_bounds(_crossing(told, percent), percent).join(stars, ["a", "b"], "left_anti")
+    pairs, pairs_path = saved(spark, open_, "ngram-pairs")
     more, _ = saved(spark, _verified(pairs, texts, n, percent), "ngram-links")
-    for p in (pairs_path, told_path, lists_path, texts_path):
+    for p in (pairs_path, stars_path, told_path, lists_path, texts_path):
         forget(spark, p)
     whole = components(links.unionAll(more)) if more.count() else part
 
