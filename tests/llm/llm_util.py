@@ -26,7 +26,7 @@ def edge_texts():
 
 def clashing(df):
     """Columns by the names that operators make or use inside."""
-    for c in ("score", "spans", "id", "key", "component_id", "n_tokens", "block", "epoch", "slot", "label", "start", "size", "tokens", "x"):
+    for c in sorted({"score", "spans", "id", "key", "component_id", "n_tokens", "block", "epoch", "slot", "label", "start", "size", "tokens", "x"} - set(df.columns)):
         df = df.selectExpr("*", f"'own' as {c}")
     return df
 
