@@ -1,8 +1,8 @@
 """Token counts: pieces are counted once per distinct pre-token, joined to pre-token frequencies, and summed by document.
 
-White space always separates pre-tokens of the given tokenizers (``WORD_JSON``: its pre-tokenizer drops white space
-and never joins across it), so a pre-token here is a run of bytes without ASCII white space, and the number of
-pieces of a text is the sum over its pre-tokens.
+For a word-end tokenizer of lower-cased text that drops white space (word_bpe_49k.json): nothing joins across ASCII
+white space, so the number of pieces of a text is the sum over its runs without it, and a run is one or two
+pre-tokens (``pretokens``).
 
 Plan, for a table of any size:
 1. A task turns each batch of documents (a block) into the block's distinct pre-tokens, one row each, and one row
@@ -32,49 +32,71 @@ from pyspark.sql import types as T
 from clickflow.llm.common import chunks, saved
 
 #: Characters of a block; more than this only if one text is longer.
-BLOCK_CHARS = 8_000_000
+BLOCK_CHARS = 16_000_000
+#: Words up to this code point are known to split from the marks after them.
+LATIN = "ɏ"
 #: Characters of pre-tokens that the library is given at once.
 ASK_CHARS = 500_000
 
 
+def pretokens(raw: bytes) -> tuple[bytes, bytes]:
+    """A run without white space as one or two pre-tokens (the second may be empty) that make as many pieces as the run.
+
+    Marks after a Latin word are pre-tokens of their own whatever they are, but for the apostrophe, which may begin
+    a contraction; and ASCII letters may be lower-cased, as the tokenizer does it, but in what may be a special string.
+    """
+    if b"<|" in raw:
+        return raw, b""
+    raw = raw.lower()
+    word = raw.rstrip(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
+    if len(word) < len(raw) and word:
+        text = word.decode()
+        if text.isalpha() and (word.isascii() or max(text) <= LATIN):
+            return word, raw[len(word):]
+    return raw, b""
+
+
 def _blocks(documents: DataFrame, keep: list[str], text: str) -> DataFrame:
-    """Rows of two kinds: (block, word, at) for a distinct pre-token, and (block, rows...) for the block's documents."""
+    """Rows of two kinds: (block, word, at) for a distinct pre-token, and (block, block_rows) for the block's documents."""
     source = documents.select(*keep, F.col(text).alias("__text"))
-    kept = source.schema.fields[:-1]
-    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("word", T.BinaryType()), T.StructField("at", T.IntegerType()), T.StructField("block_rows", T.BinaryType())])
+    names = ["block", "word", "at", "block_rows"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = count(TaskContext.get().partitionId() << 32)
         for batch in batches:
             for part in chunks(batch, "__text", BLOCK_CHARS):
-                ids: dict[bytes, int] = {}
-                n_bytes, sizes, at, freq = [], [], [], []
+                runs: dict[bytes, int] = {}  # distinct runs without white space, by first appearance
+                n_bytes, steps, freq = [], [], []
                 for t in part.column("__text").to_pylist():
                     raw = (t or "").encode()
                     n_bytes.append(len(raw))
-                    own = np.fromiter((ids.setdefault(w, len(ids)) for w in raw.split()), dtype=np.int32)
+                    own = np.fromiter((runs.setdefault(w, len(runs)) for w in raw.split()), dtype=np.int32)
                     a, f = np.unique(own, return_counts=True)
-                    sizes.append(len(a))
-                    at.append(a.astype(np.int32))
+                    steps.append(np.diff(a, prepend=0).astype(np.int32))  # small numbers, which compress well
                     freq.append(f.astype(np.int32))
-                rows = part.drop_columns(["__text"]).append_column("n_bytes", pa.array(n_bytes, pa.int64())).append_column("at", _lists(at, sizes)).append_column("freq", _lists(freq, sizes))
+                words: dict[bytes, int] = {b"": 0}
+                first, second = (np.empty(len(runs), dtype=np.int32) for _ in range(2))
+                for i, w in enumerate(runs):
+                    x, y = pretokens(w)
+                    first[i], second[i] = words.setdefault(x, len(words)), words.setdefault(y, len(words))
+                rows = part.drop_columns(["__text"]).append_column("n_bytes", pa.array(n_bytes, pa.int64())).append_column("steps", _lists(steps)).append_column("freq", _lists(freq))
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-                    out.write_batch(rows)
+                for columns in (rows, pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], ["first", "second"])):
+                    with pa.ipc.new_stream(sink, columns.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                        out.write_batch(columns)
                 block = next(number)
-                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([None], pa.binary()), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema.names)
-                words = list(ids)
-                for i in range(0, len(words), 50_000):
-                    some = words[i:i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some, pa.binary()), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.nulls(len(some), pa.binary())], schema.names)
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([None], pa.binary()), pa.array([-1], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], names)
+                found = list(words)
+                for i in range(1, len(found), 50_000):
+                    some = found[i:i + 50_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block)), pa.array(some, pa.binary()), pa.array(np.arange(i, i + len(some), dtype=np.int32)), pa.nulls(len(some), pa.binary())], names)
 
-    del kept
-    return source.mapInArrow(task, schema)
+    return source.mapInArrow(task, "block long, word binary, at int, block_rows binary")
 
 
-def _lists(parts: list[np.ndarray], sizes: list[int]) -> pa.Array:
+def _lists(parts: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(flat))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.array(flat))
 
 
 def _counted(words: DataFrame, tokenizer_path: str) -> DataFrame:
@@ -114,7 +136,7 @@ def _counted(words: DataFrame, tokenizer_path: str) -> DataFrame:
 
 def count_tokens(documents: DataFrame, tokenizer_path: str, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep``, ``n_bytes`` (UTF-8) and ``n_tokens``; like-named columns of the input are not kept."""
-    made = ("n_bytes", "n_tokens", "at", "freq")
+    made = ("n_bytes", "n_tokens", "steps", "freq")
     keep = [c for c in dict.fromkeys(keep) if c not in made]
     spark = documents.sparkSession
     blocks, _ = saved(spark, _blocks(documents, keep, text), "token-blocks")
@@ -124,12 +146,16 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, keep: list[str], tex
     schema = T.StructType([*documents.select(*keep).schema.fields, T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType())])
 
     def sums(holder: pa.Table, counts: pa.Table) -> pa.Table:
-        rows = pa.ipc.open_stream(holder.column("block_rows")[0].as_buffer()).read_all().combine_chunks()
-        n = np.zeros(counts.num_rows, dtype=np.int64)
+        stream = pa.BufferReader(holder.column("block_rows")[0].as_buffer())
+        rows, runs = (pa.ipc.open_stream(stream).read_all().combine_chunks() for _ in range(2))
+        n = np.zeros(counts.num_rows + 1, dtype=np.int64)  # the empty pre-token is number 0
         n[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
-        at, freq = rows.column("at").combine_chunks(), rows.column("freq").combine_chunks()
-        ends = np.concatenate([[0], np.cumsum(n[at.flatten().to_numpy()] * freq.flatten().to_numpy())])
-        tokens = np.diff(ends[at.offsets.to_numpy()])
-        return rows.drop_columns(["at", "freq"]).append_column("n_tokens", pa.array(tokens, pa.int64()))
+        of_run = n[runs.column("first").to_numpy()] + n[runs.column("second").to_numpy()]
+        steps, freq = rows.column("steps").combine_chunks(), rows.column("freq").combine_chunks()
+        ends, gone = steps.offsets.to_numpy(), np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)
+        before = np.concatenate([[0], gone])[ends[:-1]]  # sum of all steps of earlier documents
+        at = gone - np.repeat(before, np.diff(ends))
+        tokens = np.diff(np.concatenate([[0], np.cumsum(of_run[at] * freq.flatten().to_numpy())])[ends])
+        return rows.drop_columns(["steps", "freq"]).append_column("n_tokens", pa.array(tokens, pa.int64()))
 
     return holders.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(sums, schema)
