@@ -51,7 +51,7 @@ def pretokens(raw: bytes) -> tuple[bytes, bytes]:
     word = raw.rstrip(b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~")
     if len(word) < len(raw) and word:
         text = word.decode()
-        if text.isalpha() and (word.isascii() or max(text) <= LATIN):
+        if word.isascii() and text.isalpha() or max(text) <= LATIN and text.lower().isalpha():  # lower-casing may make marks
             return word, raw[len(word):]
     return raw, b""
 
