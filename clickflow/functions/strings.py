@@ -18,22 +18,25 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def _parts(piece: Column) -> Column:
+    return F.split(F.regexp_replace(piece, "=+$", ""), KV_SEP)
+
+
 def kv_get(s, field: str) -> Column:
-    """Value of ``field`` in ``k=v|k=v``; first match wins; an empty value is missing."""
-    pairs = F.transform(F.split(_c(s), r"\|"), lambda x: F.split(x, KV_SEP))
-    hits = F.filter(pairs, lambda a: (F.size(a) == 2) & (a[0] == F.lit(field)) & (a[1] != F.lit("")))
+    """Value of ``field`` in ``k=v|k=v``; first match wins; an empty value is missing.
+
+    Empty parts at the end of a piece don't count (``a=1=`` holds ``1``); a piece with two or more values is skipped."""
+    pairs = F.transform(F.split(_c(s), r"\|"), _parts)
+    hits = F.filter(pairs, lambda a: (F.size(a) == 2) & (a[0] == F.lit(field)))
     return F.try_element_at(F.try_element_at(hits, F.lit(1)), F.lit(2))
 
 
 def kv_set(s, field: str, value) -> Column:
-    """Replace the value of ``field`` in ``k=v|k=v`` (other pieces unchanged)."""
+    """Replace the value of the first ``field`` in ``k=v|k=v`` (other pieces unchanged; empty pieces at the end go)."""
     v = _c(value).cast("string") if not isinstance(value, str) else F.lit(value)
-    pieces = F.split(_c(s), r"\|")
-    replaced = F.transform(
-        pieces,
-        lambda x: F.when(F.split(x, KV_SEP)[0] == F.lit(field),
-                         F.concat(F.lit(field + KV_SEP), v)).otherwise(x),
-    )
+    pieces = F.split(F.regexp_replace(_c(s), r"\|+$", ""), r"\|")
+    first = F.array_position(F.transform(pieces, lambda x: _parts(x)[0]), F.lit(field))
+    replaced = F.transform(pieces, lambda x, i: F.when(i + 1 == first, F.concat(F.lit(field + KV_SEP), v)).otherwise(x))
     return F.array_join(replaced, FIELD_SEP)
 
 

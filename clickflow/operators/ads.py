@@ -25,11 +25,11 @@ from clickflow.operators.products import top_n_per_group
 EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
-def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
+def parse_ad_log(lines: DataFrame, value_col: str = "value", keep_value: bool = False) -> DataFrame:
     """S7 + F7: ``<epoch_ms> <province> <city> <user_id> <ad_id>`` split on whitespace.
 
     Output: ts (timestamp), date (date), province, city, user_id, ad_id.
-    Malformed numbers become null (the row is kept).
+    Malformed numbers become null (the row is kept). ``keep_value``: with the line itself.
     """
     p = F.split(F.col(value_col), r"\s")
     ts = millis_to_timestamp(p[0].try_cast("bigint"))
@@ -40,6 +40,7 @@ def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
         p[2].alias("city"),
         p[3].try_cast("bigint").alias("user_id"),
         p[4].try_cast("bigint").alias("ad_id"),
+        *([F.col(value_col).alias("value")] if keep_value else []),
     )
 
 

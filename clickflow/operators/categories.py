@@ -135,10 +135,9 @@ def clicks_from_session_counts(cs: DataFrame) -> DataFrame:
 
 
 def rank_sessions(session_clicks: DataFrame, top: DataFrame, k: int = 10) -> DataFrame:
-    """W3 over C5 rows, restricted to the categories of ``top`` (at most n
-    rows, a top-n result, so broadcasting it is safe). Ties: more clicks
-    first, then session_id ascending."""
-    counts = session_clicks.join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+    """W3 over C5 rows, restricted to the categories of ``top``. Ties: more
+    clicks first, then session_id ascending."""
+    counts = session_clicks.join(top.select("category_id"), "category_id", "left_semi")
     w = Window.partitionBy("category_id").orderBy(F.desc("click_count"), F.asc("session_id"))
     return counts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
 
@@ -152,7 +151,6 @@ def top_session_detail(top_sessions: DataFrame, detail: DataFrame) -> DataFrame:
     """Action rows of the top sessions, once per (category, session).
 
     A session in the top list of several categories yields its rows once per
-    category; ``category_id`` stays in the output. The top list holds at most
-    n*k rows, so it is broadcast.
+    category; ``category_id`` stays in the output.
     """
-    return F.broadcast(top_sessions.select("category_id", "session_id")).join(detail, "session_id")
+    return top_sessions.select("category_id", "session_id").join(detail, "session_id")

@@ -8,6 +8,8 @@ Rules of the reference, kept:
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,10 +38,15 @@ def overlaps(arr_col, values, element_type: str = "string") -> Column | None:
     """P2 on a set column: any data token equals any parameter token."""
     if not values:
         return None
-    vals = [str(v) if element_type == "string" else int(v) for v in values]
+    vals = [str(v) for v in values] if element_type == "string" else integers(values)
     return F.coalesce(F.exists(_c(arr_col), lambda x: x.isin(vals)), F.lit(False))
 
 
+def integers(tokens) -> list[int]:
+    """The tokens that are numbers; any other matches no id."""
+    return [int(t) for t in map(str, tokens) if re.fullmatch(r"-?[0-9]+", t)]
+
+
 def equals(col, value) -> Column | None:
     """Equality; None if the parameter is missing."""
     if value is None:
@@ -70,7 +77,7 @@ def session_filter(p: TaskParams, keyword_hit: str | None = None, category_hit:
     keyword and category sets, so the sets need not be built at all when the
     output does not show them."""
     kw = hit(keyword_hit) if (p.keywords and keyword_hit) else overlaps("search_keywords", p.keywords, "string")
-    cats = [int(c) for c in p.category_ids] if p.category_ids else None
+    cats = p.category_ids
     cat = hit(category_hit) if (cats and category_hit) else overlaps("click_category_ids", cats, "bigint")
     return conjunction(
         between("age", p.start_age, p.end_age),

@@ -68,33 +68,21 @@ def random_extract(sessions: DataFrame, sample_size: int, seed: str = "42", pref
     return picked.drop("_d", "_hr", "_h", "_b", "_before", "_quota", "_rn")
 
 
-def sampled_sessions(actions: DataFrame, sample_size: int, seed: str = "42", prefix_len: int = 3,
-                     broadcast_max_rows: int = 1_000_000) -> DataFrame:
+def sampled_sessions(actions: DataFrame, sample_size: int, seed: str = "42", prefix_len: int = 3) -> DataFrame:
     """W6 from action rows, output as ``session_aggregates`` rows.
 
     The sample depends on each session's id and start time only, so it is
     drawn from a plain ``min`` aggregate over all sessions; the full
     aggregates (keyword and category sets included) are then built for the
     sampled sessions alone, from their rows picked by a semi-join with the
-    sampled keys (at most ``sample_size``; broadcast when that bound is under
-    ``broadcast_max_rows``)."""
+    sampled keys."""
     from clickflow.operators.sessions import session_aggregates
 
     starts = actions.groupBy("session_id").agg(F.min("action_time").alias("start_time"))
     keys = random_extract(starts, sample_size, seed, prefix_len).select("session_id")
-    if sample_size <= broadcast_max_rows:
-        keys = F.broadcast(keys)
     return session_aggregates(actions.join(keys, "session_id", "left_semi"))
 
 
-def sample_detail(sampled: DataFrame, actions: DataFrame, sample_size: int,
-                  broadcast_max_rows: int = 1_000_000) -> DataFrame:
-    """Action rows of the sampled sessions.
-
-    The sample never exceeds ``sample_size`` rows, so it is broadcast when that
-    bound is under ``broadcast_max_rows``; above it the planner chooses.
-    """
-    keys = sampled.select("session_id")
-    if sample_size <= broadcast_max_rows:
-        keys = F.broadcast(keys)
-    return actions.join(keys, "session_id", "left_semi")
+def sample_detail(sampled: DataFrame, actions: DataFrame) -> DataFrame:
+    """Action rows of the sampled sessions (the planner sees the sample's size)."""
+    return actions.join(sampled.select("session_id"), "session_id", "left_semi")

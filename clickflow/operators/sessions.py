@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickflow.functions.numbers import ratio2
-from clickflow.operators.predicates import session_filter
+from clickflow.operators.predicates import integers, session_filter
 from clickflow.sources.task_params import TaskParams
 
 # Length buckets (fixed values): name, lower bound, upper bound, upper inclusive.
@@ -66,7 +66,7 @@ def session_aggregates(actions: DataFrame, p: TaskParams | None = None) -> DataF
     if p is not None and p.keywords:
         extra.append(F.bool_or(F.col("search_keyword").isin([str(k) for k in p.keywords])).alias(KEYWORD_HIT))
     if p is not None and p.category_ids:
-        cats = [int(c) for c in p.category_ids]
+        cats = integers(p.category_ids)
         extra.append(F.bool_or(F.col("click_category_id").isin(cats)).alias(CATEGORY_HIT))
     g = actions.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
@@ -128,16 +128,16 @@ def visit_length_histogram(sessions: DataFrame, unit_seconds: int = 1) -> DataFr
     )
 
 
-def step_length_histogram(sessions: DataFrame) -> DataFrame:
+def step_length_histogram(sessions: DataFrame, buckets: list[tuple] = STEP_BUCKETS) -> DataFrame:
     """One row, session_count and one count per step-length bucket."""
     s = F.col("step_length")
     return sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
-        *[_bucket(s, lo, hi, inc).alias(f"step_{n}") for n, lo, hi, inc in STEP_BUCKETS],
+        *[_bucket(s, lo, hi, inc).alias(f"step_{n}") for n, lo, hi, inc in buckets],
     )
 
 
-def session_statistics(sessions: DataFrame, unit_seconds: int = 1) -> DataFrame:
+def session_statistics(sessions: DataFrame, unit_seconds: int = 1, step_buckets: list[tuple] = STEP_BUCKETS) -> DataFrame:
     """session_count and the 15 bucket ratios (2 decimals, half-up) in one pass.
     Ratios are null when there are no sessions."""
     v = _visit_units(unit_seconds)
@@ -145,9 +145,9 @@ def session_statistics(sessions: DataFrame, unit_seconds: int = 1) -> DataFrame:
     counts = sessions.agg(
         F.count(F.lit(1)).alias("session_count"),
         *[_bucket(v, lo, hi, inc).alias(f"visit_{n}") for n, lo, hi, inc in VISIT_BUCKETS],
-        *[_bucket(s, lo, hi, inc).alias(f"step_{n}") for n, lo, hi, inc in STEP_BUCKETS],
+        *[_bucket(s, lo, hi, inc).alias(f"step_{n}") for n, lo, hi, inc in step_buckets],
     )
-    names = [f"visit_{n}" for n, *_ in VISIT_BUCKETS] + [f"step_{n}" for n, *_ in STEP_BUCKETS]
+    names = [f"visit_{n}" for n, *_ in VISIT_BUCKETS] + [f"step_{n}" for n, *_ in step_buckets]
     return counts.select(
         "session_count",
         *[ratio2(n, "session_count").alias(f"{n}_ratio") for n in names],

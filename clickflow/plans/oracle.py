@@ -31,14 +31,15 @@ FROM e),
 user_info AS (SELECT c_custkey AS user_id, c_name AS username, c_name AS name,
   CAST(c_custkey % 60 AS INTEGER) AS age, c_mktsegment AS professional, n_name AS city,
   CASE WHEN c_custkey % 2 = 0 THEN 'male' ELSE 'female' END AS sex
-  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 <> 3),
 product_info AS (SELECT p_partkey AS product_id, p_name AS product_name,
-  concat('{"product_status": ', CAST(p_partkey % 2 AS VARCHAR), '}') AS extend_info FROM part),
+  concat('{"product_status": ', CAST(p_partkey % 2 AS VARCHAR), '}') AS extend_info FROM part
+  WHERE p_partkey % 7 <> 5),
 city_info AS (SELECT n_nationkey AS city_id, n_name AS city_name, r_name AS area
-  FROM nation JOIN region ON n_regionkey = r_regionkey),
+  FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey <> 24),
 ad_log AS (SELECT e.event_id, e.ts, r_name AS province, n_name AS city, e.user_id, e.k % 10 AS ad_id
   FROM e JOIN nation ON e.user_id % 25 = n_nationkey JOIN region ON n_regionkey = r_regionkey
-  WHERE e.event_type = 'click')
+  WHERE e.event_type = 'click' AND n_nationkey <> 24)
 """
 
 
@@ -148,14 +149,15 @@ def _bucket_sql(col: str, lo: int, hi, inc: bool) -> str:
 
 
 def _hist_cols(kind: str) -> list[tuple[str, str]]:
-    from clickflow.operators.sessions import STEP_BUCKETS, VISIT_BUCKETS
+    from clickflow.operators.sessions import VISIT_BUCKETS
     if kind == "visit":
         v = f"(visit_length // {P.VISIT_UNIT_SECONDS})"
         return [(f"visit_{n}", _bucket_sql(v, lo, hi, inc)) for n, lo, hi, inc in VISIT_BUCKETS]
-    return [(f"step_{n}", _bucket_sql("step_length", lo, hi, inc)) for n, lo, hi, inc in STEP_BUCKETS]
+    return [(f"step_{n}", _bucket_sql("step_length", lo, hi, inc)) for n, lo, hi, inc in P.STEP_BUCKETS]
 
 
 SQL["actions_by_date"] = q(_ACTIONS_R, f"SELECT {_ACTION_COLS} FROM ar")
+SQL["stored_actions"] = q(f"SELECT {_ACTION_COLS.replace('event_id, ', '', 1)} FROM uva")
 SQL["session_agg"] = q(_sess_cte("s", "uva"), f"SELECT {_SESS_COLS} FROM s")
 SQL["session_full_agg"] = q(*_T1[:3], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM full_s")
 SQL["session_filter"] = q(*_T1[:4], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM fs")
@@ -182,9 +184,9 @@ _TOP10_CTE = """top10 AS (SELECT * FROM cc ORDER BY click_count DESC, order_coun
       LIMIT 10)"""
 _SCC_CTE = """scc AS (SELECT click_category_id AS category_id, session_id, count(*) AS click_count
       FROM detail WHERE click_category_id IS NOT NULL GROUP BY 1, 2)"""
-_TOPS_CTE = """tops AS (SELECT category_id, session_id, click_count FROM (
+_TOPS_CTE = f"""tops AS (SELECT category_id, session_id, click_count FROM (
       SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY click_count DESC, session_id) AS rn
-      FROM scc WHERE category_id IN (SELECT category_id FROM top10)) WHERE rn <= 10)"""
+      FROM scc WHERE category_id IN (SELECT category_id FROM top10)) WHERE rn <= {P.TOP_SESSIONS})"""
 
 SQL["category_clicks"] = q(*_T1, """SELECT click_category_id AS category_id, count(*) AS click_count
     FROM detail WHERE click_category_id IS NOT NULL GROUP BY 1""")
@@ -276,12 +278,14 @@ SQL["date_functions"] = q(f"""SELECT event_id,
     FROM events""")
 _KV = """kv AS (SELECT session_id, concat('sessionid=', session_id, '|searchKeywords=',
       array_to_string(search_keywords, ','), '|clickCategoryIds=', array_to_string(click_category_ids, ','),
-      '|visitLength=', CAST(visit_length AS VARCHAR), '|stepLength=', CAST(step_length AS VARCHAR)) AS info FROM s)"""
+      '|visitLength=', CAST(visit_length AS VARCHAR), '|stepLength=', CAST(step_length AS VARCHAR),
+      '|visitLength=0|stepLength=7|note=|tail=', CAST(visit_length AS VARCHAR), '=||') AS info FROM s)"""
 
 
 def _kv_get_sql(s: str, field: str) -> str:
-    return (f"list_filter(list_transform(string_split({s}, '|'), lambda x: string_split(x, '=')), "
-            f"lambda a: len(a) = 2 AND a[1] = '{field}' AND a[2] <> '')[1][2]")
+    # a split drops empty parts at the end, and the first piece of two parts with this name is it
+    return (f"list_filter(list_transform(string_split(rtrim({s}, '|'), '|'), lambda x: string_split(rtrim(x, '='), '=')), "
+            f"lambda a: len(a) = 2 AND a[1] = '{field}')[1][2]")
 
 
 SQL["task_params"] = q(f"""SELECT user_id AS task_id, username AS task_name,
@@ -294,12 +298,16 @@ SQL["task_params"] = q(f"""SELECT user_id AS task_id, username AS task_name,
         CAST((user_id + 7) % 100 AS VARCHAR)) END AS categoryIds,
     '{",".join(str(p) for p in P.PAGE_FLOW)}' AS targetPageFlow
     FROM user_info""")
-SQL["kv_functions"] = q(_sess_cte("s", "uva"), _KV, f"""SELECT session_id,
+_KV_SET = """kp AS (SELECT *, string_split(rtrim(info, '|'), '|') AS pieces FROM kv),
+ki AS (SELECT *, list_position(list_transform(pieces, lambda x: string_split(rtrim(x, '='), '=')[1]), 'stepLength') AS hit
+  FROM kp)"""
+SQL["kv_functions"] = q(_sess_cte("s", "uva"), _KV, _KV_SET, f"""SELECT session_id,
     {_kv_get_sql('info', 'searchKeywords')} AS search_keywords,
     {_kv_get_sql('info', 'visitLength')} AS visit_length,
-    array_to_string(list_transform(string_split(info, '|'), lambda x: CASE WHEN string_split(x, '=')[1] = 'stepLength'
-        THEN 'stepLength=0' ELSE x END), '|') AS reset_info
-    FROM kv""")
+    {_kv_get_sql('info', 'tail')} AS tail,
+    {_kv_get_sql('info', 'note')} AS note,
+    array_to_string(list_concat(list_concat(pieces[1:hit - 1], ['stepLength=0']), pieces[hit + 1:]), '|') AS reset_info
+    FROM ki""")
 SQL["string_functions"] = q("""t AS (SELECT event_id, page_id, action_time, search_keyword,
       regexp_replace(regexp_replace(concat(',', coalesce(array_to_string(order_category_ids, ','), ''), ','),
         '^,', ''), ',$', '') AS trimmed FROM uva)""", """SELECT event_id, trimmed,
@@ -308,7 +316,8 @@ SQL["string_functions"] = q("""t AS (SELECT event_id, page_id, action_time, sear
     CASE WHEN length(CAST(page_id AS VARCHAR)) = 2 THEN CAST(page_id AS VARCHAR)
          ELSE concat('0', CAST(page_id AS VARCHAR)) END AS page2,
     coalesce(search_keyword, '') = '' AS no_keyword,
-    CAST(len(list_filter(string_split(trimmed, ','), lambda x: x <> '')) AS INTEGER) AS n_ids
+    CAST(len(list_filter(string_split(trimmed, ','), lambda x: x <> '')) AS INTEGER) AS n_ids,
+    array_to_string(list_filter(string_split(trimmed, ','), lambda x: x <> ''), ',') AS ids
     FROM t""")
 SQL["udf_concat_long_string"] = q(*_PRODUCT_CTES[:2], """SELECT product_id,
     concat(CAST(city_id AS VARCHAR), ':', city_name) AS city_info,
@@ -397,11 +406,12 @@ SQL["ad_stream_trend"] = q(*_STREAM, """SELECT strftime(ts, '%Y-%m-%d') AS date,
 SQL["ad_stream_trend_last_hour"] = q(*_STREAM, f"""SELECT strftime(m, '%Y-%m-%d') AS date, strftime(m, '%H') AS hour,
     strftime(m, '%M') AS minute, ad_id, count(*) AS click_count
     FROM (SELECT date_trunc('minute', ts) AS m, ad_id FROM kept)
-    WHERE m > (SELECT max(date_trunc('minute', ts)) FROM kept) - INTERVAL {P.WINDOW_MINUTES} MINUTE
+    WHERE m > (SELECT max(date_trunc('minute', ts)) FROM kept) - INTERVAL {P.LAST_MINUTES} MINUTE
     GROUP BY m, ad_id""")
 SQL["ad_stream_stateful_stat"] = q(f"""SELECT {_d('ts')} AS date, replace(province, ' ', '-') AS province, city,
     ad_id, count(*) AS click_count FROM ad_log GROUP BY ALL""")
 SQL["ad_stream_window_trend"] = SQL["ad_click_trend"]
+SQL["ad_stream_sliding_hour"] = SQL["ad_sliding_hour"]
 SQL["date_today"] = q("""SELECT event_id, strftime(current_date, '%Y-%m-%d') AS today,
     strftime(current_date - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday,
     CAST(current_date - CAST(ts AS DATE) AS INTEGER) AS days_ago FROM events""")

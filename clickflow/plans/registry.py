@@ -7,6 +7,7 @@ parameters of ``clickflow.plans.params``. Outputs go through ``present``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +17,8 @@ from clickflow.operators import products as prod
 from clickflow.plans import params as P
 from clickflow.plans.present import present
 from clickflow.session import ensure_session_defaults
+from clickflow.session import scratch_dir
+from clickflow.sources import native
 from clickflow.sources import views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -141,13 +144,13 @@ def _visit_length_hist(spark, d):
 @register("step_length_hist")
 def _step_length_hist(spark, d):
     """Step-length histogram over all sessions."""
-    return ses.step_length_histogram(ses.session_aggregates(V.user_visit_action(spark, d)))
+    return ses.step_length_histogram(ses.session_aggregates(V.user_visit_action(spark, d)), P.STEP_BUCKETS)
 
 
 @register("session_aggr_stat")
 def _session_aggr_stat(spark, d):
     """Session count and 15 ratios over the filtered sessions."""
-    return ses.session_statistics(_filtered_sessions(spark, d), P.VISIT_UNIT_SECONDS)
+    return ses.session_statistics(_filtered_sessions(spark, d), P.VISIT_UNIT_SECONDS, P.STEP_BUCKETS)
 
 
 @register("session_detail", ACTION_TEXT)
@@ -207,17 +210,16 @@ def _session_category_clicks(spark, d):
 
 @register("top10_session")
 def _top10_session(spark, d):
-    """J4 + W3."""
-    detail = _detail(spark, d)
-    return cat.top_sessions_per_category(detail, cat.top_categories(cat.category_counts(detail), 10), 10)
+    """J4 + W3: both rankings from one table of counts per (category, session)."""
+    counts = cat.category_session_counts(_detail(spark, d))
+    top = cat.top_categories(cat.counts_from_session_counts(counts), 10)
+    return cat.rank_sessions(cat.clicks_from_session_counts(counts), top, P.TOP_SESSIONS)
 
 
 @register("top10_session_detail", ACTION_TEXT)
 def _top10_session_detail(spark, d):
     """Detail rows of the top sessions, with category_id."""
-    detail = _detail(spark, d)
-    tops = cat.top_sessions_per_category(detail, cat.top_categories(cat.category_counts(detail), 10), 10)
-    return cat.top_session_detail(tops, detail)
+    return cat.top_session_detail(_top10_session(spark, d), _actions_in_range(spark, d))
 
 
 # ---------------------------------------------------------------- funnel
@@ -270,7 +272,7 @@ def _session_random_extract(spark, d):
 @register("sample_detail", ACTION_TEXT)
 def _sample_detail(spark, d):
     """Action rows of the sampled sessions."""
-    return smp.sample_detail(_sampled(spark, d), V.user_visit_action(spark, d), P.SAMPLE_SIZE)
+    return smp.sample_detail(_sampled(spark, d), V.user_visit_action(spark, d))
 
 
 # ---------------------------------------------------------------- traffic
@@ -294,15 +296,23 @@ def _global_sort_top1(spark, d):
     return tr.global_top1(table(spark, d, "events"), "value")
 
 
-CATALOG_VIEW = "clickflow_city_info"
-
-
 @register("catalog_scan")
 def _catalog_scan(spark, d):
-    """A table read back through the session catalog."""
-    V.city_info(spark, d).createOrReplaceGlobalTempView(CATALOG_VIEW)
-    db = spark.conf.get("spark.sql.globalTempDatabase", "global_temp")
-    return tr.catalog_scan(spark, db, CATALOG_VIEW)
+    """A stored table of the session catalog, read by database and name."""
+    path = f"{scratch_dir(spark, 'catalog')}/city_info"
+    V.city_info(spark, d).write.parquet(path)
+    db = spark.catalog.currentDatabase()
+    name = f"clickflow_city_info_{uuid.uuid4().hex[:8]}"  # an external table: nothing is left in the warehouse
+    spark.catalog.createTable(f"{db}.{name}", path, "parquet")
+    return tr.catalog_scan(spark, db, name)
+
+
+@register("stored_actions", ACTION_TEXT)
+def _stored_actions(spark, d):
+    """S1 + F11: action rows stored as the jobs store them (dates, times and id lists as text), read with types."""
+    root = scratch_dir(spark, "stored")
+    native.rendered_actions(V.user_visit_action(spark, d)).write.parquet(f"{root}/user_visit_action")
+    return native.user_visit_action(spark, root).drop("event_id")
 
 
 # ---------------------------------------------------------------- functions
@@ -347,12 +357,16 @@ def _kv_functions(spark, d):
         F.lit("|clickCategoryIds="), fs.join_ids("click_category_ids"),
         F.lit("|visitLength="), F.col("visit_length").cast("string"),
         F.lit("|stepLength="), F.col("step_length").cast("string"),
+        # repeated names, an empty value, an empty part and empty pieces at the end
+        F.lit("|visitLength=0|stepLength=7|note=|tail="), F.col("visit_length").cast("string"), F.lit("=||"),
     )
     k = s.select("session_id", info.alias("info"))
     return k.select(
         "session_id",
         fs.kv_get("info", "searchKeywords").alias("search_keywords"),
         fs.kv_get("info", "visitLength").alias("visit_length"),
+        fs.kv_get("info", "tail").alias("tail"),
+        fs.kv_get("info", "note").alias("note"),
         fs.kv_set("info", "stepLength", "0").alias("reset_info"),
     )
 
@@ -369,6 +383,7 @@ def _string_functions(spark, d):
         fs.pad2(F.col("page_id").cast("string")).alias("page2"),
         fs.is_empty("search_keyword").alias("no_keyword"),
         F.size(fs.split_ids("trimmed")).alias("n_ids"),
+        fs.join_ids(fs.split_ids("trimmed")).alias("ids"),
     )
 
 
@@ -456,7 +471,6 @@ def _ad_sliding_hour_10s(spark, d):
 
 
 # ---------------------------------------------------------------- sinks
-from clickflow.session import scratch_dir  # noqa: E402
 from clickflow.sinks import batch_log as sk  # noqa: E402
 from clickflow.streaming import ad_stream as ast  # noqa: E402
 from clickflow.streaming import replay as rp  # noqa: E402
@@ -519,22 +533,25 @@ _STREAM_RUNS: dict = {}
 _STAGED: dict = {}
 
 
-def staged_replay(spark, d) -> tuple[str, int]:
+LATE_EVERY = 17  # of the replay with late clicks: each 17th arrives five days late
+
+
+def staged_replay(spark, d, late_every=None) -> tuple[str, int]:
     """The ad log lines staged once per session and input folder, partitioned
     by producer batch (5 days each); returns (staging folder, batch count)."""
-    key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
+    key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH, late_every)
     if key not in _STAGED:
-        inp = rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH)
+        inp = rp.ad_log_replay_lines(spark, d, DAYS_PER_BATCH, late_every)
         staging = f"{scratch_dir(spark, 'ad-replay')}/staging"
         rp.stage(inp.lines, staging)
         _STAGED[key] = (staging, inp.n_batches)
     return _STAGED[key]
 
 
-def _replay(spark, d, root: str, runners) -> None:
+def _replay(spark, d, root: str, runners, late_every=None) -> None:
     """Play the staged batches into ``root/source``; after each batch every
     runner (stream, checkpoint name) runs one availableNow trigger."""
-    staging, n = staged_replay(spark, d)
+    staging, n = staged_replay(spark, d, late_every)
     lines = ast.text_source(spark, f"{root}/source/*")
     triggers = [lambda r=r, c=c: r(lines, f"{root}/{c}") for r, c in runners]
     rp.replay(spark, staging, f"{root}/source", n, triggers)
@@ -612,9 +629,9 @@ def _ad_stream_trend(spark, d):
 
 @register("ad_stream_trend_last_hour")
 def _ad_stream_trend_last_hour(spark, d):
-    """A6 as the reference keeps it: the minutes of the last hour (ending at
-    the newest minute seen) with their clicks per ad."""
-    t = _stream_run(spark, d).trend_view(last_minutes=P.WINDOW_MINUTES)
+    """A6 as the reference keeps it: the last minutes (ending at the newest
+    minute seen) with their clicks per ad."""
+    t = _stream_run(spark, d).trend_view(last_minutes=P.LAST_MINUTES)
     return t.select(
         F.date_format("minute", "yyyy-MM-dd").alias("date"),
         F.date_format("minute", "HH").alias("hour"),
@@ -628,44 +645,58 @@ _STATEFUL_RUNS: dict = {}
 
 
 def _stateful_run(spark, d):
-    """Replay the ad log through the two state-store aggregations (update
-    mode); each micro-batch's updated rows go to an upsert log (K2)."""
+    """Replay the ad log, with late clicks, through the state-store aggregations
+    (update mode); each micro-batch's updated rows go to an upsert log (K2)."""
     key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
     if key not in _STATEFUL_RUNS:
         root = scratch_dir(spark, "ad-stateful")
         stat_log = sk.BatchLog(spark, f"{root}/stat", "date date, province string, city string, ad_id bigint, "
                                                       "click_count bigint")
         trend_log = sk.BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
+        sliding_log = sk.BatchLog(spark, f"{root}/sliding", ast.TREND_SCHEMA)
+
+        def sliding(parsed):
+            return ast.windowed_trend(parsed, f"{P.WINDOW_MINUTES} minutes", f"{P.SLIDE_MINUTES} minutes")
 
         def run(query, log):
             def go(lines, ckpt):
-                (query(ads.parse_ad_log(lines)).writeStream.outputMode("update")
-                 .foreachBatch(lambda df, b: log.write(df, b))
-                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
+                with ast.rocksdb_state(spark):
+                    (query(ads.parse_ad_log(lines)).writeStream.outputMode("update")
+                     .foreachBatch(lambda df, b: log.write(df, b))
+                     .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
             return go
 
         _replay(spark, d, root, [(run(ast.stateful_ad_stat, stat_log), "ckpt-stat"),
-                                 (run(ast.windowed_trend, trend_log), "ckpt-trend")])
-        _STATEFUL_RUNS[key] = (stat_log, trend_log)
+                                 (run(ast.windowed_trend, trend_log), "ckpt-trend"),
+                                 (run(sliding, sliding_log), "ckpt-sliding")], LATE_EVERY)
+        _STATEFUL_RUNS[key] = (stat_log, trend_log, sliding_log)
     return _STATEFUL_RUNS[key]
 
 
 @register("ad_stream_stateful_stat")
 def _ad_stream_stateful_stat(spark, d):
     """A4 on the state store: running clicks per (date, province, city, ad)."""
-    stat_log, _ = _stateful_run(spark, d)
+    stat_log = _stateful_run(spark, d)[0]
     return stat_log.latest(ast.STAT_KEYS, "click_count").select("date", "province", "city", "ad_id", "click_count")
 
 
 @register("ad_stream_window_trend")
 def _ad_stream_window_trend(spark, d):
-    """A6 on event-time windows with a watermark: clicks per minute and ad."""
-    _, trend_log = _stateful_run(spark, d)
-    t = trend_log.latest(["minute", "ad_id"], "click_count")
+    """A6 on event-time windows, late clicks included: clicks per minute and ad."""
+    t = _stateful_run(spark, d)[1].latest(["minute", "ad_id"], "click_count")
     return t.select(F.date_format("minute", "yyyy-MM-dd").alias("date"), F.date_format("minute", "HH").alias("hour"),
                     F.date_format("minute", "mm").alias("minute"), "ad_id", "click_count")
 
 
+@register("ad_stream_sliding_hour")
+def _ad_stream_sliding_hour(spark, d):
+    """A7 as a stream: 60 min windows every 10 min, late clicks included."""
+    t = _stateful_run(spark, d)[2].latest(["minute", "ad_id"], "click_count")
+    start = F.col("minute")
+    return t.select(start.alias("window_start"), (start + F.expr(f"INTERVAL {P.WINDOW_MINUTES} MINUTES")).alias("window_end"),
+                    "ad_id", "click_count")
+
+
 @register("date_today")
 def _date_today(spark, d):
     """today / yesterday against the events' dates (days since each event)."""

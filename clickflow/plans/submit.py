@@ -19,11 +19,13 @@ from the deployment.
 from __future__ import annotations
 
 import argparse
+import json
 
 from pyspark.sql import SparkSession
 
 from clickflow.plans import tasks
 from clickflow.session import build_session
+from clickflow.sources import native as N
 from clickflow.sources import views as V
 from clickflow.sources.task_params import lookup_task
 from clickflow.streaming.ad_stream import AdClickStats, kafka_source, text_source
@@ -33,6 +35,9 @@ def _parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="clickflow")
     ap.add_argument("job", choices=["session", "page", "product", "ads"])
     ap.add_argument("--input", help="folder of input tables (batch jobs)")
+    ap.add_argument("--tables", choices=["stored", "derived"], default="derived",
+                    help="stored: user_visit_action, user_info, product_info, city_info in --input (a folder or a database)")
+    ap.add_argument("--levels", help='area levels of the product job as JSON, e.g. {"North": "A"}; other areas are D')
     ap.add_argument("--tasks", help="parquet task table (batch jobs)")
     ap.add_argument("--task-id", type=int)
     ap.add_argument("--out", required=True)
@@ -61,15 +66,16 @@ def run(spark: SparkSession, args: argparse.Namespace):
     if not (args.input and args.tasks and args.task_id is not None):
         raise SystemExit("batch jobs need --input, --tasks and --task-id")
     p = lookup_task(spark.read.parquet(args.tasks), args.task_id)
-    actions = V.user_visit_action(spark, args.input)
+    tables = N if args.tables == "stored" else V
+    actions = tables.user_visit_action(spark, args.input)
     if args.job == "session":
-        tasks.run_session_task(actions, V.user_info(spark, args.input), p, args.task_id, out,
+        tasks.run_session_task(actions, tables.user_info(spark, args.input), p, args.task_id, out,
                                sample_size=args.sample_size)
     elif args.job == "page":
         tasks.run_page_task(actions, p, args.task_id, out)
     else:
-        tasks.run_product_task(actions, V.city_info(spark, args.input), V.product_info(spark, args.input), p,
-                               args.task_id, out)
+        tasks.run_product_task(actions, tables.city_info(spark, args.input), tables.product_info(spark, args.input), p,
+                               args.task_id, out, json.loads(args.levels) if args.levels else None)
     return None
 
 

@@ -41,24 +41,27 @@ def _in_range(actions: DataFrame, p: TaskParams) -> DataFrame:
 
 def session_task_outputs(actions: DataFrame, users: DataFrame, p: TaskParams, task_id: int,
                          sample_size: int = 100, seed: str = "42", unit_seconds: int = 1,
-                         top_categories: int = 10, top_sessions: int = 10) -> dict[str, DataFrame]:
+                         top_categories: int = 10, top_sessions: int = 10,
+                         step_buckets: list[tuple] = ses.STEP_BUCKETS) -> dict[str, DataFrame]:
     """session_aggr_stat, session_random_extract, session_detail (of the
     sample), top10_category, top10_category_session, and the detail rows of
     the top sessions. Runs two jobs (the checkpoints); the outputs are lazy."""
     checkpoint_root(actions.sparkSession)  # the shared folder (set only where unset, as in tests)
     scoped = _in_range(actions, p)
-    sessions = ses.filter_sessions(ses.full_session_aggregates(scoped, users, p), p).checkpoint()
+    # ids, times and lengths only: without the keyword and category sets in the output none is collected
+    sessions = ses.filter_sessions(ses.full_session_aggregates(scoped, users, p), p).select(
+        "session_id", "start_time", "visit_length", "step_length").checkpoint()
     cs = cat.category_session_counts(ses.session_detail(scoped, sessions)).checkpoint()
     tid = F.lit(int(task_id)).alias("task_id")
-    stat = ses.session_statistics(sessions, unit_seconds).select(tid, "*")
+    stat = ses.session_statistics(sessions, unit_seconds, step_buckets).select(tid, "*")
     sampled = smp.random_extract(sessions, sample_size, seed)
-    sample_rows = smp.sample_detail(sampled, scoped, sample_size)
+    sample_rows = smp.sample_detail(sampled, scoped)
     top = cat.top_categories(cat.counts_from_session_counts(cs), top_categories)
     tops = cat.rank_sessions(cat.clicks_from_session_counts(cs), top, top_sessions)
     return {
         "session_aggr_stat": stat,
-        "session_random_extract": sampled.select(tid, "session_id", "start_time", "search_keywords",
-                                                 "click_category_ids"),
+        "session_random_extract": ses.session_aggregates(sample_rows).select(tid, "session_id", "start_time", "search_keywords",
+                                                                             "click_category_ids"),
         "session_detail": sample_rows.select(tid, "*"),
         "top10_category": top.select(tid, "*"),
         "top10_category_session": tops.select(tid, "*"),
@@ -88,5 +91,6 @@ def run_page_task(actions, p: TaskParams, task_id: int, out_root: str) -> None:
     append(page_task_output(actions, p, task_id), f"{out_root.rstrip('/')}/page_split_convert_rate")
 
 
-def run_product_task(actions, cities, products, p: TaskParams, task_id: int, out_root: str) -> None:
-    append(product_task_output(actions, cities, products, p, task_id), f"{out_root.rstrip('/')}/area_top3_product")
+def run_product_task(actions, cities, products, p: TaskParams, task_id: int, out_root: str,
+                     levels: dict | None = None) -> None:
+    append(product_task_output(actions, cities, products, p, task_id, levels), f"{out_root.rstrip('/')}/area_top3_product")

@@ -19,15 +19,19 @@ generation G = N div E first writes the reduced view of generation G-1 as
 batch N-1 of the new generation folder, then batch N. Every read touches one
 generation: at most E + 1 batch folders, however long the stream has run.
 The base is rebuilt from the previous generation, which no longer changes,
-so a retried first batch rewrites the same base. A one-row marker
-(``_generation``, ignored by readers of the data) names the current
-generation for readers outside the stream.
+so a retried first batch rewrites the same base. A generation becomes
+current by an empty file ``_generations/<G>``, made once its base (for
+generation 0: its first batch) is written and never changed or removed; the
+greatest one counts. A generation that holds more than a base without such a
+file, or a marked one that can't be read, is an error, never an empty or
+older answer. A store reads as empty only before its first batch.
 
 Optional ``partition_cols`` (e.g. ``date``) lay the batch folders out by a
 column so readers that filter on it prune whole folders.
 
 Batch ids restart with a new streaming checkpoint, so one log belongs to one
-checkpoint.
+query: the first write with an owner (the query's id, which a restart from its
+checkpoint keeps) names it in ``_owner/``, and any other owner is refused.
 """
 
 from __future__ import annotations
@@ -35,7 +39,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 BATCH_COL = "batch_id"
@@ -75,18 +78,28 @@ class BatchLog:
     def _gen_path(self, gen: int) -> str:
         return f"{self.path}/gen={int(gen)}"
 
-    def _marker(self) -> str:
-        return f"{self.path}/_generation"
-
-    def current_generation(self) -> int:
-        """The newest generation (0 when the log has never been compacted)."""
-        if not self.per_gen:
-            return 0
-        try:
-            row = self.spark.read.schema("gen int").json(self._marker()).first()
-        except AnalysisException:  # no marker yet
-            return 0
-        return 0 if row is None else int(row.gen)
+    def _names(self, folder: str) -> list[str]:
+        """Names in a folder of the store; none if it isn't there."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [x.getPath().getName() for x in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _mark(self, folder: str, name: str) -> None:
+        """An empty file; nothing happens if it is there."""
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}/{name}")
+        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).createNewFile(p)
+
+    def current_generation(self) -> int | None:
+        """The newest complete generation; None before the first batch."""
+        marked = max((int(n) for n in self._names("_generations")), default=None)
+        begun = max((int(n.split("=")[1]) for n in self._names("") if n.startswith("gen=")), default=None)
+        if begun is not None and (marked is None or begun > marked):
+            batches = [int(n.split("=")[1]) for n in self._names(f"gen={begun}") if n.startswith(BATCH_COL)]
+            first = begun * self.per_gen if self.per_gen else 0
+            # a base, or the first batch of all, may be on its way; anything later was written after the marker
+            if any(b > first or b == first and begun > 0 for b in batches):
+                raise RuntimeError(f"{self.path}: generation {begun} has batches but no marker")
+        return marked
 
     # ---------------------------------------------------------------- write
     def _write_folder(self, df: DataFrame, gen: int, batch_id: int) -> None:
@@ -95,29 +108,33 @@ class BatchLog:
             w = w.partitionBy(*self.partition_cols)
         w.parquet(f"{self._gen_path(gen)}/{BATCH_COL}={int(batch_id)}")
 
-    def write(self, df: DataFrame, batch_id: int) -> None:
+    def write(self, df: DataFrame, batch_id: int, owner: str | None = None) -> None:
         """Replace batch ``batch_id`` with ``df`` (idempotent)."""
+        if owner:
+            known = self._names("_owner")
+            if known and known != [owner]:
+                raise RuntimeError(f"{self.path} belongs to the streaming query {known}, not to {owner}")
+            self._mark("_owner", owner)
         gen = self.generation_of(batch_id)
         if gen > 0 and int(batch_id) % self.per_gen == 0:
             base = self.reduce(self, self.read(gen - 1))
             self._write_folder(base, gen, int(batch_id) - 1)
-            self.spark.createDataFrame([(gen,)], "gen int").write.mode("overwrite").json(self._marker())
+            self._mark("_generations", str(gen))
         self._write_folder(df, gen, batch_id)
+        if gen == 0:
+            self._mark("_generations", "0")
 
     # ---------------------------------------------------------------- read
+    def empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], f"{self.schema}, {BATCH_COL} bigint")
+
     def read(self, generation: int | None = None) -> DataFrame:
         """All batches of one generation (default: the current one) with a
-        ``batch_id`` column; an empty frame when none is written yet."""
+        ``batch_id`` column; an empty frame before the first batch."""
         gen = self.current_generation() if generation is None else int(generation)
-        schema = f"{self.schema}, {BATCH_COL} bigint"
-        try:
-            return self.spark.read.schema(schema).parquet(self._gen_path(gen))
-        except AnalysisException:  # nothing written yet
-            return self.spark.createDataFrame([], schema)
-
-    def reduced(self, generation: int | None = None) -> DataFrame:
-        """The store's own view (its ``reduce``) of one generation."""
-        return self.reduce(self, self.read(generation))
+        if gen is None:
+            return self.empty()
+        return self.spark.read.schema(f"{self.schema}, {BATCH_COL} bigint").parquet(self._gen_path(gen))
 
     def latest(self, keys: list[str], value: str, log: DataFrame | None = None) -> DataFrame:
         """K2: per key, the value of its latest batch."""
@@ -141,10 +158,7 @@ class BatchLog:
         return keys_df.select(*keys).distinct().join(cur, keys, "left") \
             .withColumn(value, F.coalesce(F.col(value), F.lit(0).cast("bigint")))
 
-    # ---------------------------------------------------------------- maintenance
-    def compact(self, reduced: DataFrame, new_path: str, upto_batch: int) -> "BatchLog":
-        """Write ``reduced`` (one of the views above) as batch ``upto_batch`` of a
-        new log and return it; later batches go to the new log."""
-        new = BatchLog(self.spark, new_path, self.schema, self.partition_cols)
-        new.write(reduced, upto_batch)
-        return new
+    def lookup(self, wanted: DataFrame, keys: list[str], value: str, log: DataFrame | None = None) -> DataFrame:
+        """K5: the cumulative value of every key that matches a row of ``wanted`` (on all its columns); absent keys have none."""
+        log = self.read() if log is None else log
+        return self.increments(keys, value, log.join(wanted, wanted.columns, "left_semi"))

@@ -78,8 +78,8 @@ def param_columns(tasks: DataFrame) -> DataFrame:
 
 
 def lookup_task(tasks: DataFrame, task_id: int) -> TaskParams:
-    """Parameters of one task; raises when the task does not exist."""
+    """Parameters of one task; raises when the task does not exist or its id stands for different ones."""
     rows = parse_task_params(tasks.where(F.col("task_id") == task_id)).select("params").limit(2).collect()
-    if not rows:
-        raise LookupError(f"no task with id {task_id}")
+    if len(rows) != 1:
+        raise LookupError(f"{'several tasks' if rows else 'no task'} with id {task_id}")
     return TaskParams.from_map(rows[0]["params"])

@@ -91,7 +91,7 @@ def user_visit_action(spark: SparkSession, base_dir: str) -> DataFrame:
 def user_info(spark: SparkSession, base_dir: str) -> DataFrame:
     c = table(spark, base_dir, "customer")
     n = table(spark, base_dir, "nation")
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(
+    return c.where(F.col("c_custkey") % 10 != 3).join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("user_id"),
         F.col("c_name").alias("username"),
         F.col("c_name").alias("name"),
@@ -105,7 +105,7 @@ def user_info(spark: SparkSession, base_dir: str) -> DataFrame:
 @_memo
 def product_info(spark: SparkSession, base_dir: str) -> DataFrame:
     p = table(spark, base_dir, "part")
-    return p.select(
+    return p.where(F.col("p_partkey") % 7 != 5).select(
         F.col("p_partkey").alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.concat(F.lit('{"product_status": '), (F.col("p_partkey") % 2).cast("string"),
@@ -117,7 +117,7 @@ def product_info(spark: SparkSession, base_dir: str) -> DataFrame:
 def city_info(spark: SparkSession, base_dir: str) -> DataFrame:
     n = table(spark, base_dir, "nation")
     r = table(spark, base_dir, "region")
-    return n.join(r, n.n_regionkey == r.r_regionkey).select(
+    return n.where(F.col("n_nationkey") != 24).join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("city_id"),
         F.col("n_name").alias("city_name"),
         F.col("r_name").alias("area"),

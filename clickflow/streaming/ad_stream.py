@@ -23,16 +23,20 @@ filtered rows are persisted once and shared by the five branches. A3 and A5
 combine the stores as of the previous batch with this batch's own counts,
 so no branch waits for another's write: the five run as concurrent jobs.
 
+Lines without a readable time belong to no day: they are counted and kept in
+the reject log and take no part in the branches.
+
 ``stateful_ad_stat`` / ``windowed_trend`` are the pure Structured Streaming
-forms of A4 / A6 (state store, watermark-bounded) for pipelines that need no
+forms of A4 / A6 / A7 (state store, no watermark) for pipelines that need no
 blacklist feedback.
 """
 
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +48,7 @@ BLACKLIST_SCHEMA = "user_id bigint"
 STAT_SCHEMA = "province string, city string, ad_id bigint, click_count bigint, date date"
 TOP_SCHEMA = "province string, ad_id bigint, click_count bigint, date date"
 TREND_SCHEMA = "minute timestamp_ntz, ad_id bigint, click_count bigint"
+REJECT_SCHEMA = "value string"
 
 USER_KEYS = ["date", "user_id", "ad_id"]
 STAT_KEYS = ["date", "province", "city", "ad_id"]
@@ -103,18 +108,27 @@ class AdClickStats:
                                      lambda lg, df: lg.replace_group(GROUP_KEYS, df), e)
         self.trend = BatchLog(spark, f"{root}/ad_click_trend", TREND_SCHEMA, (),
                               lambda lg, df: lg.increments(["minute", "ad_id"], "click_count", df), e)
+        self.rejects = BatchLog(spark, f"{root}/ad_rejects", REJECT_SCHEMA, (),
+                                lambda lg, df: df.select("value"), e)
 
     # ---------------------------------------------------------------- per batch
     def _before(self, store: BatchLog, batch_id: int) -> DataFrame:
         """A store as of the end of the previous batch: the generation holding
         it (this batch's first write may start a new one) and only earlier
         batch folders, so a retried batch neither sees nor reads its own
-        earlier attempt."""
+        earlier attempt. Before the first batch there is nothing to read; after
+        it a store that can't be read is an error."""
+        if batch_id == 0:
+            return store.empty()
         return store.read(store.generation_of(max(batch_id - 1, 0))).where(F.col("batch_id") < batch_id)
 
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
+        session = lines.sparkSession
+        owner = session.sparkContext.getLocalProperty("sql.streaming.queryId")
         listed = self._before(self.blacklist, batch_id).select("user_id")
-        log = ads.remove_blacklisted(ads.parse_ad_log(lines), listed).persist(StorageLevel.MEMORY_AND_DISK)
+        parsed = ads.parse_ad_log(lines, keep_value=True)
+        dated = parsed.where(F.col("date").isNotNull()).drop("value")
+        log = ads.remove_blacklisted(dated, listed).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             uac = ads.user_ad_counts(log)
             stat = ads.ad_stat(log)
@@ -124,41 +138,48 @@ class AdClickStats:
                 """Cumulative click_count per key after this batch, for the keys
                 in ``semi``: earlier batches' counts of the batch's days plus
                 this batch's own."""
-                hist = self._before(store, batch_id).where(in_days).join(semi, semi.columns, "left_semi")
-                both = hist.select(*keys, "click_count").unionByName(batch.select(*keys, "click_count"))
+                hist = store.lookup(semi, keys, "click_count", self._before(store, batch_id).where(in_days))
+                both = hist.unionByName(batch.select(*keys, "click_count"))
                 return both.groupBy(*keys).agg(F.sum("click_count").cast("bigint").alias("click_count"))
 
             def user_clicks():  # A2
-                self.user_clicks.write(uac, batch_id)
+                self.user_clicks.write(uac, batch_id, owner)
 
             def blacklist(in_days):  # A3
                 cum = running(self.user_clicks, uac, USER_KEYS, uac.select(*USER_KEYS), in_days)
                 new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
-                self.blacklist.write(new, batch_id)
+                self.blacklist.write(new, batch_id, owner)
 
             def ad_stat():  # A4
-                self.stat.write(stat, batch_id)
+                self.stat.write(stat, batch_id, owner)
 
             def province_top(in_days):  # A5, on the running totals of the groups this batch touched
                 totals = running(self.stat, stat, STAT_KEYS, log.select(*GROUP_KEYS).distinct(), in_days)
-                self.province_top.write(ads.province_top3(ads.province_counts(totals), self.top_n), batch_id)
+                self.province_top.write(ads.province_top3(ads.province_counts(totals), self.top_n), batch_id, owner)
 
             def trend():  # A6
-                self.trend.write(ads.minute_counts(log), batch_id)
+                self.trend.write(ads.minute_counts(log), batch_id, owner)
+
+            def rejects():
+                self.rejects.write(parsed.where(F.col("date").isNull()).select("value"), batch_id, owner)
 
             # Every branch reads only the persisted batch and the stores as of
             # the previous batch, and writes its own store, so the five run as
             # concurrent Spark jobs. Each write replaces its own batch folder:
             # a failed branch fails the batch, and the retry rewrites the same
             # folders from the same inputs.
-            with ThreadPoolExecutor(max_workers=5) as pool:
-                futures = [pool.submit(fn) for fn in (user_clicks, ad_stat, trend)]
-                # meanwhile, the batch's first and last day (two scalars): the
-                # history logs are partitioned by date, so the lookups of A3
-                # and A5 read only these days' folders
-                lo, hi = log.agg(F.min("date"), F.max("date")).first()
-                in_days = F.col("date").between(F.lit(lo), F.lit(hi)) if lo is not None else F.lit(False)
-                futures += [pool.submit(fn, in_days) for fn in (blacklist, province_top)]
+            # The threads inherit the query's job group: stopping it stops them.
+            with ThreadPoolExecutor(max_workers=6) as pool:
+                def submit(fn, *args):
+                    return pool.submit(inheritable_thread_target(session)(fn), *args)
+
+                futures = [submit(fn) for fn in (user_clicks, ad_stat, trend, rejects)]
+                # meanwhile, the batch's days (a row each): the history logs
+                # are partitioned by date, so the lookups of A3 and A5 read
+                # only these days' folders
+                days = [r["date"] for r in log.select("date").distinct().collect()]
+                in_days = F.col("date").isin(days) if days else F.lit(False)
+                futures += [submit(fn, in_days) for fn in (blacklist, province_top)]
                 for f in futures:
                     f.result()
         finally:
@@ -177,14 +198,16 @@ class AdClickStats:
     def province_top_view(self) -> DataFrame:
         return self.province_top.replace_group(GROUP_KEYS)
 
+    def reject_view(self) -> DataFrame:
+        return self.rejects.read().select("value")
+
     def trend_view(self, last_minutes: int | None = None) -> DataFrame:
         """Clicks per minute and ad; ``last_minutes`` keeps the trailing span
         ending at the greatest minute seen (the reference's last hour)."""
         t = self.trend.increments(["minute", "ad_id"], "click_count")
         if last_minutes:
-            mx = self.trend.read().agg(F.max("minute")).first()[0]  # one scalar
-            if mx is not None:
-                t = t.where(F.col("minute") > F.lit(mx) - F.expr(f"INTERVAL {int(last_minutes)} MINUTES"))
+            newest = self.trend.read().agg(F.max("minute")).scalar()  # a scalar subquery of the view
+            t = t.where(F.col("minute") > newest - F.expr(f"INTERVAL {int(last_minutes)} MINUTES"))
         return t
 
     # ---------------------------------------------------------------- driver
@@ -220,9 +243,10 @@ class FilteredClicks:
         self.out = BatchLog(spark, out_path, PARSED_SCHEMA, ("date",))
 
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
+        owner = lines.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         listed = self.spark.read.parquet(self.list_path).select("user_id")
         kept = ads.remove_blacklisted(ads.parse_ad_log(lines), listed)
-        self.out.write(kept.select("ts", "province", "city", "user_id", "ad_id", "date"), batch_id)
+        self.out.write(kept.select("ts", "province", "city", "user_id", "ad_id", "date"), batch_id, owner)
 
     def run_available(self, lines: DataFrame, checkpoint: str) -> None:
         (lines.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
@@ -232,23 +256,37 @@ class FilteredClicks:
         return self.out.read().drop("batch_id")
 
 
-def stateful_ad_stat(parsed: DataFrame, watermark: str = "1 day") -> DataFrame:
+ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def rocksdb_state(spark: SparkSession):
+    """Queries started inside keep their state in RocksDB (off the JVM heap): the state of the forms below never expires."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, ROCKSDB_STATE)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def stateful_ad_stat(parsed: DataFrame) -> DataFrame:
     """A4 with the state store: running clicks per (date, province, city, ad).
-    The day is a tumbling event-time window, so the watermark evicts a day's
-    state once it has passed. Use output mode ``update`` with an upsert sink
+
+    There is no watermark: a click counts however late it comes, as in the
+    reference, whose state never expires. The state is one row per key; use
+    ``rocksdb_state`` and output mode ``update`` with an upsert sink
     (``BatchLog.latest``)."""
-    ts = F.col("ts").cast("timestamp")
-    return (parsed.withColumn("ts", ts).withWatermark("ts", watermark)
-            .groupBy(F.window("ts", "1 day").alias("day"), "province", "city", "ad_id")
-            .agg(F.count(F.lit(1)).alias("click_count"))
-            .select(F.col("day.start").cast("date").alias("date"), "province", "city", "ad_id", "click_count"))
+    return parsed.groupBy("date", "province", "city", "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
 
 
-def windowed_trend(parsed: DataFrame, watermark: str = "60 minutes", window: str = "1 minute",
-                   slide: str | None = None) -> DataFrame:
-    """A6 / A7 with event-time windows and a watermark bounding the state."""
+def windowed_trend(parsed: DataFrame, window: str = "1 minute", slide: str | None = None) -> DataFrame:
+    """A6 (tumbling) / A7 (sliding) clicks per event-time window and ad; as above, no click is too late."""
     ts = F.col("ts").cast("timestamp")
-    w = F.window("ts", window, slide) if slide else F.window("ts", window)
-    return (parsed.withColumn("ts", ts).withWatermark("ts", watermark)
-            .groupBy(w.alias("window"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
+    w = F.window(ts, window, slide) if slide else F.window(ts, window)
+    return (parsed.groupBy(w.alias("window"), "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
             .select(F.col("window.start").cast("timestamp_ntz").alias("minute"), "ad_id", "click_count"))

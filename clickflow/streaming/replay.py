@@ -37,11 +37,16 @@ def day_batches(lines_with_ts: DataFrame, days_per_batch: int, first_day) -> Dat
     return lines_with_ts.withColumn(BATCH_COL, F.floor(day_index / int(days_per_batch)).cast("int"))
 
 
-def ad_log_replay_lines(spark: SparkSession, base_dir: str, days_per_batch: int) -> ReplayInput:
+def ad_log_replay_lines(spark: SparkSession, base_dir: str, days_per_batch: int, late_every: int | None = None) -> ReplayInput:
+    """``late_every``: each so many-th event id arrives one batch, so ``days_per_batch`` days, late."""
     a = V.ad_log(spark, base_dir)
     lo, hi = a.agg(F.min(F.col("ts").cast("date")), F.max(F.col("ts").cast("date"))).first()  # two scalars
     n = 0 if lo is None else (hi - lo).days // int(days_per_batch) + 1
-    return ReplayInput(day_batches(a.select("ts", V.ad_line().alias("value")), days_per_batch, lo), n)
+    if not late_every:
+        return ReplayInput(day_batches(a.select("ts", V.ad_line().alias("value")), days_per_batch, lo), n)
+    lines = day_batches(a.select("ts", "event_id", V.ad_line().alias("value")), days_per_batch, lo)
+    late = (F.col("event_id") % late_every == 0).cast("int")
+    return ReplayInput(lines.withColumn(BATCH_COL, F.col(BATCH_COL) + late).drop("event_id"), n + 1)
 
 
 def stage(lines: DataFrame, staging_dir: str, batch_col: str = BATCH_COL) -> None:

@@ -46,10 +46,7 @@ def test_batch_log_upserts(spark):
     assert rows(log.latest(["k"], "v")) == [("a", 1), ("b", 5), ("c", 1)]
     assert rows(log.increments(["k"], "v")) == [("a", 1), ("b", 7), ("c", 1)]
     keys = spark.createDataFrame([("b",), ("z",)], "k string")
-    assert rows(log.lookup(keys, ["k"], "v")) == [("b", 7), ("z", 0)]
-    comp = log.compact(log.increments(["k"], "v"), scratch_dir(spark, "t-compact"), 1)
-    comp.write(spark.createDataFrame([("a", 2)], "k string, v bigint"), 2)
-    assert rows(comp.increments(["k"], "v")) == [("a", 3), ("b", 7), ("c", 1)]
+    assert rows(log.lookup(keys, ["k"], "v")) == [("b", 7)]
 
 
 def test_replace_group(spark):
@@ -210,11 +207,11 @@ def test_stream_survives_failed_batch_and_restart(spark):
     real_write = stats.province_top.write
     state = {"failed": False}
 
-    def flaky_write(df, batch_id):
+    def flaky_write(df, batch_id, owner=None):
         if batch_id == 2 and not state["failed"]:
             state["failed"] = True
             raise RuntimeError("simulated executor loss")
-        real_write(df, batch_id)
+        real_write(df, batch_id, owner)
 
     stats.province_top.write = flaky_write
 
@@ -266,3 +263,50 @@ def test_batch_log_generations_layout_and_views(spark):
     assert rows(gens.increments(["k"], "v")) == rows(plain.increments(["k"], "v")) == \
         [("a", 4), ("b", 8), ("c", 1), ("d", 4)]
     assert rows(gens.read(1).where("batch_id = 1").select("k", "v")) == [("a", 1), ("b", 7)]
+
+
+def test_stores_are_never_read_in_part(spark):
+    """A missing marker, a lost folder and a foreign owner are errors; only a store before its first batch is empty."""
+    import shutil
+
+    import pytest
+    schema = "k string, v bigint"
+    log = BatchLog(spark, scratch_dir(spark, "t-safe"), schema, (), lambda lg, df: lg.increments(["k"], "v", df), 2)
+    assert log.current_generation() is None and log.read().count() == 0
+    for i in range(5):
+        log.write(spark.createDataFrame([("a", 1)], schema), i, "query-1")
+    assert rows(log.increments(["k"], "v")) == [("a", 5)]
+    assert sorted(n for n in os.listdir(f"{log.path}/_generations") if n.isdigit()) == ["0", "1", "2"]
+    with pytest.raises(RuntimeError, match="belongs to"):
+        log.write(spark.createDataFrame([("a", 1)], schema), 0, "query-2")
+    shutil.move(f"{log.path}/_generations", f"{log.path}/_gone")
+    with pytest.raises(RuntimeError, match="no marker"):
+        log.read()
+    shutil.move(f"{log.path}/_gone", f"{log.path}/_generations")
+    shutil.move(f"{log.path}/gen=2", f"{log.path}/_lost")
+    with pytest.raises(Exception, match="(?i)path"):
+        log.read().count()
+
+
+def test_state_forms_count_late_clicks_and_rejects_are_kept(spark):
+    """Clicks of the 13th, then one of the 10th: no form may drop it; lines without a time are kept as rejects."""
+    day = 24 * 3600
+    root = scratch_dir(spark, "t-late")
+    batches = [[f"{_ms(9 * day)} P C 1 5"], [f"{_ms(12 * day)} P C 2 5", "x P C 3 5"], [f"{_ms(12 * day + 61)} P C 4 5"], [f"{_ms(9 * day + 5)} P C 6 5"]]
+    stat = BatchLog(spark, f"{root}/stat", ast.STAT_SCHEMA)
+    trend = BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
+    stats = ast.AdClickStats(spark, f"{root}/out", threshold=100)
+    lines = ast.text_source(spark, f"{root}/source/*")
+    for i, batch in enumerate(batches):
+        spark.createDataFrame([(x,) for x in batch], "value string").coalesce(1).write.text(f"{root}/source/{i:06d}")
+        stats.run_available(lines, f"{root}/ckpt")
+        with ast.rocksdb_state(spark):
+            for query, log, name in ((ast.stateful_ad_stat, stat, "s"), (ast.windowed_trend, trend, "t")):
+                (query(ads.parse_ad_log(lines).where("date is not null")).writeStream.outputMode("update")
+                 .foreachBatch(lambda df, b, log=log: log.write(df, b)).option("checkpointLocation", f"{root}/ckpt-{name}")
+                 .trigger(availableNow=True).start().awaitTermination())
+    want = [(dt.date(2024, 1, 10), "P", "C", 5, 2), (dt.date(2024, 1, 13), "P", "C", 5, 2)]
+    assert rows(stat.latest(ast.STAT_KEYS, "click_count")) == want == rows(stats.stat_view())
+    assert sum(r.click_count for r in trend.latest(["minute", "ad_id"], "click_count").collect()) == 4
+    assert rows(stats.reject_view()) == [("x P C 3 5",)]
+    assert "RocksDB" not in (spark.conf.get("spark.sql.streaming.stateStore.providerClass", None) or "")

@@ -19,12 +19,13 @@ def test_ratio2_half_up_in_integers(spark):
 
 
 def test_kv_get_and_set(spark):
-    df = spark.createDataFrame([("a=1|b=|c=3|a=9",), ("x=1",), (None,)], "s string")
+    df = spark.createDataFrame([("a=1|b=|c=3|a=9",), ("x=1",), (None,), ("c=1=|c=2|a=1=2|a=7==||",)], "s string")
     out = df.select(fs.kv_get("s", "a").alias("a"), fs.kv_get("s", "b").alias("b"),
                     fs.kv_get("s", "c").alias("c"), fs.kv_set("s", "c", "7").alias("set")).collect()
     assert (out[0].a, out[0].b, out[0].c, out[0].set) == ("1", None, "3", "a=1|b=|c=7|a=9")
     assert (out[1].a, out[1].set) == (None, "x=1")
     assert out[2].a is None
+    assert (out[3].a, out[3].c, out[3].set) == ("7", "1", "c=7|c=2|a=1=2|a=7==")
 
 
 def test_string_helpers(spark):

@@ -47,7 +47,7 @@ def test_task_table_lookup_drives_a_task(spark):
     tasks_df = V.task_table(spark, SF_SMALL, P.START_DATE, P.END_DATE, P.PAGE_FLOW)
     actions = V.user_visit_action(spark, SF_SMALL)
     # a user with actions and neither keywords nor categories in its task
-    odd = actions.where("user_id % 6 = 3").agg({"user_id": "min"}).first()[0]
+    odd = actions.where("user_id % 6 = 3 and user_id % 10 <> 3").agg({"user_id": "min"}).first()[0]
     p = lookup_task(tasks_df, odd)
     assert p.keywords is None and p.category_ids is None
     assert p.start_date == P.START_DATE and p.target_page_flow == P.PAGE_FLOW
@@ -69,7 +69,8 @@ def test_session_task_equals_registered_queries(spark):
     actions = V.user_visit_action(spark, SF_SMALL)
     p = P.session_task_params()
     outs = tasks.session_task_outputs(actions, V.user_info(spark, SF_SMALL), p, 3, sample_size=P.SAMPLE_SIZE,
-                                      seed=P.SAMPLE_SEED, unit_seconds=P.VISIT_UNIT_SECONDS)
+                                      seed=P.SAMPLE_SEED, unit_seconds=P.VISIT_UNIT_SECONDS,
+                                      top_sessions=P.TOP_SESSIONS, step_buckets=P.STEP_BUCKETS)
     for name, key in (("top10_category", "top10_category"), ("top10_category_session", "top10_session"),
                       ("session_aggr_stat", "session_aggr_stat")):
         assert rows(present(outs[name]).drop("task_id")) == rows(QUERIES[key](spark, SF_SMALL)), name
@@ -111,3 +112,24 @@ def test_submit_ads_job_reads_topics_through_the_bus_source(spark):
                                         "--out", root])
     with pytest.raises(RuntimeError, match="Kafka connector"):
         submit.run(spark, args)
+
+
+def test_submit_runs_on_stored_tables(spark):
+    """The three batch jobs on tables with text dates, times and lists give what they give on typed ones; area levels are a parameter."""
+    from clickflow.plans import submit
+    from clickflow.sources import native
+
+    root = scratch_dir(spark, "t-stored")
+    native.rendered_actions(V.user_visit_action(spark, SF_SMALL)).write.parquet(f"{root}/in/user_visit_action")
+    for name in ("user_info", "product_info", "city_info"):
+        getattr(V, name)(spark, SF_SMALL).write.parquet(f"{root}/in/{name}")
+    V.task_table(spark, SF_SMALL, P.START_DATE, P.END_DATE, P.PAGE_FLOW).write.parquet(f"{root}/tasks")
+    uid = V.user_info(spark, SF_SMALL).join(V.user_visit_action(spark, SF_SMALL), "user_id").agg({"user_id": "min"}).first()[0]
+    for kind, folder in (("stored", f"{root}/in"), ("derived", SF_SMALL)):
+        for job in ("session", "page", "product"):
+            submit.run(spark, submit._parser().parse_args([job, "--input", folder, "--tables", kind, "--tasks", f"{root}/tasks", "--task-id", str(uid),
+                                                           "--out", f"{root}/{kind}", "--levels", '{"ASIA": "Z"}']))
+    for name in ("session_aggr_stat", "top10_category", "top10_category_session", "area_top3_product"):
+        got, want = (sorted(map(tuple, spark.read.parquet(f"{root}/{k}/{name}").collect()), key=str) for k in ("stored", "derived"))
+        assert got == want, name
+    assert {r.area_level for r in spark.read.parquet(f"{root}/stored/area_top3_product").collect()} == {"Z", "D"}
