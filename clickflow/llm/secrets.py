@@ -17,6 +17,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -56,26 +57,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 _DIGIT, _UPPER, _LOWER, _OTHER = range(4)
 _CLASS = bytes(_DIGIT if chr(c).isdigit() and c < 128 else _UPPER if chr(c).isupper() and c < 128 else _LOWER if c >= 128 or chr(c).isalpha() else _OTHER for c in range(256))
+_NO_MARK = bytes(c for c in range(256) if c >= 128 or chr(c).isalnum())
+
+
+#: What ``_shape_features`` has made; distinct shapes are few, and past this many the table begins anew.
+_SHAPES: dict[tuple, tuple[int, ...]] = {}
+_MOST_SHAPES = 50_000
+
+
+def _shape_features(kinds: int, runs: int, size: int, marks: bytes) -> tuple[int, ...]:
+    """Marks; class mix with runs and length, each pair; and as a neighbour."""
+    known = _SHAPES.get((kinds, runs, size, marks))
+    if known is None:
+        if len(_SHAPES) > _MOST_SHAPES:
+            _SHAPES.clear()
+        shape = kinds * 64 + min(runs, 15) * 4
+        known = _SHAPES[kinds, runs, size, marks] = (
+            zlib.crc32(marks, 3) % DIM, (shape * 16 + size + 1) * 2654435761 % DIM, (kinds * 16 + size + 70001) * 2654435761 % DIM,
+            (min(runs, 20) * 16 + size + 90001) * 2654435761 % DIM, zlib.crc32(marks, kinds + 100) % DIM, zlib.crc32(marks, kinds + 200) % DIM)
+    return known
 
 
 def token_features(token: str) -> list[int]:
-    """Shape (classes, runs of classes, length), marks, affixes, word; then word and shape as a neighbour."""
+    """Word, affixes, marks, and shape (classes, runs of classes, length); then word and shape as a neighbour."""
     raw = token[:80].encode("utf-8", "replace")
     if token.isalpha():  # the common case: a plain word
         runs, kinds, marks = 1, 4 if token.islower() else 2 if token.isupper() else 6, b""
-    elif token[:-1].isalpha() and token[-1] in ".,":
+    elif token[-1:] in (".", ",") and token[:-1].isalpha():
         runs, kinds, marks = 2, 12, b"."
     else:
         cls = raw.translate(_CLASS)
-        runs = 1 + sum(a != b for a, b in zip(cls, cls[1:], strict=False))
+        runs = 1 + sum(map(ne, cls, cls[1:]))
         kinds = sum(1 << k for k in set(cls))
-        marks = bytes(sorted({c for c in raw if c < 128 and not chr(c).isalnum()}))
-    size = min(len(raw), 48) // 4
-    w = raw.lower().strip(b"\"'.,;:!?()")
-    h, shape = zlib.crc32(w), kinds * 64 + min(runs, 15) * 4
-    return [h % DIM, zlib.crc32(raw[:4], 1) % DIM, zlib.crc32(raw[-2:], 2) % DIM, zlib.crc32(marks, 3) % DIM,
-            (shape * 16 + size + 1) * 2654435761 % DIM, (kinds * 16 + size + 70001) * 2654435761 % DIM, (min(runs, 20) * 16 + size + 90001) * 2654435761 % DIM,
-            (h ^ 0x5BD1E995) % DIM, zlib.crc32(marks, kinds + 100) % DIM, (h ^ 0x27D4EB2F) % DIM, zlib.crc32(marks, kinds + 200) % DIM]
+        marks = bytes(sorted(set(raw.translate(None, _NO_MARK))))
+    h = zlib.crc32(raw.lower().strip(b"\"'.,;:!?()"))
+    mark, mix, mix2, mix3, before, after = _shape_features(kinds, runs, min(len(raw), 48) // 4, marks)
+    return [h % DIM, zlib.crc32(raw[:4], 1) % DIM, zlib.crc32(raw[-2:], 2) % DIM, mark, mix, mix2, mix3,
+            (h ^ 0x5BD1E995) % DIM, before, (h ^ 0x27D4EB2F) % DIM, after]
 
 
 def file_features(text: str) -> list[int]:
