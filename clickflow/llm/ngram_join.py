@@ -7,8 +7,8 @@ hold a linked pair is made, and rows that are equal are one row (a class of docu
    corpus a table of fixed size with the (hashed) document frequency of n-grams.
 2. ``_columns``: with n-grams ordered from rare to frequent, a pair that links shares one of the first
    n - ceil(t * n) + 1 of either set, so only these entries are shuffled, by n-gram (the columns of A).
-3. Within a column, every class is paired with the smallest one of a size that can link (the hub), and these pairs
-   are verified on the whole texts. Their components are the first answer, from work linear in the entries.
+3. Every class is paired with one hub (``_stars``), and these pairs are verified on the whole texts. Their components
+   are the first answer, from work linear in the entries.
 4. Of pairs of a column whose sizes can link but whose components still differ, the overlap counts are accumulated
    over all columns; a pair whose count, with all that the later n-grams can add, stays below the bound of its sizes is
    discarded, the others are verified. After that no link between different components is left out.
@@ -162,15 +162,11 @@ def _columns(documents: DataFrame, n: int, percent: int, classes: np.ndarray) ->
     return documents.select("text").mapInArrow(task, "gram long, key long, size int, pos int")
 
 
-_LIST = ["gram", "key", "size", "pos", "hub"]
-
-
-def _hubs(columns: DataFrame, percent: int) -> DataFrame:
-    """Entries of columns with two classes or more, each with a hub: the smallest class of its column that it may link with, or itself."""
+def _shared(columns: DataFrame) -> DataFrame:
+    """The entries of columns that two classes or more stand in, each once."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, hub_size = None, 0  # (gram, key, size, pos, hub) of the entry before, and its hub's size
-        told = True  # whether that entry has been passed on
+        last, told = None, True  # the entry before, and whether it has been passed on
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -183,25 +179,36 @@ def _hubs(columns: DataFrame, percent: int) -> DataFrame:
             multi[-1] = True  # the next batch may go on with it
             out = []
             rows = batch.filter(pa.array(multi))
-            for g, k, n, p in zip(*(rows.column(c).to_pylist() for c in ("gram", "key", "size", "pos")), strict=True):
-                if last is not None and last[0] == g:
-                    if last[1] == k:
+            for entry in zip(*(rows.column(c).to_pylist() for c in ("gram", "key", "size", "pos")), strict=True):
+                if last is not None and last[0] == entry[0]:
+                    if last[1] == entry[1]:
                         continue
                     if not told:
                         out.append(last)
-                    if 100 * hub_size >= percent * n:
-                        last = (g, k, n, p, last[4])
-                    else:
-                        last, hub_size = (g, k, n, p, k), n
-                    out.append(last)
-                    told = True
+                    out.append(entry)
+                    last, told = entry, True
                 else:
-                    last, hub_size, told = (g, k, n, p, k), n, False
+                    last, told = entry, False
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i in (0, 1, 4) else pa.int32()) for i, c in enumerate(zip(*out, strict=True))], _LIST)
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i < 2 else pa.int32()) for i, c in enumerate(zip(*out, strict=True))], ["gram", "key", "size", "pos"])
+
+    return columns.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(task, "gram long, key long, size int, pos int")
 
-    return columns.repartition("gram").sortWithinPartitions("gram", "size", "key").mapInArrow(
-        task, "gram long, key long, size int, pos int, hub long")
+
+def _stars(lists: DataFrame, percent: int) -> DataFrame:
+    """(a, b): each class ``b`` with one hub ``a``, both of sizes that can link.
+
+    In a group of near-copies the text that the others were made from shares most of its n-grams. So the hub of a
+    column (by bands of size) is the class with the largest share of its entries in shared columns, and a class takes
+    the best hub of its columns. One pair for each class, whatever the size of its group.
+    """
+    prefix = F.col("size") - F.floor((percent * F.col("size") + 99) / 100) + 1
+    shares = lists.groupBy("key", "size").agg((F.count("*") / F.first(prefix)).alias("share")).select("key", F.round("share", 6).alias("share"))
+    rows = lists.join(shares, "key").withColumn("band", F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))))
+    best = rows.groupBy("gram", "band").agg(F.max(F.struct("share", F.col("key").alias("hub"), F.col("size").alias("hub_size"))).alias("best"))
+    best = rows.select("gram", "band", "key", "size").join(best, ["gram", "band"]).groupBy("key", "size").agg(F.max("best").alias("best"))
+    return best.where("key <> best.hub").where(percent * F.greatest("size", "best.hub_size") <= 100 * F.least("size", "best.hub_size")).select(
+        F.col("best.hub").alias("a"), F.col("key").alias("b"))
 
 
 def _crossing(lists: DataFrame, percent: int) -> DataFrame:
@@ -322,17 +329,18 @@ def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc
     scan, _ = saved(spark, _scan(docs, n), "ngram-scan")
     rows = scan.where("part is null").select("id", "key", "size")
     classes = _frequency_classes(scan.where("part is not null").select("part", "counts"))
-    lists, lists_path = saved(spark, _hubs(_columns(docs, n, percent, classes), percent), "ngram-lists")
+    lists, lists_path = saved(spark, _shared(_columns(docs, n, percent, classes)), "ngram-lists")
     texts, texts_path = saved(spark, _texts(docs, rows, lists.select("key").distinct()), "ngram-texts")
 
-    # a pair meets its hub in some of its columns only, so its count is not whole and can discard nothing: all are verified
-    stars, stars_path = saved(spark, lists.where("key <> hub").select(F.col("hub").alias("a"), F.col("key").alias("b")).distinct(), "ngram-stars")
+    # their counts are not accumulated, so the bound can discard nothing yet: all are verified
+    stars, stars_path = saved(spark, _stars(lists, percent), "ngram-stars")
     links, _ = saved(spark, _verified(stars, texts, n, percent), "ngram-links")
     part = components(links)
 
     told = lists.select("gram", "key", "size", "pos").join(part.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     told, told_path = saved(spark, told, "ngram-told")
-    open_ = _within_bounds(_crossing(told, percent), percent).join(stars, ["a", "b"], "left_anti")
+    open_ = _within_bounds(_crossing(told, percent), percent).join(
+        stars.unionAll(stars.select("b", "a")), ["a", "b"], "left_anti")
     pairs, pairs_path = saved(spark, open_, "ngram-pairs")
     more, _ = saved(spark, _verified(pairs, texts, n, percent), "ngram-links")
     for p in (pairs_path, stars_path, told_path, lists_path, texts_path):
