@@ -644,32 +644,37 @@ def _ad_stream_trend_last_hour(spark, d):
 _STATEFUL_RUNS: dict = {}
 
 
-def _stateful_run(spark, d):
+def run_stateful(spark, d) -> tuple[sk.BatchLog, sk.BatchLog, sk.BatchLog]:
     """Replay the ad log, with late clicks, through the state-store aggregations
     (update mode); each micro-batch's updated rows go to an upsert log (K2)."""
+    root = scratch_dir(spark, "ad-stateful")
+    stat_log = sk.BatchLog(spark, f"{root}/stat", "date date, province string, city string, ad_id bigint, "
+                                                  "click_count bigint")
+    trend_log = sk.BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
+    sliding_log = sk.BatchLog(spark, f"{root}/sliding", ast.TREND_SCHEMA)
+
+    def sliding(parsed):
+        return ast.windowed_trend(parsed, f"{P.WINDOW_MINUTES} minutes", f"{P.SLIDE_MINUTES} minutes")
+
+    def run(query, log):
+        def go(lines, ckpt):
+            with ast.rocksdb_state(spark):
+                (query(ads.parse_ad_log(lines)).writeStream.outputMode("update")
+                 .foreachBatch(lambda df, b: log.write(df, b))
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
+        return go
+
+    _replay(spark, d, root, [(run(ast.stateful_ad_stat, stat_log), "ckpt-stat"),
+                             (run(ast.windowed_trend, trend_log), "ckpt-trend"),
+                             (run(sliding, sliding_log), "ckpt-sliding")], LATE_EVERY)
+    return stat_log, trend_log, sliding_log
+
+
+def _stateful_run(spark, d):
+    """``run_stateful``, once per session and input folder; the queries read its stores."""
     key = (spark.sparkContext.applicationId, d, DAYS_PER_BATCH)
     if key not in _STATEFUL_RUNS:
-        root = scratch_dir(spark, "ad-stateful")
-        stat_log = sk.BatchLog(spark, f"{root}/stat", "date date, province string, city string, ad_id bigint, "
-                                                      "click_count bigint")
-        trend_log = sk.BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
-        sliding_log = sk.BatchLog(spark, f"{root}/sliding", ast.TREND_SCHEMA)
-
-        def sliding(parsed):
-            return ast.windowed_trend(parsed, f"{P.WINDOW_MINUTES} minutes", f"{P.SLIDE_MINUTES} minutes")
-
-        def run(query, log):
-            def go(lines, ckpt):
-                with ast.rocksdb_state(spark):
-                    (query(ads.parse_ad_log(lines)).writeStream.outputMode("update")
-                     .foreachBatch(lambda df, b: log.write(df, b))
-                     .option("checkpointLocation", ckpt).trigger(availableNow=True).start().awaitTermination())
-            return go
-
-        _replay(spark, d, root, [(run(ast.stateful_ad_stat, stat_log), "ckpt-stat"),
-                                 (run(ast.windowed_trend, trend_log), "ckpt-trend"),
-                                 (run(sliding, sliding_log), "ckpt-sliding")], LATE_EVERY)
-        _STATEFUL_RUNS[key] = (stat_log, trend_log, sliding_log)
+        _STATEFUL_RUNS[key] = run_stateful(spark, d)
     return _STATEFUL_RUNS[key]
 
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -85,8 +84,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     path = f"{checkpoint_root(spark)}/clickflow/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("file:"):
-        os.makedirs(path[len("file:"):], exist_ok=True)
-    elif "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
     return path

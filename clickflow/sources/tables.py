@@ -10,20 +10,6 @@ TABLES = (
 )
 
 
-_SCANS: dict[tuple[str, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """Lazy parquet scan; column pruning and filters reach the reader.
-
-    The scan DataFrame (file listing and footer schema, no data) is reused
-    within one application for read-only inputs; every action still reads
-    the files.
-    """
-    path = f"{base_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        _SCANS[key] = df
-    return df
+    """Lazy parquet scan of what lies there now; column pruning and filters reach the reader."""
+    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")

@@ -21,42 +21,20 @@ Mapping (fixed; the oracle SQL of ``clickflow.plans.oracle`` uses the same):
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.sources.tables import table
 
-_VIEWS: dict[tuple, DataFrame] = {}
-
-
-def _memo(fn):
-    """Reuse a view's DataFrame (its definition, not its data) within one
-    application and input folder: views over the read-only input tables are
-    immutable, and analysing the same joins again for every query costs
-    plan-building time. Every action still reads the files."""
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, base_dir: str) -> DataFrame:
-        key = (fn.__name__, spark.sparkContext.applicationId, base_dir.rstrip("/"))
-        df = _VIEWS.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = fn(spark, base_dir)
-            _VIEWS[key] = df
-        return df
-    return wrapper
-
 
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
-@_memo
 def events_with_k(spark: SparkSession, base_dir: str) -> DataFrame:
     return table(spark, base_dir, "events").withColumn("k", _k())
 
 
-@_memo
 def user_visit_action(spark: SparkSession, base_dir: str) -> DataFrame:
     """One row per action (search, click, order, pay) with real types.
 
@@ -87,7 +65,6 @@ def user_visit_action(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def user_info(spark: SparkSession, base_dir: str) -> DataFrame:
     c = table(spark, base_dir, "customer")
     n = table(spark, base_dir, "nation")
@@ -102,7 +79,6 @@ def user_info(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def product_info(spark: SparkSession, base_dir: str) -> DataFrame:
     p = table(spark, base_dir, "part")
     return p.where(F.col("p_partkey") % 7 != 5).select(
@@ -113,7 +89,6 @@ def product_info(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def city_info(spark: SparkSession, base_dir: str) -> DataFrame:
     n = table(spark, base_dir, "nation")
     r = table(spark, base_dir, "region")
@@ -124,7 +99,6 @@ def city_info(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def ad_log(spark: SparkSession, base_dir: str) -> DataFrame:
     """Parsed ad clicks: event_id, ts (timestamp_ntz), province, city, user_id, ad_id."""
     e = events_with_k(spark, base_dir).where(F.col("event_type") == "click")
@@ -138,7 +112,6 @@ def ad_log(spark: SparkSession, base_dir: str) -> DataFrame:
     )
 
 
-@_memo
 def ad_log_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """The ad log as the text the reference's producer emits:
     ``<epoch_ms> <province> <city> <user_id> <ad_id>``; spaces inside a
@@ -158,7 +131,6 @@ def ad_line() -> Column:
     )
 
 
-@_memo
 def pv_lines(spark: SparkSession, base_dir: str) -> DataFrame:
     """CSV lines ``site,user,yyyy-MM-dd HH:mm:ss``: site = event type, user = user id."""
     e = table(spark, base_dir, "events")
