@@ -49,6 +49,33 @@ def _ordered(df: DataFrame, keys: list[str], order: list[str], value: str, prev_
                      F.count(F.lit(1)).over(whole).alias("_size"))
 
 
+def _sequenced(actions: DataFrame, bucket_seconds: int, block_rows: int) -> DataFrame:
+    """Rows of sessions with their span ``_m`` and id block ``_blk``; rows without a session or a time belong to no sequence."""
+    a = actions.select("session_id", "event_id", "page_id", "action_time",
+                       _time_bucket(F.col("action_time"), bucket_seconds).alias("_m"),
+                       F.coalesce(F.floor(F.col("event_id") / int(block_rows)), F.lit(-1)).alias("_blk"))
+    return a.where(F.col("session_id").isNotNull() & F.col("_m").isNotNull())
+
+
+def page_transitions(actions: DataFrame, bucket_seconds: int = 60, block_rows: int = 100_000) -> DataFrame:
+    """W7 without the rows themselves: (prev_page_id, page_id) of every action, as ``page_pairs`` has them.
+
+    The rows are shuffled once and never joined: pairs inside a run (session, time, block) come from the rows, pairs
+    across runs from the runs' first and last pages, and pairs across spans from the spans'.
+    """
+    run, pair = ["session_id", "action_time", "_blk"], ["prev_page_id", "page_id"]
+    rows = _ordered(_sequenced(actions, bucket_seconds, block_rows), run, ["event_id"], "page_id", "prev_page_id")
+
+    def ends(part: DataFrame, keys: list[str], last: str) -> DataFrame:
+        return part.where((F.col("_rn") == 1) | (F.col("_rn") == F.col("_size"))).groupBy(*keys).agg(
+            F.min_by("page_id", "_rn").alias("page_id"), F.max_by(last, "_rn").alias("_last"))
+
+    runs = _ordered(ends(rows, [*run, "_m"], "page_id"), ["session_id", "_m"], ["action_time", "_blk"], "_last", "prev_page_id")
+    spans = ends(runs, ["session_id", "_m"], "_last").withColumn(
+        "prev_page_id", F.lag("_last").over(Window.partitionBy("session_id").orderBy("_m")))
+    return rows.where("_rn > 1").select(*pair).unionAll(runs.where("_rn > 1").select(*pair)).unionAll(spans.select(*pair))
+
+
 def page_pairs(actions: DataFrame, bucket_seconds: int = 60, block_rows: int = 100_000) -> DataFrame:
     """Every action with the page of the action before it in its session.
 
@@ -58,11 +85,7 @@ def page_pairs(actions: DataFrame, bucket_seconds: int = 60, block_rows: int = 1
     The rows are shuffled once (on session, time, block); the carry tables
     hold one row per run and one per (session, ``bucket_seconds`` span).
     """
-    a = actions.select("session_id", "event_id", "page_id", "action_time",
-                       _time_bucket(F.col("action_time"), bucket_seconds).alias("_m"),
-                       F.coalesce(F.floor(F.col("event_id") / int(block_rows)), F.lit(-1)).alias("_blk"))
-    # rows without a session or a time belong to no sequence
-    a = a.where(F.col("session_id").isNotNull() & F.col("_m").isNotNull())
+    a = _sequenced(actions, bucket_seconds, block_rows)
     run = ["session_id", "action_time", "_blk"]
     # level 1: inside a run
     rows = _ordered(a, run, ["event_id"], "page_id", "_prev_in")

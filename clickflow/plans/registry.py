@@ -228,13 +228,13 @@ from clickflow.operators import sampling as smp  # noqa: E402
 
 
 def _rates(spark, d):
-    return fun.conversion_rates(fun.page_pairs(_actions_in_range(spark, d)), P.PAGE_FLOW)
+    return fun.conversion_rates(fun.page_transitions(_actions_in_range(spark, d)), P.PAGE_FLOW)
 
 
 @register("page_pair_counts")
 def _page_pair_counts(spark, d):
     """W7 + W8 + C8: flow pair counts in time order per session."""
-    return fun.page_pair_counts(fun.page_pairs(_actions_in_range(spark, d)), P.PAGE_FLOW)
+    return fun.page_pair_counts(fun.page_transitions(_actions_in_range(spark, d)), P.PAGE_FLOW)
 
 
 @register("page_convert_rate")

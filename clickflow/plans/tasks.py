@@ -71,7 +71,7 @@ def session_task_outputs(actions: DataFrame, users: DataFrame, p: TaskParams, ta
 
 def page_task_output(actions: DataFrame, p: TaskParams, task_id: int) -> DataFrame:
     """The ``a_b=rate|...`` string of the task's page flow."""
-    rates = fun.conversion_rates(fun.page_pairs(_in_range(actions, p)), p.target_page_flow)
+    rates = fun.conversion_rates(fun.page_transitions(_in_range(actions, p)), p.target_page_flow)
     return fun.rate_string(rates).select(F.lit(int(task_id)).alias("task_id"), "convert_rate")
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import hashlib
+from collections import Counter
 
 import pandas as pd
 
@@ -18,7 +19,7 @@ def _t(s):
 
 def _rates(df, flow):
     return [(r.step, r.page_pair, r.pair_count, r.prev_count, r.convert_rate)
-            for r in fun.conversion_rates(fun.page_pairs(df, 60), flow).orderBy("step").collect()]
+            for r in fun.conversion_rates(fun.page_transitions(df, 60), flow).orderBy("step").collect()]
 
 
 def test_funnel_hand_built(spark):
@@ -37,7 +38,7 @@ def test_funnel_hand_built(spark):
     assert _rates(df, [8, 1]) == [(1, "8_1", 0, 0, None)]
     # a repeated pair in the flow gets its count at each step
     assert _rates(df, [1, 2, 1, 2]) == [(1, "1_2", 3, 4, 0.75), (2, "2_1", 1, 3, 0.33), (3, "1_2", 3, 1, 3.0)]
-    s = fun.rate_string(fun.conversion_rates(fun.page_pairs(df, 60), [1, 2, 5])).first().convert_rate
+    s = fun.rate_string(fun.conversion_rates(fun.page_transitions(df, 60), [1, 2, 5])).first().convert_rate
     assert s == "1_2=0.75|2_5=0.33"
 
 
@@ -54,6 +55,8 @@ def test_bucketed_lag_equals_per_session_sort(spark):
     for bucket, block in ((60, 100_000), (3600, 1), (86400 * 40, 3), (1, 2)):
         got = {r.event_id: r.prev_page_id for r in fun.page_pairs(a, bucket, block).collect()}
         assert got == want, (bucket, block)
+        pairs = Counter((want[r.event_id], r.page_id) for r in a.select("event_id", "page_id").collect())
+        assert Counter(map(tuple, fun.page_transitions(a, bucket, block).collect())) == pairs, (bucket, block)
 
 
 def test_lag_splits_a_hot_instant(spark):
@@ -67,6 +70,9 @@ def test_lag_splits_a_hot_instant(spark):
     want = _pandas_prev(df)
     for bucket, block in ((60, 4), (1, 1), (3600, 100)):
         got = {r.event_id: r.prev_page_id for r in fun.page_pairs(df, bucket, block).collect()}
+        pages = {r.event_id: r.page_id for r in df.collect()}
+        moves = Counter((p, pages[e]) for e, p in got.items())
+        assert Counter(map(tuple, fun.page_transitions(df, bucket, block).collect())) == moves
         assert got == want, (bucket, block)
 
 
@@ -111,3 +117,12 @@ def test_sampled_sessions_equal_sampling_all_aggregates(spark):
     fast = smp.sampled_sessions(a, 300, "7").select(*cols)
     got, want = sorted(map(tuple, fast.collect())), sorted(map(tuple, full.collect()))
     assert got == want and len(got) > 0
+
+
+def test_transitions_shuffle_the_rows_once_and_join_nothing(spark):
+    a = V.user_visit_action(spark, SF_SMALL)
+    df = fun.page_transitions(a)
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    assert "ReusedExchange" in plan  # the row shuffle serves the pairs inside runs and the ends of runs
