@@ -17,8 +17,8 @@ A hub's pairs are verified in blocks of ``BLOCK``. Classes are told apart by 64-
 
 Cases: null and empty texts (and texts without words) have no n-gram and link with nothing; texts with fewer words
 than n have the whole sequence as the one n-gram; very long texts are read whole; equal texts are one class; a
-repeated row is a document each, with one answer per row; rows with a null id get a null component unless linked with an
-id; empty tables give an empty result. Only the columns named in the call are read.
+repeated row is a document each, with one answer per row; rows with a null id are linked by equal sets only and get the
+component of those, or null; empty tables give an empty result. Only the columns named in the call are read.
 """
 
 from __future__ import annotations
