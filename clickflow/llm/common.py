@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickflow.session import checkpoint_root
 
 #: Characters of text that a task turns into Python or numpy objects at once; bounds a worker's memory whatever the Arrow batch holds.
-CHUNK_CHARS = 1_000_000
+CHUNK_CHARS = 300_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

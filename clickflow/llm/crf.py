@@ -33,7 +33,7 @@ class Model:
 class Types:
     """``width`` feature ids for each distinct token, made once while the table lasts; ``reset`` it once ``full``."""
 
-    def __init__(self, make: Callable[[str], list[int]], width: int, most: int = 150_000):
+    def __init__(self, make: Callable[[str], list[int]], width: int, most: int = 60_000):
         self.make, self.width, self.most = make, width, most
         self.reset()
 

@@ -42,7 +42,7 @@ BLOCK = 256
 #: Ids that may be broadcast (8 bytes each); with more of them the texts are shuffled.
 BROADCAST_IDS = 1_000_000
 #: Classes that a task remembers having sent, at most.
-REMEMBER = 500_000
+REMEMBER = 200_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -50,7 +50,7 @@ _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD
 class Shingler:
     """Sets of word n-grams of whole texts; ``lower``: A-Z are lower-cased. Words are runs without space, \\x09-\\x0D."""
 
-    def __init__(self, n: int, lower: bool = True, most: int = 200_000):
+    def __init__(self, n: int, lower: bool = True, most: int = 100_000):
         if not 1 <= n <= len(_ODD):
             raise ValueError(f"n must be 1 to {len(_ODD)}")
         self.n, self.lower, self.most = n, lower, most

@@ -15,6 +15,7 @@ the call are read.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections.abc import Iterator
 from pathlib import Path
@@ -32,7 +33,7 @@ SEQUENCE = 1024
 #: Segments in a sequence, at most.
 SEGMENTS = 64
 #: Rows packed together, at most; a bound of a task's memory and of the search for the next example.
-ROWS = 4096
+ROWS = 2048
 #: The fast library is asked for texts up to this code point; it and the reference library split them alike. Others go to the reference library.
 PLAIN = "ɏ"
 
@@ -42,10 +43,9 @@ class Encoder:
 
     def __init__(self, tokenizer_json: str, ranks: str, pattern: str, end_id: int):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self.reference = Tokenizer.from_str(tokenizer_json)
-        special = {t.content: i for i, t in self.reference.get_added_tokens_decoder().items()}
+        self.tokenizer_json, self.reference = tokenizer_json, None  # made when a text needs it
+        special = {t["content"]: t["id"] for t in json.loads(tokenizer_json)["added_tokens"]}
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens=special)
         self.allowed, self.end = set(special), end_id
@@ -54,6 +54,10 @@ class Encoder:
         if not text or max(text) <= PLAIN:
             ids = self.fast.encode(text, allowed_special=self.allowed, disallowed_special=())
         else:
+            if self.reference is None:
+                from tokenizers import Tokenizer
+
+                self.reference = Tokenizer.from_str(self.tokenizer_json)
             ids = self.reference.encode(text, add_special_tokens=False).ids
         out = np.empty(len(ids) + 1, dtype="<u4")
         out[:-1], out[-1] = ids, self.end
