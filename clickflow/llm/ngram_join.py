@@ -29,7 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.llm.common import chunks, forget, saved, texts_of
@@ -131,13 +131,15 @@ def _frequency_classes(parts: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _ordered(s: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """n-grams from rare to frequent; the order is the same in every set."""
-    return s[np.argsort(classes[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)], kind="stable")]  # equal classes stay in the order of hashes
+def _ordered(s: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """n-grams from rare to frequent, and their classes; the order is the same in every set."""
+    own = classes[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)]
+    order = np.argsort(own, kind="stable")  # equal classes stay in the order of hashes
+    return s[order], own[order]
 
 
 def _columns(documents: DataFrame, n: int, percent: int, classes: np.ndarray) -> DataFrame:
-    """(gram, key, size, pos) of the entries that may show a link."""
+    """(gram, key, size, pos, rank) of the entries that may show a link; ``rank``: mean class of the key's entries."""
     shared = documents.sparkSession.sparkContext.broadcast(classes)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,21 +154,30 @@ def _columns(documents: DataFrame, n: int, percent: int, classes: np.ndarray) ->
                     if len(sent) >= REMEMBER:
                         sent.clear()
                     sent.add(key)
-                    out.append((key, len(s), _ordered(s, shared.value)[:len(s) - (percent * len(s) + 99) // 100 + 1]))
+                    grams, own = _ordered(s, shared.value)
+                    most = len(s) - (percent * len(s) + 99) // 100 + 1
+                    out.append((key, len(s), grams[:most], int(16 * own[:most].mean())))
                 if out:
-                    counts = [len(x) for _, _, x in out]
+                    counts = [len(x) for _, _, x, _ in out]
+                    key, size, rank = (np.repeat([x[j] for x in out], counts) for j in (0, 1, 3))
                     yield pa.RecordBatch.from_arrays([
-                        pa.array(np.concatenate([x for _, _, x in out]).view(np.int64)), pa.array(np.repeat([k for k, _, _ in out], counts)),
-                        pa.array(np.repeat([k for _, k, _ in out], counts).astype(np.int32)), pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int32))], ["gram", "key", "size", "pos"])
+                        pa.array(np.concatenate([x for _, _, x, _ in out]).view(np.int64)), pa.array(key), pa.array(size.astype(np.int32)),
+                        pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int32)), pa.array(rank.astype(np.int32))], ["gram", "key", "size", "pos", "rank"])
 
-    return documents.select("text").mapInArrow(task, "gram long, key long, size int, pos int")
+    return documents.select("text").mapInArrow(task, "gram long, key long, size int, pos int, rank int")
 
 
-def _shared(columns: DataFrame) -> DataFrame:
-    """The entries of columns that two classes or more stand in, each once."""
+def _shared(columns: DataFrame, percent: int) -> DataFrame:
+    """The entries of columns that two classes or more stand in, each once, with a hub: the first class of the column (by bands of size).
+
+    In a group of near-copies the text that the others were made from has the fewest n-grams of its own, so the
+    classes of a column are ordered by falling rank.
+    """
+    band = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))).cast("int")
+    names = ["gram", "key", "size", "pos", "rank", "band"]
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, told = None, True  # the entry before, and whether it has been passed on
+        last, told, hub = None, True, None  # the entry before, whether it has been passed on, and its hub
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -179,34 +190,28 @@ def _shared(columns: DataFrame) -> DataFrame:
             multi[-1] = True  # the next batch may go on with it
             out = []
             rows = batch.filter(pa.array(multi))
-            for entry in zip(*(rows.column(c).to_pylist() for c in ("gram", "key", "size", "pos")), strict=True):
+            for entry in zip(*(rows.column(c).to_pylist() for c in names), strict=True):
                 if last is not None and last[0] == entry[0]:
                     if last[1] == entry[1]:
                         continue
                     if not told:
-                        out.append(last)
-                    out.append(entry)
+                        out.append((*last[:4], hub[4], hub[1], hub[2]))
+                    hub = hub if hub[5] == entry[5] else entry
+                    out.append((*entry[:4], hub[4], hub[1], hub[2]))
                     last, told = entry, True
                 else:
-                    last, told = entry, False
+                    last, told, hub = entry, False, entry
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i < 2 else pa.int32()) for i, c in enumerate(zip(*out, strict=True))], ["gram", "key", "size", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64() if i in (0, 1, 5) else pa.int32()) for i, c in enumerate(zip(*out, strict=True))],
+                                                 ["gram", "key", "size", "pos", "hub_rank", "hub", "hub_size"])
 
-    return columns.repartition("gram").sortWithinPartitions("gram", "key").mapInArrow(task, "gram long, key long, size int, pos int")
+    rows = columns.withColumn("band", band).repartition("gram").sortWithinPartitions("gram", "band", F.desc("rank"), "key")
+    return rows.select(*names).mapInArrow(task, "gram long, key long, size int, pos int, hub_rank int, hub long, hub_size int")
 
 
 def _stars(lists: DataFrame, percent: int) -> DataFrame:
-    """(a, b): each class ``b`` with one hub ``a``, both of sizes that can link.
-
-    In a group of near-copies the text that the others were made from shares most of its n-grams. So the hub of a
-    column (by bands of size) is the class with the largest share of its entries in shared columns, and a class takes
-    the best hub of its columns. One pair for each class, whatever the size of its group.
-    """
-    prefix = F.col("size") - F.floor((percent * F.col("size") + 99) / 100) + 1
-    shares = lists.groupBy("key", "size").agg((F.count("*") / F.first(prefix)).alias("share")).select("key", F.round("share", 6).alias("share"))
-    rows = lists.join(shares, "key").withColumn("band", F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(100.0 / percent))))
-    best = rows.groupBy("gram", "band").agg(F.max(F.struct("share", F.col("key").alias("hub"), F.col("size").alias("hub_size"))).alias("best"))
-    best = rows.select("gram", "band", "key", "size").join(best, ["gram", "band"]).groupBy("key", "size").agg(F.max("best").alias("best"))
+    """(a, b): each class ``b`` with the best hub ``a`` of its columns, both of sizes that can link. One pair for each class, whatever the size of its group."""
+    best = lists.groupBy("key", "size").agg(F.max(F.struct("hub_rank", "hub", "hub_size")).alias("best"))
     return best.where("key <> best.hub").where(percent * F.greatest("size", "best.hub_size") <= 100 * F.least("size", "best.hub_size")).select(
         F.col("best.hub").alias("a"), F.col("key").alias("b"))
 
@@ -249,9 +254,10 @@ def _crossing(lists: DataFrame, percent: int) -> DataFrame:
         if found:
             yield made(found)
 
-    # a column's entries whose components differ: found by an aggregate, so that settled columns are never gathered
-    open_ = lists.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
-    return lists.join(open_, "gram", "left_semi").repartition("gram").sortWithinPartitions("gram", "size", "key").mapInArrow(
+    # settled columns go before their entries are gathered, within the one shuffle by column
+    column = Window.partitionBy("gram")
+    differ = lists.withColumn("lo", F.min("component").over(column)).withColumn("hi", F.max("component").over(column)).where("lo <> hi")
+    return differ.drop("lo", "hi").sortWithinPartitions("gram", "size", "key").mapInArrow(
         task, "a long, b long, a_size int, b_size int, a_pos int, b_pos int")
 
 
@@ -329,7 +335,7 @@ def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc
     scan, _ = saved(spark, _scan(docs, n), "ngram-scan")
     rows = scan.where("part is null").select("id", "key", "size")
     classes = _frequency_classes(scan.where("part is not null").select("part", "counts"))
-    lists, lists_path = saved(spark, _shared(_columns(docs, n, percent, classes)), "ngram-lists")
+    lists, lists_path = saved(spark, _shared(_columns(docs, n, percent, classes), percent), "ngram-lists")
     texts, texts_path = saved(spark, _texts(docs, rows, lists.select("key").distinct()), "ngram-texts")
 
     # their counts are not accumulated, so the bound can discard nothing yet: all are verified
