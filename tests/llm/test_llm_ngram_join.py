@@ -90,8 +90,9 @@ def test_order_of_grams_is_total_and_bounds_hold():
     assert [len(x) for x in s] == [4, 1, 0] and ngram_join.Shingler(2).sets(["a"])[0] == s[1]
     classes = np.random.default_rng(0).integers(0, 5, 1 << ngram_join.SLOT_BITS).astype(np.uint8)
     x = np.unique(np.random.default_rng(1).integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2))
-    part = ngram_join._ordered(x[::3], classes)
-    whole = ngram_join._ordered(x, classes)
+    part, _ = ngram_join._ordered(x[::3], classes)
+    whole, own = ngram_join._ordered(x, classes)
+    assert (np.diff(own.astype(int)) >= 0).all()
     assert [v for v in whole.tolist() if v in set(part.tolist())] == part.tolist()
 
 
