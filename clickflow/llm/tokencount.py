@@ -29,12 +29,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickflow.llm.common import chunks, saved
+from clickflow.llm.common import chunks, saved, texts_of
 
 #: Characters of a block; more than this only if one text is longer.
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 32_000_000
 #: Words up to this code point are known to split from the marks after them.
 LATIN = "ɏ"
+#: A number of pieces that isn't sent back to the blocks: a pre-token without a number has this one.
+USUAL = 4
 #: Characters of pre-tokens that the library is given at once.
 ASK_CHARS = 500_000
 
@@ -67,8 +69,8 @@ def _blocks(documents: DataFrame, keep: list[str], text: str) -> DataFrame:
             for part in chunks(batch, "__text", BLOCK_CHARS):
                 runs: dict[bytes, int] = {}  # distinct runs without white space, by first appearance
                 n_bytes, steps, freq = [], [], []
-                for t in part.column("__text").to_pylist():
-                    raw = (t or "").encode()
+                for t in (t for few in chunks(part, "__text") for t in texts_of(few, "__text")):
+                    raw = t.encode()
                     n_bytes.append(len(raw))
                     own = np.fromiter((runs.setdefault(w, len(runs)) for w in raw.split()), dtype=np.int32)
                     a, f = np.unique(own, return_counts=True)
@@ -79,9 +81,10 @@ def _blocks(documents: DataFrame, keep: list[str], text: str) -> DataFrame:
                 for i, w in enumerate(runs):
                     x, y = pretokens(w)
                     first[i], second[i] = words.setdefault(x, len(words)), words.setdefault(y, len(words))
-                rows = part.drop_columns(["__text"]).append_column("n_bytes", pa.array(n_bytes, pa.int64())).append_column("steps", _lists(steps)).append_column("freq", _lists(freq))
+                rows = part.drop_columns(["__text"]).append_column("n_bytes", pa.array(n_bytes, pa.int64())).append_column("n_runs", pa.array(list(map(len, steps)), pa.int64()))
+                numbers = [_planes(x) for x in (np.concatenate(steps), np.concatenate(freq), np.diff(first, prepend=0), second)]
                 sink = pa.BufferOutputStream()
-                for columns in (rows, pa.RecordBatch.from_arrays([pa.array(first), pa.array(second)], ["first", "second"])):
+                for columns in (rows, pa.RecordBatch.from_arrays([pa.array([x], pa.binary()) for x in numbers], ["steps", "freq", "first", "second"])):
                     with pa.ipc.new_stream(sink, columns.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                         out.write_batch(columns)
                 block = next(number)
@@ -94,13 +97,17 @@ def _blocks(documents: DataFrame, keep: list[str], text: str) -> DataFrame:
     return source.mapInArrow(task, "block long, word binary, at int, block_rows binary")
 
 
-def _lists(parts: list[np.ndarray]) -> pa.Array:
-    flat = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), pa.array(flat))
+def _planes(numbers: np.ndarray) -> bytes:
+    """int32 numbers as all their lowest bytes, then all second ones, and so on: small numbers then compress well."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(4, -1).T).view("<i4").ravel()
 
 
 def _counted(words: DataFrame, tokenizer_path: str) -> DataFrame:
-    """(block, at, n) of rows sorted by ``word``: every distinct pre-token is given to the library once."""
+    """(block, at, n) of rows sorted by ``word``, but for n = ``USUAL``: every distinct pre-token is given to the library once."""
     shared = words.sparkSession.sparkContext.broadcast(Path(tokenizer_path).read_text())
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -129,14 +136,15 @@ def _counted(words: DataFrame, tokenizer_path: str) -> DataFrame:
                 at = stop
             each = n[coded.indices.to_numpy()]
             last, last_n = batch.column("word")[-1].as_py(), int(each[-1])
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("at"), pa.array(each)], ["block", "at", "n"])
+            rest = pa.array(each != USUAL)
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("at"), pa.array(each)], ["block", "at", "n"]).filter(rest)
 
     return words.mapInArrow(task, "block long, at int, n int")
 
 
 def count_tokens(documents: DataFrame, tokenizer_path: str, keep: list[str], text: str = "text") -> DataFrame:
     """The columns ``keep``, ``n_bytes`` (UTF-8) and ``n_tokens``; like-named columns of the input are not kept."""
-    made = ("n_bytes", "n_tokens", "steps", "freq")
+    made = ("n_bytes", "n_tokens", "n_runs")
     keep = [c for c in dict.fromkeys(keep) if c not in made]
     spark = documents.sparkSession
     blocks, _ = saved(spark, _blocks(documents, keep, text), "token-blocks")
@@ -147,15 +155,17 @@ def count_tokens(documents: DataFrame, tokenizer_path: str, keep: list[str], tex
 
     def sums(holder: pa.Table, counts: pa.Table) -> pa.Table:
         stream = pa.BufferReader(holder.column("block_rows")[0].as_buffer())
-        rows, runs = (pa.ipc.open_stream(stream).read_all().combine_chunks() for _ in range(2))
-        n = np.zeros(counts.num_rows + 1, dtype=np.int64)  # the empty pre-token is number 0
+        rows, packed = (pa.ipc.open_stream(stream).read_all().combine_chunks() for _ in range(2))
+        steps, freq, first, second = (_numbers(packed.column(c)[0].as_py()) for c in ("steps", "freq", "first", "second"))
+        n = np.full(int(second.max(initial=0)) + int(np.cumsum(first).max(initial=0)) + 2, USUAL, dtype=np.int64)
+        n[0] = 0  # the empty pre-token
         n[counts.column("at").to_numpy()] = counts.column("n").to_numpy()
-        of_run = n[runs.column("first").to_numpy()] + n[runs.column("second").to_numpy()]
-        steps, freq = rows.column("steps").combine_chunks(), rows.column("freq").combine_chunks()
-        ends, gone = steps.offsets.to_numpy(), np.cumsum(steps.flatten().to_numpy(), dtype=np.int64)
+        of_run = n[np.cumsum(first)] + n[second]
+        ends = np.concatenate([[0], np.cumsum(rows.column("n_runs").to_numpy())])
+        gone = np.cumsum(steps, dtype=np.int64)
         before = np.concatenate([[0], gone])[ends[:-1]]  # sum of all steps of earlier documents
         at = gone - np.repeat(before, np.diff(ends))
-        tokens = np.diff(np.concatenate([[0], np.cumsum(of_run[at] * freq.flatten().to_numpy())])[ends])
-        return rows.drop_columns(["steps", "freq"]).append_column("n_tokens", pa.array(tokens, pa.int64()))
+        tokens = np.diff(np.concatenate([[0], np.cumsum(of_run[at] * freq)])[ends])
+        return rows.drop_columns(["n_runs"]).append_column("n_tokens", pa.array(tokens, pa.int64()))
 
     return holders.groupBy("block").cogroup(counted.groupBy("block")).applyInArrow(sums, schema)
