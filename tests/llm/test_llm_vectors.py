@@ -55,6 +55,38 @@ def test_near_duplicates_over_several_blocks_and_repeated_rows(spark, monkeypatc
     assert got == sorted([(1, 2, 1, True), (1, 2, 1, True), (None, 2, 1, False), (3, 0, 3, True)], key=str)
 
 
+def test_links_of_a_hot_group_and_of_small_ones(spark):
+    r = np.random.default_rng(5)
+    x = r.normal(size=(3000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    noise = r.normal(size=x.shape) / 8
+    x[:1000] = x[0] + 0.2 * noise[:1000]  # a third: near-copies of one vector, cosine about 0.96
+    x[1000:1400] = x[1400:1800] + 0.2 * noise[1000:1400]  # pairs
+    got = {row["vec_id"]: row["n_links"] for row in embedding_dups.near_duplicates(_table(spark, x, odd=False)).collect()}
+    u = x.astype(np.float32).astype(np.float64)
+    u /= np.linalg.norm(u, axis=1)[:, None]
+    true = (u @ u.T >= 0.95).sum(axis=1) - 1
+    n = np.array([got[i] for i in range(len(x))])
+    assert (n <= true).all() and true[:1000].sum() > 500_000 and true[1000:1800].sum() > 700
+    assert n[:1000].sum() >= 0.95 * true[:1000].sum() and n[1000:1800].sum() >= 0.9 * true[1000:1800].sum()
+
+
+def test_pivots_keep_apart_and_lists_widen_for_small_groups():
+    r = np.random.default_rng(6)
+    x = r.normal(size=(600, 64))
+    x[::2] = x[0] + 0.02 * r.normal(size=(300, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    chosen = embedding_dups.spread(x, 100, 0.95)
+    assert len(chosen) == 100 and (chosen % 2 == 0).sum() == 1
+    assert ((x[chosen] @ x[chosen].T >= 0.95) == np.eye(100, dtype=bool)).all()
+    # 40 probes with 1,000 links that share the first list, 32 with one that shares the third: the few decide
+    links = np.zeros((72, 5), dtype=np.int64)
+    links[:40, 0], links[40:, 2] = 1000, 1
+    assert embedding_dups.lists_needed(links, 0.97) == 3
+    links[40:] = [0, 0, 0, 0, 1]
+    assert embedding_dups.lists_needed(links, 0.97) is None
+
+
 @pytest.mark.parametrize("odd", [True, False])
 def test_search_finds_the_nearest(spark, tmp_path, odd):
     x = _vectors(1500, seed=3).astype(np.float64)
