@@ -3,8 +3,10 @@
 Vectors get one more component that gives all of them the same length, so that the largest inner product is the
 nearest vector. A tree of k-means splits is fitted on a bounded sample; every vector goes down to its leaf. A
 query walks the tree through a priority queue of nodes by the distance of their centres and meets leaves best first.
-How many leaves are visited is calibrated: for a bounded set of vectors the true neighbours among all rows are
-found by comparing with everything, and visits widen until the neighbours in visited leaves reach the target recall.
+How many leaves are visited is calibrated: for a bounded set of vectors outside the tree's sample the true neighbours
+among all rows are found by comparing with everything, and visits widen until the neighbours in visited leaves reach
+the target recall in all, and low quantiles of the probes' own recall the levels ``LOW``. A query whose leaves hold
+fewer candidates than it asks for goes on until they hold enough, or no leaf is left.
 Vectors and queries of a leaf meet in blocks, so no leaf and no query set has to fit one task.
 
 Cases: vectors that are null, empty, zero, of another length than most, or hold null or non-finite components take
@@ -27,8 +29,10 @@ from clickflow.llm.common import saved
 from clickflow.llm.vectors import dimension, matrix, usable
 
 #: Vectors that the tree is fitted on; children of a node; sampled vectors of a leaf, about; vectors that visits are calibrated with.
-SAMPLE, BRANCH, LEAF, CALIBRATE = 16_384, 16, 64, 256
+SAMPLE, BRANCH, LEAF, CALIBRATE = 16_384, 16, 64, 512
 TARGET = 0.97
+#: (share of the probes, recall): all but this share of the probes find this much of their own neighbours.
+LOW = ((0.02, 0.8), (0.005, 0.5))
 #: Vectors and queries of a leaf that are compared in one go.
 BLOCK, QUERY_BLOCK = 8192, 2048
 
@@ -60,19 +64,20 @@ class Tree:
                 kids = np.array(self.children[n])
                 at[rows] = kids[_distances(y[rows], self.centres[kids]).argmin(axis=1)]
 
-    def best_first(self, x: np.ndarray, visits: int) -> list[list[int]]:
-        """For each query the first ``visits`` leaves that the priority queue gives."""
+    def best_first(self, x: np.ndarray, visits: int, sizes: np.ndarray | None = None, need: np.ndarray | None = None) -> list[list[int]]:
+        """For each query the first ``visits`` leaves that the priority queue gives, and more until they hold ``need`` vectors by the leaves' ``sizes``."""
         far = _distances(self.lifted(x, query=True), self.centres)
         out = []
-        for d in far.tolist():
-            queue, met = [(0.0, 0)], []
-            while queue and len(met) < visits:
+        for i, d in enumerate(far.tolist()):
+            queue, met, missing = [(0.0, 0)], [], 0 if need is None else int(need[i])
+            while queue and (len(met) < visits or missing > 0):
                 _, n = heapq.heappop(queue)
                 if self.children[n]:
                     for kid in self.children[n]:
                         heapq.heappush(queue, (d[kid], kid))
                 else:
                     met.append(self.leaf[n])
+                    missing -= 0 if sizes is None else int(sizes[self.leaf[n]])
             out.append(met)
         return out
 
@@ -132,24 +137,49 @@ def _best(q: np.ndarray, q_id: np.ndarray, x: np.ndarray, x_id: np.ndarray, k: i
     return np.concatenate(rows), np.concatenate(cols), np.concatenate(scores)
 
 
-def _calibrated(rows: DataFrame, probes: list, tree: Tree, dim: int, k: int, target: float) -> int:
-    """Leaves to visit so that the probes find ``target`` of their true neighbours among all rows."""
+def visits_needed(found: np.ndarray, target: float, low: tuple[tuple[float, float], ...] = LOW) -> int:
+    """The fewest visits that reach ``target`` in all and the levels ``low``. ``found``: [probes, leaves], true neighbours in the leaf of each visit."""
+    found = found[found.sum(axis=1) > 0]
+    if not len(found):
+        return 1
+    got, n = np.cumsum(found, axis=1), found.sum(axis=1)
+    ok = got.sum(axis=0) >= target * n.sum()
+    each = np.sort(got / n[:, None], axis=0)
+    for share, level in low:
+        ok &= each[int(share * len(found))] >= min(level, target)
+    return int(np.flatnonzero(ok)[0]) + 1  # with all leaves everything is found
+
+
+def _calibrated(rows: DataFrame, probes: list, tree: Tree, sizes: np.ndarray, dim: int, k: int, target: float) -> int:
+    """Leaves to visit so that the probes find their true neighbours among all rows as ``visits_needed`` says."""
     q, q_id = np.array([r["v"] for r in probes], dtype=np.float64), np.array([r["id"] for r in probes])
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = [np.zeros(0, dtype=t) for t in (np.int64, np.int64, np.float64, np.int64)]  # of all that the task has read: probe, id, score, leaf
         for whole in batches:
             for at in range(0, whole.num_rows, BLOCK):
                 batch = whole.slice(at, BLOCK)
-                x, x_id = matrix(batch.column("v"), dim), batch.column("id").to_numpy()
-                i, j, s = _best(q, q_id, x, x_id, k)
-                yield pa.RecordBatch.from_arrays([pa.array(q_id[i]), pa.array(x_id[j]), pa.array(s), pa.array(batch.column("leaf").to_numpy()[j])], ["q", "id", "score", "leaf"])
+                x, x_id, leaf = matrix(batch.column("v"), dim), batch.column("id").to_numpy(), batch.column("leaf").to_numpy()
+                for first in range(0, len(q), 256):
+                    i, j, s = _best(q[first:first + 256], q_id[first:first + 256], x, x_id, k)
+                    best = [np.concatenate(c) for c in zip(best, (i + first, x_id[j], s, leaf[j]), strict=True)]
+                order = np.lexsort((best[1], -best[2], best[0]))
+                probe = best[0][order]
+                order = order[np.arange(len(order)) - np.searchsorted(probe, probe) < k]
+                best = [c[order] for c in best]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in best], ["q", "id", "score", "leaf"])
 
     nth = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "id"))
     true = rows.select("id", "v", "leaf").mapInArrow(task, "q long, id long, score double, leaf long").withColumn("nth", nth).where(F.col("nth") <= k).select("q", "leaf").collect()
-    leaves = sum(x >= 0 for x in tree.leaf)
-    rank = {int(i): {n: r for r, n in enumerate(met)} for i, met in zip(q_id, tree.best_first(q, leaves), strict=True)}
-    when = np.sort([rank[r["q"]][r["leaf"]] + 1 for r in true])
-    return int(when[min(len(when) - 1, int(np.ceil(target * len(when))) - 1)]) if len(when) else 1
+    every = tree.best_first(q, len(sizes))
+    rank = np.argsort(np.array(every), axis=1)  # of each leaf
+    # leaves that a probe visits anyway, to meet enough vectors
+    anyway = np.array([len(met) for met in tree.best_first(q, 1, sizes, np.full(len(q), k + 1))])
+    found = np.zeros(rank.shape, dtype=np.int64)
+    for r in true:
+        at = rank[r["q"], r["leaf"]]
+        found[r["q"], at if at >= anyway[r["q"]] else 0] += 1
+    return visits_needed(found, target)
 
 
 def search(vectors: DataFrame, is_query: Column, k: int = 20, target: float = TARGET, id_col: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -158,12 +188,14 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target: float = TA
     dim = dimension(vectors, vector)
     rows = vectors.where(usable(vector) & (F.size(vector) == dim) & F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
-    drawn = rows.select("id", "v").orderBy(F.xxhash64("id", F.lit(5)), "id", "v").limit(SAMPLE).collect()
+    drawn = rows.select("id", "v").orderBy(F.xxhash64("id", F.lit(5)), "id", "v").limit(SAMPLE + CALIBRATE).collect()
     if not drawn:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     square = F.aggregate("v", F.lit(0.0), lambda t, e: t + e * e)
     reach = float(rows.agg(F.max(square)).first()[0]) ** 0.5
-    tree = fit_tree(np.array([r["v"] for r in drawn], dtype=np.float64), reach)
+    held = min(CALIBRATE, len(drawn) // 4)  # probes, which the tree isn't fitted on
+    sample = drawn[:len(drawn) - held]
+    tree = fit_tree(np.array([r["v"] for r in sample], dtype=np.float64), reach)
 
     def to_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -171,19 +203,24 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, target: float = TA
                 yield batch.append_column("leaf", pa.array(tree.leaves_of(matrix(batch.column("v"), dim)), pa.int64()))
 
     index, _ = saved(spark, rows.mapInArrow(to_leaf, "id long, v array<double>, asks boolean, leaf long"), "ann-index")
-    visits = _calibrated(index, drawn[:CALIBRATE], tree, dim, k, target)
+    sizes = np.zeros(sum(x >= 0 for x in tree.leaf), dtype=np.int64)
+    for r in index.groupBy("leaf").count().collect():  # as many rows as the tree has leaves, at most SAMPLE
+        sizes[r["leaf"]] = r["count"]
+    visits = _calibrated(index, drawn[len(sample):] or sample, tree, sizes, dim, k, target)
 
     def to_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield batch.append_column("leaves", pa.array(tree.best_first(matrix(batch.column("v"), dim), visits), pa.list_(pa.int64())))
-
-    queries = index.where("asks").groupBy("id").agg(F.min("v").alias("v")).mapInArrow(to_leaves, "id long, v array<double>, leaves array<long>")
-    queries = queries.select("id", "v", F.explode("leaves").alias("leaf"))
-    # as many rows as the tree has leaves, at most SAMPLE
-    sizes = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+                met = tree.best_first(matrix(batch.column("v"), dim), visits, sizes, k + batch.column("own").to_numpy())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("v"), pa.array(met, pa.list_(pa.int64()))], ["id", "v", "leaves"])
+
+    # rows of the query's own id are no candidates
+    own = index.groupBy("id").agg(F.count("*").alias("own")).where("own > 1")
+    queries = index.where("asks").groupBy("id").agg(F.min("v").alias("v")).join(own, "id", "left").select("id", "v", F.coalesce("own", F.lit(1)).alias("own"))
+    queries = queries.mapInArrow(to_leaves, "id long, v array<double>, leaves array<long>").select("id", "v", F.explode("leaves").alias("leaf"))
+    blocks = index.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     asked = queries.groupBy("leaf").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("groups"))
-    plan, _ = saved(spark, sizes.join(asked, "leaf"), "ann-plan")
+    plan, _ = saved(spark, blocks.join(asked, "leaf"), "ann-plan")
     plan = F.broadcast(plan)
     block, group = F.pmod(F.hash("id", F.lit(1)), F.col("blocks")).cast("int"), F.pmod(F.hash("id", F.lit(2)), F.col("groups")).cast("int")
     right = index.join(plan, "leaf").select("leaf", block.alias("block"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("grp"), "id", "v")

@@ -107,6 +107,42 @@ def test_search_finds_the_nearest(spark, tmp_path, odd):
     assert hits / (20 * len(by)) >= 0.9
 
 
+def test_every_query_gets_its_number_of_neighbours(spark):
+    from pyspark.sql import functions as F
+
+    r = np.random.default_rng(8)
+    x = r.normal(size=(4000, 32))
+    x[:3800] = x[np.arange(3800) // 38] + 0.02 * r.normal(size=(3800, 32))  # groups of 38 near-copies, and 200 lone vectors
+    x = x.astype(np.float32).astype(np.float64)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(3999, x[3999].tolist())] * 40  # a query's own rows are no candidates
+    got = ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 5 == 4, k=20).collect()
+    by = {i: [] for i in range(4, 4000, 5)}
+    for row in got:
+        by[row["query_id"]].append(row["vec_id"])
+    assert {len(v) for v in by.values()} == {20}
+    recall = []
+    for q, found in by.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        if q != 3999:  # 3999 may stand in others' lists 41 times
+            s = np.concatenate([s, np.full(40, s[3999])])
+        kth = np.sort(s)[-20]
+        recall.append(sum(s[v] >= kth for v in found) / 20)
+    assert np.mean(recall) >= 0.95 and np.quantile(recall, 0.02) >= 0.4
+
+
+def test_leaves_go_on_until_they_hold_enough_and_low_quantiles_count():
+    r = np.random.default_rng(9)
+    tree = ann.fit_tree(r.normal(size=(2000, 8)), 6.0)
+    sizes = np.arange(sum(n >= 0 for n in tree.leaf)) % 3  # a third of the leaves are empty
+    for met in tree.best_first(r.normal(size=(20, 8)), 1, sizes, np.full(20, 7)):
+        assert sizes[met].sum() >= 7 > sizes[met[:-1]].sum()
+    assert all(len(met) == len(sizes) for met in tree.best_first(r.normal(size=(2, 8)), 1, sizes, np.full(2, 10**6)))
+    found = np.zeros((100, 9), dtype=np.int64)
+    found[:98, 0], found[98:, 7] = 20, 20  # 98 find everything at the first leaf, two at the eighth
+    assert ann.visits_needed(found, 0.97, ()) == 1 and ann.visits_needed(found, 0.97) == 8
+
+
 def test_search_blocks_ties_and_few_rows(spark, monkeypatch):
     from pyspark.sql import functions as F
 
