@@ -8,9 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from clickflow.session import build_session  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -19,9 +16,3 @@ def spark():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="clickflow-test-ckpt-"))
     yield s
     s.stop()
-
-
-def rows(df, order=None):
-    """Collected rows as tuples, sorted."""
-    out = [tuple(r) for r in df.collect()]
-    return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r)) if order is None else out

@@ -8,7 +8,7 @@ from clickflow.session import scratch_dir
 from clickflow.sinks.batch_log import BatchLog
 from clickflow.streaming import ad_stream as ast
 from clickflow.streaming import replay as rp
-from conftest import SF_SMALL, rows
+from click_util import SF_SMALL, rows
 
 
 def _ms(s):

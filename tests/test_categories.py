@@ -1,5 +1,5 @@
 from clickflow.operators import categories as cat
-from conftest import rows
+from click_util import rows
 
 SCHEMA = ("session_id string, click_category_id long, order_category_ids array<bigint>, "
           "pay_category_ids array<bigint>")

@@ -6,7 +6,7 @@ import io
 import os
 import re
 
-from conftest import SF_SMALL
+from click_util import SF_SMALL
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

@@ -8,7 +8,7 @@ from clickflow.operators import funnel as fun
 from clickflow.operators import sampling as smp
 from clickflow.operators import sessions as ses
 from clickflow.sources import views as V
-from conftest import SF_SMALL
+from click_util import SF_SMALL
 
 SCHEMA = "session_id string, event_id long, page_id long, action_time timestamp_ntz"
 

@@ -2,7 +2,7 @@ import datetime as dt
 
 from clickflow.operators import products as prod
 from clickflow.operators import traffic as tr
-from conftest import rows
+from click_util import rows
 
 ACT = "date date, city_id long, click_product_id long"
 CITY = "city_id int, city_name string, area string"

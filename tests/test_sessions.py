@@ -94,7 +94,7 @@ def test_filter_with_hit_columns_equals_filter_on_sets(spark):
     the collected sets, including sessions with no keyword or category."""
     from clickflow.sources import views as V
     from clickflow.plans import params as P
-    from conftest import SF_SMALL, rows
+    from click_util import SF_SMALL, rows
 
     a = V.user_visit_action(spark, SF_SMALL)
     u = V.user_info(spark, SF_SMALL)

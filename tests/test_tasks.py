@@ -5,7 +5,7 @@ from clickflow.plans import tasks
 from clickflow.session import scratch_dir
 from clickflow.sources import views as V
 from clickflow.sources.task_params import TaskParams
-from conftest import SF_SMALL
+from click_util import SF_SMALL
 
 
 def test_session_page_product_tasks(spark):
@@ -64,7 +64,7 @@ def test_session_task_equals_registered_queries(spark):
     its detail outputs are the actions of the selected sessions."""
     from clickflow.plans.registry import QUERIES
     from clickflow.plans.present import present
-    from conftest import rows
+    from click_util import rows
 
     actions = V.user_visit_action(spark, SF_SMALL)
     p = P.session_task_params()
