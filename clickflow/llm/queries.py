@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickflow.llm import ann, chat, embedding_dups, mixing, ngram_join, packing, quality, secrets, tokencount, toxicity
+from clickflow.llm import ann, chat, embedding_dups, lexical, linerules, merkle, mixing, ngram_join, packing, quality, secrets, tokencount, toxicity
 from clickflow.llm.common import id_crc, table
 
 
@@ -65,6 +65,19 @@ def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.collapse(table(spark, sf_dir, "conversations"))
 
 
+def op11_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linerules.rules(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.lower_every_third(docs))
+
+
+def op13_ranked_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_secrets_crf, op2_quality_bradley_terry, op3_packing_vector, op4_ngram_jaccard_join, op5_toxicity_crf, op6_token_counts, op7_embedding_pivot_dups,
-                                  op8_ann_kmeans_tree, op9_temperature_mixing, op10_chat_snapshot_collapse)}
-SQL: dict[str, str] = {"op10_chat_snapshot_collapse": chat.SQL}
+                                  op8_ann_kmeans_tree, op9_temperature_mixing, op10_chat_snapshot_collapse, op11_line_rules, op12_merkle_manifest, op13_ranked_lexical_search)}
+SQL: dict[str, str] = {"op10_chat_snapshot_collapse": chat.SQL, "op11_line_rules": linerules.SQL, "op12_merkle_manifest": merkle.SQL, "op13_ranked_lexical_search": lexical.SQL}
