@@ -371,6 +371,8 @@ SQL["ad_sliding_hour_10s"] = q(
 # ---------------------------------------------------------------- sinks
 SQL["sink_append"] = q(f"SELECT event_id, {_ts('ts')} AS ts, province, city, user_id, ad_id FROM ad_log")
 SQL["sink_upsert_increment"] = q(_UAC, f"SELECT {_d('date')} AS date, user_id, ad_id, click_count FROM uac")
+SQL["sink_lookup"] = q(_UAC, """touched AS (SELECT DISTINCT CAST(ts AS DATE) AS date, user_id, ad_id FROM ad_log WHERE hour(ts) // 8 = 2)""",
+                       f"SELECT {_d('date')} AS date, user_id, ad_id, click_count FROM uac JOIN touched USING (date, user_id, ad_id)")
 SQL["sink_upsert_latest"] = q(_STAT, f"SELECT {_d('date')} AS date, province, city, ad_id, click_count FROM stat")
 SQL["sink_replace_group"] = SQL["ad_province_top3"]
 

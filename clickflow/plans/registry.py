@@ -505,6 +505,16 @@ def _sink_upsert_increment(spark, d):
     return store.increments(ast.USER_KEYS, "click_count")
 
 
+@register("sink_lookup")
+def _sink_lookup(spark, d):
+    """K5: the cumulative counts of the keys that the last batch touched."""
+    store = sk.BatchLog(spark, scratch_dir(spark, "sink-lookup"), ast.USER_CLICK_SCHEMA, ("date",))
+    log = V.ad_log(spark, d)
+    for b in range(SINK_BATCHES):
+        store.write(ads.user_ad_counts(log.where(_sink_batch(log) == b)).select("user_id", "ad_id", "click_count", "date"), b)
+    return store.lookup(ads.user_ad_counts(log.where(_sink_batch(log) == SINK_BATCHES - 1)).select(*ast.USER_KEYS), ast.USER_KEYS, "click_count")
+
+
 @register("sink_upsert_latest")
 def _sink_upsert_latest(spark, d):
     """K2: per-batch running totals per (date, province, city, ad), read as latest."""
@@ -549,12 +559,14 @@ def staged_replay(spark, d, late_every=None) -> tuple[str, int]:
 
 
 def _replay(spark, d, root: str, runners, late_every=None) -> None:
-    """Play the staged batches into ``root/source``; after each batch every
-    runner (stream, checkpoint name) runs one availableNow trigger."""
+    """Play the staged batches into ``root/source``; every runner (stream,
+    checkpoint name) takes them one micro-batch each."""
     staging, n = staged_replay(spark, d, late_every)
-    lines = ast.text_source(spark, f"{root}/source/*")
-    triggers = [lambda r=r, c=c: r(lines, f"{root}/{c}") for r, c in runners]
-    rp.replay(spark, staging, f"{root}/source", n, triggers)
+
+    def query(r, c):
+        return lambda files: r(ast.text_source(spark, f"{root}/source/*", files), f"{root}/{c}")
+
+    rp.replay_in_one_run(spark, staging, f"{root}/source", n, [query(r, c) for r, c in runners])
 
 
 def run_ad_stream(spark, d) -> ast.AdClickStats:

@@ -4,24 +4,24 @@ Source (S6): any streaming frame with a ``value`` text column in the ad log
 format; ``text_source`` builds one from a folder of log files. In
 production the same operators take a message-bus source's ``value``.
 
-Per micro-batch (``foreachBatch``, A1), in this order:
-  P8  drop clicks of users on the blacklist (re-read from storage every
-      batch, so users listed by batch N are filtered from batch N+1);
+The stateful part (``click_state.gated``) runs before the sinks, inside the streaming query:
+  P8  clicks of users that an earlier batch listed are dropped;
+  A3  counts per (user, day, ad); users that reach the threshold are listed,
+      which takes effect with the next batch;
+  A5  totals per (day, province, ad) and the new top-n of touched groups.
+Counts, lists and totals are state, rolled back and restored with the batch: no
+batch reads what earlier batches wrote.
+
+Per micro-batch (``foreachBatch``, A1) the rows go to the stores:
   A2  clicks per (date, user, ad) -> increment log (K3);
-  A3  cumulative counts of this batch's keys (K5: earlier batches' log,
-      restricted to the batch's days by partition pruning, plus this
-      batch's counts); users at or over the threshold and not yet listed
-      -> blacklist log;
+  A3  newly listed users -> blacklist log;
   A4  clicks per (date, province, city, ad) -> increment log: the running
       total per key, as the reference's never-expiring state;
-  A5  top-n ads per (date, province) of the running totals, for the groups
-      touched by this batch -> replace-group log (K4);
+  A5  the new top-n -> replace-group log (K4);
   A6  clicks per (event minute, ad) -> increment log.
 Each log write replaces its own ``batch_id`` folder, so a replayed batch
-after a failure gives the same store (exactly once). The batch's parsed and
-filtered rows are persisted once and shared by the five branches. A3 and A5
-combine the stores as of the previous batch with this batch's own counts,
-so no branch waits for another's write: the five run as concurrent jobs.
+after a failure gives the same store (exactly once). The batch's rows are
+persisted once and shared by the writes, which run as concurrent jobs.
 
 Lines without a readable time belong to no day: they are counted and kept in
 the reject log and take no part in the branches.
@@ -42,12 +42,14 @@ from pyspark.sql import functions as F
 
 from clickflow.operators import ads
 from clickflow.sinks.batch_log import BatchLog
+from clickflow.streaming import click_state
 
 USER_CLICK_SCHEMA = "user_id bigint, ad_id bigint, click_count bigint, date date"
 BLACKLIST_SCHEMA = "user_id bigint"
 STAT_SCHEMA = "province string, city string, ad_id bigint, click_count bigint, date date"
 TOP_SCHEMA = "province string, ad_id bigint, click_count bigint, date date"
 TREND_SCHEMA = "minute timestamp_ntz, ad_id bigint, click_count bigint"
+TREND_STORE_SCHEMA = f"{TREND_SCHEMA}, date date"
 REJECT_SCHEMA = "value string"
 
 USER_KEYS = ["date", "user_id", "ad_id"]
@@ -85,14 +87,26 @@ def kafka_source(spark: SparkSession, bootstrap_servers: str, topics: str,
     return df.selectExpr("CAST(value AS STRING) AS value")
 
 
+@contextmanager
+def adaptive(session: SparkSession):
+    """Adaptive execution inside a micro-batch's function; Spark turns it off in the session of a stateful query, for the stateful part's sake."""
+    key = "spark.sql.adaptive.enabled"
+    before = session.conf.get(key)
+    session.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        session.conf.set(key, before)
+
+
 class AdClickStats:
     """The per-batch logic of the ad task and the stores it maintains."""
 
     def __init__(self, spark: SparkSession, out_root: str, threshold: int = 100, top_n: int = 3,
                  batches_per_generation: int = 720):
-        """``batches_per_generation``: batches after which every store starts a
-        new generation from its reduced view (720 = one hour of 5 s batches),
-        so per-batch reads stay bounded however long the stream runs."""
+        """``batches_per_generation``: batches after which every store reduces
+        the dates that these batches touched (720 = one hour of 5 s batches),
+        so upkeep and reads of a day stay bounded however long the stream runs."""
         self.spark = spark
         self.threshold = int(threshold)
         self.top_n = int(top_n)
@@ -104,86 +118,51 @@ class AdClickStats:
                                   lambda lg, df: df.select("user_id").distinct(), e)
         self.stat = BatchLog(spark, f"{root}/ad_stat", STAT_SCHEMA, ("date",),
                              lambda lg, df: lg.increments(STAT_KEYS, "click_count", df), e)
-        self.province_top = BatchLog(spark, f"{root}/ad_province_top3", TOP_SCHEMA, (),
+        self.province_top = BatchLog(spark, f"{root}/ad_province_top3", TOP_SCHEMA, ("date",),
                                      lambda lg, df: lg.replace_group(GROUP_KEYS, df), e)
-        self.trend = BatchLog(spark, f"{root}/ad_click_trend", TREND_SCHEMA, (),
-                              lambda lg, df: lg.increments(["minute", "ad_id"], "click_count", df), e)
+        self.trend = BatchLog(spark, f"{root}/ad_click_trend", TREND_STORE_SCHEMA, ("date",),
+                              lambda lg, df: lg.increments(["date", "minute", "ad_id"], "click_count", df), e)
         self.rejects = BatchLog(spark, f"{root}/ad_rejects", REJECT_SCHEMA, (),
                                 lambda lg, df: df.select("value"), e)
 
     # ---------------------------------------------------------------- per batch
-    def _before(self, store: BatchLog, batch_id: int) -> DataFrame:
-        """A store as of the end of the previous batch: the generation holding
-        it (this batch's first write may start a new one) and only earlier
-        batch folders, so a retried batch neither sees nor reads its own
-        earlier attempt. Before the first batch there is nothing to read; after
-        it a store that can't be read is an error."""
-        if batch_id == 0:
-            return store.empty()
-        return store.read(store.generation_of(max(batch_id - 1, 0))).where(F.col("batch_id") < batch_id)
+    def rows(self, lines: DataFrame) -> DataFrame:
+        """The stateful part on a streaming frame of text lines."""
+        return click_state.gated(ads.parse_ad_log(lines, keep_value=True), self.threshold, self.top_n)
 
-    def process_batch(self, lines: DataFrame, batch_id: int) -> None:
-        session = lines.sparkSession
+    def write_batch(self, rows: DataFrame, batch_id: int) -> None:
+        """One micro-batch's rows into the stores; only these rows are read."""
+        session = rows.sparkSession
         owner = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        listed = self._before(self.blacklist, batch_id).select("user_id")
-        parsed = ads.parse_ad_log(lines, keep_value=True)
-        dated = parsed.where(F.col("date").isNotNull()).drop("value")
-        log = ads.remove_blacklisted(dated, listed).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            uac = ads.user_ad_counts(log)
-            stat = ads.ad_stat(log)
-
-            def running(store: BatchLog, batch: DataFrame, keys: list[str], semi: DataFrame,
-                        in_days) -> DataFrame:
-                """Cumulative click_count per key after this batch, for the keys
-                in ``semi``: earlier batches' counts of the batch's days plus
-                this batch's own."""
-                hist = store.lookup(semi, keys, "click_count", self._before(store, batch_id).where(in_days))
-                both = hist.unionByName(batch.select(*keys, "click_count"))
-                return both.groupBy(*keys).agg(F.sum("click_count").cast("bigint").alias("click_count"))
-
-            def user_clicks():  # A2
-                self.user_clicks.write(uac, batch_id, owner)
-
-            def blacklist(in_days):  # A3
-                cum = running(self.user_clicks, uac, USER_KEYS, uac.select(*USER_KEYS), in_days)
-                new = ads.users_over_threshold(cum, self.threshold).join(listed, "user_id", "left_anti")
-                self.blacklist.write(new, batch_id, owner)
-
-            def ad_stat():  # A4
-                self.stat.write(stat, batch_id, owner)
-
-            def province_top(in_days):  # A5, on the running totals of the groups this batch touched
-                totals = running(self.stat, stat, STAT_KEYS, log.select(*GROUP_KEYS).distinct(), in_days)
-                self.province_top.write(ads.province_top3(ads.province_counts(totals), self.top_n), batch_id, owner)
-
-            def trend():  # A6
-                self.trend.write(ads.minute_counts(log), batch_id, owner)
-
-            def rejects():
-                self.rejects.write(parsed.where(F.col("date").isNull()).select("value"), batch_id, owner)
-
-            # Every branch reads only the persisted batch and the stores as of
-            # the previous batch, and writes its own store, so the five run as
-            # concurrent Spark jobs. Each write replaces its own batch folder:
-            # a failed branch fails the batch, and the retry rewrites the same
-            # folders from the same inputs.
+            rows.count()  # the state is advanced by this one job; the writes below share what it kept
+            clicks = rows.where(F.col("kind") == "click")
+
+            def summed(*keys):
+                return clicks.groupBy(*keys).agg(F.sum("n").cast("bigint").alias("click_count"))
+
+            def of_kind(kind):
+                return rows.where(F.col("kind") == kind)
+
+            writes = [
+                (self.user_clicks, summed(*USER_KEYS)),  # A2
+                (self.blacklist, of_kind("listed").select("user_id")),  # A3
+                (self.stat, summed(*STAT_KEYS)),  # A4
+                (self.province_top, of_kind("top").select("province", "ad_id", F.col("n").alias("click_count"), "date")),  # A5
+                (self.trend, summed("date", "minute", "ad_id")),  # A6
+                (self.rejects, of_kind("reject").select("value")),
+            ]
+            # Every write reads only the persisted batch and replaces its own
+            # batch folder: a failed one fails the batch, and the retry
+            # rewrites the same folders from the same rows.
             # The threads inherit the query's job group: stopping it stops them.
-            with ThreadPoolExecutor(max_workers=6) as pool:
-                def submit(fn, *args):
-                    return pool.submit(inheritable_thread_target(session)(fn), *args)
-
-                futures = [submit(fn) for fn in (user_clicks, ad_stat, trend, rejects)]
-                # meanwhile, the batch's days (a row each): the history logs
-                # are partitioned by date, so the lookups of A3 and A5 read
-                # only these days' folders
-                days = [r["date"] for r in log.select("date").distinct().collect()]
-                in_days = F.col("date").isin(days) if days else F.lit(False)
-                futures += [submit(fn, in_days) for fn in (blacklist, province_top)]
-                for f in futures:
-                    f.result()
+            with adaptive(session), ThreadPoolExecutor(max_workers=len(writes)) as pool:
+                jobs = [pool.submit(inheritable_thread_target(session)(store.write), df, batch_id, owner) for store, df in writes]
+                for job in jobs:
+                    job.result()
         finally:
-            log.unpersist()
+            rows.unpersist()
 
     # ---------------------------------------------------------------- views
     def user_click_view(self) -> DataFrame:
@@ -215,11 +194,12 @@ class AdClickStats:
         """A1: run the per-batch logic on a streaming frame of text lines.
         Production: ``trigger={"processingTime": "5 seconds"}``; replay:
         ``{"availableNow": True}``."""
-        w = lines.writeStream.foreachBatch(self.process_batch).option("checkpointLocation", checkpoint)
-        w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
-        if query_name:
-            w = w.queryName(query_name)
-        return w.start()
+        with rocksdb_state(self.spark):
+            w = self.rows(lines).writeStream.outputMode("append").foreachBatch(self.write_batch).option("checkpointLocation", checkpoint)
+            w = w.trigger(**(trigger or {"processingTime": "5 seconds"}))
+            if query_name:
+                w = w.queryName(query_name)
+            return w.start()
 
     def run_available(self, lines: DataFrame, checkpoint: str) -> None:
         """One ``availableNow`` run: process what arrived since the last run, then stop."""
@@ -232,20 +212,36 @@ PARSED_SCHEMA = "ts timestamp, province string, city string, user_id bigint, ad_
 class FilteredClicks:
     """The stream's clicks minus the users on a list kept in storage.
 
-    The list is read again in every micro-batch (a stream-static join whose
-    static side may change between batches); the kept rows are appended to a
-    batch log (K1, retry-safe per batch id) partitioned by date.
+    The list is looked up again in every micro-batch (a stream-static join whose
+    static side may change between batches). A batch pins the files that make
+    up the list under its batch id before it reads them, so a retried batch sees
+    the same list as its first attempt, whatever was appended in between. The
+    list's files must stay: it may be appended to, not rewritten in place. The
+    kept rows are appended to a batch log (K1, retry-safe per batch id)
+    partitioned by date.
     """
 
     def __init__(self, spark: SparkSession, list_path: str, out_path: str):
         self.spark = spark
         self.list_path = list_path
         self.out = BatchLog(spark, out_path, PARSED_SCHEMA, ("date",))
+        self.pins = f"{out_path.rstrip('/')}/_list_versions"
+
+    def _list_as_of(self, batch_id: int) -> DataFrame:
+        """The list as the first attempt of this batch found it."""
+        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        pin = f"{self.pins}/{int(batch_id)}"
+        done = jvm.org.apache.hadoop.fs.Path(f"{pin}/_SUCCESS")
+        if not done.getFileSystem(conf).exists(done):
+            folder = jvm.org.apache.hadoop.fs.Path(self.list_path)
+            names = [x.getPath().toString() for x in folder.getFileSystem(conf).listStatus(folder) if not x.getPath().getName().startswith(("_", "."))]
+            self.spark.createDataFrame([(n,) for n in sorted(names)], "value string").coalesce(1).write.mode("overwrite").text(pin)
+        files = [r["value"] for r in self.spark.read.schema("value string").text(pin).collect()]  # a name per file of the list
+        return self.spark.read.schema(BLACKLIST_SCHEMA).parquet(*files) if files else self.spark.createDataFrame([], BLACKLIST_SCHEMA)
 
     def process_batch(self, lines: DataFrame, batch_id: int) -> None:
         owner = lines.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        listed = self.spark.read.parquet(self.list_path).select("user_id")
-        kept = ads.remove_blacklisted(ads.parse_ad_log(lines), listed)
+        kept = ads.remove_blacklisted(ads.parse_ad_log(lines), self._list_as_of(batch_id))
         self.out.write(kept.select("ts", "province", "city", "user_id", "ad_id", "date"), batch_id, owner)
 
     def run_available(self, lines: DataFrame, checkpoint: str) -> None:

@@ -6,6 +6,9 @@ source folder, then runs one trigger (``availableNow``) of each query, which
 takes exactly the files that arrived since the previous trigger, as a
 processing-time trigger takes what arrived in its interval.
 
+``replay_in_one_run`` appends all batches first, each as the same number of files, and runs each query once
+with that number of files per trigger: the same micro-batches, without starting a query for each of them.
+
 Writing is parallel throughout: one pass writes all lines into a staging
 folder partitioned by batch (every task writes its own files), and each
 batch is copied from its own staging partition (partition pruning, so batch
@@ -63,3 +66,29 @@ def replay(spark: SparkSession, staging_dir: str, source_dir: str, n_batches: in
         staged.where(F.col(batch_col) == i).select("value").write.text(f"{source_dir}/{i:06d}")
         for run in triggers:
             run()
+
+
+def _files(spark: SparkSession, folder: str) -> int:
+    p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    names = [x.getPath().getName() for x in p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)]
+    return sum(not n.startswith(("_", ".")) for n in names)
+
+
+def replay_in_one_run(spark: SparkSession, staging_dir: str, source_dir: str, n_batches: int,
+                      queries: list[Callable[[int], None]], files: int = 4, batch_col: str = BATCH_COL) -> None:
+    """Append every batch to ``source_dir/<id>/`` as ``files`` files, in order, then run each query once to completion.
+
+    A query is called with the number of files per trigger; the file source takes files by age, so a trigger takes
+    exactly one batch. Batches too small to fill so many files are written as one file each.
+    """
+    staged = spark.read.text(staging_dir)
+    least = staged.groupBy(batch_col).count().agg(F.min("count"), F.count("*")).first()  # two scalars
+    if least[1] < n_batches or least[0] < 64 * files:
+        files = 1
+    for i in range(int(n_batches)):
+        folder = f"{source_dir}/{i:06d}"
+        staged.where(F.col(batch_col) == i).select("value").repartition(files).write.text(folder)
+        if _files(spark, folder) != files:
+            raise RuntimeError(f"{folder} has not {files} files")
+    for run in queries:
+        run(files)
