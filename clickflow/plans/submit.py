@@ -67,7 +67,8 @@ def run(spark: SparkSession, args: argparse.Namespace):
         raise SystemExit("batch jobs need --input, --tasks and --task-id")
     p = lookup_task(spark.read.parquet(args.tasks), args.task_id)
     tables = N if args.tables == "stored" else V
-    actions = tables.user_visit_action(spark, args.input)
+    # stored tables compare the range in their own form, so that it prunes; derived ones push it from the typed column
+    actions = N.user_visit_action(spark, args.input, p.start_date, p.end_date) if args.tables == "stored" else V.user_visit_action(spark, args.input)
     if args.job == "session":
         tasks.run_session_task(actions, tables.user_info(spark, args.input), p, args.task_id, out,
                                sample_size=args.sample_size)
