@@ -9,22 +9,27 @@ hold a linked pair is made, and rows that are equal are one row (a class of docu
    n - ceil(t * n) + 1 of either set, so only these entries are shuffled, by n-gram (the columns of A).
 3. Every class is paired with one hub (``_stars``), and these pairs are verified on the whole texts. Their components
    are the first answer, from work linear in the entries.
-4. Of pairs of a column whose sizes can link but whose components still differ, the overlap counts are accumulated
-   over all columns; a pair whose count, with all that the later n-grams can add, stays below the bound of its sizes is
-   discarded, the others are verified. After that no link between different components is left out.
+4. ``_crossing``: columns whose classes are still in different components, in blocks, a task for every pair of blocks. Pairs of
+   sizes that can link are compared by their sets' parities before anything is emitted: every n-gram flips one bit, so
+   the bits that differ are never more than the n-grams that only one of the two sets has. What passes is emitted for each shared
+   n-gram that leaves enough n-grams after it.
+5. ``_within_bounds``: the overlap counts are accumulated over the columns; a pair whose count, with all that the later n-grams can
+   add, stays below the bound of its sizes is discarded, the others are verified. No link between different components is left out.
 
 A hub's pairs are verified in blocks of ``BLOCK``. Classes are told apart by 64-bit keys, n-grams by 64-bit hashes.
 
 Cases: null and empty texts (and texts without words) have no n-gram and link with nothing; texts with fewer words
 than n have the whole sequence as the one n-gram; very long texts are read whole; equal texts are one class; a
-repeated row is a document each, with one answer per row; rows with a null id are linked by equal sets only and get the
-component of those, or null; empty tables give an empty result. Only the columns named in the call are read.
+repeated row is a document each, with one answer per row; rows with a null id link like others and get the smallest id that
+they reach, or null; empty tables give an empty result. Only the columns named in the call are read.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +48,8 @@ BLOCK = 256
 BROADCAST_IDS = 1_000_000
 #: Classes that a task remembers having sent, at most.
 REMEMBER = 200_000
+#: Entries of a column that meet in one block, about; and the least bits of a parity.
+COLUMN_BLOCK, LEAST_BITS = 4096, 512
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -93,24 +100,43 @@ def _key(s: np.ndarray) -> int:
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(s.tobytes()))))
 
 
+def parity(s: np.ndarray) -> bytes:
+    """One bit for each of 512, 1024, ... places (about 1.5 times the set's size): whether an odd number of n-grams falls there."""
+    bits = max(LEAST_BITS, 1 << (3 * len(s) // 2).bit_length())
+    odd = np.bincount((s & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def folded(x: np.ndarray) -> np.ndarray:
+    """Parities (rows of uint64) for half as many places."""
+    half = x.shape[1] // 2
+    return x[:, :half] ^ x[:, half:]
+
+
+def most_apart(a: np.ndarray, b: np.ndarray | int, percent: int) -> np.ndarray:
+    """n-grams that only one of two sets of sizes ``a`` and ``b`` may have if they link: sizes less twice the least overlap."""
+    return a + b - 2 * (-(-percent * (a + b) // (100 + percent)))
+
+
 def _scan(documents: DataFrame, n: int) -> DataFrame:
-    """(id, key, size) of each document; (part, counts) of the task's frequency table."""
+    """(id, hash, key, size, bits) of each document, ``hash`` of its text; (part, counts) of the task's frequency table."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, table = Shingler(n), np.zeros(1 << SLOT_BITS, dtype=np.uint32)
-        names, any_row = ["id", "key", "size", "part", "counts"], False
+        names, any_row = ["id", "hash", "key", "size", "bits", "part", "counts"], False
         for batch in batches:
             for part in chunks(batch):
                 sets = shingler.sets(texts_of(part))
                 any_row = True
                 table += np.bincount((np.concatenate(sets) >> np.uint64(64 - SLOT_BITS)).astype(np.int64), minlength=len(table)).astype(np.uint32)
                 k = part.num_rows
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("hash"), pa.array([_key(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                                                  pa.array([parity(s) for s in sets], pa.binary()), pa.nulls(k, pa.int32()), pa.nulls(k, pa.binary())], names)
         if any_row:
             counts = [zlib.compress(x.tobytes(), 1) for x in np.split(table, PARTS)]
-            yield pa.RecordBatch.from_arrays([pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(counts, pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([*(pa.nulls(PARTS, pa.int64()) for _ in range(4)), pa.nulls(PARTS, pa.binary()), pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(counts, pa.binary())], names)
 
-    return documents.mapInArrow(task, "id long, key long, size long, part int, counts binary")
+    return documents.withColumn("hash", F.xxhash64("text")).mapInArrow(task, "id long, hash long, key long, size long, bits binary, part int, counts binary")
 
 
 def _frequency_classes(parts: DataFrame) -> np.ndarray:
@@ -216,51 +242,113 @@ def _stars(lists: DataFrame, percent: int) -> DataFrame:
         F.col("best.hub").alias("a"), F.col("key").alias("b"))
 
 
-def _crossing(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a column's entries in different components whose sizes may link, the smaller first."""
-
-    def pairs(run: list[tuple]) -> Iterator[tuple]:
-        key, size, pos, comp = (np.array(c) for c in list(zip(*run, strict=True))[1:])
-        if (comp == comp[0]).all():
-            return
-        ends = np.searchsorted(size, 100 * size // percent, side="right")
-        for i in range(len(key) - 1):
-            at = np.arange(i + 1, ends[i])
-            at = at[comp[at] != comp[i]]
-            if len(at):
-                yield np.full(len(at), key[i]), key[at], np.full(len(at), size[i]), size[at], np.full(len(at), pos[i]), pos[at]
+def _open_columns(lists: DataFrame, part: DataFrame, classes: DataFrame) -> DataFrame:
+    """(gram, key, size, pos, component, bits) of the columns whose classes are in different components; ``part`` (key, component) holds linked classes."""
+    told = lists.select("gram", "key", "size", "pos").join(within(part), "key", "left").withColumn("component", F.coalesce("component", "key"))
+    differ = told.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
+    return told.join(differ, "gram", "left_semi").join(classes, "key")
+
+
+def _pairs(run: dict[str, np.ndarray], percent: int) -> Iterator[tuple]:
+    """Columns (a, b, a_size, b_size, a_pos, b_pos) of the pairs of a block, or of two, that may link. ``run`` is in the order of sizes."""
+    key, size, pos, comp, own, bits = (run[c] for c in ("key", "size", "pos", "component", "own", "bits"))
+    across = bool((own != own[0]).any())
+    width = np.array([len(x) for x in bits])
+    last = np.searchsorted(size, 100 * size // percent, side="right")
+    rows: dict[int, np.ndarray] = {w: np.frombuffer(b"".join(bits[width == w]), dtype=np.uint64).reshape(-1, w // 8) for w in np.unique(width).tolist()}
+    first = {w: int(np.argmax(width == w)) for w in rows}  # sizes rise, so parities of one width stand together
+    narrow: dict[tuple[int, int], np.ndarray] = {}
+
+    def at_width(wide: int, w: int) -> np.ndarray:
+        if (wide, w) not in narrow:
+            x = rows[wide]
+            while 8 * x.shape[1] > w:
+                x = folded(x)
+            narrow[wide, w] = x
+        return narrow[wide, w]
+
+    for i in range(len(key) - 1):
+        at = np.arange(i + 1, last[i])
+        ok = comp[at] != comp[i]
+        if across:
+            ok &= own[at] != own[i]
+        at = at[ok]
+        if not len(at):
+            continue
+        most = most_apart(size[at], int(size[i]), percent)
+        need = (size[at] + size[i] - most) // 2
+        at, most = (x[need <= np.minimum(size[i] - pos[i], size[at] - pos[at])] for x in (at, most))
+        w = int(width[i])
+        mine = rows[w][i - first[w]]
+        apart = np.empty(len(at), dtype=np.int64)
+        for wide in np.unique(width[at]).tolist():
+            where = width[at] == wide
+            apart[where] = np.bitwise_count(at_width(wide, w)[at[where] - first[wide]] ^ mine).sum(axis=1)
+        at = at[apart <= most]
+        if len(at):
+            yield np.full(len(at), key[i]), key[at], np.full(len(at), size[i]), size[at], np.full(len(at), pos[i]), pos[at]
+
+
+def _crossing(entries: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a column's entries in different components that may link by sizes, places and parities, the smaller first."""
+    fields = ["gram", "lo", "hi", "own", "key", "size", "pos", "component", "bits"]
+    names = ["a", "b", "a_size", "b_size", "a_pos", "b_pos"]
+
+    def made(found: list) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64 if j < 2 else np.int32)) for j, c in enumerate(zip(*found, strict=True))], names)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["a", "b", "a_size", "b_size", "a_pos", "b_pos"]
-
-        def made(found: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64 if j < 2 else np.int32)) for j, c in enumerate(zip(*found, strict=True))], names)
-
         run: list[tuple] = []
         found, held = [], 0
+
+        def meet() -> list[tuple]:
+            if len(run) < 2 or all(r[7] == run[0][7] for r in run):
+                return []
+            cols = list(zip(*run, strict=True))
+            arrays = {c: np.array(cols[j], dtype=object if c == "bits" else np.int64) for j, c in enumerate(fields) if j > 2}
+            return list(_pairs(arrays, percent))
+
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("gram", "key", "size", "pos", "component")), strict=True):
-                if run and run[-1][0] != row[0]:
-                    for x in pairs(run) if len(run) > 1 else ():
-                        found.append(x)
-                        held += len(x[0])
-                        if held > 200_000:
-                            yield made(found)
-                            found, held = [], 0
+            for row in zip(*(batch.column(c).to_pylist() for c in fields), strict=True):
+                if run and run[-1][:3] != row[:3]:
+                    more = meet()
+                    found += more
+                    held += sum(len(x[0]) for x in more)
+                    if held > 200_000:
+                        yield made(found)
+                        found, held = [], 0
                     run = []
                 run.append(row)
-        for x in pairs(run) if len(run) > 1 else ():
-            found.append(x)
+        found += meet()
         if found:
             yield made(found)
 
-    # settled columns go before their entries are gathered, within the one shuffle by column
-    column = Window.partitionBy("gram")
-    differ = lists.withColumn("lo", F.min("component").over(column)).withColumn("hi", F.max("component").over(column)).where("lo <> hi")
-    return differ.drop("lo", "hi").sortWithinPartitions("gram", "size", "key").mapInArrow(
+    # a long column is dealt into blocks by the hash of its classes, and every pair of blocks meets
+    long = entries.groupBy("gram").agg(F.count("*").alias("c")).where(F.col("c") > COLUMN_BLOCK).select("gram", F.ceil(F.col("c") / COLUMN_BLOCK).cast("int").alias("blocks"))
+    rows = entries.join(long, "gram", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("own", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).select(*fields)
+    return rows.repartition("gram", "lo", "hi").sortWithinPartitions("gram", "lo", "hi", "size", "key").mapInArrow(
         task, "a long, b long, a_size int, b_size int, a_pos int, b_pos int")
 
 
+def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose parities leave a link possible."""
+    one = lambda side: classes.select(F.col("key").alias(side), F.col("n").alias(f"{side}_n"), F.col("bits").alias(f"{side}_bits"))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(*(batch.column(c).to_pylist() for c in ("a_n", "b_n", "a_bits", "b_bits")), strict=True):
+                x, y = (np.frombuffer(b, dtype=np.uint64)[None, :] for b in (x, y))
+                while x.shape[1] != y.shape[1]:
+                    x, y = (folded(x), y) if x.shape[1] > y.shape[1] else (x, folded(y))
+                keep.append(int(np.bitwise_count(x ^ y).sum()) <= int(most_apart(np.int64(n), m, percent)))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(task, "a long, b long")
+
+
 def _within_bounds(pairs: DataFrame, percent: int) -> DataFrame:
     """(a, b) whose overlap so far, and what may follow the last shared n-gram, reach the bound of their sizes."""
     need = F.ceil(percent * (F.col("a_size") + F.col("b_size")) / F.lit(100.0 + percent) - 1e-9)
@@ -295,34 +383,53 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
     return rows.repartition("a", "block").sortWithinPartitions("a", "block", "other").mapInArrow(task, "a long, b long")
 
 
-def _texts(documents: DataFrame, scan: DataFrame, keys: DataFrame) -> DataFrame:
-    """(key, text) for each of ``keys``, from the row with its smallest id."""
-    wanted = scan.where("id is not null").join(keys, "key", "left_semi").groupBy("key").agg(F.min("id").alias("id"))
+def within(ids: DataFrame) -> DataFrame:
+    """``ids`` with a broadcast hint if they are few (counted)."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
+def _texts(documents: DataFrame, scan: DataFrame, keys: DataFrame, n: int) -> DataFrame:
+    """(key, text) for each of ``keys``, from one of its rows: that of the smallest id, a null id last. A text may come once per task."""
+    row = F.struct(F.col("id").isNull().alias("nameless"), "id", "hash")
+    wanted = scan.join(keys, "key", "left_semi").groupBy("key").agg(F.min(row).alias("row")).select("key", F.col("row.id").alias("own"), "row.hash")
     wanted, _ = saved(documents.sparkSession, wanted, "ngram-wanted")
-    few = wanted.count() <= BROADCAST_IDS
-    return documents.where("id is not null").join(F.broadcast(wanted) if few else wanted, "id").select("key", "text")
+    rows = documents.withColumn("hash", F.xxhash64("text")).join(within(wanted), "hash").where(F.col("id").eqNullSafe(F.col("own"))).select("key", "text")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()
+        for batch in batches:
+            keep = []
+            for k in batch.column("key").to_pylist():
+                if len(sent) >= REMEMBER:
+                    sent.clear()
+                keep.append(k not in sent)
+                sent.add(k)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(task, "key long, text string")
 
 
 def first_of_groups(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows, with all their columns, but for those linked (directly or not) to a row of smaller id; of rows repeated in id and text one stays.
+    """One row, with all its columns, of each group of rows that link (directly or not) or repeat each other's n-grams: that of the smallest id, a null id last.
 
-    Ids are taken as unique otherwise: rows of one id go if one of them goes. Rows with a null id stay.
+    Rows are numbered once, in a written table, and linked, kept and dropped by that number, so repeated and null ids do no
+    harm. Rows without words link with nothing; of those that are alike in id and text one stays.
     """
     spark = documents.sparkSession
-    found, _ = saved(spark, join(documents, n, percent, id_col, text).select(F.col(id_col).alias("__id"), "component_id"), "ngram-found")
-    gone = found.where("__id <> component_id").select("__id").distinct()
-    twice = found.groupBy("__id").count().where("count > 1 and __id is not null").select("__id")
-
-    def within(ids: DataFrame) -> DataFrame:
-        return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-
-    own = F.col(id_col).cast("long") == F.col("__id")
-    gone = within(gone)
-    left = documents.join(gone, own, "left_anti")
-    if twice.limit(1).count():
-        twice = within(twice)
-        left = left.join(twice, own, "left_anti").unionAll(left.join(twice, own, "left_semi").dropDuplicates([id_col, text]))
-    return left
+    rows, path = saved(spark, documents.withColumn("__row", F.monotonically_increasing_id()), "ngram-rows")
+    named = rows.select("__row", F.col(id_col).alias("__id"), F.xxhash64(F.coalesce(F.col(text), F.lit("")), F.col(text).isNull()).alias("__hash"))
+    found = join(rows, n, percent, "__row", text)
+    found = found.withColumn("group", F.when(F.col("n_shingles") > 0, F.col("component_id"))).drop("component_id").join(named, "__row")
+    # rows without words: the same id and text
+    found = found.select("__row", "__id", "group", *(F.when(F.col("group").isNull(), F.col(c)).alias(f"{c}_") for c in ("__id", "__hash")))
+    found, _ = saved(spark, found, "ngram-found")
+    by = ["group", "__id_", "__hash_"]
+    kept = found.groupBy(*by).agg(F.count("*").alias("c"), F.min(F.struct(F.col("__id").isNull().alias("nameless"), "__id", "__row")).alias("first")).where("c > 1")
+    firsts = kept.select("first.__row")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"k{c}")) for c in by))
+    grouped = found.join(kept.select(*(F.col(c).alias(f"k{c}") for c in by)), same, "left_semi")
+    gone, _ = saved(spark, grouped.select("__row").join(firsts, "__row", "left_anti"), "ngram-gone")
+    return rows.join(within(gone), "__row", "left_anti").select(*documents.columns)
 
 
 def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -334,27 +441,39 @@ def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc
     docs = documents.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"))
     scan, _ = saved(spark, _scan(docs, n), "ngram-scan")
     rows = scan.where("part is null").select("id", "key", "size")
-    classes = _frequency_classes(scan.where("part is not null").select("part", "counts"))
-    lists, lists_path = saved(spark, _shared(_columns(docs, n, percent, classes), percent), "ngram-lists")
-    texts, texts_path = saved(spark, _texts(docs, rows, lists.select("key").distinct()), "ngram-texts")
-
-    # their counts are not accumulated, so the bound can discard nothing yet: all are verified
-    stars, stars_path = saved(spark, _stars(lists, percent), "ngram-stars")
+    frequency = _frequency_classes(scan.where("part is not null").select("part", "counts"))
+    lists, lists_path = saved(spark, _shared(_columns(docs, n, percent, frequency), percent), "ngram-lists")
+    classes = scan.where("part is null and size > 0").join(lists.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("size").alias("n"), F.min("bits").alias("bits"))
+    classes, classes_path = saved(spark, classes, "ngram-classes")
+
+    # the counts of hub pairs are not accumulated yet, so their bound is that of the parities; what passes is verified
+    stars, stars_path = saved(spark, _near(_stars(lists, percent), classes, percent), "ngram-stars")
+    texts, texts_path = saved(spark, _texts(docs, scan.where("part is null"), _ends(stars), n), "ngram-texts")
     links, _ = saved(spark, _verified(stars, texts, n, percent), "ngram-links")
+    forget(spark, texts_path)
     part = components(links)
 
-    told = lists.select("gram", "key", "size", "pos").join(part.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    told, told_path = saved(spark, told, "ngram-told")
-    open_ = _within_bounds(_crossing(told, percent), percent).join(
-        stars.unionAll(stars.select("b", "a")), ["a", "b"], "left_anti")
-    pairs, pairs_path = saved(spark, open_, "ngram-pairs")
-    more, _ = saved(spark, _verified(pairs, texts, n, percent), "ngram-links")
-    for p in (pairs_path, stars_path, told_path, lists_path, texts_path):
+    entries, entries_path = saved(spark, _open_columns(lists, part.withColumnRenamed("id", "key"), classes.select("key", "bits")), "ngram-open")
+    forget(spark, lists_path)
+    left = _within_bounds(_crossing(entries, percent), percent).join(stars.unionAll(stars.select("b", "a")), ["a", "b"], "left_anti")
+    pairs, pairs_path = saved(spark, left, "ngram-pairs")
+    for p in (entries_path, stars_path, classes_path):
         forget(spark, p)
-    whole = components(links.unionAll(more)) if more.count() else part
+    whole = part
+    if pairs.limit(1).count():
+        texts, texts_path = saved(spark, _texts(docs, scan.where("part is null"), _ends(pairs), n), "ngram-texts")
+        more, _ = saved(spark, _verified(pairs, texts, n, percent), "ngram-links")
+        forget(spark, texts_path)
+        if more.limit(1).count():
+            whole = components(links.unionAll(more))
+    forget(spark, pairs_path)
 
     keys = rows.where("size > 0").groupBy("key").agg(F.min("id").alias("least")).join(whole.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
     least = keys.groupBy("component").agg(F.min("least").alias("component_id"))
     answer = keys.join(least, "component").select("key", "component_id")
     return rows.where("size > 0").join(answer, "key").select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), "component_id").unionAll(
         rows.where("size = 0").select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.col("id").alias("component_id")))
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).distinct()

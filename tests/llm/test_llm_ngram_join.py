@@ -83,6 +83,55 @@ def test_edge_cases_and_clashing_columns(spark, tmp_path):
     assert _got(ngram_join.join(documents(spark, []))) == [] and ngram_join.first_of_groups(documents(spark, [])).count() == 0
 
 
+def test_rows_without_an_id_are_bridges(spark):
+    words = [f"w{i}" for i in range(120)]
+    a, b, c = (" ".join(words[k:k + 100]) for k in (0, 7, 14))  # a ~ b ~ c, but not a ~ c
+    for middle in (None, 2):
+        rows = [(1, a), (middle, b), (3, c), (None, b), (None, "no such words here at all"), (9, "something else again it is")]
+        got = _got(ngram_join.join(documents(spark, rows), 4, 85))
+        assert got == _brute(rows, 4, 85) and [x[2] for x in got if x[0] in (1, 3, middle)].count(1) >= 3
+    alone = [(None, a), (None, b), (7, prose(1))]
+    assert _got(ngram_join.join(documents(spark, alone), 4, 85)) == _brute(alone, 4, 85)
+
+
+def test_a_column_that_a_third_of_all_classes_hold(spark, monkeypatch):
+    """Near-copies of one text that mostly don't link with each other: their columns are long, and met in blocks."""
+    monkeypatch.setattr(ngram_join, "COLUMN_BLOCK", 40)
+    base = prose(77, 110)
+    texts = [_near(base, 3 + i % 5, i) for i in range(150)] + [prose(1000 + i, 60) for i in range(300)] + [_near(prose(5, 900), i, 70 + i) for i in range(30)]
+    rows = list(enumerate(texts))
+    assert _got(ngram_join.join(documents(spark, rows), 4, 85)) == _brute(rows, 4, 85)
+
+
+def test_parities_never_hide_a_link():
+    import numpy as np
+
+    r = np.random.default_rng(5)
+    for size in (5, 60, 340, 345, 700, 3000):
+        x = np.unique(r.integers(0, 2**63, size).astype(np.uint64))
+        for share in (0.8, 0.85, 0.95, 1.0):
+            y = np.concatenate([x[:int(share * len(x))], r.integers(0, 2**63, max(1, size // 9)).astype(np.uint64)])
+            y = np.unique(y)
+            both = len(np.intersect1d(x, y))
+            bits = [np.frombuffer(ngram_join.parity(s), dtype=np.uint64)[None, :] for s in (x, y)]
+            while bits[0].shape != bits[1].shape:
+                k = int(bits[1].shape[1] > bits[0].shape[1])
+                bits[k] = ngram_join.folded(bits[k])
+            apart = int(np.bitwise_count(bits[0] ^ bits[1]).sum())
+            assert apart <= len(x) + len(y) - 2 * both
+            for percent in (60, 80, 85):
+                if 100 * both >= percent * (len(x) + len(y) - both):
+                    assert apart <= ngram_join.most_apart(np.int64(len(x)), len(y), percent)
+
+
+def test_first_of_groups_with_repeated_and_null_ids(spark):
+    words = prose(8, 80)
+    rows = [(1, words), (2, words + " more"), (2, "a text unlike any other one here"), (None, words + " again"), (None, "another text of its own it is"), (None, None), (None, None),
+            (4, None), (4, None), (4, ""), (0, words + " end")]
+    left = sorted(((r["doc_id"], r["text"]) for r in ngram_join.first_of_groups(documents(spark, rows)).collect()), key=str)
+    assert left == sorted([(0, words + " end"), (2, "a text unlike any other one here"), (None, "another text of its own it is"), (None, None), (4, None), (4, "")], key=str)
+
+
 def test_order_of_grams_is_total_and_bounds_hold():
     import numpy as np
 
