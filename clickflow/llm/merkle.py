@@ -245,7 +245,7 @@ def manifest(documents: DataFrame, altered: tuple[Column, Column], id_col: str =
     step = both.where("path is not null").select("idx", F.col("path").alias("step"))
     root, rest = _subroots(both.where("path is null").drop("path"))
     last = forest.join(step, "idx").join(rest.select(F.col("idx").alias("block"), F.col("path").alias("rest")), F.floor(F.col("idx") / BLOCK) == F.col("block"))
-    last = last.withColumn("one", F.lit("")).join(root.select(F.col("tree").alias("one"), F.col("digest").alias("root")), "one").select(
+    last = last.join(root.select("tree", F.col("digest").alias("root")), "tree").select(
         F.col("own").alias("tree"), F.col("digest").alias("subroot"), "root", F.concat("step", "rest").alias("last"))
     above = way.join(last, "tree").select("tree", "idx", F.concat("path", "last").alias("path"), "subroot", "root")
     answer = _block_versions(rows, above)
