@@ -48,8 +48,8 @@ BLOCK = 256
 BROADCAST_IDS = 1_000_000
 #: Classes that a task remembers having sent, at most.
 REMEMBER = 200_000
-#: Entries of a column that meet in one block, about; and the least bits of a parity.
-COLUMN_BLOCK, LEAST_BITS = 4096, 512
+#: Entries of a column that meet in one block, about; the least bits of a parity, and the most that go with an entry.
+COLUMN_BLOCK, LEAST_BITS, ENTRY_BITS = 4096, 512, 1024
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 
@@ -113,6 +113,14 @@ def folded(x: np.ndarray) -> np.ndarray:
     return x[:, :half] ^ x[:, half:]
 
 
+def short(bits: bytes) -> bytes:
+    """A parity folded to ``ENTRY_BITS`` at most."""
+    x = np.frombuffer(bits, dtype=np.uint64)[None, :]
+    while 64 * x.shape[1] > ENTRY_BITS:
+        x = folded(x)
+    return x.tobytes()
+
+
 def most_apart(a: np.ndarray, b: np.ndarray | int, percent: int) -> np.ndarray:
     """n-grams that only one of two sets of sizes ``a`` and ``b`` may have if they link: sizes less twice the least overlap."""
     return a + b - 2 * (-(-percent * (a + b) // (100 + percent)))
@@ -243,10 +251,18 @@ def _stars(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _open_columns(lists: DataFrame, part: DataFrame, classes: DataFrame) -> DataFrame:
-    """(gram, key, size, pos, component, bits) of the columns whose classes are in different components; ``part`` (key, component) holds linked classes."""
+    """(gram, key, size, pos, component, bits) of the columns whose classes are in different components; ``part`` (key, component) holds linked classes.
+
+    An entry carries its class's parity folded to a fixed width; what it lets pass meets the whole parity once (``_near``).
+    """
     told = lists.select("gram", "key", "size", "pos").join(within(part), "key", "left").withColumn("component", F.coalesce("component", "key"))
     differ = told.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("gram")
-    return told.join(differ, "gram", "left_semi").join(classes, "key")
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([short(x) for x in batch.column("bits").to_pylist()], pa.binary())], ["key", "bits"])
+
+    return told.join(differ, "gram", "left_semi").join(classes.select("key", "bits").mapInArrow(task, "key long, bits binary"), "key")
 
 
 def _pairs(run: dict[str, np.ndarray], percent: int) -> Iterator[tuple]:
@@ -453,10 +469,10 @@ def join(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc
     forget(spark, texts_path)
     part = components(links)
 
-    entries, entries_path = saved(spark, _open_columns(lists, part.withColumnRenamed("id", "key"), classes.select("key", "bits")), "ngram-open")
+    entries, entries_path = saved(spark, _open_columns(lists, part.withColumnRenamed("id", "key"), classes), "ngram-open")
     forget(spark, lists_path)
     left = _within_bounds(_crossing(entries, percent), percent).join(stars.unionAll(stars.select("b", "a")), ["a", "b"], "left_anti")
-    pairs, pairs_path = saved(spark, left, "ngram-pairs")
+    pairs, pairs_path = saved(spark, _near(left, classes, percent), "ngram-pairs")
     for p in (entries_path, stars_path, classes_path):
         forget(spark, p)
     whole = part
