@@ -8,6 +8,9 @@ Plan notes
   read from storage and grows with the data, so the planner decides from its
   size (broadcast under ``spark.sql.autoBroadcastJoinThreshold``, else a
   shuffle join that AQE may still convert at runtime).
+* ``windows_of_panes`` reads windows off counts per (pane, ad) as differences
+  of running sums: a pane adds its count where it enters a window and takes it
+  away where it leaves, so nothing is copied per window but the answer's rows.
 * Sliding windows are computed from per-slide counts: rows are first counted
   per (slide bucket, ad), and only those counts are fanned out to the
   length/slide windows that contain them, so a 60 min / 10 s window costs
@@ -16,7 +19,7 @@ Plan notes
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickflow.functions.dates import millis_to_timestamp
@@ -123,3 +126,40 @@ def sliding_counts(log: DataFrame, window_minutes: int = 60, slide_minutes: int
         F.timestamp_add("MINUTE", F.lit(window_minutes), start).alias("window_end"),
         "ad_id", "click_count",
     )
+
+
+SLOTS_SCHEMA = "date date, slot bigint, ad_id bigint, click_count bigint"
+
+
+def pane_of(ts: Column, seconds: int) -> Column:
+    """The number of the pane (``seconds`` long, counted from the epoch) that a time lies in."""
+    return F.floor(F.timestamp_diff("SECOND", F.lit(EPOCH_NTZ).cast("timestamp_ntz"), ts.cast("timestamp_ntz")) / int(seconds))
+
+
+def windows_of_panes(panes: DataFrame, pane_seconds: int, window_minutes: int = 60, slide_seconds: int = 600) -> DataFrame:
+    """A7 from counts per pane: ``panes`` (slot, ad_id, click_count), one row per pane and ad.
+
+    Same windows and output as ``sliding_counts``. The running sums restart every day of window starts, from a carry per
+    (ad, day), so a window function's partition holds two rows per slide of one day and ad at most.
+    """
+    length = window_minutes * 60
+    if slide_seconds % pane_seconds or length % slide_seconds:
+        raise ValueError("the slide must be a multiple of the pane, the window of the slide")
+    copies, a_day = length // slide_seconds, max(1, 86400 // slide_seconds)
+    slots = panes.groupBy(F.floor(F.col("slot") * pane_seconds / slide_seconds).alias("_s"), "ad_id").agg(F.sum("click_count").alias("_n"))
+    # a slot enters the window that starts copies - 1 slots before it and is gone in the one that starts after it
+    steps = slots.select("ad_id", F.explode(F.array(F.struct((F.col("_s") - (copies - 1)).alias("_w"), F.col("_n")), F.struct((F.col("_s") + 1).alias("_w"), (-F.col("_n")).alias("_n")))).alias("_x"))
+    steps = steps.groupBy("ad_id", F.col("_x._w").alias("_w")).agg(F.sum("_x._n").alias("_n")).withColumn("_d", F.floor(F.col("_w") / a_day))
+    ad_null = F.col("ad_id").isNull()
+    days = steps.groupBy("ad_id", "_d").agg(F.sum("_n").alias("_n"))
+    # the sum before each day, and before the day after each (which may hold no step of its own)
+    days = days.unionAll(days.select("ad_id", F.col("_d") + 1, F.lit(0).cast("bigint"))).groupBy("ad_id", "_d").agg(F.sum("_n").alias("_n"))
+    before = Window.partitionBy(ad_null, "ad_id").orderBy("_d").rowsBetween(Window.unboundedPreceding, -1)
+    starts = days.select("ad_id", (F.col("_d") * a_day).alias("_w"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_n"), "_d", F.lit(0).alias("_o"))
+    rows = steps.select("ad_id", "_w", "_n", "_d", F.lit(1).alias("_o")).unionAll(starts)
+    order = Window.partitionBy(ad_null, "ad_id", "_d").orderBy("_w", "_o")
+    runs = rows.select("ad_id", "_w", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("_n"),
+                       F.coalesce(F.lead("_w").over(order), (F.col("_d") + 1) * a_day).alias("_next"))
+    runs = runs.where((F.col("_n") > 0) & (F.col("_next") > F.col("_w"))).select("ad_id", "_n", F.explode(F.sequence("_w", F.col("_next") - 1)).alias("_w"))
+    start = F.timestamp_add("SECOND", F.col("_w") * slide_seconds, F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return runs.select(start.alias("window_start"), F.timestamp_add("MINUTE", F.lit(window_minutes), start).alias("window_end"), "ad_id", F.col("_n").cast("bigint").alias("click_count"))

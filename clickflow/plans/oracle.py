@@ -413,7 +413,10 @@ SQL["ad_stream_trend_last_hour"] = q(*_STREAM, f"""SELECT strftime(m, '%Y-%m-%d'
 SQL["ad_stream_stateful_stat"] = q(f"""SELECT {_d('ts')} AS date, replace(province, ' ', '-') AS province, city,
     ad_id, count(*) AS click_count FROM ad_log GROUP BY ALL""")
 SQL["ad_stream_window_trend"] = SQL["ad_click_trend"]
-SQL["ad_stream_sliding_hour"] = SQL["ad_sliding_hour"]
+SQL["ad_stream_sliding_hour"], SQL["ad_stream_sliding_hour_10s"] = SQL["ad_sliding_hour"], SQL["ad_sliding_hour_10s"]
+SQL["global_sort_rank"] = "SELECT event_id, value, row_number() OVER (ORDER BY value DESC NULLS LAST, event_id) AS rank FROM events"
+SQL["pv_uv_rollup"] = """SELECT event_type AS site, strftime(ts, '%Y-%m-%d') AS date, count(user_id) AS pv, count(DISTINCT user_id) AS uv, TRUE AS within_error
+FROM events GROUP BY 1, 2"""
 SQL["date_today"] = q("""SELECT event_id, strftime(current_date, '%Y-%m-%d') AS today,
     strftime(current_date - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday,
     CAST(current_date - CAST(ts AS DATE) AS INTEGER) AS days_ago FROM events""")

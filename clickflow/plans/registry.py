@@ -296,6 +296,25 @@ def _global_sort_top1(spark, d):
     return tr.global_top1(table(spark, d, "events"), "value")
 
 
+@register("global_sort_rank")
+def _global_sort_rank(spark, d):
+    """The place of every row in a descending global sort."""
+    return tr.global_ranks(table(spark, d, "events").select("event_id", "value"), "value", "event_id")
+
+
+@register("pv_uv_rollup")
+def _pv_uv_rollup(spark, d):
+    """C10 from stored sketches per site and hour, rolled up to the day, beside the exact count: whether it lies within the stated error."""
+    pv = tr.parse_pv_lines(V.pv_lines(spark, d))
+    path = scratch_dir(spark, "pv-sketches")
+    tr.pv_sketches(pv).write.mode("overwrite").parquet(path)
+    rolled = tr.rolled_up(spark.read.parquet(path), ["site", "date"])
+    exact = pv.groupBy("site", "date").agg(F.count_distinct("user").alias("uv"))
+    same = rolled["site"].eqNullSafe(exact["site"]) & rolled["date"].eqNullSafe(exact["date"])
+    return rolled.join(exact, same).select(rolled["site"], rolled["date"], "pv", "uv",
+                                           (F.abs(F.col("uv_estimate") - F.col("uv")) <= F.ceil(F.col("uv") * tr.SKETCH_ERROR)).alias("within_error"))
+
+
 @register("catalog_scan")
 def _catalog_scan(spark, d):
     """A stored table of the session catalog, read by database and name."""
@@ -671,10 +690,10 @@ def run_stateful(spark, d) -> tuple[sk.BatchLog, sk.BatchLog, sk.BatchLog]:
     stat_log = sk.BatchLog(spark, f"{root}/stat", "date date, province string, city string, ad_id bigint, "
                                                   "click_count bigint")
     trend_log = sk.BatchLog(spark, f"{root}/trend", ast.TREND_SCHEMA)
-    sliding_log = sk.BatchLog(spark, f"{root}/sliding", ast.TREND_SCHEMA)
+    pane_log = sk.BatchLog(spark, f"{root}/panes", ads.SLOTS_SCHEMA, ("date",), lambda lg, df: lg.latest(["date", "slot", "ad_id"], "click_count", df), 720)
 
-    def sliding(parsed):
-        return ast.windowed_trend(parsed, f"{P.WINDOW_MINUTES} minutes", f"{P.SLIDE_MINUTES} minutes")
+    def panes(parsed):
+        return ast.pane_counts(parsed, P.SLIDE_SECONDS_REFERENCE)
 
     def run(query, log):
         def go(lines, ckpt):
@@ -686,8 +705,8 @@ def run_stateful(spark, d) -> tuple[sk.BatchLog, sk.BatchLog, sk.BatchLog]:
 
     _replay(spark, d, root, [(run(ast.stateful_ad_stat, stat_log), "ckpt-stat"),
                              (run(ast.windowed_trend, trend_log), "ckpt-trend"),
-                             (run(sliding, sliding_log), "ckpt-sliding")], LATE_EVERY)
-    return stat_log, trend_log, sliding_log
+                             (run(panes, pane_log), "ckpt-panes")], LATE_EVERY)
+    return stat_log, trend_log, pane_log
 
 
 def _stateful_run(spark, d):
@@ -713,13 +732,21 @@ def _ad_stream_window_trend(spark, d):
                     F.date_format("minute", "mm").alias("minute"), "ad_id", "click_count")
 
 
+def _stream_windows(spark, d, slide_seconds):
+    panes = _stateful_run(spark, d)[2].latest(["date", "slot", "ad_id"], "click_count")
+    return ads.windows_of_panes(panes, P.SLIDE_SECONDS_REFERENCE, P.WINDOW_MINUTES, slide_seconds)
+
+
 @register("ad_stream_sliding_hour")
 def _ad_stream_sliding_hour(spark, d):
-    """A7 as a stream: 60 min windows every 10 min, late clicks included."""
-    t = _stateful_run(spark, d)[2].latest(["minute", "ad_id"], "click_count")
-    start = F.col("minute")
-    return t.select(start.alias("window_start"), (start + F.expr(f"INTERVAL {P.WINDOW_MINUTES} MINUTES")).alias("window_end"),
-                    "ad_id", "click_count")
+    """A7 as a stream: 60 min windows every 10 min, late clicks included, from 10 s panes."""
+    return _stream_windows(spark, d, P.SLIDE_MINUTES * 60)
+
+
+@register("ad_stream_sliding_hour_10s")
+def _ad_stream_sliding_hour_10s(spark, d):
+    """A7 as a stream in the reference's configuration: 60 min windows every 10 s, from the same panes."""
+    return _stream_windows(spark, d, P.SLIDE_SECONDS_REFERENCE)
 
 
 @register("date_today")

@@ -280,6 +280,14 @@ def stateful_ad_stat(parsed: DataFrame) -> DataFrame:
     return parsed.groupBy("date", "province", "city", "ad_id").agg(F.count(F.lit(1)).alias("click_count"))
 
 
+def pane_counts(parsed: DataFrame, pane_seconds: int) -> DataFrame:
+    """A7 as a stream: running clicks per (pane, ad), one state row each, whatever the window and the slide;
+    ``ads.windows_of_panes`` reads the windows off the stored counts. No click is too late."""
+    pane = ads.pane_of(F.col("ts"), pane_seconds)
+    return (parsed.where(F.col("ts").isNotNull()).groupBy(F.col("date"), pane.alias("slot"), "ad_id")
+            .agg(F.count(F.lit(1)).alias("click_count")))
+
+
 def windowed_trend(parsed: DataFrame, window: str = "1 minute", slide: str | None = None) -> DataFrame:
     """A6 (tumbling) / A7 (sliding) clicks per event-time window and ad; as above, no click is too late."""
     ts = F.col("ts").cast("timestamp")
