@@ -1,10 +1,11 @@
 import hashlib
+import random
 import re
 
 import numpy as np
 from llm_util import clashing, documents, edge_texts, prose
 
-from clickflow.llm import queries, secrets
+from clickflow.llm import crf, queries, secrets
 
 HEX = "0123456789abcdef0123456789abcdef01234567"
 
@@ -63,4 +64,69 @@ def test_empty_table_and_nothing_to_learn(spark):
 def test_masking_merges_overlaps():
     text = f"a token={HEX} b"
     assert secrets.masked(text, secrets.base_spans(text), "#") == "a # b"
-    assert secrets.tagged_spans("x y z", np.array([0, 0, 0]), []) == []
+    assert secrets.tagged_spans(["x", "y"], ["", " "], np.zeros(0, dtype=int), np.zeros(0, dtype=int), []) == []
+    spans = secrets.tagged_spans(["k", "abc", "def", "z"], ["", "=", "=", "  "], np.array([1, 2]), np.array([1, 2]), [])
+    assert spans == [(2, 3, 9)] and "k=abc=def  z"[2:9] == "abc=def"
+
+
+def test_cut_covers_the_text():
+    r = random.Random(3)
+    for text in ["", " ", "a", "a.", "a. b", '{"k":"v"}', "x=1&y=2", "a\tb\n\n", "a. . b ..", "." * 100_000 + "x", *("".join(r.choice("ab1.,:= \"{}é\n") for _ in range(30)) for _ in range(200))]:
+        tokens, gaps = secrets.cut(text)
+        starts, ends = secrets._places(tokens, gaps)
+        assert len(tokens) == len(gaps) and [text[a:b] for a, b in zip(starts, ends, strict=True)] == tokens
+        assert text.startswith("".join(g + t for g, t in zip(gaps, tokens, strict=True))) and (all(tokens) or len(tokens) == 1)
+
+
+def test_stretches_give_the_tags_of_whole_texts():
+    """Viterbi between certain tokens equals Viterbi over all tokens."""
+    r, rng = random.Random(5), np.random.default_rng(1)
+    model = crf.Model(rng.normal(0, 0.4, (secrets.DIM, 3)), rng.normal(0, 1.0, (3, 3)), rng.normal(0, 1, 3))
+    model.weights[:, 0] += 0.15
+    texts = ["".join(r.choice(["ab ", "x=", "q1w2 ", "Foo, ", "AKIA9 "]) for _ in range(r.randrange(0, 90))) for _ in range(60)]
+    parts, hits, tags = secrets.Tagger(model).tags(texts)
+    tokens, owner, first = crf.chained([p[0] for p in parts])
+    types = crf.Types(secrets.token_features, secrets.WIDTH)
+    blank = int(types.of([""])[0])
+    ids, w = types.of(tokens), model.weights
+    before, after = crf.neighbours(ids, first, blank)
+    rows, gap = types.rows, np.array([secrets.gap_feature(g) for p in parts for g in p[1]])
+    emit = (w[rows[ids, :7]].sum(axis=1) + w[rows[before, 7:9]].sum(axis=1) + w[rows[after, 9:]].sum(axis=1) + w[gap]
+            + w[np.array([secrets.file_features(t) for t in texts])].sum(axis=1)[owner])
+    want = crf.viterbi(model, emit, first)
+    got = np.zeros(len(tokens), dtype=int)
+    got[np.searchsorted(owner, hits[:, 0]) + hits[:, 1]] = tags
+    assert (got == want).all() and 0 < (want > 0).sum() < len(want)
+
+
+KEY = "".join(hashlib.sha256(str(i).encode()).hexdigest() for i in range(3))
+
+
+def _code(seed, n, letters="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"):
+    r = random.Random(seed)
+    return "".join(r.choice(letters) for _ in range(n))
+
+
+def _corpus():
+    """Prose with secrets of the three base kinds, and with what looks odd but is none."""
+    out = []
+    for i in range(420):
+        kind = (f'{("password", "secret", "api_key", "token")[i // 7 % 4]} = "{_code(i, 24 + i % 17)}"', f"token: {KEY[i % 60:i % 60 + 40]}", f"AKIA{_code(i, 16, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567')}",
+                f"mail {_code(i, 6, 'abcdefgh')}.{_code(i + 1, 5, 'klmnopq')}@example.org", f"from 10.{i % 250}.{i % 77}.4 port {8000 + i}",
+                f"in {1900 + i % 120} and on 2024-0{1 + i % 9}-1{i % 9}, call +49 {i}55-01{i % 90}", f"see https://www.example.org/{_code(i, 5, 'abcdef')}/{_code(i, 7, 'ghijk')}.html")[i % 7]
+        out.append(f"{prose(i, 14)} {kind} {prose(i + 900, 14)}")
+    return out
+
+
+def test_other_kinds_of_secrets_and_look_alikes(spark):
+    model = secrets.fit(documents(spark, _corpus()))
+    v = lambda k, n=32: _code(9000 + k, n)
+    hidden = [f"credential: {v(1)}", f"passphrase is {v(2)}", f"Authorization: Bearer {v(3, 40)}", f'private_key: "{v(4, 44)}"', f'{{"name":"x","{"n" * 70}":"y","auth":"{v(5)}"}}',
+              f"auth_key = {v(6)}", f"pwd = {v(7, 28)}", f"https://example.org/x?sig={v(8)}&n=1", f"client_credential='{v(9)}'", f"ssh {v(10, 60)}"]
+    plain = ["write to anna.maria@example.org now", "the host 192.168.17.4 is up", "in 1984, on 2024-05-06 at 10:20:30", "see https://www.example.org/about/people.html", "a well-known, long-standing Donaudampfschifffahrtsgesellschaft",
+             "version 3.11.2 of it", "ISBN 978-3-16-148410-0", "call +49 30 901820", "UPPERCASE WORDS AND camelCaseWords here", "1,000,000 of 2,500 items"]
+    docs = documents(spark, [f"{prose(3000 + i, 12)} {t} {prose(4000 + i, 12)}" for i, t in enumerate([*hidden, *plain])])
+    found = {r["doc_id"]: [r["text"][s["start"]:s["end"]] for s in r["spans"] if s["kind"] == "crf"] for r in secrets.find(docs, model, ["doc_id", "text"]).collect()}
+    missed = [t for i, t in enumerate(hidden) if not any(v(i + 1, 8)[:8] in x for x in found[i])]
+    assert len(missed) <= 1, missed
+    assert not any(found[len(hidden) + i] for i in range(len(plain))), found
