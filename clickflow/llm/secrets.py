@@ -1,7 +1,7 @@
 """Secret scans: a linear-chain CRF tags tokens as secret begin, inside or outside, decoded by Viterbi.
 
 Three patterns give base spans (``BASE``). They also label the training tokens: bounded windows around base spans of all
-documents, and from documents without any, half of these around odd-looking tokens (addresses, numbers, codes). Texts are cut at
+documents, and from documents without any, around odd-looking tokens (addresses, numbers, codes, long words) if they have some. Texts are cut at
 white space, quotes, brackets, commas, colons, ``&``, ``=``, ``|`` and sentence ends; every piece is tagged, whatever its length. A
 token's features are its shape, affixes and length, what it is cut off by, its neighbouring words and shapes, and features of
 the whole file (how dense it is in digits, assignments and marks). Tagged runs that overlap no base span become spans of kind
@@ -100,16 +100,16 @@ _SHAPES: dict[tuple, tuple[int, ...]] = {}
 _MOST_SHAPES = 50_000
 
 
-def _shape_features(kinds: int, runs: int, size: int, marks: bytes) -> tuple[int, ...]:
-    """Marks; class mix with runs and length, each pair; and as a neighbour."""
-    known = _SHAPES.get((kinds, runs, size, marks))
+def _shape_features(kinds: int, runs: int, size: int, dense: int, marks: bytes) -> tuple[int, ...]:
+    """Marks; classes with runs and length, with how often classes change, and that with the length alone; then as a neighbour."""
+    known = _SHAPES.get((kinds, runs, size, dense, marks))
     if known is None:
         if len(_SHAPES) > _MOST_SHAPES:
             _SHAPES.clear()
         shape = kinds * 64 + min(runs, 15) * 4
-        known = _SHAPES[kinds, runs, size, marks] = (
-            zlib.crc32(marks, 3) % DIM, (shape * 16 + size + 1) * 2654435761 % DIM, (kinds * 16 + size + 70001) * 2654435761 % DIM,
-            (min(runs, 20) * 16 + size + 90001) * 2654435761 % DIM, zlib.crc32(marks, kinds + 100) % DIM, zlib.crc32(marks, kinds + 200) % DIM)
+        known = _SHAPES[kinds, runs, size, dense, marks] = (
+            zlib.crc32(marks, 3) % DIM, (shape * 16 + size + 1) * 2654435761 % DIM, (kinds * 8 + dense + 70001) * 2654435761 % DIM,
+            (min(size, 4) * 8 + dense + 90001) * 2654435761 % DIM, zlib.crc32(marks, kinds + 100) % DIM, zlib.crc32(marks, kinds + 200) % DIM)
     return known
 
 
@@ -125,7 +125,7 @@ def token_features(token: str) -> list[int]:
         marks = bytes(sorted(set(raw.translate(None, _NO_MARK))))
     h = zlib.crc32(raw.lower().strip(b"\"'.,;:!?()"))
     size = min(len(raw) // 4, 5) + (len(raw) >= 32)
-    mark, mix, mix2, mix3, before, after = _shape_features(kinds, runs, size, marks)
+    mark, mix, mix2, mix3, before, after = _shape_features(kinds, runs, size, min(4, 5 * runs // max(1, len(raw))), marks)
     return [h % DIM, zlib.crc32(raw[:4], 1) % DIM, zlib.crc32(raw[-2:], 2) % DIM, mark, mix, mix2, mix3,
             (h ^ 0x5BD1E995) % DIM, before, (h ^ 0x27D4EB2F) % DIM, after]
 
@@ -239,7 +239,7 @@ def labelled_tokens(text: str, kinds: tuple[int, ...] = (0, 1, 2)) -> tuple[list
     return tokens, gaps, tags
 
 
-_ODD = re.compile(r"[0-9@_/+]")
+_ODD = re.compile(r"[0-9@_/+]|.{15}")
 
 
 def _training_windows(documents: DataFrame, id_col: str, text: str, kinds: tuple[int, ...], modulus: int) -> DataFrame:
@@ -252,11 +252,13 @@ def _training_windows(documents: DataFrame, id_col: str, text: str, kinds: tuple
                 out = []
                 for i, t in zip(part.column("id").to_pylist(), texts_of(part), strict=True):
                     at = zlib.crc32(str(i).encode())
-                    if not t or at % modulus and not any(m[1] in kinds for m in _matches(t)):
+                    spans = {m[1] for m in _matches(t)}
+                    # a document with a kind that is withheld teaches nothing: its spans would count as outside
+                    if not t or at % modulus and not spans or not spans.issubset(kinds):
                         continue
                     tokens, gaps, tags = labelled_tokens(t, kinds)
                     hits = [k for k, y in enumerate(tags) if y == 1]
-                    odd = [k for k, x in enumerate(tokens) if _ODD.search(x)] if not hits and at // modulus % 2 else []
+                    odd = [] if hits else [k for k, x in enumerate(tokens) if _ODD.search(x)]
                     k = hits[at % len(hits)] if hits else odd[at % len(odd)] if odd else at % len(tokens)
                     cut_ = slice(max(0, k - AROUND), k + AROUND + 1)
                     out.append((i, bool(hits), [x[:4096] for x in tokens[cut_]], [x[-8:] for x in gaps[cut_]], tags[cut_], file_features(t)))
@@ -285,9 +287,12 @@ def fit(documents: DataFrame, id_col: str = "doc_id", text: str = "text", sample
     rows_of, (before, after) = types.rows, crf.neighbours(ids, first, blank)
     gap = np.array([gap_feature(g) for r in got for g in r["gaps"]])[:, None]
     x = np.concatenate([rows_of[ids, :OWN], rows_of[before, OWN:OWN + BEFORE], rows_of[after, OWN + BEFORE:], gap, np.array([r["file"] for r in got])[owner]], axis=1)
-    # in every other window the words and affixes themselves are blank, so that shapes and marks must tell a secret
-    words = (0, 1, 2, OWN, OWN + BEFORE)
-    x[np.ix_(owner % 2 == 1, words)] = rows_of[blank, list(words)]
+    # in two of three windows the words and affixes themselves are blank, so that shapes and marks must tell a secret; in one of
+    # these all but the token's own shape
+    words, around = (0, 1, 2, OWN, OWN + BEFORE), (OWN + 1, WIDTH - 1)
+    x[np.ix_(owner % 3 != 0, words)] = rows_of[blank, list(words)]
+    x[np.ix_(owner % 3 == 2, around)] = rows_of[blank, list(around)]
+    x[owner % 3 == 2, WIDTH:] = gap_feature(" ")
     return crf.train(x, np.array([y for r in got for y in r["tags"]]), first, 3, DIM)
 
 
