@@ -239,7 +239,7 @@ def labelled_tokens(text: str, kinds: tuple[int, ...] = (0, 1, 2)) -> tuple[list
     return tokens, gaps, tags
 
 
-_ODD = re.compile(r"[0-9@_/+]|.{15}")
+_ODD, _LONG = re.compile(r"[0-9@_/+]"), 15
 
 
 def _training_windows(documents: DataFrame, id_col: str, text: str, kinds: tuple[int, ...], modulus: int) -> DataFrame:
@@ -258,7 +258,7 @@ def _training_windows(documents: DataFrame, id_col: str, text: str, kinds: tuple
                         continue
                     tokens, gaps, tags = labelled_tokens(t, kinds)
                     hits = [k for k, y in enumerate(tags) if y == 1]
-                    odd = [] if hits else [k for k, x in enumerate(tokens) if _ODD.search(x)]
+                    odd = [] if hits else [k for k, x in enumerate(tokens) if _ODD.search(x)] or [k for k, x in enumerate(tokens) if len(x) >= _LONG]
                     k = hits[at % len(hits)] if hits else odd[at % len(odd)] if odd else at % len(tokens)
                     cut_ = slice(max(0, k - AROUND), k + AROUND + 1)
                     out.append((i, bool(hits), [x[:4096] for x in tokens[cut_]], [x[-8:] for x in gaps[cut_]], tags[cut_], file_features(t)))
