@@ -70,9 +70,9 @@ SQL = f"""
 WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
 o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos FROM t),
 c AS (SELECT conv_id, count(*) AS n, string_agg(role || chr(1) || text || chr(2), '' ORDER BY pos) AS body FROM o GROUP BY conv_id),
-k AS (SELECT min(conv_id) AS conv_id, n, body FROM c GROUP BY n, body),
+k AS (SELECT CASE WHEN bool_or(conv_id IS NULL) THEN NULL ELSE min(conv_id) END AS conv_id, n, body FROM c GROUP BY n, body),
 m AS (SELECT conv_id, n FROM k WHERE NOT EXISTS (SELECT 1 FROM k AS d WHERE d.n > k.n AND starts_with(d.body, k.body)))
 SELECT o.conv_id, CAST((pos - 1) // {SPAN} AS BIGINT) AS part, CAST(m.n AS BIGINT) AS n_turns,
        string_agg('<|' || role || '|>' || chr(10) || text || chr(10), '' ORDER BY pos) AS text
-FROM o JOIN m ON o.conv_id = m.conv_id GROUP BY o.conv_id, (pos - 1) // {SPAN}, m.n
+FROM o JOIN m ON o.conv_id IS NOT DISTINCT FROM m.conv_id GROUP BY o.conv_id, (pos - 1) // {SPAN}, m.n
 """

@@ -118,3 +118,18 @@ def test_null_conversation_and_empty_table(spark):
     rows = [(None, 0, "user", "a"), (2, 0, "user", "a"), (None, 1, "user", "b")]
     assert [tuple(r) for r in chat.collapse(clashing(spark.createDataFrame(rows, TURNS))).collect()] == [(None, 0, 2, "<|user|>\na\n<|user|>\nb\n")]
     assert chat.collapse(spark.createDataFrame([], TURNS)).count() == 0
+
+
+def test_sql_keeps_a_conversation_without_an_id(spark, tmp_path):
+    import duckdb
+
+    from clickflow.llm import chat
+
+    rows = [(None, 0, "user", "a"), (None, 1, "bot", "b"), (1, 0, "user", "a"), (2, 0, "user", "x"), (3, 0, "user", "a"), (3, 1, "bot", "b"), (4, 0, "user", "x")]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.write.parquet(f"{tmp_path}/c.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/c.parquet/*.parquet')")
+    want = sorted(con.sql(f"SELECT conv_id, part, n_turns, text FROM ({chat.SQL})").fetchall(), key=str)
+    got = sorted((tuple(r) for r in chat.collapse(table).collect()), key=str)
+    assert got == want and [r[0] for r in got] == [2, None]
