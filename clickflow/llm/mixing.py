@@ -13,6 +13,9 @@ in the whole run. Read in the order of slots, every part of the run has the sour
 All sums are Spark aggregates; the bisection works on the table of sources in rounds that try ``GRID`` exponents at
 once, so the driver sees one row per exponent however many sources there are.
 
+Tokens are what the caller's column says (the registered query takes them from the token counts, the corpus pipeline
+takes UTF-8 bytes), or words if it gives none.
+
 Cases: a null source counts as the empty name; null and empty texts have no tokens and follow their block; a source
 without any token has no weight and is read once; very long texts count in full; repeated rows are documents each and
 share a block; a null id has a block like any other; an empty table gives an empty result; one source gets weight 1.

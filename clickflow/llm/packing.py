@@ -1,11 +1,11 @@
 """Packing: vector bin packing of tokenised examples under limits on tokens, segments and loss-bearing tokens.
 
-Every Arrow batch that a task reads is packed by itself, as it streams through: nothing is shuffled, a task holds
-one batch, and a lost task is simply run again. An example longer than a sequence gives full sequences first; what
+Rows are packed as they stream through a task, so many at once as ``ROWS`` and ``CHARS`` allow: nothing is shuffled, a
+task holds the ids of so many characters or of one text, and a lost task is simply run again. An example longer than a sequence gives full sequences first; what
 is left of all examples of the batch is placed by the dot-product heuristic: of all examples that still fit, the one
 whose demands point most in the direction of the sequence's free capacities. When none fits, the free tokens are
-filled by cutting the best example that is larger; the last sequences of a batch are cut to powers of two, which
-need no padding.
+filled by cutting the best example that is larger; a sequence that keeps free tokens all the same (the last of a
+batch, or one whose segments or loss-bearing tokens are used up) is cut to powers of two, which need no padding.
 
 Cases: a null or empty text is its end-of-text id alone; very long texts become many pieces; equal and repeated
 rows are packed each (a row's pieces carry its id); empty tables give an empty result. Only the columns named in
@@ -34,6 +34,8 @@ SEQUENCE = 1024
 SEGMENTS = 64
 #: Rows packed together, at most; a bound of a task's memory and of the search for the next example.
 ROWS = 2048
+#: Characters of texts packed together, at most (or one text); a text has about a quarter as many ids, at most four times as many.
+CHARS = 4_000_000
 #: The fast library is asked for texts up to this code point; it and the reference library split them alike. Others go to the reference library.
 PLAIN = "ɏ"
 
@@ -109,10 +111,7 @@ def place(tokens: np.ndarray, loss: np.ndarray, limits: tuple[int, int, int]) ->
                 done[i], left[i], rest = done[i] + take, left[i] - take, rest - take
                 order = np.argsort(-left[live], kind="stable")
                 live = live[order]
-        if rest and not len(live):
-            out.extend(powers(row))
-        else:
-            out.append(row)
+        out.extend(powers(row) if rest else [row])
     return out
 
 
@@ -140,7 +139,7 @@ PIECES = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id
 
 def pack(documents: DataFrame, tokenizer_path: str, ranks_path: str, pattern: str, keep: list[str], text: str = "text", end_id: int = 0,
          sequence: int = SEQUENCE, segments: int = SEGMENTS, loss_limit: int | None = None, loss_share: Column | None = None,
-         with_ids: bool = False, rows: int = ROWS) -> DataFrame:
+         with_ids: bool = False, rows: int = ROWS, chars: int = CHARS) -> DataFrame:
     """One row for each piece: the columns ``keep`` of its example, ``PIECES``, and its ``ids`` if asked for.
 
     ``loss_share``: share of an example's tokens that bear loss (for instruction data: what the assistant says);
@@ -161,9 +160,8 @@ def pack(documents: DataFrame, tokenizer_path: str, ranks_path: str, pattern: st
         encode = None
         sequence_id = TaskContext.get().partitionId() << 36
         for whole in batches:
-            for at in range(0, whole.num_rows, rows):
-                encode = encode or Encoder(*shared.value, pattern, end_id)
-                batch = whole.slice(at, rows)
+            encode = encode or Encoder(*shared.value, pattern, end_id)
+            for batch in (b for at in range(0, whole.num_rows, rows) for b in chunks(whole.slice(at, rows), "__text", chars)):
                 ids = [encode(t) for part in chunks(batch, "__text") for t in texts_of(part, "__text")]
                 n = np.array([len(x) for x in ids], dtype=np.int64)
                 sequences = place(n, batch.column("__share").to_numpy(zero_copy_only=False), limits)

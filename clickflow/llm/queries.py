@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickflow.llm import ann, chat, embedding_dups, lexical, linerules, merkle, mixing, ngram_join, packing, quality, secrets, tokencount, toxicity
-from clickflow.llm.common import id_crc, table
+from clickflow.llm.common import id_crc, saved, table
 
 
 def op1_secrets_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +58,9 @@ def op8_ann_kmeans_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the flattest mixture that reads no source more than twice as often as the source read least, every document at least once
-    return mixing.mix(table(spark, sf_dir, "documents"), ["doc_id", "source"], repeats=2.0)
+    counts = tokencount.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), ["doc_id", "source"])
+    counts, _ = saved(spark, counts, "mix-tokens")
+    return mixing.mix(counts, ["doc_id", "source"], repeats=2.0, tokens=F.col("n_tokens"))
 
 
 def op10_chat_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,8 @@ from collections import defaultdict
 
 import duckdb
 import pytest
-from llm_util import clashing, documents, prose
+from llm_util import clashing, documents, prose, tokenizer_path
+from tokenizers import Tokenizer
 
 from clickflow.llm import chat, mixing, queries
 
@@ -50,6 +51,28 @@ def test_target_entropy_and_budget(spark, entropy):
     assert sorted(map(tuple, got)) == sorted(map(tuple, mixing.mix(docs.repartition(7), ["doc_id", "source"], entropy=entropy, budget=20_000).collect()))
 
 
+def test_sources_without_spaces_are_weighed_by_tokens(spark, tmp_path):
+    """Texts of a script without spaces count by their tokens, not as a word each."""
+    rows = [(i, prose(i, 150) if i % 2 else "漢字仮名交文章" * 30, f"s{i % 2}") for i in range(400)]
+    docs = spark.createDataFrame([(i, t, "en", s, 0) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    t = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    size = defaultdict(int)
+    for _, x, _, source, _ in docs.collect():
+        size[source] += len(t.encode(x, add_special_tokens=False).ids)
+    read = defaultdict(int)
+    for r in queries.op9_temperature_mixing(spark, str(tmp_path)).collect():
+        read[r["source"]] += 1
+    least = min(size.values())  # the flattest mixture: equal weights, or the smaller source twice
+    assert 0.5 < least / max(size.values())
+    for s in size:
+        assert abs(read[s] * size[s] / 200 / max(size.values()) - 1) < 0.05
+    by_words = defaultdict(int)
+    for r in mixing.mix(docs, ["source"], repeats=2.0).collect():
+        by_words[r["source"]] += 1
+    assert by_words["s0"] > 350 > 210 > by_words["s1"]
+
+
 def test_exponent_extremes(spark):
     shares = spark.createDataFrame([(0.6,), (0.3,), (0.1,)], "p double")
     assert mixing.exponent(shares, 100.0, 100.0, None, None)[0] == 0.0

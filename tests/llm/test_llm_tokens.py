@@ -96,6 +96,36 @@ def test_placement_keeps_all_limits(seed):
         assert at == total
 
 
+def _padding(sequences):
+    sizes = [sum(k for _, _, k in row) for row in sequences]
+    return sum(0 if n & (n - 1) == 0 else 1024 - n for n in sizes)
+
+
+@pytest.mark.parametrize(("tokens", "most"), [(5, 1024), (1, 1024), (15, 1024), (700, 100), (40, 300)])
+def test_short_examples_and_loss_limits_leave_no_padding(tokens, most):
+    """Sequences that end at their segments or loss-bearing tokens with free tokens left are cut to powers of two."""
+    n, loss = np.full(4000, tokens), np.full(4000, 1.0)
+    out = packing.place(n, loss, (1024, 64, most))
+    assert all(len(row) <= 64 and sum(k for _, _, k in row) <= most for row in out)
+    assert sum(k for row in out for _, _, k in row) == 4000 * tokens
+    assert _padding([row for row in out if len(row) > 1]) == 0 and (most < 1024 or _padding(out) == 0)
+
+
+def test_a_batch_of_very_long_texts_is_packed_in_parts(spark):
+    """Few characters at once: the same pieces' ids in all, whatever is packed together."""
+    docs = documents(spark, [prose(i, 3000) for i in range(12)] + [prose(50, 5)] * 40 + [None, ""]).coalesce(1)
+    args = (tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id"])
+
+    def ids(chars):
+        out = defaultdict(list)
+        for r in sorted(packing.pack(docs, *args, with_ids=True, chars=chars).collect(), key=lambda r: (r["doc_id"], r["start"])):
+            assert r["start"] == len(out[r["doc_id"]])
+            out[r["doc_id"]] += r["ids"]
+        return out
+
+    assert ids(20_000) == ids(packing.CHARS)
+
+
 def test_packed_ids_and_loss_share(spark):
     docs = documents(spark, [prose(i, 200) for i in range(30)]).withColumn("share", F.lit(0.5))
     out = packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id", "share"],
