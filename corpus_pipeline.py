@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from clickflow.llm import mixing, ngram_join, packing, quality, secrets
 from clickflow.llm.common import id_crc, saved, table
@@ -30,8 +31,10 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document at least once, small sources more often (no source more than twice as often as the largest), in the order of the mixture."""
-    blocks, _ = mixing.plan(docs, repeats=2.0)
+    """Every document at least once, small sources more often (no source more than twice as often as the largest), in the order of the mixture.
+
+    Sources are weighed by the UTF-8 bytes of their texts, which follow the ids of a byte-level tokenizer in any language."""
+    blocks, _ = mixing.plan(docs, repeats=2.0, tokens=F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
     mixed = mixing.mixed(docs, blocks)
     return mixed.repartitionByRange("__slot", "doc_id").sortWithinPartitions("__slot", "doc_id").select(*docs.columns)
 
