@@ -102,6 +102,37 @@ def filter_sessions(full: DataFrame, p: TaskParams) -> DataFrame:
     return out.drop(*[c for c in (KEYWORD_HIT, CATEGORY_HIT) if c in cols])
 
 
+#: Profile terms that all tasks' filters are joined on: list of a task, column of a session.
+PROFILE_TERMS = (("professionals", "professional"), ("cities", "city"), ("sex", "sex"))
+
+
+def filter_sessions_of_tasks(full: DataFrame, tasks: DataFrame) -> DataFrame:
+    """S9 + P4 for many tasks in one pass: (task_id, and the columns of ``full``) of each session that a task's filter keeps.
+
+    ``full``: sessions of one date range, read once whatever the number of tasks; ``tasks``: rows of
+    ``task_params.param_values`` with that range. The profile lists are inverted: a task stands under each
+    combination of its tokens, or of "any" where it sets none, and a session looks under its own values and "any"
+    (eight keys). So the two meet in an equi-join, once at most; ages and set overlaps are tested on the pairs that
+    meet. A term whose parameter is missing passes, one whose data value is missing fails.
+    """
+    t = tasks
+    s = full
+    keys = []
+    for listed, column in PROFILE_TERMS:
+        key = f"_key_{column}"
+        keys.append(key)
+        known = F.transform(F.col(listed), lambda x: F.concat(F.lit("="), x))
+        t = t.withColumn(key, F.explode(F.coalesce(known, F.array(F.lit("*")))))
+        s = s.withColumn(key, F.explode(F.array_compact(F.array(F.lit("*"), F.concat(F.lit("="), F.col(column).cast("string"))))))
+    t = t.select("task_id", "start_age", "end_age", "keywords", F.col("category_ids").alias("_category_ids"), *keys)
+    no_range = F.col("start_age").isNull() | F.col("end_age").isNull()
+    met = s.join(t, keys).where(
+        (no_range | F.col("age").between(F.col("start_age"), F.col("end_age")))
+        & (F.col("keywords").isNull() | F.arrays_overlap("search_keywords", "keywords"))
+        & (F.col("_category_ids").isNull() | F.arrays_overlap("click_category_ids", "_category_ids")))
+    return met.select("task_id", *full.columns)
+
+
 def session_detail(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Action rows of the given sessions."""
     return actions.join(sessions.select("session_id"), "session_id", "left_semi")

@@ -162,6 +162,12 @@ SQL["session_agg"] = q(_sess_cte("s", "uva"), f"SELECT {_SESS_COLS} FROM s")
 SQL["session_full_agg"] = q(*_T1[:3], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM full_s")
 SQL["session_filter"] = q(*_T1[:4], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM fs")
 SQL["session_filter_equal"] = q(*_T1[:3], "SELECT session_id, sex FROM full_s WHERE sex = 'female'")
+SQL["session_filter_all_tasks"] = q(*_T1[:3], """SELECT t.user_id AS task_id, s.session_id, s.visit_length, s.step_length
+    FROM user_info t JOIN full_s s ON s.age BETWEEN greatest(t.age - 5, 0) AND t.age + 5
+      AND s.professional = t.professional AND s.city = t.city AND s.sex = t.sex
+    WHERE (t.user_id % 2 <> 0 OR list_has_any(s.search_keywords,
+             [concat('kw', CAST(t.user_id % 10 AS VARCHAR)), concat('kw', CAST((t.user_id + 1) % 10 AS VARCHAR))]))
+      AND (t.user_id % 3 = 0 OR list_has_any(s.click_category_ids, [t.user_id % 100, (t.user_id + 7) % 100]))""")
 SQL["visit_length_hist"] = q(_sess_cte("s", "uva"), "SELECT count(*) AS session_count, "
                              + ", ".join(f"{e} AS {n}" for n, e in _hist_cols("visit")) + " FROM s")
 SQL["step_length_hist"] = q(_sess_cte("s", "uva"), "SELECT count(*) AS session_count, "

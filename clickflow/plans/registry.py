@@ -129,6 +129,15 @@ def _session_filter(spark, d):
     return _filtered_sessions(spark, d)
 
 
+@register("session_filter_all_tasks")
+def _session_filter_all_tasks(spark, d):
+    """S9 + P4: the sessions of every task in one pass over the actions."""
+    from clickflow.sources.task_params import param_values
+    tasks = param_values(V.task_table(spark, d, P.START_DATE, P.END_DATE, P.PAGE_FLOW))
+    tasks = tasks.where((F.col("start_date") == P.START_DATE) & (F.col("end_date") == P.END_DATE))
+    return ses.filter_sessions_of_tasks(_full_sessions(spark, d), tasks).select("task_id", "session_id", "visit_length", "step_length")
+
+
 @register("session_filter_equal")
 def _session_filter_equal(spark, d):
     """Equality predicate (sex = female)."""

@@ -77,6 +77,23 @@ def param_columns(tasks: DataFrame) -> DataFrame:
     return p.select("task_id", *[F.try_element_at(F.col("params")[n], F.lit(1)).alias(n) for n in PARAM_NAMES])
 
 
+def param_values(tasks: DataFrame) -> DataFrame:
+    """Typed parameters of every task, one row each: task_id, start_date, end_date, start_age, end_age and the lists
+    professionals, cities, sex, keywords (text) and category_ids; null where a task doesn't set one, as in ``TaskParams``."""
+    def tokens(name):
+        found = F.array_distinct(F.filter(F.split(F.col(name), ","), lambda t: t != ""))
+        return F.when(F.size(found) > 0, found)
+
+    def given(name):
+        return F.nullif(F.col(name), F.lit(""))
+
+    return param_columns(tasks).select(
+        "task_id", given("startDate").alias("start_date"), given("endDate").alias("end_date"),
+        given("startAge").cast("int").alias("start_age"), given("endAge").cast("int").alias("end_age"),
+        tokens("professionals").alias("professionals"), tokens("cities").alias("cities"), tokens("sex").alias("sex"), tokens("keywords").alias("keywords"),
+        F.transform(tokens("categoryIds"), lambda t: t.try_cast("bigint")).alias("category_ids"))
+
+
 def lookup_task(tasks: DataFrame, task_id: int) -> TaskParams:
     """Parameters of one task; raises when the task does not exist or its id stands for different ones."""
     rows = parse_task_params(tasks.where(F.col("task_id") == task_id)).select("params").limit(2).collect()

@@ -133,3 +133,28 @@ def test_submit_runs_on_stored_tables(spark):
         got, want = (sorted(map(tuple, spark.read.parquet(f"{root}/{k}/{name}").collect()), key=str) for k in ("stored", "derived"))
         assert got == want, name
     assert {r.area_level for r in spark.read.parquet(f"{root}/stored/area_top3_product").collect()} == {"Z", "D"}
+
+
+def test_all_tasks_in_one_pass_equal_each_task_alone(spark):
+    """Missing terms, several tokens, empty and odd values, null profiles: as the filter of each task by itself."""
+    import json
+
+    from pyspark.sql import functions as F
+
+    from clickflow.operators.sessions import filter_sessions, filter_sessions_of_tasks
+    from clickflow.sources.task_params import lookup_task, param_values
+
+    full = spark.createDataFrame(
+        [(f"s{i}", i, [None, "p1", "p2"][i % 3], ["c1", "c2", "*", None][i % 4], ["male", "female"][i % 2], None if i % 11 == 0 else 20 + i % 30,
+          [f"kw{i % 5}"] if i % 4 else [], [i % 7, i % 3] if i % 5 else []) for i in range(120)],
+        "session_id string, user_id long, professional string, city string, sex string, age int, search_keywords array<string>, click_category_ids array<long>")
+    params = [{}, {"startAge": ["25"], "endAge": ["40"]}, {"startAge": ["25"]}, {"professionals": ["p1,p1,,p2"], "sex": ["male"]},
+              {"cities": ["c1,*"], "keywords": ["kw1,kw2"]}, {"cities": [""], "categoryIds": ["1,x,2"]}, {"categoryIds": ["x"]},
+              {"professionals": ["p2"], "cities": ["c2"], "sex": ["female"], "keywords": ["kw3"], "startAge": ["0"], "endAge": ["99"]}, {"sex": ["none"]}]
+    tasks = spark.createDataFrame([(i, json.dumps(p)) for i, p in enumerate(params)], "task_id long, task_param string")
+    got = filter_sessions_of_tasks(full, param_values(tasks))
+    assert "Cartesian" not in got._jdf.queryExecution().toString() and "NestedLoop" not in got._jdf.queryExecution().toString()
+    got = sorted((r["task_id"], r["session_id"]) for r in got.collect())
+    want = sorted((i, r["session_id"]) for i in range(len(params)) for r in filter_sessions(full, lookup_task(tasks, i)).collect())
+    assert got == want and len(set(got)) == len(got) > 200
+    assert filter_sessions_of_tasks(full, param_values(tasks.where(F.lit(False)))).count() == 0
