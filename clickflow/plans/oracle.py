@@ -157,7 +157,8 @@ def _hist_cols(kind: str) -> list[tuple[str, str]]:
 
 
 SQL["actions_by_date"] = q(_ACTIONS_R, f"SELECT {_ACTION_COLS} FROM ar")
-SQL["stored_actions"] = SQL["stored_actions_by_day"] = q(_ACTIONS_R, f"SELECT {_ACTION_COLS.replace('event_id, ', '', 1)} FROM ar")
+SQL["stored_actions"] = q(f"SELECT {_ACTION_COLS.replace('event_id, ', '', 1)} FROM uva")
+SQL["stored_actions_by_day"] = q(_ACTIONS_R, f"SELECT {_ACTION_COLS.replace('event_id, ', '', 1)} FROM ar")
 SQL["session_agg"] = q(_sess_cte("s", "uva"), f"SELECT {_SESS_COLS} FROM s")
 SQL["session_full_agg"] = q(*_T1[:3], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM full_s")
 SQL["session_filter"] = q(*_T1[:4], f"SELECT {_SESS_COLS}, age, professional, city, sex FROM fs")

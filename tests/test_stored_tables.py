@@ -34,6 +34,23 @@ def test_malformed_dates_drop_out_of_a_range(spark):
     assert N.user_visit_action(spark, root, start="2024-01-05").where("date is null").count() == 0
 
 
+def test_stored_actions_hold_every_day(spark, tmp_path):
+    """The query reads the whole table back: days outside the range of the other queries and actions without a time too."""
+    from __spark_entry__ import oracle_sql, queries
+
+    import duckdb
+
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    days = [dt.datetime(2023, 12, 31, 23), dt.datetime(2024, 1, 7, 1), dt.datetime(2031, 5, 1, 2), None]
+    spark.createDataFrame([(i, t, i, "click", 1.0, '{"k": 5}') for i, t in enumerate(days)], schema).write.parquet(f"{tmp_path}/events.parquet")
+    got = queries()["stored_actions"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW events AS SELECT * FROM read_parquet('{tmp_path}/events.parquet/*.parquet')")
+    rel = con.sql(oracle_sql()["stored_actions"])
+    at = rel.columns.index("date")
+    assert sorted(str(r["date"]) for r in got.collect()) == sorted(str(r[at]) for r in rel.fetchall()) == ["2023-12-31", "2024-01-07", "2031-05-01", "None"]
+
+
 def test_a_table_by_date_lists_only_its_days(spark):
     root = scratch_dir(spark, "t-days")
     actions = V.user_visit_action(spark, SF_SMALL)
