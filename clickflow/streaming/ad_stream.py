@@ -21,7 +21,9 @@ Per micro-batch (``foreachBatch``, A1) the rows go to the stores:
   A6  clicks per (event minute, ad) -> increment log.
 Each log write replaces its own ``batch_id`` folder, so a replayed batch
 after a failure gives the same store (exactly once). The batch's rows are
-persisted once and shared by the writes, which run as concurrent jobs.
+written once beside the stores and read by the writes, which run as concurrent
+jobs: their tasks carry neither the stateful plan nor its state metrics, of
+which every task would send each one to the driver.
 
 Lines without a readable time belong to no day: they are counted and kept in
 the reject log and take no part in the branches.
@@ -36,7 +38,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,6 +113,7 @@ class AdClickStats:
         self.threshold = int(threshold)
         self.top_n = int(top_n)
         root = out_root.rstrip("/")
+        self.batch_rows = f"{root}/batch_rows"
         e = int(batches_per_generation)
         self.user_clicks = BatchLog(spark, f"{root}/ad_user_click_count", USER_CLICK_SCHEMA, ("date",),
                                     lambda lg, df: lg.increments(USER_KEYS, "click_count", df), e)
@@ -134,9 +137,10 @@ class AdClickStats:
         """One micro-batch's rows into the stores; only these rows are read."""
         session = rows.sparkSession
         owner = session.sparkContext.getLocalProperty("sql.streaming.queryId")
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        kept = f"{self.batch_rows}/{int(batch_id)}"
+        rows.write.mode("overwrite").parquet(kept)  # the state is advanced by this one job; the writes below share what it kept
         try:
-            rows.count()  # the state is advanced by this one job; the writes below share what it kept
+            rows = session.read.schema(rows.schema).parquet(kept)
             clicks = rows.where(F.col("kind") == "click")
 
             def summed(*keys):
@@ -153,7 +157,7 @@ class AdClickStats:
                 (self.trend, summed("date", "minute", "ad_id")),  # A6
                 (self.rejects, of_kind("reject").select("value")),
             ]
-            # Every write reads only the persisted batch and replaces its own
+            # Every write reads only the kept batch and replaces its own
             # batch folder: a failed one fails the batch, and the retry
             # rewrites the same folders from the same rows.
             # The threads inherit the query's job group: stopping it stops them.
@@ -162,7 +166,8 @@ class AdClickStats:
                 for job in jobs:
                     job.result()
         finally:
-            rows.unpersist()
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(kept)
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
     # ---------------------------------------------------------------- views
     def user_click_view(self) -> DataFrame:

@@ -8,6 +8,8 @@ processing-time trigger takes what arrived in its interval.
 
 ``replay_in_one_run`` appends all batches first, each as the same number of files, and runs each query once
 with that number of files per trigger: the same micro-batches, without starting a query for each of them.
+The queries keep their state in as many partitions as the largest batch needs (``state_partitions``): every task of a
+stateful stage sends the metrics of its state stores to the driver, in every batch, however few rows it gets.
 
 Writing is parallel throughout: one pass writes all lines into a staging
 folder partitioned by batch (every task writes its own files), and each
@@ -18,7 +20,8 @@ No batch is funnelled through a single task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 from clickflow.sources import views as V
 
 BATCH_COL = "replay_batch"
+#: Lines of a batch for each partition of a stateful query.
+LINES_PER_PARTITION = 25_000
 
 
 @dataclass
@@ -74,6 +79,18 @@ def _files(spark: SparkSession, folder: str) -> int:
     return sum(not n.startswith(("_", ".")) for n in names)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, most_lines: int, least: int = 4) -> Iterator[None]:
+    """Queries started inside keep their state in partitions for batches of up to ``most_lines`` lines, not more than the session's shuffle partitions."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), max(least, -(-int(most_lines) // LINES_PER_PARTITION)))))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replay_in_one_run(spark: SparkSession, staging_dir: str, source_dir: str, n_batches: int,
                       queries: list[Callable[[int], None]], files: int = 4, batch_col: str = BATCH_COL) -> None:
     """Append every batch to ``source_dir/<id>/`` as ``files`` files, in order, then run each query once to completion.
@@ -82,13 +99,14 @@ def replay_in_one_run(spark: SparkSession, staging_dir: str, source_dir: str, n_
     exactly one batch. Batches too small to fill so many files are written as one file each.
     """
     staged = spark.read.text(staging_dir)
-    least = staged.groupBy(batch_col).count().agg(F.min("count"), F.count("*")).first()  # two scalars
-    if least[1] < n_batches or least[0] < 64 * files:
+    least, most, filled = staged.groupBy(batch_col).count().agg(F.min("count"), F.max("count"), F.count("*")).first()  # three scalars
+    if filled < n_batches or least < 64 * files:
         files = 1
     for i in range(int(n_batches)):
         folder = f"{source_dir}/{i:06d}"
         staged.where(F.col(batch_col) == i).select("value").repartition(files).write.text(folder)
         if _files(spark, folder) != files:
             raise RuntimeError(f"{folder} has not {files} files")
-    for run in queries:
-        run(files)
+    with state_partitions(spark, most or 0):
+        for run in queries:
+            run(files)

@@ -248,6 +248,36 @@ def test_stream_survives_failed_batch_and_restart(spark):
         assert got == _duck_rows(sql, SF_SMALL), name
 
 
+def test_store_writes_carry_no_state_and_batches_are_forgotten(spark):
+    """The tasks of the store writes would send every metric of the state they carry: their plans only scan the kept batch, which goes afterwards."""
+    root = scratch_dir(spark, "t-carry")
+    stats = ast.AdClickStats(spark, f"{root}/out", threshold=2)
+    plans, real = [], stats.stat.write
+
+    def seen(df, batch_id, owner=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        real(df, batch_id, owner)
+
+    stats.stat.write = seen
+    spark.createDataFrame([(f"{_ms(i)} P C {i % 2} 5",) for i in range(6)], "value string").write.text(f"{root}/source/000000")
+    stats.run_available(ast.text_source(spark, f"{root}/source/*"), f"{root}/ckpt")
+    assert len(plans) == 1 and "FileScan parquet" in plans[0] and "TransformWithState" not in plans[0]
+    assert sum(r.click_count for r in stats.stat_view().collect()) == 6
+    assert os.listdir(f"{root}/out/batch_rows") == []
+
+
+def test_state_partitions_follow_the_largest_batch(spark):
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set(key, "200")
+    try:
+        for lines, want in ((0, "4"), (3000, "4"), (100_001, "5"), (10**9, "200")):
+            with rp.state_partitions(spark, lines):
+                assert spark.conf.get(key) == want
+        assert spark.conf.get(key) == "200"
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_kafka_source_names_the_missing_connector(spark):
     with pytest.raises(RuntimeError, match="Kafka connector"):
         ast.kafka_source(spark, "localhost:9092", "ad_log")
