@@ -106,7 +106,7 @@ class BatchLog:
         if begun is not None and (marked is None or begun > marked):
             # its first batch may be on its way; anything later was written after the marker
             first = begun * self.per_gen if self.per_gen else 0
-            if any(b > first for b in self._numbers(f"batches/gen={begun}", f"{BATCH_COL}=")):
+            if begun > (-1 if marked is None else marked) + 1 or any(b > first for b in self._numbers(f"batches/gen={begun}", f"{BATCH_COL}=")):
                 raise RuntimeError(f"{self.path}: generation {begun} has batches but no marker")
         return marked
 
