@@ -50,9 +50,11 @@ DIM = 1 << 17
 #: Features of a token: its own, as the one before, as the one after.
 OWN, BEFORE, AFTER = 7, 2, 2
 WIDTH = OWN + BEFORE + AFTER
-_MARKS, _SEPARATORS = r"(?<![.!?])[.!?]", r"""[\s"'`,;:{}()\[\]<>&=|]"""
-#: Runs of separators with the sentence ends before them, or at the end of the text; a run of marks is looked at once.
-CUT = re.compile(rf"((?<![.!?])(?:[.!?]*+{_SEPARATORS}+)+(?:[.!?]++\Z)?|{_MARKS}++\Z)")
+_SEPARATORS = r"""[\s"'`,;:{}()\[\]<>&=|]"""
+#: Runs of separators with the sentence ends before them, or at the end of the text; a run of marks is looked at once. The pattern
+#: begins with one set of characters, which the search skips to.
+CUT = re.compile(rf"({_SEPARATORS[:-1]}.!?](?<![.!?][\s\S])(?:(?<=[.!?])[.!?]*+(?:{_SEPARATORS}++|\Z)|(?<![.!?]){_SEPARATORS}*+)"
+                 rf"(?:[.!?]*+{_SEPARATORS}++)*(?:[.!?]++\Z)?)")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -113,19 +115,31 @@ def _shape_features(kinds: int, runs: int, size: int, dense: int, marks: bytes)
     return known
 
 
+#: The same of plain words, by their classes and length (up to 32 bytes).
+_WORDS: dict[int, tuple[int, ...]] = {}
+
+
+def _of_length(kinds: int, runs: int, n: int, marks: bytes) -> tuple[int, ...]:
+    return _shape_features(kinds, runs, min(n // 4, 5) + (n >= 32), min(4, 5 * runs // max(1, n)), marks)
+
+
 def token_features(token: str) -> list[int]:
     """Word, affixes, marks, and shape (classes, runs of classes, length); then word and shape as a neighbour."""
     raw = token.encode("utf-8", "replace")
     if token.isalpha():  # the common case: a plain word
-        runs, kinds, marks = 1, 4 if token.islower() else 2 if token.isupper() else 6, b""
+        kinds, n = 4 if token.islower() else 2 if token.isupper() else 6, len(raw)
+        at = kinds * 64 + (n if n < 32 else 32)
+        shape = _WORDS.get(at)
+        if shape is None:
+            shape = _WORDS[at] = _of_length(kinds, 1, n, b"")
+        h = zlib.crc32(raw.lower())
     else:
         cls = raw.translate(_CLASS)
         runs = 1 + sum(map(ne, cls, cls[1:]))
         kinds = sum(1 << k for k in set(cls))
-        marks = bytes(sorted(set(raw.translate(None, _NO_MARK))))
-    h = zlib.crc32(raw.lower().strip(b"\"'.,;:!?()"))
-    size = min(len(raw) // 4, 5) + (len(raw) >= 32)
-    mark, mix, mix2, mix3, before, after = _shape_features(kinds, runs, size, min(4, 5 * runs // max(1, len(raw))), marks)
+        shape = _of_length(kinds, runs, len(raw), bytes(sorted(set(raw.translate(None, _NO_MARK)))))
+        h = zlib.crc32(raw.lower().strip(b"\"'.,;:!?()"))
+    mark, mix, mix2, mix3, before, after = shape
     return [h % DIM, zlib.crc32(raw[:4], 1) % DIM, zlib.crc32(raw[-2:], 2) % DIM, mark, mix, mix2, mix3,
             (h ^ 0x5BD1E995) % DIM, before, (h ^ 0x27D4EB2F) % DIM, after]
 
@@ -148,7 +162,7 @@ class Tagger:
     """Best tags of a chunk of texts; keeps what distinct tokens contribute from chunk to chunk."""
 
     def __init__(self, model: crf.Model):
-        self.model, self.types = model, crf.Types(token_features, WIDTH)
+        self.model, self.types = model, crf.Types(token_features, WIDTH, most=120_000)
         self.gaps: dict[str, int] = {}
         self.gap_weights = np.zeros((0, model.labels))
         self.roles = [np.zeros((0, model.labels)) for _ in range(3)]
