@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickflow.llm.common import chunks, forget, saved, texts_of
+from clickflow.llm.common import chunks, forget, saved, texts_of, tidy
 from clickflow.llm.components import components
 
 #: Slots of the frequency table (fixed: 2 MB as classes of frequency), and the parts in which it is summed.
@@ -144,7 +144,7 @@ def _scan(documents: DataFrame, n: int) -> DataFrame:
             counts = [zlib.compress(x.tobytes(), 1) for x in np.split(table, PARTS)]
             yield pa.RecordBatch.from_arrays([*(pa.nulls(PARTS, pa.int64()) for _ in range(4)), pa.nulls(PARTS, pa.binary()), pa.array(np.arange(PARTS, dtype=np.int32)), pa.array(counts, pa.binary())], names)
 
-    return documents.withColumn("hash", F.xxhash64("text")).mapInArrow(task, "id long, hash long, key long, size long, bits binary, part int, counts binary")
+    return documents.withColumn("hash", F.xxhash64("text")).mapInArrow(tidy(task), "id long, hash long, key long, size long, bits binary, part int, counts binary")
 
 
 def _frequency_classes(parts: DataFrame) -> np.ndarray:
@@ -158,7 +158,7 @@ def _frequency_classes(parts: DataFrame) -> np.ndarray:
                 sums[p] = sums[p] + x if p in sums else x.astype(np.uint64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([np.minimum(255, 8 * np.log2(1 + x)).astype(np.uint8).tobytes() for x in sums.values()], pa.binary())], ["part", "classes"])
 
-    rows = parts.repartition(PARTS, "part").mapInArrow(total, "part int, classes binary").collect()
+    rows = parts.repartition(PARTS, "part").mapInArrow(tidy(total), "part int, classes binary").collect()
     out = np.zeros((PARTS, (1 << SLOT_BITS) // PARTS), dtype=np.uint8)
     for r in rows:
         out[r["part"]] = np.frombuffer(r["classes"], dtype=np.uint8)
@@ -198,7 +198,7 @@ def _columns(documents: DataFrame, n: int, percent: int, classes: np.ndarray) ->
                         pa.array(np.concatenate([x for _, _, x, _ in out]).view(np.int64)), pa.array(key), pa.array(size.astype(np.int32)),
                         pa.array(np.concatenate([np.arange(c) for c in counts]).astype(np.int32)), pa.array(rank.astype(np.int32))], ["gram", "key", "size", "pos", "rank"])
 
-    return documents.select("text").mapInArrow(task, "gram long, key long, size int, pos int, rank int")
+    return documents.select("text").mapInArrow(tidy(task), "gram long, key long, size int, pos int, rank int")
 
 
 def _shared(columns: DataFrame, percent: int) -> DataFrame:
@@ -240,7 +240,7 @@ def _shared(columns: DataFrame, percent: int) -> DataFrame:
                                                  ["gram", "key", "size", "pos", "hub_rank", "hub", "hub_size"])
 
     rows = columns.withColumn("band", band).repartition("gram").sortWithinPartitions("gram", "band", F.desc("rank"), "key")
-    return rows.select(*names).mapInArrow(task, "gram long, key long, size int, pos int, hub_rank int, hub long, hub_size int")
+    return rows.select(*names).mapInArrow(tidy(task), "gram long, key long, size int, pos int, hub_rank int, hub long, hub_size int")
 
 
 def _stars(lists: DataFrame, percent: int) -> DataFrame:
@@ -262,7 +262,7 @@ def _open_columns(lists: DataFrame, part: DataFrame, classes: DataFrame) -> Data
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array([short(x) for x in batch.column("bits").to_pylist()], pa.binary())], ["key", "bits"])
 
-    return told.join(differ, "gram", "left_semi").join(classes.select("key", "bits").mapInArrow(task, "key long, bits binary"), "key")
+    return told.join(differ, "gram", "left_semi").join(classes.select("key", "bits").mapInArrow(tidy(task), "key long, bits binary"), "key")
 
 
 def _pairs(run: dict[str, np.ndarray], percent: int) -> Iterator[tuple]:
@@ -345,7 +345,7 @@ def _crossing(entries: DataFrame, percent: int) -> DataFrame:
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).select(*fields)
     return rows.repartition("gram", "lo", "hi").sortWithinPartitions("gram", "lo", "hi", "size", "key").mapInArrow(
-        task, "a long, b long, a_size int, b_size int, a_pos int, b_pos int")
+        tidy(task), "a long, b long, a_size int, b_size int, a_pos int, b_pos int")
 
 
 def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -362,7 +362,7 @@ def _near(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
                 keep.append(int(np.bitwise_count(x ^ y).sum()) <= int(most_apart(np.int64(n), m, percent)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(task, "a long, b long")
+    return pairs.join(one("a"), "a").join(one("b"), "b").select("a", "b", "a_n", "b_n", "a_bits", "b_bits").mapInArrow(tidy(task), "a long, b long")
 
 
 def _within_bounds(pairs: DataFrame, percent: int) -> DataFrame:
@@ -396,7 +396,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataF
                             out.append((a, key))
                 yield pa.RecordBatch.from_arrays([pa.array([x[j] for x in out], pa.int64()) for j in (0, 1)], ["a", "b"])
 
-    return rows.repartition("a", "block").sortWithinPartitions("a", "block", "other").mapInArrow(task, "a long, b long")
+    return rows.repartition("a", "block").sortWithinPartitions("a", "block", "other").mapInArrow(tidy(task), "a long, b long")
 
 
 def within(ids: DataFrame) -> DataFrame:
@@ -422,7 +422,7 @@ def _texts(documents: DataFrame, scan: DataFrame, keys: DataFrame, n: int) -> Da
                 sent.add(k)
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(task, "key long, text string")
+    return rows.mapInArrow(tidy(task), "key long, text string")
 
 
 def first_of_groups(documents: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:

@@ -22,12 +22,12 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickflow.llm.common import chunks, texts_of
+from clickflow.llm.common import chunks, give_back, texts_of, tidy
 
 SEQUENCE = 1024
 #: Segments in a sequence, at most.
@@ -43,11 +43,10 @@ PLAIN = "ɏ"
 class Encoder:
     """Ids of texts as the ``tokenizers`` file gives them by default (special strings are found, none are added)."""
 
-    def __init__(self, tokenizer_json: str, ranks: str, pattern: str, end_id: int):
+    def __init__(self, tokenizer_json: Broadcast[str], special: dict[str, int], ranks: str, pattern: str, end_id: int):
         import tiktoken
 
         self.tokenizer_json, self.reference = tokenizer_json, None  # made when a text needs it
-        special = {t["content"]: t["id"] for t in json.loads(tokenizer_json)["added_tokens"]}
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.fast = tiktoken.Encoding("packing", pat_str=pattern, mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs}, special_tokens=special)
         self.allowed, self.end = set(special), end_id
@@ -59,7 +58,7 @@ class Encoder:
             if self.reference is None:
                 from tokenizers import Tokenizer
 
-                self.reference = Tokenizer.from_str(self.tokenizer_json)
+                self.reference = Tokenizer.from_str(self.tokenizer_json.value)
             ids = self.reference.encode(text, add_special_tokens=False).ids
         out = np.empty(len(ids) + 1, dtype="<u4")
         out[:-1], out[-1] = ids, self.end
@@ -150,7 +149,9 @@ def pack(documents: DataFrame, tokenizer_path: str, ranks_path: str, pattern: st
     limits = (sequence, segments, sequence if loss_limit is None else loss_limit)
     made = [x.split()[0] for x in PIECES.split(", ")] + ["ids"]
     keep = [c for c in dict.fromkeys(keep) if c not in made]
-    shared = documents.sparkSession.sparkContext.broadcast((Path(tokenizer_path).read_text(), Path(ranks_path).read_text()))
+    tokenizer_json = Path(tokenizer_path).read_text()
+    special = {t["content"]: t["id"] for t in json.loads(tokenizer_json)["added_tokens"]}
+    whole_json, ranks = (documents.sparkSession.sparkContext.broadcast(x) for x in (tokenizer_json, Path(ranks_path).read_text()))
     share = F.lit(1.0) if loss_share is None else F.coalesce(loss_share.cast("double"), F.lit(1.0))
     source = documents.select(*keep, F.col(text).alias("__text"), F.least(F.greatest(share, F.lit(0.0)), F.lit(1.0)).alias("__share"))
     fields = [*source.schema.fields[:-2], *T.StructType.fromDDL(PIECES).fields]
@@ -160,7 +161,7 @@ def pack(documents: DataFrame, tokenizer_path: str, ranks_path: str, pattern: st
         encode = None
         sequence_id = TaskContext.get().partitionId() << 36
         for whole in batches:
-            encode = encode or Encoder(*shared.value, pattern, end_id)
+            encode = encode or Encoder(whole_json, special, ranks.value, pattern, end_id)
             for batch in (b for at in range(0, whole.num_rows, rows) for b in chunks(whole.slice(at, rows), "__text", chars)):
                 ids = [encode(t) for part in chunks(batch, "__text") for t in texts_of(part, "__text")]
                 n = np.array([len(x) for x in ids], dtype=np.int64)
@@ -172,11 +173,16 @@ def pack(documents: DataFrame, tokenizer_path: str, ranks_path: str, pattern: st
                 before = np.cumsum(length) - length
                 offset = before - np.repeat(before[np.cumsum(counts) - counts], counts)
                 sequence_id += len(sequences)
-                taken = batch.take(pa.array(owner))
-                cols = [*taken.columns[:-2], pa.array(start), pa.array(length), pa.array([zlib.crc32(ids[i][s:s + k].tobytes()) for i, s, k in pieces], pa.int64()),
-                        pa.array(n[owner]), pa.array(number), pa.array(offset)]
+                # the text stays behind: a long one would be copied with each of its pieces
+                cols = [*(c.take(pa.array(owner)) for c in batch.columns[:-2]), pa.array(start), pa.array(length),
+                        pa.array([zlib.crc32(ids[i][s:s + k].tobytes()) for i, s, k in pieces], pa.int64()), pa.array(n[owner]), pa.array(number), pa.array(offset)]
                 if with_ids:
-                    cols.append(pa.array([ids[i][s:s + k].astype(np.int32) for i, s, k in pieces], pa.list_(pa.int32())))
+                    values = np.concatenate([ids[i][s:s + k] for i, s, k in pieces]).view(np.int32)
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.append(before, len(values)), pa.int32()), pa.array(values)))
+                    del values
+                del ids
                 yield pa.RecordBatch.from_arrays(cols, [f.name for f in fields])
+                del cols
+                give_back()
 
-    return source.mapInArrow(task, T.StructType(fields))
+    return source.mapInArrow(tidy(task), T.StructType(fields))

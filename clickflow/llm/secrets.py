@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clickflow.llm import crf
-from clickflow.llm.common import chunks, texts_of
+from clickflow.llm.common import chunks, texts_of, tidy
 
 KINDS = ("assign", "access", "hex", "crf")
 # What counts as a base span. Key names in either case (ASCII); a match whose value is too short is dropped.
@@ -281,7 +281,7 @@ def _training_windows(documents: DataFrame, id_col: str, text: str, kinds: tuple
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds_, strict=True)], names)
 
     return documents.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(
-        task, "id long, found boolean, tokens array<string>, gaps array<string>, tags array<int>, file array<int>")
+        tidy(task), "id long, found boolean, tokens array<string>, gaps array<string>, tags array<int>, file array<int>")
 
 
 def fit(documents: DataFrame, id_col: str = "doc_id", text: str = "text", sample: int = SAMPLE, windows: int = WINDOWS, kinds: tuple[int, ...] = (0, 1, 2)) -> crf.Model | None:
@@ -337,7 +337,7 @@ def find(documents: DataFrame, model: crf.Model | None, keep: list[str], text: s
                 spans = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in x] for _, x in _found(part, "__text", tagger)]
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(spans, _SPANS)], [*keep, "spans"])
 
-    return source.mapInArrow(task, schema)
+    return source.mapInArrow(tidy(task), schema)
 
 
 def masked(text: str, spans: list[tuple[int, int, int]], mark: str) -> str:
@@ -368,4 +368,4 @@ def redact(documents: DataFrame, model: crf.Model | None, text: str = "text", le
                     cols[length] = pa.array([len(t) if t != o else n for t, o, n in zip(new, texts_of(part, text), cols[length].to_pylist(), strict=True)], cols[length].type)
                 yield pa.RecordBatch.from_arrays(list(cols.values()), names)
 
-    return documents.mapInArrow(task, schema)
+    return documents.mapInArrow(tidy(task), schema)

@@ -1,16 +1,18 @@
 """Packing and token counts against the tokenizer library."""
 
 import random
+import weakref
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_util import clashing, documents, edge_texts, prose, tokenizer_path
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from clickflow.llm import packing, queries, tokencount
+from clickflow.llm import common, packing, queries, tokencount
 
 import public_tokenizers
 
@@ -135,3 +137,38 @@ def test_packed_ids_and_loss_share(spark):
     for r in out:
         by[r["sequence_id"]] += r["length"] * 0.5
     assert max(by.values()) <= 256
+
+
+def test_a_text_of_very_many_pieces_is_not_copied_with_each(spark):
+    """1.6 million characters and as many ids: a copy of the text with each piece would be over 2 GB of a worker."""
+    args = (tokenizer_path("byte_bpe_50k.json"), tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, ["doc_id"])
+    got = packing.pack(documents(spark, ["a1" * 800_000, prose(1)]).coalesce(1), *args, with_ids=True).collect()
+    pieces = sorted((r["start"], r["length"], len(r["ids"]), r["doc_tokens"], r["ids"][-1]) for r in got if r["doc_id"] == 0)
+    assert len(pieces) > 1500 and [p[0] for p in pieces] == np.cumsum([0, *(p[1] for p in pieces[:-1])]).tolist()
+    assert all(n == k for _, n, k, _, _ in pieces) and sum(p[1] for p in pieces) == pieces[0][3] and pieces[-1][4] == 0
+
+    def most(batches):
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([pa.default_memory_pool().max_memory() / 1e6])], ["mb"])
+
+    # tasks take the workers that are free in turn, and so come by the one that packed
+    assert max(r["mb"] for r in spark.range(0, 32, 1, 32).mapInArrow(most, "mb double").collect()) < 1000
+
+
+def test_tasks_give_their_memory_back(monkeypatch):
+    """A task's batches pass unchanged, and when memory is given back the task holds nothing any more."""
+    held, left = [], []
+
+    class Thing:
+        pass
+
+    def task(batches):
+        thing = Thing()
+        held.append(weakref.ref(thing))
+        yield from batches
+
+    monkeypatch.setattr(common, "give_back", lambda: left.append(held[0]()))
+    batches = [pa.RecordBatch.from_arrays([pa.array([i])], ["x"]) for i in range(3)]
+    assert list(common.tidy(task)(iter(batches))) == batches and left == [None]
+    monkeypatch.undo()
+    common.give_back()
